@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import dims, facts, marts
+from . import history as H
 from . import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +83,77 @@ def queries() -> dict[str, Query]:
 
 
 __all__ = ["queries", "dims", "facts"]
+
+
+# ------------------------------------------------------- DML, SCD2, history
+
+def conditional_update(spark, d):
+    """S18 (+ H16, H17, P10): the two staged UPDATEs over the whole film source."""
+    return H.reclassify_and_correct(H.extracts(spark, d)[0])
+
+
+def insert_if_absent(spark, d):
+    """Run-2 extract = updates + a title inserted if absent."""
+    return H.extracts(spark, d)[1]
+
+
+def delete_where(spark, d):
+    """Run-3 extract = the inserted title deleted again."""
+    return H.extracts(spark, d)[2]
+
+
+def snapshot_history(spark, d):
+    """History after four snapshot runs (incl. reinstatement)."""
+    return H.snap_movies(spark, d)
+
+
+def snapshot_state(spark, d):
+    """R11."""
+    return H.snapshot_state(H.snap_movies(spark, d))
+
+
+def snapshot_withdrawn(spark, d):
+    """R12 generalised: history of keys with no open version, inspected after
+    the hard delete (run 3), as the reference's inspection script is."""
+    return H.withdrawn_history(H.snap_movies(spark, d, n_runs=3))
+
+
+def snapshot_accounting(spark, d):
+    """R13."""
+    return H.snapshot_accounting(H.snap_movies(spark, d))
+
+
+def snapshot_multi_open(spark, d):
+    """R14."""
+    return H.multi_open(H.snap_movies(spark, d))
+
+
+def scd2_violations(spark, d):
+    """Q8a-d + open_window_superseded, strict flags (gaps of reinstated keys show)."""
+    return H.history_violations(H.snap_movies(spark, d))
+
+
+def scd2_violations_declared(spark, d):
+    """Q8 with the flags the snapshot declares (closed entities and gaps allowed)."""
+    return H.history_violations(H.snap_movies(spark, d), allow_closed_entities=True,
+                                allow_gaps=True)
+
+
+_BASE_QUERIES = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extends the first group
+    q = _BASE_QUERIES()
+    q.update({
+        "conditional_update": conditional_update,
+        "insert_if_absent": insert_if_absent,
+        "delete_where": delete_where,
+        "snapshot_history": snapshot_history,
+        "snapshot_state": snapshot_state,
+        "snapshot_withdrawn": snapshot_withdrawn,
+        "snapshot_accounting": snapshot_accounting,
+        "snapshot_multi_open": snapshot_multi_open,
+        "scd2_violations": scd2_violations,
+        "scd2_violations_declared": scd2_violations_declared,
+    })
+    return q

@@ -202,3 +202,43 @@ def oracle_sql() -> dict[str, str]:
                              f"{retention_sql('stg_ratings')}")
     q["ratings_latest"] = f"WITH {stg_ratings_cte()}, {LATEST} SELECT * FROM ratings_latest"
     return q
+
+
+def _history_sql() -> dict[str, str]:
+    from ..sources.testdata import SQL_RAW_MOVIES
+    from . import history as H
+    cte = H.sql_history_cte(SQL_RAW_MOVIES)
+    q = {}
+    q["conditional_update"] = f"WITH {cte} SELECT * FROM v2a"
+    q["insert_if_absent"] = f"WITH {cte} SELECT * FROM v2"
+    q["delete_where"] = f"WITH {cte} SELECT * FROM v3"
+    q["snapshot_history"] = f"WITH {cte} SELECT * FROM snap_movies"
+    q["snapshot_state"] = f"""WITH {cte}
+SELECT movie_id, title, genres, valid_from, valid_to,
+       CASE WHEN valid_to IS NULL THEN 'current' ELSE 'superseded' END AS version_state
+FROM snap_movies"""
+    q["snapshot_withdrawn"] = f"""WITH {H.sql_history_cte(SQL_RAW_MOVIES, 3)}
+SELECT s.movie_id, s.title, s.genres, s.valid_from, s.valid_to FROM snap_movies s
+WHERE NOT EXISTS (SELECT 1 FROM snap_movies o WHERE o.movie_id = s.movie_id AND o.valid_to IS NULL)"""
+    q["snapshot_accounting"] = f"""WITH {cte}
+SELECT CAST(COUNT(*) AS BIGINT) AS total_versions,
+       CAST(COUNT(DISTINCT movie_id) AS BIGINT) AS distinct_movies,
+       CAST(COUNT_IF(valid_to IS NULL) AS BIGINT) AS open_versions,
+       CAST(COUNT(*) - COUNT(DISTINCT movie_id) AS BIGINT) AS superseded_versions
+FROM snap_movies"""
+    q["snapshot_multi_open"] = f"""WITH {cte}
+SELECT movie_id, CAST(COUNT(*) AS BIGINT) AS open_versions FROM snap_movies
+WHERE valid_to IS NULL GROUP BY movie_id HAVING COUNT(*) > 1"""
+    q["scd2_violations"] = f"WITH {cte}, {H.sql_violations('snap_movies')} SELECT * FROM violations"
+    q["scd2_violations_declared"] = (
+        f"WITH {cte}, {H.sql_violations('snap_movies', True, True)} SELECT * FROM violations")
+    return q
+
+
+_base_oracle_sql = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extends the first group
+    q = _base_oracle_sql()
+    q.update(_history_sql())
+    return q
