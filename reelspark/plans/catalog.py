@@ -157,3 +157,38 @@ def queries() -> dict[str, Query]:  # noqa: F811 - extends the first group
         "scd2_violations_declared": scd2_violations_declared,
     })
     return q
+
+
+# --------------------------------------------------- incremental and scale (X)
+
+from . import incremental as INC  # noqa: E402
+
+
+def retention_approx(spark, d):
+    """X1 (rows-only check; error bound tested in pytest)."""
+    return marts.mart_user_cohort_retention_approx(I.dim_users(spark, d), I.fct_ratings(spark, d))
+
+
+def user_month_bridge(spark, d):
+    """Distinct (user, month) bridge under the retention mart."""
+    return marts.user_months(I.fct_ratings(spark, d))
+
+
+_BASE_QUERIES2 = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extends the earlier groups
+    q = _BASE_QUERIES2()
+    q.update({
+        "ratings_incremental": INC.ratings_incremental,
+        "incremental_late_rows": INC.incremental_late_rows,
+        "incremental_late_rows_lookback": INC.incremental_late_rows_lookback,
+        "daily_incremental": INC.daily_incremental,
+        "daily_incremental_delete_window": INC.daily_incremental_delete_window,
+        "daily_partition_replace": INC.daily_partition_replace,
+        "ratings_bucket_merge": INC.ratings_bucket_merge,
+        "users_dim_incremental": INC.users_dim_incremental,
+        "user_month_bridge": user_month_bridge,
+        "retention_approx": retention_approx,
+    })
+    return q

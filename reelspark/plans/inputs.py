@@ -15,10 +15,11 @@ from . import dims, facts, marts, staging
 # Line-item columns that make (time, order, line, supplier) a total order
 # within a (user, film) key.
 TIEBREAK = ("l_orderkey", "l_linenumber", "l_suppkey")
+CARRY = TIEBREAK + ("arrived_at",)
 
 
 def ratings(spark: SparkSession, d: str, item: str = "part",
-            keep: tuple[str, ...] = TIEBREAK) -> DataFrame:
+            keep: tuple[str, ...] = CARRY) -> DataFrame:
     configure(spark)
     raw = testdata.raw_ratings(spark, d, item)
     return staging.stg_ratings(raw, keep=keep)

@@ -35,7 +35,7 @@ raw_ratings AS ({sql_raw_ratings(item)}),
 stg_ratings AS (
     SELECT userId AS user_id, movieId AS movie_id, CAST(rating AS DOUBLE) AS rating,
            CAST("timestamp" AS TIMESTAMP) AS rating_timestamp,
-           l_orderkey, l_linenumber, l_suppkey
+           l_orderkey, l_linenumber, l_suppkey, arrived_at
     FROM raw_ratings)"""
 
 
@@ -242,3 +242,103 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extends the first group
     q = _base_oracle_sql()
     q.update(_history_sql())
     return q
+
+
+# ----------------------------------------------------------- incremental runs
+
+_LATEST_ORDER = "rating_timestamp DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC"
+
+
+def _latest(name: str, where: str) -> str:
+    return f"""
+{name} AS (
+    SELECT user_id, movie_id, rating, rating_timestamp FROM stg_ratings WHERE {where}
+    QUALIFY row_number() OVER (PARTITION BY user_id, movie_id ORDER BY {_LATEST_ORDER}) = 1)"""
+
+
+def _two_runs(split_col: str, lookback_days: int | None = None) -> str:
+    from . import incremental as INC
+    cut = f"TIMESTAMP '{INC.CUTOFF:%Y-%m-%d %H:%M:%S}'"
+    mark = "(SELECT MAX(rating_timestamp) FROM f1)"
+    if lookback_days:
+        mark = f"({mark} - INTERVAL {lookback_days} DAY)"
+    return (stg_ratings_cte() + "," + _latest("f1", f"{split_col} < {cut}") + ","
+            + _latest("batch", f"rating_timestamp >= {mark}") + """,
+f2 AS (
+    SELECT * FROM f1 WHERE NOT EXISTS (
+        SELECT 1 FROM batch b WHERE b.user_id = f1.user_id AND b.movie_id = f1.movie_id)
+    UNION ALL SELECT * FROM batch)""")
+
+
+def daily_rel(name: str, source: str) -> str:
+    """M11 full refresh of ``source`` as a CTE named ``name``."""
+    w = "PARTITION BY movie_id ORDER BY day_number RANGE BETWEEN {} PRECEDING AND CURRENT ROW"
+    return f"""
+{name}_d AS (
+    SELECT movie_id, CAST(rating_timestamp AS DATE) AS rating_date,
+           COUNT(*) AS n_ratings, AVG(rating) AS avg_rating
+    FROM {source} GROUP BY movie_id, CAST(rating_timestamp AS DATE)),
+{name}_i AS (SELECT *, date_diff('day', DATE '1970-01-01', rating_date) AS day_number FROM {name}_d),
+{name} AS (
+    SELECT movie_id, rating_date, CAST(n_ratings AS BIGINT) AS n_ratings,
+           {R("avg_rating")} AS avg_rating,
+           CAST(SUM(n_ratings) OVER ({w.format(6)}) AS BIGINT) AS n_ratings_7d,
+           CAST(SUM(n_ratings) OVER ({w.format(27)}) AS BIGINT) AS n_ratings_28d,
+           {R(f"SUM(n_ratings * avg_rating) OVER ({w.format(27)}) / NULLIF(SUM(n_ratings) OVER ({w.format(27)}), 0)")}
+               AS avg_rating_28d
+    FROM {name}_i)"""
+
+
+def _daily_two_runs(mode: str) -> str:
+    head = _two_runs("rating_timestamp") + "," + daily_rel("d1", "f1") + """,
+mx AS (SELECT MAX(rating_date) AS m FROM d1)"""
+    if mode in ("default", "delete_window"):
+        base = "d1" if mode == "default" else \
+            "(SELECT * FROM d1 WHERE rating_date < CAST((SELECT m FROM mx) - INTERVAL 28 DAY AS DATE))"
+        return f"""WITH {head},
+src AS (SELECT * FROM f2
+        WHERE rating_timestamp >= CAST(CAST((SELECT m FROM mx) - INTERVAL 56 DAY AS DATE) AS TIMESTAMP)),
+{daily_rel("e0", "src")},
+e AS (SELECT * FROM e0 WHERE rating_date >= CAST((SELECT m FROM mx) - INTERVAL 28 DAY AS DATE)),
+base AS (SELECT * FROM {base} b)
+SELECT * FROM base WHERE NOT EXISTS (
+    SELECT 1 FROM e WHERE e.movie_id = base.movie_id AND e.rating_date = base.rating_date)
+UNION ALL SELECT * FROM e"""
+    # partition replace by month
+    return f"""WITH {head},
+fm AS (SELECT CAST(date_trunc('month', CAST(m - INTERVAL 28 DAY AS DATE)) AS DATE) AS first_month FROM mx),
+src AS (SELECT * FROM f2 WHERE rating_timestamp >=
+        CAST(CAST((SELECT first_month FROM fm) - INTERVAL 27 DAY AS DATE) AS TIMESTAMP)),
+{daily_rel("e0", "src")},
+e AS (SELECT * FROM e0 WHERE rating_date >= (SELECT first_month FROM fm))
+SELECT * FROM d1 WHERE date_trunc('month', rating_date) NOT IN (
+    SELECT DISTINCT date_trunc('month', rating_date) FROM e)
+UNION ALL SELECT * FROM e"""
+
+
+def _incremental_sql() -> dict[str, str]:
+    from . import incremental as INC
+    q = {}
+    q["ratings_incremental"] = f"WITH {_two_runs('rating_timestamp')} SELECT * FROM f2"
+    q["ratings_bucket_merge"] = q["ratings_incremental"]
+    q["incremental_late_rows"] = f"WITH {_two_runs('arrived_at')} SELECT * FROM f2"
+    q["incremental_late_rows_lookback"] = (
+        f"WITH {_two_runs('arrived_at', INC.LATE_LOOKBACK.days)} SELECT * FROM f2")
+    q["daily_incremental"] = _daily_two_runs("default")
+    q["daily_incremental_delete_window"] = _daily_two_runs("delete_window")
+    q["daily_partition_replace"] = _daily_two_runs("partition")
+    q["users_dim_incremental"] = (f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_USERS} "
+                                  f"SELECT * FROM dim_users")
+    q["user_month_bridge"] = (f"WITH {stg_ratings_cte()} SELECT DISTINCT user_id, "
+                              f"CAST(date_trunc('month', rating_timestamp) AS DATE) AS activity_month "
+                              f"FROM stg_ratings")
+    return q
+
+
+_base_oracle_sql2 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extends the earlier groups
+    q = _base_oracle_sql2()
+    q.update(_incremental_sql())
+    return q

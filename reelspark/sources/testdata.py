@@ -50,13 +50,14 @@ def raw_ratings(spark: SparkSession, sf_dir: str, item: str = "part") -> DataFra
     item_col = {"part": "l_partkey", "supplier": "l_suppkey"}[item]
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
             .select(F.col("o_custkey").alias("userId"),
                     F.col(item_col).alias("movieId"),
                     (F.ceil(F.col("l_quantity") / 5) / 2).alias("rating"),
                     F.col("l_shipdate").alias("timestamp"),
-                    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+                    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.col("o_orderdate").cast("timestamp").alias("arrived_at")))
 
 
 def raw_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +107,8 @@ def sql_raw_ratings(item: str = "part") -> str:
     return f"""
     SELECT o.o_custkey AS userId, l.{item_col} AS movieId,
            CEIL(l.l_quantity / 5) / 2 AS rating, l.l_shipdate AS "timestamp",
-           l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey
+           l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+           CAST(o.o_orderdate AS TIMESTAMP) AS arrived_at
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 
