@@ -43,14 +43,15 @@ class Check:
 
 def not_null(col: str) -> Check:
     """Q1."""
-    return Check("not_null", f"not_null({col})", predicate=lambda: F.col(col).isNull())
+    return Check("not_null", f"not_null({col})", predicate=lambda: F.col(col).isNull(),
+                 params={"col": col})
 
 
 def accepted_values(col: str, values: Sequence) -> Check:
     """Q5: value outside the list (NULL passes)."""
     vals = list(values)
     return Check("accepted_values", f"accepted_values({col})",
-                 predicate=lambda: ~F.col(col).isin(vals), params={"values": vals})
+                 predicate=lambda: ~F.col(col).isin(vals), params={"col": col, "values": vals})
 
 
 def between(col: str, min_value=None, max_value=None, row_condition: str | None = None) -> Check:
@@ -68,7 +69,8 @@ def between(col: str, min_value=None, max_value=None, row_condition: str | None
         bad = ~ok
         return F.expr(row_condition) & bad if row_condition else bad
     return Check("between", f"between({col},{min_value},{max_value})", predicate=pred,
-                 params={"min": min_value, "max": max_value, "row_condition": row_condition})
+                 params={"col": col, "min": min_value, "max": max_value,
+                         "row_condition": row_condition})
 
 
 def expression_is_true(col: str, expression: str) -> Check:
@@ -85,7 +87,7 @@ def unique(col: str) -> Check:
     def q(df, _):
         return (df.where(F.col(col).isNotNull()).groupBy(col)
                 .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1))
-    return Check("unique", f"unique({col})", query=q)
+    return Check("unique", f"unique({col})", query=q, params={"col": col})
 
 
 def unique_combination(cols: Sequence[str]) -> Check:
@@ -95,7 +97,8 @@ def unique_combination(cols: Sequence[str]) -> Check:
     def q(df, _):
         return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
                 .where(F.col("n_records") > 1))
-    return Check("unique_combination", f"unique_combination({','.join(cols)})", query=q)
+    return Check("unique_combination", f"unique_combination({','.join(cols)})", query=q,
+                 params={"cols": cols})
 
 
 def relationships(col: str, to: str, field_name: str) -> Check:
@@ -104,7 +107,8 @@ def relationships(col: str, to: str, field_name: str) -> Check:
         parent = tables[to].select(F.col(field_name).alias("_parent_key")).distinct()
         child = df.where(F.col(col).isNotNull()).select(col)
         return child.join(parent, child[col] == parent["_parent_key"], "left_anti")
-    return Check("relationships", f"relationships({col}->{to}.{field_name})", query=q)
+    return Check("relationships", f"relationships({col}->{to}.{field_name})", query=q,
+                 params={"col": col, "to": to, "field": field_name})
 
 
 # Failure modes of the SCD2 coherence check (Q8a-d) plus the extra mode for
@@ -150,11 +154,20 @@ def version_violations(df: DataFrame, entity_key: str, valid_from: str = "valid_
 
 def no_overlapping_versions(entity_key: str, valid_from: str = "valid_from",
                             valid_to: str = "valid_to", allow_closed_entities: bool = False,
-                            allow_gaps: bool = False, extra_mode: bool = True) -> Check:
+                            allow_gaps: bool = False, extra_mode: bool = False,
+                            extra_only: bool = False) -> Check:
+    """Q8 as declared (four modes); ``extra_only`` checks just the fifth mode."""
     def q(df, _):
-        return version_violations(df, entity_key, valid_from, valid_to,
-                                  allow_closed_entities, allow_gaps, extra_mode)
-    return Check("no_overlapping_versions", f"no_overlapping_versions({entity_key})", query=q)
+        v = version_violations(df, entity_key, valid_from, valid_to, allow_closed_entities,
+                               allow_gaps, extra_mode or extra_only)
+        if extra_only:
+            v = v.where(F.col("failure_mode") == OPEN_SUPERSEDED)
+        return v
+    name = "open_window_superseded" if extra_only else "no_overlapping_versions"
+    return Check(name, f"{name}({entity_key})", query=q,
+                 params={"entity_key": entity_key, "valid_from": valid_from, "valid_to": valid_to,
+                         "allow_closed_entities": allow_closed_entities, "allow_gaps": allow_gaps,
+                         "extra_mode": extra_mode, "extra_only": extra_only})
 
 
 # ------------------------------------------------------------------- running

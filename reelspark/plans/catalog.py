@@ -192,3 +192,67 @@ def queries() -> dict[str, Query]:  # noqa: F811 - extends the earlier groups
         "retention_approx": retention_approx,
     })
     return q
+
+
+# ------------------------------------------------------- profiling and checks
+
+from . import profile as P  # noqa: E402
+from . import quality as Q  # noqa: E402
+
+
+def profile_keys(spark, d):
+    """R1 + R4."""
+    return P.profile_keys(I.ratings(spark, d), I.movies(spark, d), I.genome_tags(spark, d))
+
+
+def profile_ranges(spark, d):
+    """R2 + R3 + R5."""
+    return P.profile_ranges(I.ratings(spark, d), I.genome_scores(spark, d))
+
+
+def profile_ties(spark, d):
+    """R7."""
+    return P.profile_ties(I.ratings(spark, d))
+
+
+def profile_vocab(spark, d):
+    """R6."""
+    return P.profile_vocab(I.movies(spark, d), I.genre_groups(spark))
+
+
+def profile_tag_only_users(spark, d):
+    """R8."""
+    return P.profile_tag_only_users(I.ratings(spark, d), I.tags(spark, d))
+
+
+def profile_years(spark, d):
+    """R9."""
+    return P.profile_years(I.dim_movies(spark, d))
+
+
+def profile_orphans(spark, d):
+    """R10."""
+    return P.profile_orphans(I.genome_scores(spark, d), I.movies(spark, d))
+
+
+def check_summary(spark, d):
+    """Q1-Q8: every declared check (106 + the extra SCD2 mode) with its count."""
+    return Q.check_summary(spark, d)
+
+
+_BASE_QUERIES3 = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extends the earlier groups
+    q = _BASE_QUERIES3()
+    q.update({
+        "profile_keys": profile_keys,
+        "profile_ranges": profile_ranges,
+        "profile_ties": profile_ties,
+        "profile_vocab": profile_vocab,
+        "profile_tag_only_users": profile_tag_only_users,
+        "profile_years": profile_years,
+        "profile_orphans": profile_orphans,
+        "check_summary": check_summary,
+    })
+    return q

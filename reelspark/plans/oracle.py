@@ -342,3 +342,156 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extends the earlier groups
     q = _base_oracle_sql2()
     q.update(_incremental_sql())
     return q
+
+
+# ------------------------------------------------------------------ profiling
+
+STG_GENOME = f"""
+raw_genome_tags AS ({SQL_RAW_GENOME_TAGS}),
+stg_genome_tags AS (SELECT tagId AS tag_id, tag FROM raw_genome_tags),
+raw_genome_scores AS ({SQL_RAW_GENOME_SCORES}),
+stg_genome_scores AS (SELECT movieId AS movie_id, tagId AS tag_id, CAST(relevance AS DOUBLE) AS relevance
+                      FROM raw_genome_scores)"""
+
+
+def _profile_sql() -> dict[str, str]:
+    base = f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_MOVIES}, {STG_GENOME}"
+
+    def dup(metric, rel, keys):
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        return (f"SELECT '{metric}' AS metric, CAST(COUNT_IF(n > 1) AS DOUBLE) AS value FROM "
+                f"(SELECT COUNT(*) AS n FROM {rel} WHERE {nn} GROUP BY {', '.join(keys)})")
+    q = {}
+    q["profile_keys"] = base + " " + " UNION ALL ".join([
+        dup("dup_rating_pairs", "stg_ratings", ["user_id", "movie_id"]),
+        dup("dup_movie_ids", "stg_movies", ["movie_id"]),
+        dup("dup_tag_ids", "stg_genome_tags", ["tag_id"]),
+        dup("dup_tag_texts", "stg_genome_tags", ["tag"])])
+    q["profile_ranges"] = base + """
+SELECT 'null_ratings' AS metric, CAST(COUNT_IF(rating IS NULL) AS DOUBLE) AS value FROM stg_ratings
+UNION ALL SELECT 'min_rating', CAST(MIN(rating) AS DOUBLE) FROM stg_ratings
+UNION ALL SELECT 'max_rating', CAST(MAX(rating) AS DOUBLE) FROM stg_ratings
+UNION ALL SELECT 'n_ratings', CAST(COUNT(*) AS DOUBLE) FROM stg_ratings
+UNION ALL SELECT 'nonpositive_relevance', CAST(COUNT_IF(relevance <= 0) AS DOUBLE) FROM stg_genome_scores
+UNION ALL SELECT 'min_relevance', CAST(MIN(relevance) AS DOUBLE) FROM stg_genome_scores
+UNION ALL SELECT 'n_scores', CAST(COUNT(*) AS DOUBLE) FROM stg_genome_scores"""
+    q["profile_ties"] = base + f""",
+per_ts AS (SELECT rating_timestamp, COUNT(*) AS n FROM stg_ratings GROUP BY rating_timestamp),
+agg AS (SELECT CAST(SUM(n) AS BIGINT) AS n_rows,
+               CAST(SUM(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS tied_rows,
+               CAST(COUNT(*) AS BIGINT) AS n_timestamps,
+               CAST(COUNT_IF(n > 1) AS BIGINT) AS tied_timestamps FROM per_ts)
+SELECT n_rows, tied_rows, n_timestamps, tied_timestamps,
+       {R("tied_rows / NULLIF(n_rows, 0)")} AS tied_row_share,
+       {R("tied_timestamps / NULLIF(n_timestamps, 0)")} AS tied_timestamp_share
+FROM agg"""
+    q["profile_vocab"] = base + f""",
+seed AS (SELECT genre FROM {seeds.seed_values_sql(seeds.GENRE_GROUPS_TESTDATA)}),
+listed AS (SELECT g.genre, COUNT(DISTINCT m.movie_id) AS n_films
+           FROM stg_movies m, unnest(string_split(m.genres, '|')) AS g(genre) GROUP BY g.genre)
+SELECT genre, 'missing_from_seed' AS side, CAST(n_films AS BIGINT) AS n_films FROM listed
+WHERE genre NOT IN (SELECT genre FROM seed)
+UNION ALL
+SELECT genre, 'unused_by_films', CAST(0 AS BIGINT) FROM seed
+WHERE genre NOT IN (SELECT genre FROM listed)"""
+    q["profile_tag_only_users"] = base + """
+SELECT DISTINCT user_id FROM stg_tags t
+WHERE NOT EXISTS (SELECT 1 FROM stg_ratings r WHERE r.user_id = t.user_id)"""
+    q["profile_years"] = base + """
+SELECT movie_id, source_title,
+       CASE WHEN regexp_matches(source_title, '\\(\\d{4}') THEN 'malformed' ELSE 'absent' END AS reason
+FROM dim_movies WHERE release_year IS NULL"""
+    q["profile_orphans"] = base + """
+SELECT g.movie_id, CAST(COUNT(*) AS BIGINT) AS orphan_rows FROM stg_genome_scores g
+WHERE NOT EXISTS (SELECT 1 FROM stg_movies m WHERE m.movie_id = g.movie_id)
+GROUP BY g.movie_id"""
+    return q
+
+
+# ------------------------------------------------------------- check summary
+
+def _sql_value(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def check_sql(rel: str, c) -> str:
+    """Render one declared check as a SQL count of its violations."""
+    p = c.params
+    head = f"SELECT '{rel}' AS relation, {_sql_value(c.name)} AS \"check\", '{c.kind}' AS kind, "
+    if c.kind == "not_null":
+        pred = f"{p['col']} IS NULL"
+    elif c.kind == "accepted_values":
+        pred = f"{p['col']} NOT IN ({', '.join(_sql_value(v) for v in p['values'])})"
+    elif c.kind == "between":
+        conds = []
+        if p["min"] is not None:
+            conds.append(f"{p['col']} >= {p['min']}")
+        if p["max"] is not None:
+            conds.append(f"{p['col']} <= {p['max']}")
+        pred = f"NOT ({' AND '.join(conds)})"
+        if p["row_condition"]:
+            pred = f"({p['row_condition']}) AND {pred}"
+    elif c.kind == "expression_is_true":
+        pred = f"NOT ({p['expression']})"
+    else:
+        pred = None
+    if pred is not None:
+        return head + f"CAST(COUNT_IF({pred}) AS BIGINT) AS n_violations FROM {rel}"
+    if c.kind == "unique":
+        sub = (f"SELECT {p['col']} FROM {rel} WHERE {p['col']} IS NOT NULL "
+               f"GROUP BY {p['col']} HAVING COUNT(*) > 1")
+    elif c.kind == "unique_combination":
+        cols = ", ".join(p["cols"])
+        sub = f"SELECT {cols} FROM {rel} GROUP BY {cols} HAVING COUNT(*) > 1"
+    elif c.kind == "relationships":
+        sub = (f"SELECT ch.{p['col']} FROM {rel} ch WHERE ch.{p['col']} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM {p['to']} pa WHERE pa.{p['field']} = ch.{p['col']})")
+    elif c.kind in ("no_overlapping_versions", "open_window_superseded"):
+        from . import history as H
+        extra = p["extra_mode"] or p["extra_only"]
+        v = H.sql_violations(rel, p["allow_closed_entities"], p["allow_gaps"], extra)
+        sub = f"WITH {v} SELECT * FROM violations"
+        if p["extra_only"]:
+            sub += " WHERE failure_mode = 'open_window_superseded'"
+    else:
+        raise ValueError(c.kind)
+    return head + f"CAST(COUNT(*) AS BIGINT) AS n_violations FROM ({sub}) v"
+
+
+def _check_summary_sql() -> str:
+    from ..sources.testdata import SQL_RAW_MOVIES as _M  # noqa: F401
+    from . import history as H
+    from . import quality as Q
+    ctes = ",".join([
+        stg_ratings_cte(), STG_TAGS, genre_affinity_cte(), DIM_USERS,
+        """
+stg_genome_tags AS (SELECT tagId AS tag_id, tag FROM raw_genome_tags),
+stg_genome_scores AS (SELECT movieId AS movie_id, tagId AS tag_id, CAST(relevance AS DOUBLE) AS relevance
+                      FROM raw_genome_scores),
+fct_ratings AS (SELECT user_id, movie_id, rating, rating_timestamp FROM stg_ratings),
+seed_genre_groups AS (SELECT * FROM genre_groups)""",
+        daily_rel("fct_movie_rating_daily", "fct_ratings"),
+        retention_cte("fct_ratings"),
+        H.sql_history_cte(SQL_RAW_MOVIES),
+    ])
+    checks = Q.declared_checks(Q.TESTDATA_GENRE_GROUPS)
+    body = "\nUNION ALL\n".join(check_sql(rel, c) for rel, cs in checks.items() for c in cs)
+    return f"WITH {ctes}\n{body}"
+
+
+def retention_cte(ratings_rel: str) -> str:
+    """M14 as a CTE named mart_user_cohort_retention."""
+    return retention_sql(ratings_rel).replace(
+        "\nSELECT a.cohort_month,", "\n, mart_user_cohort_retention AS (SELECT a.cohort_month,", 1) + ")"
+
+
+_base_oracle_sql3 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extends the earlier groups
+    q = _base_oracle_sql3()
+    q.update(_profile_sql())
+    q["check_summary"] = _check_summary_sql()
+    return q
