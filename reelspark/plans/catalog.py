@@ -256,3 +256,33 @@ def queries() -> dict[str, Query]:  # noqa: F811 - extends the earlier groups
         "check_summary": check_summary,
     })
     return q
+
+
+# ----------------------------------------------------------------- freshness
+
+def freshness(spark, d):
+    """S16 / Q10 over the files behind each derived source (rows-only: the
+    status depends on the wall clock). The genome sources are disabled, as in
+    the reference."""
+    import datetime as _dt
+
+    from ..sources.freshness import Freshness, source_freshness
+    d = d.rstrip("/")
+    sources = {
+        "raw_movies": Freshness(f"{d}/part.parquet"),
+        "raw_ratings": Freshness(f"{d}/lineitem.parquet"),
+        "raw_tags": Freshness(f"{d}/events.parquet"),
+        "raw_genome_scores": Freshness(f"{d}/lineitem.parquet", None, None),
+        "raw_genome_tags": Freshness(f"{d}/supplier.parquet", None, None),
+    }
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return source_freshness(spark, sources, now)
+
+
+_BASE_QUERIES4 = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811 - extends the earlier groups
+    q = _BASE_QUERIES4()
+    q["freshness"] = freshness
+    return q

@@ -97,17 +97,31 @@ class Table:
         (self.spark.createDataFrame(rec, COMMIT_SCHEMA).coalesce(1)
          .write.mode("errorifexists").json(f"{self.root}/commits/{seq:08d}"))
 
-    def publish(self, df: DataFrame, partition_by: list[str] | None = None,
-                props: dict | None = None) -> str:
-        """Write a full new version, then make it current."""
+    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write a complete new version without making it current (the
+        'write' of write-audit-publish). Returns the version name."""
         log = self.commits()
         seq = (log[-1]["seq"] + 1) if log else 1
         version = f"v{seq:08d}"
-        w = df.write.mode("errorifexists")
+        w = df.write.mode("overwrite")   # a version dir is only ever written by its stage
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(version))
-        self._commit(seq, version, "publish", props)
+        return version
+
+    def commit(self, version: str, props: dict | None = None, op: str = "publish") -> None:
+        """Make a staged version current (the 'publish')."""
+        log = self.commits()
+        seq = (log[-1]["seq"] + 1) if log else 1
+        if version != f"v{seq:08d}":
+            raise RuntimeError(f"{self.root}: {version} was staged against an older log (next is {seq})")
+        self._commit(seq, version, op, props)
+
+    def publish(self, df: DataFrame, partition_by: list[str] | None = None,
+                props: dict | None = None) -> str:
+        """Write a full new version, then make it current."""
+        version = self.stage(df, partition_by)
+        self.commit(version, props)
         return version
 
     def restore(self, version: str) -> None:
