@@ -26,8 +26,9 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def median_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
-                       out: str = "median") -> DataFrame:
-    """Median per group from (keys, value, _cnt)."""
+                       out: str = "median", mean: str | None = None) -> DataFrame:
+    """Median per group from (keys, value, _cnt); with ``mean`` also the
+    count-weighted mean, computed in the same final aggregate."""
     keys = list(keys)
     w_run = (Window.partitionBy(*keys).orderBy(value)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -39,10 +40,13 @@ def median_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
     lo_pos = F.floor((F.col("_n") - 1) / 2)
     hi_pos = F.ceil((F.col("_n") - 1) / 2)
     covers = lambda pos: (F.col("_lo") <= pos) & (pos < F.col("_hi"))
-    return (c.groupBy(*keys).agg(
-        F.max(F.when(covers(lo_pos), F.col(value))).alias("_vlo"),
-        F.max(F.when(covers(hi_pos), F.col(value))).alias("_vhi"))
-        .select(*keys, ((F.col("_vlo") + F.col("_vhi")) / 2).alias(out)))
+    aggs = [F.max(F.when(covers(lo_pos), F.col(value))).alias("_vlo"),
+            F.max(F.when(covers(hi_pos), F.col(value))).alias("_vhi")]
+    if mean:
+        aggs.append((F.sum(F.col(value) * F.col("_cnt")) / F.sum("_cnt")).alias(mean))
+    return (c.groupBy(*keys).agg(*aggs)
+            .select(*keys, ((F.col("_vlo") + F.col("_vhi")) / 2).alias(out),
+                    *([mean] if mean else [])))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str,

@@ -65,8 +65,11 @@ def extracts(spark: SparkSession, d: str) -> list[DataFrame]:
 
 def snap_movies(spark: SparkSession, d: str, n_runs: int = len(RUNS)) -> DataFrame:
     """M15 after the first ``n_runs`` runs (all four by default)."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
     pairs = list(zip(RUNS, extracts(spark, d)))[:n_runs]
-    return scd2.run_sequence(pairs, KEY, CHECK_COLS)
+    # each run's history is stored before the next run reads it
+    return scd2.run_sequence(pairs, KEY, CHECK_COLS, checkpoint_every=1)
 
 
 def snapshot_state(history: DataFrame) -> DataFrame:

@@ -34,6 +34,14 @@ TAG_CUTOFF = dt.datetime(2024, 1, 15)
 T = I.TIEBREAK
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Run 1's output as the next run finds it: materialised in the shared
+    checkpoint folder (``spark.checkpoint.dir``), lineage cut."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _split(df: DataFrame, col: str, cutoff) -> DataFrame:
     return df.where(F.col(col) < lit_of(cutoff))
 
@@ -42,7 +50,8 @@ def ratings_two_runs(spark: SparkSession, d: str, split_col: str = "rating_times
                      lookback: dt.timedelta | None = None) -> tuple[DataFrame, DataFrame]:
     """(fct_ratings after run 1, after run 2), de-duplicated, merged on (user, film)."""
     r = I.ratings(spark, d)
-    run1 = facts.fct_ratings_incremental(None, _split(r, split_col, CUTOFF), dedupe=True, tiebreak=T)
+    run1 = stored(facts.fct_ratings_incremental(None, _split(r, split_col, CUTOFF), dedupe=True,
+                                                tiebreak=T))
     run2 = facts.fct_ratings_incremental(run1, r, lookback=lookback, dedupe=True, tiebreak=T)
     return run1, run2
 
@@ -63,8 +72,8 @@ def daily_two_runs(spark, d, delete_window: bool = False) -> DataFrame:
     """fct_movie_rating_daily after two runs; re-ratings across the cut-off
     move a (user, film) row to a later day (I3)."""
     f1, f2 = ratings_two_runs(spark, d)
-    d1 = facts.movie_rating_daily(f1)
-    return facts.movie_rating_daily_incremental(d1, f2, delete_window=delete_window)
+    d1 = stored(facts.movie_rating_daily(f1))
+    return facts.movie_rating_daily_incremental(d1, stored(f2), delete_window=delete_window)
 
 
 def daily_incremental(spark, d):
@@ -83,6 +92,7 @@ def daily_partition_replace(spark, d, path: str | None = None) -> DataFrame:
     """
     import uuid
     f1, f2 = ratings_two_runs(spark, d)
+    f2 = stored(f2)
     path = path or scratch_path(spark, f"daily_partition_replace/{uuid.uuid4().hex}")
     d1 = facts.movie_rating_daily(f1).withColumn("rating_month", month_start("rating_date"))
     d1.write.mode("errorifexists").partitionBy("rating_month").parquet(path)

@@ -41,22 +41,28 @@ def int_movie_tag_relevance(dim_movies: DataFrame, fct_genome_scores: DataFrame,
 def genre_tag_stats(relevance: DataFrame) -> DataFrame:
     """Per (genre, tag): distinct films, mean and exact median relevance.
 
-    The rows are first counted per (genre, tag, score) - combinable, so a hot
-    (genre, tag) collapses map-side - and mean and median are derived from the
-    counts; a group costs one row per distinct rounded score. Distinct films
-    are counted on the (genre, tag, film) projection.
+    One combinable aggregate at (genre, tag, film, score) feeds both results,
+    so the relevance join runs once (the two consumers share the subtree and
+    Spark reuses its exchange):
+
+    * distinct films: count of films in that aggregate (NULL scores included,
+      as ``COUNT(DISTINCT movie_id)``);
+    * histogram (genre, tag, score) -> count, from which one window pass and
+      one aggregate give the median and the mean (``operators.median``).
+
+    Every step pre-aggregates map-side: a (genre, tag) holding a third of the
+    rows costs one row per distinct rounded score in the window, not one per
+    film.
     """
     keys = ["genre", "tag_id", "tag_name"]
-    counts = (relevance.where(F.col("relevance_score").isNotNull())
-              .groupBy(*keys, "relevance_score")
-              .agg(F.count(F.lit(1)).alias("_cnt")))
-    mean = counts.groupBy(*keys).agg(
-        safe_ratio(F.sum(F.col("relevance_score") * F.col("_cnt")), F.sum("_cnt"))
-        .alias("avg_relevance"))
-    med = median_from_counts(counts, keys, "relevance_score", "median_relevance")
-    films = (relevance.groupBy(*keys)
-             .agg(F.count_distinct("movie_id").alias("n_movies")))
-    return films.join(mean, keys, "left").join(med, keys, "left")
+    per_film = (relevance.groupBy(*keys, "movie_id", "relevance_score")
+                .agg(F.count(F.lit(1)).alias("_c")))
+    films = per_film.groupBy(*keys).agg(F.count_distinct("movie_id").alias("n_movies"))
+    counts = (per_film.where(F.col("relevance_score").isNotNull())
+              .groupBy(*keys, "relevance_score").agg(F.sum("_c").alias("_cnt")))
+    stats = median_from_counts(counts, keys, "relevance_score", "median_relevance",
+                               mean="avg_relevance")
+    return films.join(stats, keys, "left")
 
 
 def mart_tag_genre_affinity(relevance: DataFrame, genre_groups: DataFrame) -> DataFrame:
