@@ -23,7 +23,7 @@ GENRE_GROUPS_SCHEMA = T.StructType([
     T.StructField("is_format_not_genre", T.BooleanType(), True),
 ])
 
-# The reference taxonomy (MovieLens genres) and the one for the driver's test
+# The reference taxonomy (film genres) and the one for the driver's test
 # tables, whose "genres" are part types and part-name words.
 GENRE_GROUPS = "genre_groups.csv"
 GENRE_GROUPS_TESTDATA = "genre_groups_testdata.csv"
