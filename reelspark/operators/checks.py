@@ -33,6 +33,9 @@ class Check:
     query: Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame] | None = None
     severity: str = "error"
     params: dict = field(default_factory=dict, hash=False, compare=False)
+    # Set checks whose violation rows are pre-aggregated: the column holding
+    # how many underlying rows each violation row stands for.
+    weight: str | None = None
 
     @property
     def is_row_check(self) -> bool:
@@ -102,13 +105,21 @@ def unique_combination(cols: Sequence[str]) -> Check:
 
 
 def relationships(col: str, to: str, field_name: str) -> Check:
-    """Q4: non-NULL child keys missing from the parent relation ``to``."""
+    """Q4: non-NULL child keys missing from the parent relation ``to``.
+
+    Returns one row per missing key with its number of child rows
+    (``n_records``); the violation count is the number of child rows. Both
+    sides are reduced to distinct keys before the anti-join (combinable
+    aggregates), so a key holding a third of the child rows is one row in
+    the join, not a skewed partition.
+    """
     def q(df, tables):
         parent = tables[to].select(F.col(field_name).alias("_parent_key")).distinct()
-        child = df.where(F.col(col).isNotNull()).select(col)
+        child = (df.where(F.col(col).isNotNull()).groupBy(col)
+                 .agg(F.count(F.lit(1)).alias("n_records")))
         return child.join(parent, child[col] == parent["_parent_key"], "left_anti")
     return Check("relationships", f"relationships({col}->{to}.{field_name})", query=q,
-                 params={"col": col, "to": to, "field": field_name})
+                 params={"col": col, "to": to, "field": field_name}, weight="n_records")
 
 
 # Failure modes of the SCD2 coherence check (Q8a-d) plus the extra mode for
@@ -199,7 +210,9 @@ def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
         parts.append(counts.select(stack).select("s.*"))
     for c in checks:
         if not c.is_row_check:
-            parts.append(c.query(df, tables or {}).agg(F.count(F.lit(1)).cast("long").alias("n_violations"))
+            n = F.sum(c.weight) if c.weight else F.count(F.lit(1))
+            parts.append(c.query(df, tables or {})
+                         .agg(F.coalesce(n, F.lit(0)).cast("long").alias("n_violations"))
                          .select(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
                                  "n_violations"))
     if not parts:

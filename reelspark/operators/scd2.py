@@ -50,11 +50,13 @@ def _open_version(src: DataFrame, key: str, cols: Sequence[str], run_ts) -> Data
 
 def snapshot(history: DataFrame | None, source: DataFrame, key: str,
              check_cols: Sequence[str], run_ts: dt.datetime,
-             invalidate_hard_deletes: bool = True, validate: bool = True) -> DataFrame:
+             invalidate_hard_deletes: bool = True, validate: bool = True,
+             last_valid_from: dt.datetime | None = None) -> DataFrame:
     """One snapshot run; returns the whole new history.
 
     ``validate`` raises on duplicate source keys and on a ``run_ts`` that is
-    not after every existing ``valid_from`` (two tiny aggregate jobs).
+    not after every existing ``valid_from`` (two small aggregate jobs; the
+    second is skipped when the caller passes the known ``last_valid_from``).
     """
     cols = list(check_cols)
     src = source.select(key, *cols)
@@ -63,7 +65,7 @@ def snapshot(history: DataFrame | None, source: DataFrame, key: str,
     if history is None:
         return _open_version(src, key, cols, run_ts)
     if validate:
-        last = max_value(history, VALID_FROM)
+        last = last_valid_from if last_valid_from is not None else max_value(history, VALID_FROM)
         if last is not None and not run_ts > last:
             raise SnapshotOrderError(f"run_ts {run_ts} is not after last valid_from {last}")
 
@@ -100,16 +102,19 @@ def snapshot(history: DataFrame | None, source: DataFrame, key: str,
 
 
 def run_sequence(extracts: Sequence[tuple[dt.datetime, DataFrame]], key: str,
-                 check_cols: Sequence[str], checkpoint_every: int = 0) -> DataFrame:
+                 check_cols: Sequence[str], store_every: int = 0) -> DataFrame:
     """Apply ``snapshot`` over ordered (run_ts, extract) pairs.
 
-    With ``checkpoint_every`` > 0 the lineage is cut every that many runs
-    (reliable checkpoint in the shared ``spark.checkpoint.dir``), so a long
-    sequence neither re-plans nor recomputes from the first extract.
+    With ``store_every`` > 0 the history is written as a table in the shared
+    checkpoint folder every that many runs (as a scheduled snapshot stores
+    it), so a long sequence neither re-plans nor recomputes from the first
+    extract.
     """
-    history = None
+    from ..session import materialize
+    history, last = None, None
     for i, (ts, ext) in enumerate(extracts, 1):
-        history = snapshot(history, ext, key, check_cols, ts)
-        if checkpoint_every and i % checkpoint_every == 0:
-            history = history.checkpoint(eager=True)
+        history = snapshot(history, ext, key, check_cols, ts, last_valid_from=last)
+        last = ts
+        if store_every and i % store_every == 0:
+            history = materialize(history)
     return history

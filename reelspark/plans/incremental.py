@@ -35,11 +35,10 @@ T = I.TIEBREAK
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Run 1's output as the next run finds it: materialised in the shared
-    checkpoint folder (``spark.checkpoint.dir``), lineage cut."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Run 1's output as the next run finds it: written as a table in the
+    shared checkpoint folder (``spark.checkpoint.dir``), lineage cut."""
+    from ..session import materialize
+    return materialize(df)
 
 
 def _split(df: DataFrame, col: str, cutoff) -> DataFrame:

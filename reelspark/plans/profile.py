@@ -101,8 +101,8 @@ def profile_years(dim_movies: DataFrame) -> DataFrame:
 def profile_orphans(genome_scores: DataFrame, movies: DataFrame) -> DataFrame:
     """Films referenced by the score matrix but missing from the films,
     with the number of orphaned score rows each."""
-    return (genome_scores.join(movies.select("movie_id"), "movie_id", "left_anti")
-            .groupBy("movie_id").agg(F.count(F.lit(1)).alias("orphan_rows")))
+    per_film = genome_scores.groupBy("movie_id").agg(F.count(F.lit(1)).alias("orphan_rows"))
+    return per_film.join(movies.select("movie_id").distinct(), "movie_id", "left_anti")
 
 
 __all__ = ["profile_keys", "profile_ranges", "profile_ties", "profile_vocab",

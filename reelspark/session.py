@@ -85,3 +85,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    This cuts lineage like ``checkpoint()`` but costs one job instead of two
+    (an eager reliable checkpoint of an unpersisted plan computes it twice),
+    and the re-read carries file-size statistics for Catalyst's join choice.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stored/{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -32,7 +32,11 @@ def test_set_checks(spark):
     assert count(C.unique_combination(["a", "b"]), df) == 1
     parent = spark.createDataFrame([(1,)], "a long")
     rel = C.relationships("a", "parent", "a")
-    assert count(rel, df, {"parent": parent}) == 1                   # only a=2; NULL child passes
+    v = C.violations(rel, df, {"parent": parent}).collect()
+    assert [(r.a, r.n_records) for r in v] == [(2, 1)]               # only a=2; NULL child passes
+    big = spark.createDataFrame([(7,)] * 5 + [(1,)], "a long")
+    s = C.summarize("t", big, [rel], {"parent": parent}).collect()[0]
+    assert s.n_violations == 5                                       # child rows, not keys
 
 
 def V(day):
