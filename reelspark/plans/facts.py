@@ -58,7 +58,9 @@ def fct_ratings_incremental(target: DataFrame | None, stg_ratings: DataFrame,
         return fct_ratings_full(stg_ratings, dedupe, tiebreak)
     batch = high_water_mark_filter(stg_ratings, "rating_timestamp", mark, lookback)
     batch = latest_ratings(batch, tiebreak) if dedupe else batch.select(*RATING_COLS)
-    return merge_upsert(target.select(*RATING_COLS), batch, RATING_KEYS)
+    # a de-duplicated batch is grouped by the merge keys: unique by construction
+    return merge_upsert(target.select(*RATING_COLS), batch, RATING_KEYS,
+                        check_duplicates=not dedupe)
 
 
 # ---------------------------------------------------------- fct_genome_scores
@@ -133,4 +135,5 @@ def movie_rating_daily_incremental(
     emitted = (movie_rating_daily(src, short_days, long_days)
                .where(F.col("rating_date") >= lit_of(emit_from)))
     base = target.where(F.col("rating_date") < lit_of(emit_from)) if delete_window else target
-    return merge_upsert(base.select(*emitted.columns), emitted, DAILY_KEYS)
+    # emitted rows come from a group-by on (film, day): unique by construction
+    return merge_upsert(base.select(*emitted.columns), emitted, DAILY_KEYS, check_duplicates=False)

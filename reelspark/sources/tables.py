@@ -2,7 +2,7 @@
 
 A table is a directory::
 
-    {base}/{namespace}/{name}/versions/v00000001/   Parquet, one dir per publish
+    {base}/{namespace}/{name}/versions/v00000001-<id>/  Parquet, one dir per staged write
     {base}/{namespace}/{name}/commits/00000001/      one-row JSON commit record
 
 Publishing writes a complete new version and only then appends a commit
@@ -100,10 +100,13 @@ class Table:
     def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write a complete new version without making it current (the
         'write' of write-audit-publish). Returns the version name."""
+        import uuid
         log = self.commits()
         seq = (log[-1]["seq"] + 1) if log else 1
-        version = f"v{seq:08d}"
-        w = df.write.mode("overwrite")   # a version dir is only ever written by its stage
+        # unique per attempt: two writers staging at once never share files;
+        # only one of them can then write the commit record for ``seq``
+        version = f"v{seq:08d}-{uuid.uuid4().hex[:12]}"
+        w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(version))
@@ -113,7 +116,7 @@ class Table:
         """Make a staged version current (the 'publish')."""
         log = self.commits()
         seq = (log[-1]["seq"] + 1) if log else 1
-        if version != f"v{seq:08d}":
+        if not version.startswith(f"v{seq:08d}-"):
             raise RuntimeError(f"{self.root}: {version} was staged against an older log (next is {seq})")
         self._commit(seq, version, op, props)
 

@@ -154,3 +154,14 @@ def test_streaming_upsert_matches_batch(spark, tmp_base):
     qa.awaitTermination(300)
     ua = spark.read.parquet(os.path.join(tmp_base, "ua"))
     assert ua.agg(F.sum("n_ratings")).first()[0] == r.count()
+
+
+def test_concurrent_stage_only_one_commit_wins(spark, tmp_base):
+    t = Table(spark, tmp_base, "race")
+    a = t.stage(spark.createDataFrame([(1,)], "a long"))
+    b = t.stage(spark.createDataFrame([(2,)], "a long"))
+    assert a != b
+    t.commit(b)
+    with pytest.raises(Exception):
+        t.commit(a)                                   # staged against an older log
+    assert [r.a for r in t.read().collect()] == [2]
