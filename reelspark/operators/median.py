@@ -28,7 +28,9 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str,
 def median_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
                        out: str = "median", mean: str | None = None) -> DataFrame:
     """Median per group from (keys, value, _cnt); with ``mean`` also the
-    count-weighted mean, computed in the same final aggregate."""
+    count-weighted mean, computed in the same final aggregate. Rows with
+    ``_cnt = 0`` (e.g. NULL values given weight 0) never hold a position; a
+    group with no weight gets a NULL median."""
     keys = list(keys)
     w_run = (Window.partitionBy(*keys).orderBy(value)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -41,28 +41,34 @@ def int_movie_tag_relevance(dim_movies: DataFrame, fct_genome_scores: DataFrame,
 def genre_tag_stats(relevance: DataFrame) -> DataFrame:
     """Per (genre, tag): distinct films, mean and exact median relevance.
 
-    One combinable aggregate at (genre, tag, film, score) feeds both results,
-    so the relevance join runs once (the two consumers share the subtree and
-    Spark reuses its exchange):
-
-    * distinct films: count of films in that aggregate (NULL scores included,
-      as ``COUNT(DISTINCT movie_id)``);
-    * histogram (genre, tag, score) -> count, from which one window pass and
-      one aggregate give the median and the mean (``operators.median``).
-
-    Every step pre-aggregates map-side: a (genre, tag) holding a third of the
-    rows costs one row per distinct rounded score in the window, not one per
-    film.
+    A combinable aggregate at (genre, tag, film, score) feeds two branches:
+
+    * film count and mean in one aggregate: ``COUNT(DISTINCT movie_id)``
+      (NULL scores included) and sum(score * n) / sum(n) over non-NULL scores;
+    * histogram (genre, tag, score) -> n, then one window pass and one
+      aggregate give the exact median (``operators.median``).
+
+    Each branch pre-aggregates map-side, so a (genre, tag) holding a third of
+    the rows costs one row per distinct rounded score in the median window,
+    not one per film. Spark plans the exchange of each branch for its own
+    parent, so the relevance join is evaluated once per branch; it reads the
+    genome matrix, which does not grow with the ratings.
     """
     keys = ["genre", "tag_id", "tag_name"]
+    score = F.col("relevance_score")
     per_film = (relevance.groupBy(*keys, "movie_id", "relevance_score")
                 .agg(F.count(F.lit(1)).alias("_c")))
-    films = per_film.groupBy(*keys).agg(F.count_distinct("movie_id").alias("n_movies"))
-    counts = (per_film.where(F.col("relevance_score").isNotNull())
-              .groupBy(*keys, "relevance_score").agg(F.sum("_c").alias("_cnt")))
-    stats = median_from_counts(counts, keys, "relevance_score", "median_relevance",
-                               mean="avg_relevance")
-    return films.join(stats, keys, "left")
+    films_mean = per_film.groupBy(*keys).agg(
+        F.count_distinct("movie_id").alias("n_movies"),
+        (F.sum(score * F.col("_c")) / F.sum(F.when(score.isNotNull(), F.col("_c"))))
+        .alias("avg_relevance"))
+    # NULL scores weigh 0 (no filter: a filter on a grouping column would be
+    # pushed below the shared aggregate and break the reuse)
+    counts = (per_film.groupBy(*keys, "relevance_score")
+              .agg(F.sum(F.when(score.isNotNull(), F.col("_c")).otherwise(F.lit(0)))
+                   .alias("_cnt")))
+    med = median_from_counts(counts, keys, "relevance_score", "median_relevance")
+    return films_mean.join(med, keys, "left")
 
 
 def mart_tag_genre_affinity(relevance: DataFrame, genre_groups: DataFrame) -> DataFrame:
