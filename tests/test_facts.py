@@ -121,3 +121,30 @@ def test_daily_incremental_equals_full_refresh_on_time_ordered_batches(spark):
     inc = facts.movie_rating_daily_incremental(t1, allr)
     full = facts.movie_rating_daily(allr)
     assert sorted(tuple(r) for r in inc.collect()) == sorted(tuple(r) for r in full.collect())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3), st.integers(0, 120),
+                          st.sampled_from([0.5, 1.0, 3.5, 5.0])), min_size=1, max_size=40,
+                unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 119))
+def test_property_incremental_equals_full_refresh(spark, events, cut_day):
+    """Unique (user, film) keys, any time-ordered split into two runs: both
+    incremental facts equal their full refresh, and n_28d >= n_7d >= n."""
+    base = dt.datetime(2020, 1, 1)
+    rows = [(u, f, r, base + dt.timedelta(days=d, hours=u)) for u, f, d, r in events]
+    allr = ratings(spark, rows)
+    cut = base + dt.timedelta(days=cut_day)
+    first = allr.where(allr.rating_timestamp < cut)
+    t1 = facts.fct_ratings_incremental(None, first)
+    inc = facts.fct_ratings_incremental(t1, allr)
+    assert sorted(tuple(r) for r in inc.collect()) == sorted(tuple(r) for r in allr.collect())
+    d1 = facts.movie_rating_daily(t1)
+    d2 = facts.movie_rating_daily_incremental(d1, inc)
+    full = facts.movie_rating_daily(allr).collect()
+    assert sorted(tuple(r) for r in d2.collect()) == sorted(tuple(r) for r in full)
+    assert all(r.n_ratings_28d >= r.n_ratings_7d >= r.n_ratings for r in full)
