@@ -63,6 +63,9 @@ def build_session(master: str | None = None, app: str = "reelspark",
     return configure(spark)
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -71,10 +74,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     tests) a fallback is set, so lineage can still be cut with
     ``DataFrame.checkpoint()``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(id(spark))
     if not d:
         d = fallback or tempfile.mkdtemp(prefix="reelspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        _FALLBACK[id(spark)] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a session may refuse runtime core confs
+            pass
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
