@@ -92,6 +92,26 @@ class Pipeline:
     def fact_path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{self.namespace}/{name}/data"
 
+    def _mark_path(self, name: str) -> str:
+        return f"{self.base.rstrip('/')}/{self.namespace}/{name}/high_water_mark"
+
+    def _read_mark(self, name: str):
+        """The stored high-water mark (one row), or None."""
+        try:
+            row = self.spark.read.schema("mark string").json(self._mark_path(name)).first()
+        except Exception:  # noqa: BLE001 - no mark stored yet
+            return None
+        if row is None or row["mark"] is None:
+            return None
+        v = dt.datetime.fromisoformat(row["mark"])
+        return v.date() if len(row["mark"]) == 10 else v
+
+    def _write_mark(self, name: str, mark) -> None:
+        """Written after the data: a lagging mark only re-reads rows (the merge
+        is idempotent); a mark ahead of the data would skip rows."""
+        (self.spark.createDataFrame([(mark.isoformat(),)], "mark string").coalesce(1)
+         .write.mode("overwrite").json(self._mark_path(name)))
+
     def _read_fact(self, name: str) -> DataFrame | None:
         try:
             df = self.spark.read.parquet(self.fact_path(name))
@@ -142,16 +162,25 @@ class Pipeline:
         def bucketed(df):
             return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(RATING_BUCKETS)))
 
-        mark = max_value(target, "rating_timestamp") if target is not None else None
+        mark = None
+        if target is not None:
+            # the stored mark avoids a full scan of the target; scan if absent
+            mark = self._read_mark("fct_ratings") or max_value(target, "rating_timestamp")
         if mark is None:                                        # first run / empty (I4)
             bucketed(stg).write.mode("overwrite").partitionBy("user_bucket").parquet(path)
+            new_mark = max_value(self.spark.read.parquet(path), "rating_timestamp")
         else:
             batch = bucketed(stg.where(F.col("rating_timestamp") >= lit_of(mark)))
             assert_unique_keys(batch, facts.RATING_KEYS)
-            touched = touched_values(batch, "user_bucket")
-            old = prune_to(target, "user_bucket", touched)
+            # one small job: buckets to rewrite and the batch's newest instant
+            info = batch.agg(F.collect_set("user_bucket").alias("b"),
+                             F.max("rating_timestamp").alias("m")).first()
+            old = prune_to(target, "user_bucket", list(info["b"]))
             kept = old.join(batch.select(*facts.RATING_KEYS), list(facts.RATING_KEYS), "left_anti")
             replace_partitions(kept.unionByName(batch.select(*kept.columns)), path, "user_bucket")
+            new_mark = max(mark, info["m"]) if info["m"] is not None else mark
+        if new_mark is not None:
+            self._write_mark("fct_ratings", new_mark)
         return self.spark.read.parquet(path).drop("user_bucket")
 
     def _incremental_daily(self, t, full_refresh: bool) -> DataFrame:
@@ -159,7 +188,9 @@ class Pipeline:
         the month partitions of the emitted window only."""
         path = self.fact_path("fct_movie_rating_daily")
         target = None if full_refresh else self._read_fact("fct_movie_rating_daily")
-        m = max_value(target, "rating_date") if target is not None else None
+        m = None
+        if target is not None:
+            m = self._read_mark("fct_movie_rating_daily") or max_value(target, "rating_date")
         if m is None:
             out = facts.movie_rating_daily(t["fct_ratings"])
             (out.withColumn("rating_month", month_start("rating_date"))
@@ -173,7 +204,13 @@ class Pipeline:
             old = prune_to(target, "rating_month", months)
             kept = old.join(emitted.select(*facts.DAILY_KEYS), list(facts.DAILY_KEYS), "left_anti")
             replace_partitions(kept.unionByName(emitted.select(*kept.columns)), path, "rating_month")
-        return self.spark.read.parquet(path).drop("rating_month")
+        # the newest day can only be in the newest month partition
+        written = self.spark.read.parquet(path)
+        last_month = max_value(written, "rating_month")
+        if last_month is not None:
+            self._write_mark("fct_movie_rating_daily", max_value(
+                written.where(F.col("rating_month") == lit_of(last_month)), "rating_date"))
+        return written.drop("rating_month")
 
     # ------------------------------------------------------------------- run
     def run(self, full_refresh: bool = False, run_ts: dt.datetime | None = None,

@@ -108,6 +108,11 @@ def test_pipeline_gates_dependents(spark, tmp_base):
     n1 = spark.read.parquet(p2.fact_path("fct_movie_rating_daily")).count()
     assert p2.run().ok
     assert spark.read.parquet(p2.fact_path("fct_movie_rating_daily")).count() == n1
+    # stored high-water marks equal the tables' maxima (no target scan needed)
+    fr = spark.read.parquet(p2.fact_path("fct_ratings"))
+    assert p2._read_mark("fct_ratings") == fr.agg(F.max("rating_timestamp")).first()[0]
+    fd = spark.read.parquet(p2.fact_path("fct_movie_rating_daily"))
+    assert p2._read_mark("fct_movie_rating_daily") == fd.agg(F.max("rating_date")).first()[0]
     assert p2.table("dim_users").read().count() > 0
     v = p2.snapshot_movies(dt.datetime(2024, 1, 1))
     assert p2.table("snap_movies").read(v).where("valid_to IS NULL").count() == raw["raw_movies"].count()
