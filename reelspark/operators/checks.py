@@ -190,31 +190,62 @@ def violations(check: Check, df: DataFrame, tables: Mapping[str, DataFrame] | No
     return check.query(df, tables or {})
 
 
+def _grain(c: Check) -> tuple[str, ...] | None:
+    """Key columns of a grain check (unique / unique_combination)."""
+    if c.kind == "unique":
+        return (c.params["col"],)
+    if c.kind == "unique_combination":
+        return tuple(c.params["cols"])
+    return None
+
+
+def _stack(row_df: DataFrame, items: list[tuple[Check, str]]) -> DataFrame:
+    """One-row aggregate with a column per check -> one row per check."""
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
+                 F.coalesce(F.col(col), F.lit(0)).cast("long").alias("n_violations"))
+        for c, col in items])).alias("s")
+    return row_df.select(stack).select("s.*")
+
+
 def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
               tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """(relation, check, kind, n_violations) for every check of a relation.
 
-    All row checks share one scan and one aggregate; each set check adds one
-    aggregate. The result is one small DataFrame (one row per check).
+    All row checks share one pass. When the relation also has a grain check
+    (unique / unique_combination), the row predicates are counted inside
+    that check's group-by and both results come out of one aggregate: the
+    relation is scanned and shuffled once for both. Every other set check
+    adds one aggregate. The result is one small DataFrame (one row per check).
     """
     spark = df.sparkSession
+    tables = tables or {}
     parts: list[DataFrame] = []
     rows = [c for c in checks if c.is_row_check]
-    if rows:
-        counts = df.agg(*[F.count_if(F.coalesce(c.predicate(), F.lit(False))).alias(f"c{i}")
-                          for i, c in enumerate(rows)])
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
-                     F.col(f"c{i}").cast("long").alias("n_violations"))
-            for i, c in enumerate(rows)])).alias("s")
-        parts.append(counts.select(stack).select("s.*"))
-    for c in checks:
-        if not c.is_row_check:
-            n = F.sum(c.weight) if c.weight else F.count(F.lit(1))
-            parts.append(c.query(df, tables or {})
-                         .agg(F.coalesce(n, F.lit(0)).cast("long").alias("n_violations"))
-                         .select(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
-                                 "n_violations"))
+    grain = next((c for c in checks if _grain(c) is not None), None)
+    rest = [c for c in checks if not c.is_row_check and c is not grain]
+    if grain is not None:
+        keys = list(_grain(grain))
+        per_key = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count_if(F.coalesce(c.predicate(), F.lit(False))).alias(f"_r{i}")
+              for i, c in enumerate(rows)])
+        dup = F.col("_n") > 1
+        if grain.kind == "unique":                        # NULL keys are ignored
+            dup = dup & F.col(keys[0]).isNotNull()
+        agg = per_key.agg(F.count_if(dup).alias("_g"),
+                          *[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rows))])
+        parts.append(_stack(agg, [(grain, "_g")] + [(c, f"_r{i}") for i, c in enumerate(rows)]))
+    elif rows:
+        agg = df.agg(*[F.count_if(F.coalesce(c.predicate(), F.lit(False))).alias(f"_r{i}")
+                       for i, c in enumerate(rows)])
+        parts.append(_stack(agg, [(c, f"_r{i}") for i, c in enumerate(rows)]))
+    for c in rest:
+        n = F.sum(c.weight) if c.weight else F.count(F.lit(1))
+        parts.append(c.query(df, tables)
+                     .agg(F.coalesce(n, F.lit(0)).cast("long").alias("n_violations"))
+                     .select(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
+                             "n_violations"))
     if not parts:
         return spark.createDataFrame([], "relation string, check string, kind string, n_violations long")
     out = reduce(DataFrame.unionByName, parts)
