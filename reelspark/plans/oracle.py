@@ -443,7 +443,6 @@ def check_sql(rel: str, c) -> str:
 
 
 def _check_summary_sql() -> str:
-    from ..sources.testdata import SQL_RAW_MOVIES as _M  # noqa: F401
     from . import history as H
     from . import quality as Q
     ctes = ",".join([

@@ -122,8 +122,7 @@ class Pipeline:
         return df if df.columns else None
 
     # ----------------------------------------------------------------- build
-    def _build(self, name: str, t: dict[str, DataFrame], full_refresh: bool,
-               run_ts: dt.datetime) -> DataFrame:
+    def _build(self, name: str, t: dict[str, DataFrame]) -> DataFrame:
         r = self.raw
         if name == "seed_genre_groups":
             return self.genre_groups
@@ -220,8 +219,8 @@ class Pipeline:
         return written.drop("rating_month"), scope.drop("rating_month")
 
     # ------------------------------------------------------------------- run
-    def run(self, full_refresh: bool = False, run_ts: dt.datetime | None = None,
-            now: dt.datetime | None = None) -> BuildResult:
+    def run(self, full_refresh: bool = False, now: dt.datetime | None = None) -> BuildResult:
+        """Build every relation in DAG order; ``now`` is the freshness clock."""
         res = BuildResult()
         if self.freshness:
             report = source_freshness(self.spark, self.freshness, now or dt.datetime.now())
@@ -245,14 +244,14 @@ class Pipeline:
                     res.published[name] = self.fact_path(name)
                 elif mat == "table":
                     tbl = self.table(name)
-                    version = tbl.stage(self._build(name, t, full_refresh, run_ts))
+                    version = tbl.stage(self._build(name, t))
                     staged = tbl.read(version)
                     t[name] = staged
                     self._audit(name, staged, t, res)
                     tbl.commit(version)
                     res.published[name] = version
                 else:
-                    df = self._build(name, t, full_refresh, run_ts)
+                    df = self._build(name, t)
                     t[name] = df
                     self._audit(name, df, t, res)
             except CheckFailed as e:
