@@ -80,8 +80,13 @@ class Pipeline:
                  raw: Mapping[str, DataFrame], genre_groups: DataFrame,
                  checks: dict[str, list[Check]] | None = None,
                  freshness: Mapping[str, Freshness] | None = None,
-                 accepted_genre_groups: tuple[str, ...] = REFERENCE_GENRE_GROUPS):
+                 accepted_genre_groups: tuple[str, ...] = REFERENCE_GENRE_GROUPS,
+                 rating_buckets: int = RATING_BUCKETS):
+        """``rating_buckets``: user buckets of fct_ratings, sized so a bucket
+        holds 1-4 GB (64 for tests; thousands at 100 TB). Fixed for the life
+        of the table: changing it needs a full refresh."""
         self.spark, self.base, self.namespace = spark, base, namespace
+        self.rating_buckets = rating_buckets
         self.raw = dict(raw)
         self.genre_groups = genre_groups
         self.checks = checks if checks is not None else declared_checks(accepted_genre_groups)
@@ -161,7 +166,7 @@ class Pipeline:
         stg = t["stg_ratings"].select(*facts.RATING_COLS)
 
         def bucketed(df):
-            return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(RATING_BUCKETS)))
+            return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(self.rating_buckets)))
 
         mark = None
         if target is not None:
