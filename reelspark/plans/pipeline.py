@@ -11,7 +11,10 @@ Materialisation per layer, as in the reference:
 Write-audit-publish: a table is written as an uncommitted version, its
 checks run against the written files, and only then is the version
 committed. A relation whose checks fail is not published and every relation
-that depends on it is skipped; independent branches still build.
+that depends on it is skipped; independent branches still build. The two
+incremental facts are merged in place and audited right after the merge (as
+the reference tests a model after building it); a failing audit still
+blocks their dependents.
 
 Incremental facts are stored partitioned so that a run rewrites only what it
 can change: fct_ratings by user bucket (a re-rating keeps its user, so a key
@@ -158,9 +161,10 @@ class Pipeline:
             return marts.mart_user_cohort_retention(t["dim_users"], t["fct_ratings"])
         raise KeyError(name)
 
-    def _incremental_ratings(self, t, full_refresh: bool) -> DataFrame:
+    def _incremental_ratings(self, t, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
         """fct_ratings: rows at/after the high-water mark, merged into the
-        touched user buckets only (X5); first run writes everything."""
+        touched user buckets only (X5); first run writes everything.
+        Returns (whole table, partitions this run rewrote)."""
         path = self.fact_path("fct_ratings")
         target = None if full_refresh else self._read_fact("fct_ratings")
         stg = t["stg_ratings"].select(*facts.RATING_COLS)
@@ -193,9 +197,10 @@ class Pipeline:
         scope = written if touched is None else prune_to(written, "user_bucket", touched)
         return written.drop("user_bucket"), scope.drop("user_bucket")
 
-    def _incremental_daily(self, t, full_refresh: bool) -> DataFrame:
+    def _incremental_daily(self, t, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
         """fct_movie_rating_daily: bounded lookback, merged on (film, day) into
-        the month partitions of the emitted window only."""
+        the month partitions of the emitted window only.
+        Returns (whole table, partitions this run rewrote)."""
         path = self.fact_path("fct_movie_rating_daily")
         target = None if full_refresh else self._read_fact("fct_movie_rating_daily")
         m, months = None, None
