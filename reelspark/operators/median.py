@@ -26,9 +26,11 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def median_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
-                       out: str = "median", mean: str | None = None) -> DataFrame:
+                       out: str = "median", mean: str | None = None,
+                       extra: dict | None = None) -> DataFrame:
     """Median per group from (keys, value, _cnt); with ``mean`` also the
-    count-weighted mean, computed in the same final aggregate. Rows with
+    count-weighted mean, and any ``extra`` aggregates (name -> Column over the
+    count rows), all in the same final aggregate. Rows with
     ``_cnt = 0`` (e.g. NULL values given weight 0) never hold a position; a
     group with no weight gets a NULL median."""
     keys = list(keys)
@@ -46,9 +48,11 @@ def median_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
             F.max(F.when(covers(hi_pos), F.col(value))).alias("_vhi")]
     if mean:
         aggs.append((F.sum(F.col(value) * F.col("_cnt")) / F.sum("_cnt")).alias(mean))
+    extra = extra or {}
+    aggs.extend(e.alias(name) for name, e in extra.items())
     return (c.groupBy(*keys).agg(*aggs)
             .select(*keys, ((F.col("_vlo") + F.col("_vhi")) / 2).alias(out),
-                    *([mean] if mean else [])))
+                    *([mean] if mean else []), *extra))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str,

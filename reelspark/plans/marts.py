@@ -39,36 +39,38 @@ def int_movie_tag_relevance(dim_movies: DataFrame, fct_genome_scores: DataFrame,
 # ---------------------------------------------------- mart_tag_genre_affinity
 
 def genre_tag_stats(relevance: DataFrame) -> DataFrame:
-    """Per (genre, tag): distinct films, mean and exact median relevance.
-
-    A combinable aggregate at (genre, tag, film, score) feeds two branches:
-
-    * film count and mean in one aggregate: ``COUNT(DISTINCT movie_id)``
-      (NULL scores included) and sum(score * n) / sum(n) over non-NULL scores;
-    * histogram (genre, tag, score) -> n, then one window pass and one
-      aggregate give the exact median (``operators.median``).
-
-    Each branch pre-aggregates map-side, so a (genre, tag) holding a third of
-    the rows costs one row per distinct rounded score in the median window,
-    not one per film. Spark plans the exchange of each branch for its own
-    parent, so the relevance join is evaluated once per branch; it reads the
-    genome matrix, which does not grow with the ratings.
+    """Per (genre, tag): distinct films, mean and exact median relevance, in
+    one chain over the relevance rows (the join behind them runs once):
+
+    1. group by (genre, tag, film): the film's score rows (a duplicate genre
+       listing repeats them, as the rows do) and its lowest score; the group
+       is bounded by that film's listings, whatever the size of the genre;
+    2. explode back to rows, marking exactly one row per film;
+    3. histogram (genre, tag, score) -> rows with a non-NULL score, and
+       marked films;
+    4. one window pass and one aggregate give the median, the mean
+       (sum(score * n) / sum(n)) and the film count (sum of marks, i.e.
+       ``COUNT(DISTINCT movie_id)`` with NULL scores included).
+
+    Every aggregate is combinable: a (genre, tag) holding a third of the rows
+    costs one row per distinct rounded score in the window.
     """
     keys = ["genre", "tag_id", "tag_name"]
     score = F.col("relevance_score")
-    per_film = (relevance.groupBy(*keys, "movie_id", "relevance_score")
-                .agg(F.count(F.lit(1)).alias("_c")))
-    films_mean = per_film.groupBy(*keys).agg(
-        F.count_distinct("movie_id").alias("n_movies"),
-        (F.sum(score * F.col("_c")) / F.sum(F.when(score.isNotNull(), F.col("_c"))))
-        .alias("avg_relevance"))
-    # NULL scores weigh 0 (no filter: a filter on a grouping column would be
-    # pushed below the shared aggregate and break the reuse)
-    counts = (per_film.groupBy(*keys, "relevance_score")
-              .agg(F.sum(F.when(score.isNotNull(), F.col("_c")).otherwise(F.lit(0)))
-                   .alias("_cnt")))
-    med = median_from_counts(counts, keys, "relevance_score", "median_relevance")
-    return films_mean.join(med, keys, "left")
+    per_film = relevance.groupBy(*keys, "movie_id").agg(
+        F.min(score).alias("_smin"),
+        F.collect_list(F.struct(score.alias("s"))).alias("_ss"))   # keeps NULL scores
+    first = F.coalesce(
+        F.array_position(F.transform("_ss", lambda x: x["s"]), F.col("_smin")) - 1, F.lit(0))
+    rows = (per_film.select(*keys, first.alias("_first"),
+                            F.posexplode("_ss").alias("_pos", "_x"))
+            .select(*keys, F.col("_x.s").alias("relevance_score"),
+                    (F.col("_pos") == F.col("_first")).alias("_is_first")))
+    counts = rows.groupBy(*keys, "relevance_score").agg(
+        F.count_if(score.isNotNull()).alias("_cnt"),
+        F.count_if(F.col("_is_first")).alias("_films"))
+    return median_from_counts(counts, keys, "relevance_score", "median_relevance",
+                              mean="avg_relevance", extra={"n_movies": F.sum("_films")})
 
 
 def mart_tag_genre_affinity(relevance: DataFrame, genre_groups: DataFrame) -> DataFrame:

@@ -94,3 +94,18 @@ def test_seed_loads_nulls_and_broadcasts(spark):
     imax = [r for r in rows if r[0] == "IMAX"][0]
     assert imax == ("IMAX", "Format", None, True)
     assert seeds.load_seed(spark).where("is_fiction IS NULL").count() == 2
+
+
+def test_affinity_null_scores_and_duplicates(spark):
+    # film 1 lists Drama twice; film 2 has a NULL score; film 3 only NULL in Comedy
+    stats = {r.genre: r for r in marts.genre_tag_stats(spark.createDataFrame(
+        [(1, "Drama", 10, "T", 0.2), (1, "Drama", 10, "T", 0.2), (2, "Drama", 10, "T", None),
+         (4, "Drama", 10, "T", 0.9), (3, "Comedy", 10, "T", None)],
+        "movie_id long, genre string, tag_id long, tag_name string, relevance_score double"))
+        .collect()}
+    d = stats["Drama"]
+    assert d.n_movies == 3                                    # NULL-score film counted
+    assert abs(d.avg_relevance - (0.2 + 0.2 + 0.9) / 3) < 1e-12
+    assert d.median_relevance == 0.2                          # values 0.2, 0.2, 0.9
+    c = stats["Comedy"]
+    assert c.n_movies == 1 and c.avg_relevance is None and c.median_relevance is None
