@@ -159,6 +159,13 @@ def profile_vocab(spark, d):
     return P.profile_vocab(I.movies(spark, d), I.genre_groups(spark))
 
 
+def profile_vocab_reference(spark, d):
+    """R6 against the reference's own taxonomy: every test genre is missing
+    from it and every reference genre is unused (both directions non-empty)."""
+    from ..sources import seeds
+    return P.profile_vocab(I.movies(spark, d), seeds.load_seed(spark, seeds.GENRE_GROUPS))
+
+
 def profile_tag_only_users(spark, d):
     """R8."""
     return P.profile_tag_only_users(I.ratings(spark, d), I.tags(spark, d))
@@ -238,6 +245,7 @@ def queries() -> dict[str, Query]:
         "profile_ranges": profile_ranges,
         "profile_ties": profile_ties,
         "profile_vocab": profile_vocab,
+        "profile_vocab_reference": profile_vocab_reference,
         "profile_tag_only_users": profile_tag_only_users,
         "profile_years": profile_years,
         "profile_orphans": profile_orphans,

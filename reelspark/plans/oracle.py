@@ -367,8 +367,10 @@ SELECT n_rows, tied_rows, n_timestamps, tied_timestamps,
        {R("tied_rows / NULLIF(n_rows, 0)")} AS tied_row_share,
        {R("tied_timestamps / NULLIF(n_timestamps, 0)")} AS tied_timestamp_share
 FROM agg"""
-    q["profile_vocab"] = base + f""",
-seed AS (SELECT genre FROM {seeds.seed_values_sql(seeds.GENRE_GROUPS_TESTDATA)}),
+    for qname, seed_file in (("profile_vocab", seeds.GENRE_GROUPS_TESTDATA),
+                             ("profile_vocab_reference", seeds.GENRE_GROUPS)):
+        q[qname] = base + f""",
+seed AS (SELECT genre FROM {seeds.seed_values_sql(seed_file)}),
 listed AS (SELECT g.genre, COUNT(DISTINCT m.movie_id) AS n_films
            FROM stg_movies m, unnest(string_split(m.genres, '|')) AS g(genre) GROUP BY g.genre)
 SELECT genre, 'missing_from_seed' AS side, CAST(n_films AS BIGINT) AS n_films FROM listed
