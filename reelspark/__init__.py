@@ -12,6 +12,9 @@ touches storage):
 * ``plans``      the models: staging, dimensions, facts, marts, profiling,
                  scale variants, and the gated pipeline
 * ``streaming``  Structured Streaming wrappers around the incremental upserts
+
+``python -m reelspark build|snapshot|freshness`` runs the gated pipeline over
+raw extracts (see ``reelspark.__main__``).
 """
 
 __all__ = ["session"]
