@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.llm.arrow_text import HashIndex, binary_array, code_points, passes, ranges, span_hashes, text_bytes
+from reelspark.llm.store import task_session
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Slices kept in a worker's cache before it starts anew.
@@ -238,7 +239,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     ``offsets`` holds where each id's bytes start in the text. Existing columns of these names are replaced. The
     vocabulary file (about 1 MB) is read on the driver and broadcast.
     """
-    spark = df.sparkSession
+    spark = task_session(df.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     df = df.drop(*(c for c in df.columns if c.lower() in {"n_tokens", "ids", "offsets"}))
     schema = T.StructType([*df.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.BinaryType())])
@@ -256,7 +257,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", offsets: str = "offsets") -> DataFrame:
     """Adds ``decoded`` (binary): the bytes of the packed ids, each placed at its offset. Null ids are empty."""
-    spark = df.sparkSession
+    spark = task_session(df.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     df = df.drop(*(c for c in df.columns if c.lower() == "decoded"))
     schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.BinaryType())])
