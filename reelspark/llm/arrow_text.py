@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one numpy pass covers; a longer text is a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -78,7 +78,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64."""
-    room = PASS_BYTES * 2
+    room = PASS_BYTES + (1 << 16)
     while room < size:
         room *= 2
     return _powers(room)

@@ -30,7 +30,7 @@ from reelspark.llm.store import task_session
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Slices kept in a worker's cache before it starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 #: Longer slices are merged one by one with a heap.
 LONG_PIECE = 128
 _NONE = np.iinfo(np.int64).max
@@ -264,7 +264,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", offsets: str = "off
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks.value)
-        for batch in passes(batches, ids, 4 << 20):
+        for batch in passes(batches, ids):
             raw, at = text_bytes(batch.column(ids))
             packed = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
             place, _ = text_bytes(batch.column(offsets))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelspark.session import checkpoint_dir
 
 #: Bytes of one Arrow batch at most (one row at least), so that long texts don't fill a task's memory.
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 
 
 _SHIPPED: set[str] = set()
