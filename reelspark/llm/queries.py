@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate
+from reelspark.llm import bpe, decontaminate, language_id, order_minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op8_order_minhash": order_minhash.op8_order_minhash,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
