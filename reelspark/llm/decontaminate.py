@@ -217,7 +217,7 @@ def _hits(block: Block, windows: Windows, number: int) -> pa.RecordBatch:
     reach = np.maximum.accumulate(end) if len(end) else end
     new = np.concatenate([[True], start[1:] > reach[:-1]]) if len(start) else np.zeros(0, bool)  # documents are one apart
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
+    last = np.append(first[1:], len(start))[: len(first)] - 1
     base = block.doc_at[doc[first]] if len(first) else first
     edges = np.column_stack([start[first] - base, reach[last] - base]).ravel().astype(np.int64)
     pairs = np.unique(np.column_stack([doc, windows.item[window]]), axis=0) if len(doc) else np.zeros((0, 2), np.int64)
