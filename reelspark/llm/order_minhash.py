@@ -9,10 +9,13 @@ With n and m k-mers and a chain of c the similarity is c / (n + m - c), and text
 are the connected components of the links.
 
 Copies (texts of the same words in the same order) are one text from the start. In a bucket of a sketch every text
-is first compared with the bucket's smallest id. What is linked with it needs no comparison among itself, as the
-class is settled. Only texts that differ from that one are compared with the bucket's other texts of other classes,
-unless the triangle inequality of the alignment's distance n + m - 2c rules the pair out. So no link is lost, and
-the pairs of a large group of near copies are as many as its members.
+is first compared with the bucket's most central one, whose sketches are shared the most. What is linked with it
+needs no comparison among itself, as the class is settled. A text that differs from it may still be linked with
+another text of the bucket, of another class so far. Against the centre l, let e be the k-mers that a text has more
+and m those that it lacks. Two texts x and y that share s of their additional k-mers differ in at least
+e_x + e_y - 2s + |m_x - m_y| k-mers, and linked texts differ in (n_x + n_y)/9 at most. So only pairs are aligned
+that share additional k-mers (an equality join) or whose e and m alone allow a link. No link is lost, and the
+pairs of a large group of near copies stay about as many as its members.
 
 Defined cases: a text of one to four words is one k-mer; texts without a word are copies where they are equal,
 and alike to nothing else; null texts and rows with a null id are classes of their own; repeated rows share a class.
@@ -142,58 +145,96 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return own.mapInArrow(run, "doc_id long, key_a long, key_b long, n long, sketches array<long>")
 
 
+_ALIGNED = "a long, b long, n_a long, n_b long, common long, linked boolean, extra array<long>"
+
+
 def _align(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """a, b, least and most (bounds of their distance), linked: the pairs' alignments."""
+    """The pairs' k-mers, how many they have in common, whether they are linked, and the k-mers that only b has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches, "text_b"):
-            left, left_at = labelled_kmers(batch.column("text_a"))
+        for batch in passes(passes(batches, "text_a"), "text_b"):
+            _, once, of = np.unique(np.array(batch.column("a")), return_index=True, return_inverse=True)
+            left, left_at = labelled_kmers(batch.column("text_a").take(pa.array(once)))
             right, right_at = labelled_kmers(batch.column("text_b"))
-            found = np.zeros((batch.num_rows, 3), np.int64)
-            for row in range(batch.num_rows):
-                x, y = left[left_at[row] : left_at[row + 1]], right[right_at[row] : right_at[row + 1]]
+            found, extra = np.zeros((batch.num_rows, 4), np.int64), []
+            for row, k in enumerate(of.tolist()):
+                x, y = left[left_at[k] : left_at[k + 1]], right[right_at[row] : right_at[row + 1]]
                 common, longest = chain(x, y, similarity)
-                total = len(x) + len(y)
-                found[row] = total - 2 * common, total - 2 * longest, longest >= similarity * (total - longest) - 1e-9 and longest > 0
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2] > 0)], names=["a", "b", "least", "most", "linked"])
+                found[row] = len(x), len(y), common, longest > 0 and longest >= similarity * (len(x) + len(y) - longest) - 1e-9
+                extra.append(np.setdiff1d(y, x, assume_unique=True).view(np.int64))
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(e) for e in extra])]).astype(np.int32), pa.array(np.concatenate([*extra, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, found.T[:3].copy()), pa.array(found[:, 3] > 0), lists], names=["a", "b", "n_a", "n_b", "common", "linked", "extra"])
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-    return with_both.mapInArrow(run, "a long, b long, least long, most long, linked boolean")
+    return with_both.mapInArrow(run, _ALIGNED)
+
+
+def _bucket_pairs(sketched: DataFrame) -> DataFrame:
+    """a (the most central text of a bucket) and b for every other text of the bucket."""
+    texts = sketched.select("doc_id", F.explode("sketches").alias("bucket"))
+    shared = texts.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    members = stored(texts.join(shared, "bucket"), "buckets")
+    central = members.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    centres = members.join(central, "doc_id").groupBy("bucket").agg((-F.max(F.struct("weight", -F.col("doc_id")))["col2"]).alias("a"))
+    return members.join(centres, "bucket").select("a", F.col("doc_id").alias("b")).where("a <> b").distinct()
+
+
+def _further_pairs(aligned: DataFrame, similarity: float) -> DataFrame | None:
+    """Pairs a < b of texts that share a centre and no class yet, which their k-mers beside the centre's let be linked."""
+    odd = aligned.where("NOT linked").select("a").distinct()
+    near = aligned.join(odd, "a", "left_semi")
+    if near.isEmpty():
+        return None
+    label = components(aligned.where("linked").select("a", "b"))
+    near = near.join(label.withColumnRenamed("node", "b"), "b", "left").select(
+        "a", "b", "linked", "extra", F.coalesce("component", "b").alias("class"), (F.col("n_b") - F.col("common")).alias("e"), (F.col("n_a") - F.col("common")).alias("m"), F.col("n_b").alias("n")
+    )
+    near = stored(near, "near")
+    share = (1 - similarity) / (1 + similarity)
+    named = lambda df, tag, *more: df.select("a", *more, *(F.col(c).alias(f"{c}_{tag}") for c in ("b", "class", "e", "m", "n")))
+    other = F.col("class_x") != F.col("class_y")
+    least = F.col("e_x") + F.col("e_y") + F.abs(F.col("m_x") - F.col("m_y"))
+    room = (F.col("n_x") + F.col("n_y")) * share + 1e-6
+    # By e and m alone: with either sign of the difference of m the bound is a term of x plus a term of y, of which
+    # the least that any text offers rules out most texts at once.
+    terms = near.withColumn("big", F.col("e") + F.col("m") - F.col("n") * share).withColumn("small", F.col("e") - F.col("m") - F.col("n") * share)
+    bounds = terms.groupBy("a").agg(*(F.min(F.when(side, F.col(c))).alias(f"{c}_{k}") for k, side in (("odd", ~F.col("linked")), ("all", F.lit(True))) for c in ("big", "small")))
+    against = lambda k: F.greatest(F.col("big") + F.col(f"small_{k}"), F.col("small") + F.col(f"big_{k}")) <= 1e-6
+    bounded = terms.join(bounds, "a")
+    plain = named(bounded.where(against("odd")), "x").join(named(bounded.where(~F.col("linked") & against("all")), "y"), "a").where(other & (least <= room)).select("b_x", "b_y")
+    # By shared additional k-mers: those that the very same texts share count as one with a weight.
+    rows = near.select("a", "b", "linked", F.explode("extra").alias("kmer"))
+    groups = rows.groupBy("a", "kmer").agg(F.count("*").alias("texts"), F.count_if(~F.col("linked")).alias("odd"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("same"))
+    groups = groups.where("texts > 1 AND odd > 0").select("a", "kmer", "same")
+    weighed = rows.join(groups, ["a", "kmer"]).groupBy("a", "same", "b").agg(F.count("*").alias("weight"))
+    weighed = stored(weighed.join(near.drop("extra"), ["a", "b"]), "weighed")
+    both = named(weighed, "x", "same", "weight").join(named(weighed.where(~F.col("linked")), "y", "same"), ["a", "same"]).where(other)
+    shared = both.groupBy("a", "b_x", "b_y", "e_x", "e_y", "m_x", "m_y", "n_x", "n_y").agg(F.sum("weight").alias("s")).where(least - 2 * F.col("s") <= room).select("b_x", "b_y")
+    return plain.unionByName(shared).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class) for every row; ids are expected to be distinct."""
-    spark = task_session(docs.sparkSession)
+    task_session(docs.sparkSession)
     sketched = stored(sketch(docs, doc_id, text), "sketches")
     known = sketched.where("doc_id IS NOT NULL AND key_a IS NOT NULL")
     copies = known.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"))
     # The smallest id of each text stands for its copies.
-    texts = stored(known.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where("n > 0").dropDuplicates(["doc_id"]).select("doc_id", "n", F.explode("sketches").alias("bucket")), "buckets")
-    leaders = texts.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count("*").alias("members")).where("members > 1").select("bucket", "leader")
-    members = texts.join(leaders, "bucket").where("doc_id <> leader")
+    reps = known.where("n > 0").join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def align(pairs: DataFrame, name: str) -> DataFrame:
+    def align(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
         needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         own = stored(bodies.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
-        return stored(_align(pairs, own, similarity), name)
-
-    first = align(stored(members.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs"), "aligned")
-    links = first.where("linked").select("a", "b")
-    # Texts that differ from their bucket's leader may still be linked with others of the bucket.
-    odd = members.join(first.where("NOT linked").select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), "least", "most"), ["leader", "doc_id"])
-    if not odd.isEmpty():
-        label = components(links)
-        placed = lambda df: df.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        rest = stored(placed(odd).select("bucket", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("least").alias("least_y"), F.col("most").alias("most_y"), F.col("component").alias("of_y")), "odd")
-        others = members.join(rest.select("bucket").distinct(), "bucket", "left_semi").join(first.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), "least", "most"), ["leader", "doc_id"])
-        room = (F.col("n") + F.col("n_y")) * (1 - similarity) / (1 + similarity) + 1e-6
-        possible = (F.col("component") != F.col("of_y")) & (F.col("least") - F.col("most_y") <= room) & (F.col("least_y") - F.col("most") <= room) & (F.abs(F.col("n") - F.col("n_y")) <= room)
-        pairs = placed(others).join(rest, "bucket").where(possible).select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct()
-        pairs = stored(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            links = links.unionByName(align(pairs, "aligned").where("linked").select("a", "b"))
+        return stored(_align(pairs, own, similarity), "aligned")
+
+    aligned = align(_bucket_pairs(reps))
+    links = aligned.where("linked").select("a", "b")
+    further = _further_pairs(aligned, similarity)
+    if further is not None:
+        links = links.unionByName(align(further).where("linked").select("a", "b"))
     label = components(links)
     placed = copies.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key_a", "key_b", F.coalesce("component", "rep").alias("class_id"))
     out = known.select("doc_id", "key_a", "key_b").join(placed, ["key_a", "key_b"]).select("doc_id", "class_id")
