@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, language_id, order_minhash
+from reelspark.llm import bpe, decontaminate, language_id, order_minhash, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op5_shard_lookup": sharding.op5_shard_lookup,
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_language_id": language_id.op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op5_shard_lookup": sharding.OP5_SQL,
 }
