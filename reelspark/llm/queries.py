@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, language_id, order_minhash, sharding
+from reelspark.llm import bpe, decontaminate, language_id, order_minhash, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_shard_lookup": sharding.op5_shard_lookup,
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_language_id": language_id.op9_language_id,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
