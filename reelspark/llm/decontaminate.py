@@ -35,6 +35,8 @@ MAX_TEST_WORDS = 2_000_000
 BLOCK_BYTES = 4 << 20
 #: Candidate places that are intersected at once in a block.
 _CANDIDATES = 2_000_000
+#: Stands for a null id in a block.
+_NULL = np.iinfo(np.int64).min
 _ABSENT = np.iinfo(np.int32).max
 
 INDEX_SCHEMA = "block long, doc_ids binary, doc_at binary, terms binary, term_at binary, positions binary"
@@ -51,15 +53,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in passes(batches, "text", BLOCK_BYTES):
-            data, starts, ends, before = lower_words(batch.column("text"))
-            ids = np.array(batch.column("doc_id").fill_null(-1), np.int64)
-            at = before + np.arange(len(before))
-            position = np.arange(len(starts)) + np.repeat(np.arange(len(ids)), np.diff(before))
-            hashes = span_hashes(data, starts, ends)
-            order = np.argsort(hashes, kind="stable")
-            hashes = hashes[order]
-            head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-            parts = [ids, at.astype(np.int32), hashes[head], np.append(head, len(hashes)).astype(np.int32), position[order].astype(np.int32)]
+            block = Block.of(batch.column("doc_id"), batch.column("text"))
+            parts = [block.doc_ids, block.doc_at, block.terms, block.term_at, block.positions]
             yield pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["block", "doc_ids", "doc_at", "terms", "term_at", "positions"])
             number += 1
 
@@ -103,6 +98,20 @@ class Block:
     term_at: np.ndarray
     positions: np.ndarray
 
+    @classmethod
+    def of(cls, doc_ids: pa.Array, texts: pa.Array) -> Block:
+        data, starts, ends, before = lower_words(texts)
+        ids = np.array(doc_ids.fill_null(_NULL), np.int64)
+        position = np.arange(len(starts)) + np.repeat(np.arange(len(ids)), np.diff(before))
+        hashes = span_hashes(data, starts, ends)
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        return cls(ids, (before + np.arange(len(before))).astype(np.int32), hashes[head], np.append(head, len(hashes)).astype(np.int32), position[order].astype(np.int32))
+
+    def ids(self) -> pa.Array:
+        return pa.array(self.doc_ids, mask=self.doc_ids == _NULL)
+
     @classmethod
     def read(cls, batch: pa.RecordBatch, row: int) -> Block:
         get = lambda name, kind: np.frombuffer(batch.column(name)[row].as_py(), kind)
@@ -196,7 +205,7 @@ def find(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, span: int
                     doc = np.searchsorted(block.doc_at, start, "right") - 1
                     item = pa.array([windows.items[i] for i in windows.item[window]], pa.string())
                     length = windows.length[window] if span is None else np.full(len(window), span)
-                    yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids[doc]), item, pa.array((start - block.doc_at[doc]).astype(np.int64)), pa.array(length.astype(np.int64))], names=["doc_id", "item_id", "start", "length"])
+                    yield pa.RecordBatch.from_arrays([block.ids().take(pa.array(doc)), item, pa.array((start - block.doc_at[doc]).astype(np.int64)), pa.array(length.astype(np.int64))], names=["doc_id", "item_id", "start", "length"])
 
         one = index.mapInArrow(run, "doc_id long, item_id string, start long, length long")
         out = one if out is None else out.unionByName(one)
@@ -225,7 +234,7 @@ def _hits(block: Block, windows: Windows, number: int) -> pa.RecordBatch:
     items_at = np.concatenate([[0], np.cumsum(np.bincount(pairs[:, 0], minlength=n))])
     names = pa.array([windows.items[i] for i in pairs[:, 1]], pa.string())
     return pa.RecordBatch.from_arrays(
-        [pa.array((number << 24) + np.arange(n)), pa.array(block.doc_ids), pa.array((np.diff(block.doc_at) - 1).astype(np.int64)), pa.ListArray.from_arrays(spans_at.astype(np.int32), pa.array(edges)), pa.ListArray.from_arrays(items_at.astype(np.int32), names)],
+        [pa.array((number << 24) + np.arange(n)), block.ids(), pa.array((np.diff(block.doc_at) - 1).astype(np.int64)), pa.ListArray.from_arrays(spans_at.astype(np.int32), pa.array(edges)), pa.ListArray.from_arrays(items_at.astype(np.int32), names)],
         names=["row_key", "doc_id", "n_words", "spans", "items"],
     )
 
@@ -259,6 +268,28 @@ def contamination(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, i
     return hits.select("doc_id", "n_words", "n_hit", "items", "spans", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text", max_test_words: int = MAX_TEST_WORDS) -> DataFrame:
+    """All rows and columns of ``docs`` with ``contaminated``: for a corpus that is searched once, its blocks of
+    postings are built, searched and dropped in the same task. A benchmark of several parts takes a step for each."""
+    spark = task_session(docs.sparkSession)
+    items, parts = _parts(benchmark, item_id, item_text, max_test_words)
+    out = docs.drop(*(c for c in docs.columns if c.lower() == "contaminated")).withColumn("contaminated", F.lit(False))
+    schema = out.schema
+    for part in range(parts):
+        sent = spark.sparkContext.broadcast(_part(items, parts, part, width))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in passes(batches, text):
+                block = Block.of(pa.nulls(batch.num_rows, pa.int64()), batch.column(text))
+                _, start = block.search(sent.value)
+                hit = np.array(batch.column("contaminated"))
+                hit[np.searchsorted(block.doc_at, start, "right") - 1] = True
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hit)], names=schema.names)
+
+        out = out.mapInArrow(run, schema)
+    return out
+
+
 def _as_pairs(flat: F.Column) -> F.Column:
     """[a, b, c, d] as [(a, b), (c, d)]."""
     return F.filter(F.transform(flat, lambda x, k: F.struct(x.alias("a"), F.get(flat, k + 1).alias("b"), (k % 2 == 0).alias("first"))), lambda p: p["first"])
