@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, language_id, order_minhash, pii, sharding
+from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hamming_topk": hamming_topk.op1_hamming_topk,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_shard_lookup": sharding.op5_shard_lookup,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_hamming_topk": hamming_topk.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op5_shard_lookup": sharding.OP5_SQL,
 }
