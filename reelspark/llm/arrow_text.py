@@ -95,12 +95,20 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64), 1)
 
 
+class SpanHasher:
+    """64-bit hashes of slices of bytes (or of any uint64 values), from prefix sums of a polynomial."""
+
+    def __init__(self, values: np.ndarray):
+        power, self.inverse = powers(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum((_BYTE_VALUE[values] if values.dtype == np.uint8 else values) * power[: len(values)], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice of bytes (or of any uint64 values), from prefix sums of a polynomial."""
-    power, inverse = powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((_BYTE_VALUE[values] if values.dtype == np.uint8 else values) * power[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return SpanHasher(values).of(starts, ends)
 
 
 def lower_word_table() -> tuple[np.ndarray, np.ndarray]:
