@@ -32,7 +32,9 @@ from reelspark.llm.store import task_session
 MAX_TRAINING = 8000
 WORD_BUCKETS = 1 << 14
 FACTORS = 8
-INTERVALS = 10
+#: Bounds of the intervals as quantiles of the labelled rows; close at the ends, as what is odd is rare.
+QUANTILES = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.92, 0.94, 0.96, 0.98, 0.99)
+INTERVALS = len(QUANTILES) + 1
 
 _KINDS = np.zeros(256, np.int64)  # of bytes: 0 other marks, then these
 for _kind, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t", b"\n\r", b"!", b"|", b".,;:?'\"-()", bytes(range(128, 256))), 1):
@@ -109,7 +111,7 @@ class Machine:
         n = len(rows.statistics)
         held = np.column_stack([np.searchsorted(self.cuts[s], rows.statistics[:, s], "right") + s * INTERVALS + WORD_BUCKETS for s in range(STATISTICS)])
         row = np.concatenate([rows.row, np.repeat(np.arange(n), STATISTICS)])
-        return row, np.concatenate([rows.bucket, held.ravel()]), np.concatenate([rows.value, np.full(n * STATISTICS, 0.5)])
+        return row, np.concatenate([rows.bucket, held.ravel()]), np.concatenate([rows.value, np.full(n * STATISTICS, 1.0)])
 
     def odds(self, n: int, row: np.ndarray, feature: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The log-odds of n rows and, for the gradient, the sums of their vectors."""
@@ -130,7 +132,7 @@ def fit(rows: list[tuple[Rows, np.ndarray]], epochs: int = 20, batch: int = 64,
     """Fits by stochastic gradient steps scaled by each parameter's past; deterministic."""
     label = np.concatenate([y for _, y in rows]) if rows else np.zeros(0)
     statistics = np.concatenate([r.statistics for r, _ in rows]) if rows else np.zeros((1, STATISTICS))
-    cuts = np.quantile(statistics, np.linspace(0, 1, INTERVALS + 1)[1:-1], axis=0).T
+    cuts = np.quantile(statistics, QUANTILES, axis=0).T
     size = WORD_BUCKETS + STATISTICS * INTERVALS
     random = np.random.default_rng(4)
     share = np.clip(label.mean(), 0.01, 0.99) if len(label) else 0.5
