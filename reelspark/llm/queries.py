@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, sharding
+from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, quality_fm, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming_topk": hamming_topk.op1_hamming_topk,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_shard_lookup": sharding.op5_shard_lookup,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_language_id": language_id.op9_language_id,
     "op10_pii": pii.op10_pii,
@@ -21,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_hamming_topk": hamming_topk.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_shard_lookup": sharding.OP5_SQL,
 }
