@@ -82,33 +82,15 @@ def piece_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return where[start]
 
 
-class Encoder:
-    """The ranks of a byte-level BPE vocabulary, with the cache of pieces that have been merged."""
+class PieceCache:
+    """Ids of texts, piece by piece: pieces met before are looked up, others go to ``merge`` together."""
 
-    def __init__(self, rank_file: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
-        self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        top = max(self.ranks.values()) + 1
-        words = [b""] * top
-        for word, rank in self.ranks.items():
-            words[rank] = word
-        self.word_bytes = np.frombuffer(b"".join(words), np.uint8)
-        self.word_len = np.array([len(w) for w in words], np.int64)
-        self.word_at = np.cumsum(self.word_len) - self.word_len
-        pairs = {}
-        for word, rank in self.ranks.items():
-            for cut in range(1, len(word)):
-                left, right = self.ranks.get(word[:cut]), self.ranks.get(word[cut:])
-                if left is not None and right is not None:
-                    pairs[left << 20 | right] = rank
-        self.pairs = HashIndex()
-        self.pairs.add(np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs)))
+    def __init__(self) -> None:
         self._clear()
 
-    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of what each pair merges to, or the largest integer."""
-        rank = self.pairs.find(left << 20 | right)
-        return np.where(rank < 0, _NONE, rank)
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, and how many each has."""
+        raise NotImplementedError
 
     def _clear(self) -> None:
         self.pieces = HashIndex()
@@ -159,6 +141,35 @@ class Encoder:
             wrong[same[np.unique(np.searchsorted(np.cumsum(length), np.flatnonzero(unequal), "right"))]] = True
         return np.flatnonzero(wrong)
 
+
+class Encoder(PieceCache):
+    """The ranks of a byte-level BPE vocabulary."""
+
+    def __init__(self, rank_file: bytes):
+        super().__init__()
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
+        self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        top = max(self.ranks.values()) + 1
+        words = [b""] * top
+        for word, rank in self.ranks.items():
+            words[rank] = word
+        self.word_bytes = np.frombuffer(b"".join(words), np.uint8)
+        self.word_len = np.array([len(w) for w in words], np.int64)
+        self.word_at = np.cumsum(self.word_len) - self.word_len
+        pairs = {}
+        for word, rank in self.ranks.items():
+            for cut in range(1, len(word)):
+                left, right = self.ranks.get(word[:cut]), self.ranks.get(word[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 20 | right] = rank
+        self.pairs = HashIndex()
+        self.pairs.add(np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs)))
+
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of what each pair merges to, or the largest integer."""
+        rank = self.pairs.find(left << 20 | right)
+        return np.where(rank < 0, _NONE, rank)
+
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces, and how many each has."""
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, quality_fm, sharding, toxicity
+from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, quality_fm, sharding, token_store, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming_topk": hamming_topk.op1_hamming_topk,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_shard_lookup": sharding.op5_shard_lookup,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_token_store": token_store.op7_token_store,
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_language_id": language_id.op9_language_id,
     "op10_pii": pii.op10_pii,
