@@ -14,7 +14,7 @@ needs no comparison among itself, as the class is settled. A text that differs f
 another text of the bucket, of another class so far. Against the centre l, let e be the k-mers that a text has more
 and m those that it lacks. Two texts x and y that share s of their additional k-mers differ in at least
 e_x + e_y - 2s + |m_x - m_y| k-mers, and linked texts differ in (n_x + n_y)/9 at most. So only pairs are aligned
-that share additional k-mers (an equality join) or whose e and m alone allow a link. No link is lost, and the
+that share enough additional k-mers (an equality join) or whose e and m alone allow a link. No link is lost, and the
 pairs of a large group of near copies stay about as many as its members.
 
 Defined cases: a text of one to four words is one k-mer; texts without a word are copies where they are equal,
@@ -207,9 +207,13 @@ def _further_pairs(aligned: DataFrame, similarity: float) -> DataFrame | None:
     rows = near.select("a", "b", "linked", F.explode("extra").alias("kmer"))
     groups = rows.groupBy("a", "kmer").agg(F.count("*").alias("texts"), F.count_if(~F.col("linked")).alias("odd"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("same"))
     groups = groups.where("texts > 1 AND odd > 0").select("a", "kmer", "same")
-    weighed = rows.join(groups, ["a", "kmer"]).groupBy("a", "same", "b").agg(F.count("*").alias("weight"))
-    weighed = stored(weighed.join(near.drop("extra"), ["a", "b"]), "weighed")
-    both = named(weighed, "x", "same", "weight").join(named(weighed.where(~F.col("linked")), "y", "same"), ["a", "same"]).where(other)
+    weighed = stored(rows.join(groups, ["a", "kmer"]).groupBy("a", "same", "b").agg(F.count("*").alias("weight")), "weighed")
+    shareable = weighed.groupBy("a", "b").agg(F.sum("weight").alias("h"))
+    weighed = weighed.join(near.drop("extra").join(shareable, ["a", "b"]), ["a", "b"])
+    named_h = lambda tag: named(weighed, tag, "same", "weight", "linked", F.col("h").alias(f"h_{tag}"))
+    # s is at most what either shares with any text; a pair of two odd texts is taken once.
+    can = other & (F.col("linked") | (F.col("b_x") < F.col("b_y"))) & (least - 2 * F.least("h_x", "h_y") <= room)
+    both = named_h("x").join(named_h("y").where("NOT linked").drop("linked", "weight"), ["a", "same"]).where(can)
     shared = both.groupBy("a", "b_x", "b_y", "e_x", "e_y", "m_x", "m_y", "n_x", "n_y").agg(F.sum("weight").alias("s")).where(least - 2 * F.col("s") <= room).select("b_x", "b_y")
     return plain.unionByName(shared).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
 
@@ -227,7 +231,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     def align(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
         needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        own = stored(bodies.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
+        # By shuffle at any size: the ids grow with the corpus, and one plan is to be the same at every size.
+        own = stored(bodies.join(needed.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
         return stored(_align(pairs, own, similarity), "aligned")
 
     aligned = align(_bucket_pairs(reps))
