@@ -4,7 +4,7 @@ A vector's code has a bit for each of its numbers: whether it is above 0. The co
 distinct codes are indexed by the value of each segment. When all buckets within ``r`` bits of a query's segments have been seen, every code
 within ``segments * (r + 1) - 1`` bits of the query has been met, since one of its segments differs by ``r`` at most.
 So each query grows its radius, from 0 on, until the distance of its k-th verified neighbour is provably covered.
-Queries whose next step would cost more than a scan are compared with all codes, in blocks.
+Queries whose next step alone would probe more buckets than there are codes are compared with all codes, in blocks.
 
 Equal codes are one entry that stands for its rows. Of a code only the k smallest ids can be among the results, so no
 more are kept; Spark cuts each group to k before the shuffle, and a code that a third of all rows share is no one
@@ -31,8 +31,6 @@ from reelspark.llm.store import stored, task_session
 K = 10
 #: Bits of a code that are kept in one number at most.
 WORD = 64
-#: A probed bucket, which is joined, costs about as much as this many comparisons of a scan.
-PROBE_COST = 16
 
 
 def _words(bits: int) -> list[tuple[int, int]]:
@@ -90,30 +88,32 @@ def search(rows: DataFrame, queries: DataFrame, row_id: str = "vec_id", vector:
     asked = stored(coded(queries, "query_id"), "asked")
     open_codes = stored(asked.select(F.col("code").alias("query")).distinct(), "queries")
     number = codes.count()
-    if number == 0:
+    if number == 0 or open_codes.isEmpty():
         return asked.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("neighbour_id"), F.lit(0).alias("distance")).where("false")
     # A segment of log2(n) bits has about one code in a bucket.
     parts = _segments(bits, max(1, round(bits / max(1.0, math.log2(number)))))
     value = lambda code, word, shift, size: F.shiftrightunsigned(F.get(code, F.lit(word)), shift).bitwiseAND(F.lit((1 << size) - 1))
-    index = stored(codes.select("code", F.size("ids").alias("rows"), F.posexplode(F.array(*(value(F.col("code"), *p) for p in parts)))).withColumnRenamed("pos", "segment").withColumnRenamed("col", "value"), "index")
+    index = stored(codes.select("code", F.get("ids", F.lit(0)).alias("first"), F.posexplode(F.array(*(value(F.col("code"), *p) for p in parts)))).withColumnRenamed("pos", "segment").withColumnRenamed("col", "value"), "index")
 
     best = Window.partitionBy("query").orderBy("distance", "id")
 
     def nearest(found: DataFrame) -> DataFrame:
-        """The k nearest rows of each query among its verified codes; a code has k rows at most."""
-        each = found.select("query", "distance", F.explode("ids").alias("id"))
+        """The k nearest rows of each query among its verified codes (query, code, first, distance). Of codes that are
+        not among the k first by distance and smallest id, no row is."""
+        by_code = Window.partitionBy("query").orderBy("distance", "first")
+        close = found.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= k)
+        each = close.select("query", "code", "distance").join(codes, "code").select("query", "distance", F.explode("ids").alias("id"))
         return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     held, done, radius = None, [], 0
     while True:
         probes = sum(math.comb(size, radius) for _, _, size in parts)
-        if radius > max(size for _, _, size in parts) or probes * PROBE_COST > number:
+        if radius > max(size for _, _, size in parts) or probes > number:
             break
         near = F.array(*(F.struct(F.lit(s).alias("segment"), _flips(value(F.col("query"), *p), p[2], radius).alias("values")) for s, p in enumerate(parts)))
         probe = open_codes.select("query", F.explode(near).alias("p")).select("query", F.col("p.segment").alias("segment"), F.explode("p.values").alias("value"))
-        met = probe.join(index, ["segment", "value"]).select("query", "code").distinct()
-        met = met.withColumn("distance", distance(F.col("query"), F.col("code"), words)).join(codes, "code").select("query", "distance", "ids")
-        found = nearest(met)
+        met = probe.join(index, ["segment", "value"]).select("query", "code", "first").distinct()
+        found = nearest(met.withColumn("distance", distance(F.col("query"), F.col("code"), words)))
         if held is not None:
             # A code met at several radii is one row.
             found = found.drop("rank").unionByName(held.drop("rank")).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -149,7 +149,7 @@ SCAN_BLOCK, SCAN_STEP = 1000, 2048
 
 
 def _scan(open_codes: DataFrame, codes: DataFrame, k: int) -> DataFrame:
-    """query, distance, ids: all codes against the queries that are left, about ``SCAN_BLOCK`` of them at a time.
+    """query, code, first, distance: all codes against the queries that are left, about ``SCAN_BLOCK`` of them at a time.
 
     A task hands on what is no farther than the k-th nearest that it has met for the query so far.
     """
@@ -171,9 +171,9 @@ def _scan(open_codes: DataFrame, codes: DataFrame, k: int) -> DataFrame:
                     held = np.partition(np.concatenate([held, apart], axis=1), k - 1, axis=1)[:, :k]
                     query, code = np.nonzero(apart <= held.max(axis=1)[:, None])
                     near = pa.FixedSizeListArray.from_arrays(pa.array(asked[query].ravel()), own.shape[1]).cast(pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([near, pa.array(apart[query, code]), some.column("ids").take(pa.array(code))], names=["query", "distance", "ids"])
+                    yield pa.RecordBatch.from_arrays([near, *(some.column(c).take(pa.array(code)) for c in ("code", "first")), pa.array(apart[query, code])], names=["query", "code", "first", "distance"])
 
-        one = codes.select("code", "ids").mapInArrow(run, "query array<long>, distance int, ids array<long>")
+        one = codes.select("code", F.get("ids", F.lit(0)).alias("first")).mapInArrow(run, "query array<long>, code array<long>, first long, distance int")
         out = one if out is None else out.unionByName(one)
     return out
 
