@@ -130,7 +130,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     docs = docs.drop(*(c for c in docs.columns if c.lower() in {"lang_pred", "score"}))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = sorted(prototypes)
-    sent = spark.sparkContext.broadcast(np.array([prototypes[n] for n in names], np.float32).reshape(len(names), -1))
+    sent = spark.sparkContext.broadcast(np.array([prototypes[n] for n in names], np.float32) if names else np.zeros((0, 1), np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value

@@ -24,6 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_hamming_topk": hamming_topk.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
-    "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_shard_lookup": sharding.OP5_SQL,
 }

@@ -100,9 +100,13 @@ def votes(n: int, row: np.ndarray, bucket: np.ndarray, lexicon: np.ndarray) -> n
     return out
 
 
-def label_model(ballots: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """The posterior of "toxic" for each row of votes, with the voters' accuracies and correlations from the votes alone."""
+def label_model(ballots: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """The posterior of "toxic" for each row of votes, with the voters' accuracies and correlations from the votes alone.
+
+    The last voter, which says that no other one found anything, only sets where the estimates start.
+    """
     posterior = np.where(ballots[:, -1] == 1, 0.01, 0.9)
+    ballots = ballots[:, :-1]
     for _ in range(rounds):
         share = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
         toxic = posterior @ ballots / max(posterior.sum(), 1e-9)
