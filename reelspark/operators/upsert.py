@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class SchemaChangeError(ValueError):
@@ -69,13 +70,18 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def max_value(df: DataFrame, col: str):
-    """One global MAX, returned to the driver as a literal."""
+    """One global MAX, returned to the driver as a literal (an
+    instant as a naive UTC datetime, whatever zone the driver is in)."""
+    if isinstance(df.schema[col].dataType, T.TimestampType):
+        us = df.agg(F.max(F.unix_micros(col)).alias("m")).first()["m"]
+        return None if us is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
     return df.agg(F.max(col).alias("m")).first()["m"]
 
 
 def lit_of(value) -> Column:
+    """A literal; a naive datetime is UTC."""
     if isinstance(value, dt.datetime):
-        return F.lit(value).cast("timestamp")
+        return F.lit(value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)).cast("timestamp")
     if isinstance(value, dt.date):
         return F.lit(value).cast("date")
     return F.lit(value)

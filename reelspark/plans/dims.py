@@ -47,14 +47,14 @@ def tag_activity(stg_tags: DataFrame) -> DataFrame:
 
 
 def dim_users_from_activity(r: DataFrame, t: DataFrame) -> DataFrame:
-    """Finish M7 from the two per-user aggregates.
-
-    The reference unions the key sets and left-joins both aggregates; a full
-    outer join on the key is the same relation (keys are unique on both sides
-    after aggregation) and needs one join instead of a union, a distinct and
-    two joins.
+    """Finish M7 from the two per-user aggregates: one full outer join on the
+    key, which is unique on both sides. Activity without a user belongs to
+    nobody: it is one row of counts 0, and only where there is such activity.
     """
-    j = r.join(t, "user_id", "full_outer")
+    known = F.col("user_id").isNotNull()
+    nobody = r.where(~known).select("user_id").unionByName(t.where(~known).select("user_id")).distinct()
+    j = (r.where(known).join(t.where(known), "user_id", "full_outer")
+         .unionByName(nobody, allowMissingColumns=True))
     return j.select(
         "user_id",
         F.coalesce("n_ratings", F.lit(0)).cast("long").alias("n_ratings"),

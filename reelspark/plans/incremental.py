@@ -18,11 +18,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import month_start
-from ..operators.upsert import lit_of, lookback_bounds, max_value
+from ..operators.upsert import lit_of
 from ..session import scratch_path
-from ..sources.tables import prune_to, replace_partitions, touched_values
-from . import dims, facts
+from ..sources.tables import PartitionedTable
+from . import dims, fact_build, facts
 from . import inputs as I
 
 # --- fixed values of the two-run scenarios -----------------------------------
@@ -34,6 +33,11 @@ TAG_CUTOFF = dt.datetime(2024, 1, 15)
 T = I.TIEBREAK
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    import uuid
+    return scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Run 1's output as the next run finds it: written as a table in the
     shared checkpoint folder (``spark.checkpoint.dir``), lineage cut."""
@@ -89,47 +93,25 @@ def daily_partition_replace(spark, d, path: str | None = None) -> DataFrame:
     those month partitions. Rewriting whole months also removes days that a
     re-rating emptied (no stale rows inside the rewritten months).
     """
-    import uuid
     f1, f2 = ratings_two_runs(spark, d)
-    f2 = stored(f2)
-    path = path or scratch_path(spark, f"daily_partition_replace/{uuid.uuid4().hex}")
-    d1 = facts.movie_rating_daily(f1).withColumn("rating_month", month_start("rating_date"))
-    d1.write.mode("errorifexists").partitionBy("rating_month").parquet(path)
-
-    target = spark.read.parquet(path)
-    m = max_value(target, "rating_date")
-    _, emit_from = lookback_bounds(m, facts.READ_DAYS, facts.REPROCESS_DAYS)
-    first_month = emit_from.replace(day=1)
-    read_from = first_month - dt.timedelta(days=facts.LONG_WINDOW_DAYS - 1)
-    src = f2.where(F.col("rating_timestamp") >= lit_of(read_from).cast("timestamp"))
-    new = (facts.movie_rating_daily(src)
-           .where(F.col("rating_date") >= lit_of(first_month))
-           .withColumn("rating_month", month_start("rating_date")))
-    replace_partitions(new, path, "rating_month")
-    return spark.read.parquet(path).drop("rating_month")
+    table = PartitionedTable.at(spark, path or _new_folder(spark, "daily"), fact_build.MONTH)
+    fact_build.merge_daily(table, f1).publish()
+    fact_build.merge_daily(table, stored(f2), whole_months=True).publish()
+    return table.read().drop(fact_build.MONTH)
 
 
 def ratings_bucket_merge(spark, d, path: str | None = None, buckets: int = 16) -> DataFrame:
     """fct_ratings stored by user bucket; run 2 reads and rewrites only the
     buckets its batch touches (the merge target is pruned, not rescanned).
     A re-rating keeps its user, hence its bucket, so a key never moves."""
-    import uuid
-    path = path or scratch_path(spark, f"ratings_bucket_merge/{uuid.uuid4().hex}")
     r = I.ratings(spark, d)
-
-    def bucketed(df):
-        return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
-
+    table = PartitionedTable.at(spark, path or _new_folder(spark, "ratings"), fact_build.BUCKET)
     run1 = facts.fct_ratings_full(_split(r, "rating_timestamp", CUTOFF), dedupe=True, tiebreak=T)
-    bucketed(run1).write.mode("errorifexists").partitionBy("user_bucket").parquet(path)
-    target = spark.read.parquet(path)
-    mark = max_value(target, "rating_timestamp")
-    batch = bucketed(facts.latest_ratings(r.where(F.col("rating_timestamp") >= lit_of(mark)), T))
-    touched = touched_values(batch, "user_bucket")
-    old = prune_to(target, "user_bucket", touched)
-    kept = old.join(batch.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_anti")
-    replace_partitions(kept.unionByName(batch.select(*kept.columns)), path, "user_bucket")
-    return spark.read.parquet(path).drop("user_bucket")
+    fact_build.merge_ratings(table, run1, buckets).publish()
+    since = F.timestamp_micros(F.lit(fact_build.stored_mark(table)))
+    batch = facts.latest_ratings(r.where(F.col("rating_timestamp") >= since), T)
+    fact_build.merge_ratings(table, batch, buckets).publish()
+    return table.read().drop(fact_build.BUCKET)
 
 
 def users_dim_incremental(spark, d) -> DataFrame:
@@ -163,9 +145,10 @@ def users_dim_incremental(spark, d) -> DataFrame:
             F.max("last_tag_at").alias("last_tag_at"))
 
     late = F.col("arrived_at") >= lit_of(CUTOFF)
-    rs = merge_rating(rating_state(r.where(~late)), rating_state(r.where(late)))
+    # run 1 stores its state, run 2 reads it again
+    rs = stored(merge_rating(stored(rating_state(r.where(~late))), rating_state(r.where(late))))
     tlate = F.col("tag_timestamp") >= lit_of(TAG_CUTOFF)
-    ts = merge_tag(tag_state(t.where(~tlate)), tag_state(t.where(tlate)))
+    ts = stored(merge_tag(stored(tag_state(t.where(~tlate))), tag_state(t.where(tlate))))
     activity = rs.select("user_id", "n_ratings",
                          (F.col("sum_rating") / F.col("n_ratings")).alias("avg_rating_given"),
                          "first_rating_at", "last_rating_at")

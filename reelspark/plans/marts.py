@@ -39,38 +39,33 @@ def int_movie_tag_relevance(dim_movies: DataFrame, fct_genome_scores: DataFrame,
 # ---------------------------------------------------- mart_tag_genre_affinity
 
 def genre_tag_stats(relevance: DataFrame) -> DataFrame:
-    """Per (genre, tag): distinct films, mean and exact median relevance, in
-    one chain over the relevance rows (the join behind them runs once):
-
-    1. group by (genre, tag, film): the film's score rows (a duplicate genre
-       listing repeats them, as the rows do) and its lowest score; the group
-       is bounded by that film's listings, whatever the size of the genre;
-    2. explode back to rows, marking exactly one row per film;
-    3. histogram (genre, tag, score) -> rows with a non-NULL score, and
-       marked films;
-    4. one window pass and one aggregate give the median, the mean
-       (sum(score * n) / sum(n)) and the film count (sum of marks, i.e.
-       ``COUNT(DISTINCT movie_id)`` with NULL scores included).
-
-    Every aggregate is combinable: a (genre, tag) holding a third of the rows
-    costs one row per distinct rounded score in the window.
+    """Per (genre, tag): distinct films, mean and exact median relevance.
+
+    The relevance rows are counted by (genre, tag, film, score): a film's
+    repeated listings become one row with a count. From these counts,
+
+    1. the histogram (genre, tag, score) with its row counts, and as films
+       the rows of a film's first score (the lowest, a NULL score if it has
+       no other), so that each film counts once;
+    2. one window pass and one aggregate for the median, the mean
+       (sum(score * n) / sum(n)) and the film count
+       (``COUNT(DISTINCT movie_id)`` with NULL scores included).
+
+    Every aggregate is combinable and none keeps a list: a (genre, tag)
+    holding a third of the rows costs one row per distinct rounded score in
+    the window. A tag's name depends on its id and is taken at the end.
     """
-    keys = ["genre", "tag_id", "tag_name"]
+    keys = ["genre", "tag_id"]
     score = F.col("relevance_score")
-    per_film = relevance.groupBy(*keys, "movie_id").agg(
-        F.min(score).alias("_smin"),
-        F.collect_list(F.struct(score.alias("s"))).alias("_ss"))   # keeps NULL scores
-    first = F.coalesce(
-        F.array_position(F.transform("_ss", lambda x: x["s"]), F.col("_smin")) - 1, F.lit(0))
-    rows = (per_film.select(*keys, first.alias("_first"),
-                            F.posexplode("_ss").alias("_pos", "_x"))
-            .select(*keys, F.col("_x.s").alias("relevance_score"),
-                    (F.col("_pos") == F.col("_first")).alias("_is_first")))
-    counts = rows.groupBy(*keys, "relevance_score").agg(
-        F.count_if(score.isNotNull()).alias("_cnt"),
-        F.count_if(F.col("_is_first")).alias("_films"))
-    return median_from_counts(counts, keys, "relevance_score", "median_relevance",
-                              mean="avg_relevance", extra={"n_movies": F.sum("_films")})
+    films = relevance.groupBy(*keys, "movie_id", "relevance_score").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("tag_name").alias("_name"))
+    first = Window.partitionBy(*keys, "movie_id").orderBy(score.asc_nulls_last())
+    marked = films.withColumn("_first", F.row_number().over(first) == 1)
+    counts = marked.groupBy(*keys, "relevance_score").agg(
+        F.sum(F.when(score.isNotNull(), F.col("_rows")).otherwise(0)).alias("_cnt"),
+        F.count_if("_first").alias("_films"), F.max("_name").alias("_name"))
+    return median_from_counts(counts, keys, "relevance_score", "median_relevance", mean="avg_relevance",
+                              extra={"n_movies": F.sum("_films"), "tag_name": F.max("_name")})
 
 
 def mart_tag_genre_affinity(relevance: DataFrame, genre_groups: DataFrame) -> DataFrame:
@@ -83,8 +78,8 @@ def mart_tag_genre_affinity(relevance: DataFrame, genre_groups: DataFrame) -> Da
     the unweighted mean of per-genre means; rank uses the unrounded lift.
     """
     stats = genre_tag_stats(relevance)
-    scored = (stats.join(F.broadcast(genre_groups.select(
-                  "genre", "genre_group", "is_format_not_genre")), "genre", "left")
+    scored = (stats.join(genre_groups.select(
+                  "genre", "genre_group", "is_format_not_genre"), "genre", "left")
               .where(~F.coalesce(F.col("is_format_not_genre"), F.lit(False))))
     lift = F.col("avg_relevance") - F.avg("avg_relevance").over(Window.partitionBy("tag_id"))
     rank_w = Window.partitionBy("genre").orderBy(F.col("_lift").desc_nulls_last())

@@ -10,19 +10,20 @@ Materialisation per layer, as in the reference:
 
 Write-audit-publish: a table is written as an uncommitted version, its
 checks run against the written files, and only then is the version
-committed. A relation whose checks fail is not published and every relation
-that depends on it is skipped; independent branches still build. The two
-incremental facts are merged in place and audited right after the merge (as
-the reference tests a model after building it); a failing audit still
-blocks their dependents.
-
-Incremental facts are stored partitioned so that a run rewrites only what it
-can change: fct_ratings by user bucket (a re-rating keeps its user, so a key
-never changes partition) and fct_movie_rating_daily by month of the day
-(the key contains the day). A run reads its high-water mark from a one-row
-sidecar instead of scanning the target, rewrites the touched partitions, and
-audits only those partitions. See ``plans.incremental`` for the same logic
-on test tables.
+committed. The two incremental facts are staged partition by partition
+(``plans.fact_build``) and published together with their high-water mark. A
+relation whose checks or merge fail is not published, the version before it
+stays served, and every relation that depends on it is skipped; independent
+branches still build. As the mark does not move either, the next run meets
+the same rows and fails again until they are mended.
+
+The raw sources are checked first, and the film history (snapshot) is part of
+a build that is given its run time.
+
+fct_ratings is stored by user bucket (a re-rating keeps its user, so a key
+never changes partition) and fct_movie_rating_daily by month of the day (the
+key contains the day). Checks of a fact run on the partitions that the run
+wrote to; relationships run on the whole table, as a parent may lose a key.
 """
 
 from __future__ import annotations
@@ -34,18 +35,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import month_start
 from ..operators.checks import Check, CheckFailed, gate, summarize
-from ..operators.upsert import assert_unique_keys, lit_of, lookback_bounds, max_value
+from ..operators.upsert import DuplicateKeyError, SchemaChangeError
 from ..sources.freshness import Freshness, freshness_gate, source_freshness
-from ..sources.tables import Table, prune_to, replace_partitions, touched_values
-from . import dims, facts, marts, staging
+from ..sources.tables import PartitionedTable, Table
+from . import dims, fact_build, facts, marts, staging
 from .quality import REFERENCE_GENRE_GROUPS, declared_checks
 
 RATING_BUCKETS = 64
 
 # relation -> (materialisation, upstream relations its build or checks need)
 DAG: dict[str, tuple[str, tuple[str, ...]]] = {
+    "raw_movies": ("source", ()),
+    "raw_ratings": ("source", ()),
+    "raw_tags": ("source", ()),
+    "raw_genome_scores": ("source", ()),
+    "raw_genome_tags": ("source", ()),
     "seed_genre_groups": ("table", ()),
     "stg_movies": ("view", ("raw_movies",)),
     "stg_ratings": ("view", ("raw_ratings",)),
@@ -61,7 +66,10 @@ DAG: dict[str, tuple[str, tuple[str, ...]]] = {
     "int_movie_tag_relevance": ("ephemeral", ("dim_movies", "fct_genome_scores", "dim_genome_tags")),
     "mart_tag_genre_affinity": ("table", ("int_movie_tag_relevance", "seed_genre_groups")),
     "mart_user_cohort_retention": ("table", ("dim_users", "fct_ratings")),
+    "snap_movies": ("snapshot", ("raw_movies",)),
 }
+#: What a relation can fail of without stopping the others.
+FAILURES = (CheckFailed, DuplicateKeyError, SchemaChangeError, fact_build.BucketCountError)
 
 
 @dataclass
@@ -70,6 +78,7 @@ class BuildResult:
     failed: dict[str, str] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
     warnings: list[dict] = field(default_factory=list)
+    executed: int = 0  # checks that ran
 
     @property
     def ok(self) -> bool:
@@ -99,35 +108,9 @@ class Pipeline:
     def table(self, name: str) -> Table:
         return Table(self.spark, self.base, name, self.namespace)
 
-    def fact_path(self, name: str) -> str:
-        return f"{self.base.rstrip('/')}/{self.namespace}/{name}/data"
-
-    def _mark_path(self, name: str) -> str:
-        return f"{self.base.rstrip('/')}/{self.namespace}/{name}/high_water_mark"
-
-    def _read_mark(self, name: str):
-        """The stored high-water mark (one row), or None."""
-        try:
-            row = self.spark.read.schema("mark string").json(self._mark_path(name)).first()
-        except Exception:  # noqa: BLE001 - no mark stored yet
-            return None
-        if row is None or row["mark"] is None:
-            return None
-        v = dt.datetime.fromisoformat(row["mark"])
-        return v.date() if len(row["mark"]) == 10 else v
-
-    def _write_mark(self, name: str, mark) -> None:
-        """Written after the data: a lagging mark only re-reads rows (the merge
-        is idempotent); a mark ahead of the data would skip rows."""
-        (self.spark.createDataFrame([(mark.isoformat(),)], "mark string").coalesce(1)
-         .write.mode("overwrite").json(self._mark_path(name)))
-
-    def _read_fact(self, name: str) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(self.fact_path(name))
-        except Exception:  # noqa: BLE001 - absent table = first run
-            return None
-        return df if df.columns else None
+    def fact(self, name: str) -> PartitionedTable:
+        column = fact_build.BUCKET if name == "fct_ratings" else fact_build.MONTH
+        return PartitionedTable(self.spark, self.base, name, self.namespace, column)
 
     # ----------------------------------------------------------------- build
     def _build(self, name: str, t: dict[str, DataFrame]) -> DataFrame:
@@ -161,79 +144,22 @@ class Pipeline:
             return marts.mart_user_cohort_retention(t["dim_users"], t["fct_ratings"])
         raise KeyError(name)
 
-    def _incremental_ratings(self, t, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
-        """fct_ratings: rows at/after the high-water mark, merged into the
-        touched user buckets only (X5); first run writes everything.
-        Returns (whole table, partitions this run rewrote)."""
-        path = self.fact_path("fct_ratings")
-        target = None if full_refresh else self._read_fact("fct_ratings")
-        stg = t["stg_ratings"].select(*facts.RATING_COLS)
-
-        def bucketed(df):
-            return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(self.rating_buckets)))
-
-        mark = None
-        if target is not None:
-            # the stored mark avoids a full scan of the target; scan if absent
-            mark = self._read_mark("fct_ratings") or max_value(target, "rating_timestamp")
-        touched = None
-        if mark is None:                                        # first run / empty (I4)
-            bucketed(stg).write.mode("overwrite").partitionBy("user_bucket").parquet(path)
-            new_mark = max_value(self.spark.read.parquet(path), "rating_timestamp")
-        else:
-            batch = bucketed(stg.where(F.col("rating_timestamp") >= lit_of(mark)))
-            assert_unique_keys(batch, facts.RATING_KEYS)
-            # one small job: buckets to rewrite and the batch's newest instant
-            info = batch.agg(F.collect_set("user_bucket").alias("b"),
-                             F.max("rating_timestamp").alias("m")).first()
-            touched = list(info["b"])
-            old = prune_to(target, "user_bucket", touched)
-            kept = old.join(batch.select(*facts.RATING_KEYS), list(facts.RATING_KEYS), "left_anti")
-            replace_partitions(kept.unionByName(batch.select(*kept.columns)), path, "user_bucket")
-            new_mark = max(mark, info["m"]) if info["m"] is not None else mark
-        if new_mark is not None:
-            self._write_mark("fct_ratings", new_mark)
-        written = self.spark.read.parquet(path)
-        scope = written if touched is None else prune_to(written, "user_bucket", touched)
-        return written.drop("user_bucket"), scope.drop("user_bucket")
-
-    def _incremental_daily(self, t, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
-        """fct_movie_rating_daily: bounded lookback, merged on (film, day) into
-        the month partitions of the emitted window only.
-        Returns (whole table, partitions this run rewrote)."""
-        path = self.fact_path("fct_movie_rating_daily")
-        target = None if full_refresh else self._read_fact("fct_movie_rating_daily")
-        m, months = None, None
-        if target is not None:
-            m = self._read_mark("fct_movie_rating_daily") or max_value(target, "rating_date")
-        if m is None:
-            out = facts.movie_rating_daily(t["fct_ratings"])
-            (out.withColumn("rating_month", month_start("rating_date"))
-             .write.mode("overwrite").partitionBy("rating_month").parquet(path))
-        else:
-            read_from, emit_from = lookback_bounds(m, facts.READ_DAYS, facts.REPROCESS_DAYS)
-            src = t["fct_ratings"].where(F.col("rating_timestamp") >= lit_of(read_from).cast("timestamp"))
-            emitted = (facts.movie_rating_daily(src).where(F.col("rating_date") >= lit_of(emit_from))
-                       .withColumn("rating_month", month_start("rating_date")))
-            months = touched_values(emitted, "rating_month")
-            old = prune_to(target, "rating_month", months)
-            kept = old.join(emitted.select(*facts.DAILY_KEYS), list(facts.DAILY_KEYS), "left_anti")
-            replace_partitions(kept.unionByName(emitted.select(*kept.columns)), path, "rating_month")
-        # the newest day can only be in the newest month partition
-        written = self.spark.read.parquet(path)
-        last_month = max_value(written, "rating_month")
-        if last_month is not None:
-            self._write_mark("fct_movie_rating_daily", max_value(
-                written.where(F.col("rating_month") == lit_of(last_month)), "rating_date"))
-        scope = written if months is None else prune_to(written, "rating_month", months)
-        return written.drop("rating_month"), scope.drop("rating_month")
+    def _merged(self, name: str, t: dict[str, DataFrame], full_refresh: bool) -> fact_build.Candidate:
+        tbl = self.fact(name)
+        if name == "fct_movie_rating_daily":
+            return fact_build.merge_daily(tbl, t["fct_ratings"], full_refresh)
+        since = None if full_refresh or not tbl.exists() else fact_build.stored_mark(tbl)
+        return fact_build.merge_ratings(tbl, staging.stg_ratings(self.raw["raw_ratings"], since_us=since),
+                                        self.rating_buckets, full_refresh)
 
     # ------------------------------------------------------------------- run
     def run(self, full_refresh: bool = False, now: dt.datetime | None = None) -> BuildResult:
-        """Build every relation in DAG order; ``now`` is the freshness clock."""
+        """Build every relation in DAG order; ``now`` (UTC) is the freshness
+        clock and the run time of the film history."""
         res = BuildResult()
+        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         if self.freshness:
-            report = source_freshness(self.spark, self.freshness, now or dt.datetime.now())
+            report = source_freshness(self.spark, self.freshness, now)
             res.warnings.extend(freshness_gate(report))
         t: dict[str, DataFrame] = dict(self.raw)
         blocked: set[str] = set()
@@ -244,14 +170,17 @@ class Pipeline:
                 continue
             try:
                 if mat == "incremental":
-                    # audit only the partitions this run rewrote: every check
-                    # on these facts is local to a partition (the grain keys
-                    # never span two user buckets / months)
-                    df, scope = (self._incremental_ratings(t, full_refresh) if name == "fct_ratings"
-                                 else self._incremental_daily(t, full_refresh))
-                    t[name] = df
-                    self._audit(name, scope, t, res)
-                    res.published[name] = self.fact_path(name)
+                    made = self._merged(name, t, full_refresh)
+                    t[name] = made.whole()
+                    cs = self.checks.get(name, [])
+                    self._audit(name, made.changed(), t, res, [c for c in cs if c.kind != "relationships"])
+                    self._audit(name, t[name], t, res, [c for c in cs if c.kind == "relationships"])
+                    made.publish()
+                    res.published[name] = made.version
+                elif mat == "source":
+                    self._audit(name, t[name], t, res)
+                elif mat == "snapshot":
+                    res.published[name] = self.snapshot_movies(now)
                 elif mat == "table":
                     tbl = self.table(name)
                     version = tbl.stage(self._build(name, t))
@@ -264,7 +193,7 @@ class Pipeline:
                     df = self._build(name, t)
                     t[name] = df
                     self._audit(name, df, t, res)
-            except CheckFailed as e:
+            except FAILURES as e:
                 res.failed[name] = str(e)
                 blocked.add(name)
         return res
@@ -283,7 +212,9 @@ class Pipeline:
         tbl.commit(version, {"run_ts": run_ts.isoformat()})
         return version
 
-    def _audit(self, name: str, df: DataFrame, t: dict[str, DataFrame], res: BuildResult) -> None:
-        cs = self.checks.get(name, [])
+    def _audit(self, name: str, df: DataFrame, t: dict[str, DataFrame], res: BuildResult,
+               checks: list[Check] | None = None) -> None:
+        cs = self.checks.get(name, []) if checks is None else checks
+        res.executed += len(cs)
         if cs:
             res.warnings.extend(gate(summarize(name, df, cs, t), {c.name: c for c in cs}))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import to_timestamp_any
 
@@ -22,8 +23,17 @@ def stg_movies(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("movieId").alias("movie_id"), "title", "genres")
 
 
-def stg_ratings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """M2: epoch seconds (or timestamp_ntz) -> timestamp."""
+def stg_ratings(raw: DataFrame, keep: tuple[str, ...] = (), since_us: int | None = None) -> DataFrame:
+    """M2: epoch seconds (or timestamp_ntz) -> timestamp.
+
+    ``since_us`` keeps the rows at or after an instant (microseconds since
+    1970, UTC). It is compared with the raw column, so the scan can skip.
+    """
+    if since_us is not None:
+        kind = raw.schema["timestamp"].dataType
+        mark = (F.lit(since_us // 1_000_000) if isinstance(kind, T.LongType)
+                else F.timestamp_micros(F.lit(since_us)).cast(kind))
+        raw = raw.where(F.col("timestamp") >= mark)
     return raw.select(F.col("userId").alias("user_id"),
                       F.col("movieId").alias("movie_id"),
                       F.col("rating").cast("double").alias("rating"),

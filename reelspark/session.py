@@ -63,7 +63,7 @@ def build_session(master: str | None = None, app: str = "reelspark",
     return configure(spark)
 
 
-_FALLBACK: dict[int, str] = {}
+_FALLBACK: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -74,10 +74,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     tests) a fallback is set, so lineage can still be cut with
     ``DataFrame.checkpoint()``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(id(spark))
+    app = spark.conf.get("spark.app.id", "")
+    d = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(app)
     if not d:
+        if not fallback and not spark.conf.get("spark.master", "local").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = fallback or tempfile.mkdtemp(prefix="reelspark-ckpt-")
-        _FALLBACK[id(spark)] = d
+        _FALLBACK[app] = d
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - a session may refuse runtime core confs

@@ -1,7 +1,7 @@
 """S16 + Q10: source freshness from load metadata, not event time.
 
 The age of a source is ``now - max(file modification time)`` of its files
-(``_metadata.file_modification_time``, read without scanning data columns).
+(read from the file listing, one row for each file).
 Thresholds are per source; a source with no thresholds is 'disabled'.
 ``now`` is an argument, so a run is reproducible.
 """
@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import lit_of
+
 # --- fixed values: the reference's thresholds (monthly load cadence) ---------
 WARN_AFTER_DAYS = 35
 ERROR_AFTER_DAYS = 60
@@ -40,21 +42,25 @@ class StaleSourceError(RuntimeError):
 
 def _status(age_days, warn, error):
     age = F.col(age_days)
-    st = F.when(F.lit(error).isNotNull() & (age > F.lit(error)), F.lit("error"))
+    # thresholds and nothing loaded: the source is not fresh
+    st = F.when(age.isNull(), F.lit("error"))
+    st = st.when(F.lit(error).isNotNull() & (age > F.lit(error)), F.lit("error"))
     st = st.when(F.lit(warn).isNotNull() & (age > F.lit(warn)), F.lit("warn"))
     return st.otherwise(F.lit("pass"))
 
 
 def last_loaded(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """One row: the newest file modification time under ``path``."""
-    df = spark.read.format(fmt).load(path)
-    return df.select(F.max("_metadata.file_modification_time").alias("last_loaded_at"))
+    # one row for each file; the content column is not read
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", f"*.{fmt}").load(path))
+    return files.select(F.max("modificationTime").alias("last_loaded_at"))
 
 
 def source_freshness(spark: SparkSession, sources: Mapping[str, Freshness],
                      now: dt.datetime) -> DataFrame:
     """(source, last_loaded_at, age_days, warn_after_days, error_after_days, status)."""
-    now_lit = F.lit(now).cast("timestamp")
+    now_lit = lit_of(now)
     parts = []
     for name, s in sources.items():
         if s.disabled:
@@ -79,5 +85,7 @@ def freshness_gate(report: DataFrame) -> list[dict]:
     rows = [r.asDict() for r in report.where(F.col("status").isin("warn", "error")).collect()]
     errors = [r for r in rows if r["status"] == "error"]
     if errors:
-        raise StaleSourceError(", ".join(f"{r['source']} is {r['age_days']:.1f} days old" for r in errors))
+        raise StaleSourceError(", ".join(
+            f"{r['source']} is empty" if r["age_days"] is None else f"{r['source']} is {r['age_days']:.1f} days old"
+            for r in errors))
     return rows

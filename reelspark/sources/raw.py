@@ -1,7 +1,10 @@
 """Typed source scans.
 
 Locations are arguments, never hard-coded. Schemas are explicit, so no scan
-infers types and a drifted extract fails at read time instead of downstream.
+infers types. A CSV extract is bound to the schema by the names in its header,
+in any order and with doubled quotes; an extract without one of the columns
+raises ``MissingColumnError`` (in either format) instead of giving NULLs, and
+a value of another type fails the read.
 """
 
 from __future__ import annotations
@@ -45,13 +48,31 @@ RAW_SCHEMAS = {
 }
 
 
+class MissingColumnError(ValueError):
+    """An extract lacks a column of its schema."""
+
+
 def read_source(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet", header: bool = True) -> DataFrame:
     """Scan one source with an explicit schema (parquet or csv)."""
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", header).option("mode", "FAILFAST").csv(path)
-    return reader.format(fmt).load(path)
+        options = {"header": header, "mode": "FAILFAST", "escape": '"', "quote": '"', "enforceSchema": False}
+        if header:
+            # The header alone tells the order of the columns; all are read as text for that, from the first rows.
+            names = spark.read.options(header=True, escape='"', quote='"', inferSchema=False).csv(path).columns
+            _require(path, schema, names)
+            by_name = {f.name.lower(): f for f in schema.fields}
+            found = T.StructType([T.StructField(n, by_name[n.lower()].dataType if n.lower() in by_name else T.StringType()) for n in names])
+            return spark.read.schema(found).options(**options).csv(path).select(*schema.fieldNames())
+        return spark.read.schema(schema).options(**options).csv(path)
+    _require(path, schema, spark.read.format(fmt).load(path).columns)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def _require(path: str, schema: T.StructType, names: list[str]) -> None:
+    there = {n.lower() for n in names}
+    if missing := [n for n in schema.fieldNames() if n.lower() not in there]:
+        raise MissingColumnError(f"{path} has no column {', '.join(missing)}")
 
 
 def read_raw(spark: SparkSession, base: str, name: str, fmt: str = "csv") -> DataFrame:

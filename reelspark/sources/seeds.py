@@ -28,9 +28,6 @@ GENRE_GROUPS_SCHEMA = T.StructType([
 GENRE_GROUPS = "genre_groups.csv"
 GENRE_GROUPS_TESTDATA = "genre_groups_testdata.csv"
 
-# A seed must stay small enough to broadcast; a bigger file is a data source.
-MAX_SEED_ROWS = 10_000
-
 
 def _parse(value: str, dtype: T.DataType):
     if value == "":
@@ -57,15 +54,13 @@ def seed_rows(name: str, schema: T.StructType = GENRE_GROUPS_SCHEMA) -> list[tup
             raise ValueError(f"seed {name}: header {header} != {schema.fieldNames()}")
         rows = [tuple(_parse(v, f.dataType) for v, f in zip(r, schema.fields))
                 for r in reader if r]
-    if len(rows) > MAX_SEED_ROWS:
-        raise ValueError(f"seed {name} has {len(rows)} rows; load it as a source")
     return rows
 
 
 def load_seed(spark: SparkSession, name: str = GENRE_GROUPS,
               schema: T.StructType = GENRE_GROUPS_SCHEMA) -> DataFrame:
-    """The seed as a broadcast-hinted DataFrame (size bounded by MAX_SEED_ROWS)."""
-    return F.broadcast(spark.createDataFrame(seed_rows(name, schema), schema))
+    """A packaged seed; how it is joined is Spark's choice, by its size."""
+    return spark.createDataFrame(seed_rows(name, schema), schema)
 
 
 def read_seed_csv(spark: SparkSession, path: str,

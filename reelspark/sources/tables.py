@@ -9,9 +9,14 @@ Publishing writes a complete new version and only then appends a commit
 record, so readers never see a half-written table, a failed write leaves the
 current version untouched, and no plan ever overwrites a path it reads (a
 static overwrite of an input path destroys the input). Restoring is
-appending a commit that points at an older version (S20). The commit record
-is written with ``errorifexists``: two writers racing for the same sequence
-number cannot both succeed. ``namespace`` scopes dev / prod / ci outputs (S21).
+appending a commit that points at an older version (S20). A table has one
+writer at a time: the commit record is refused when its sequence number
+exists, but two writers that check at the same instant are not told apart.
+``namespace`` scopes dev / prod / ci outputs (S21).
+
+A ``PartitionedTable`` keeps, in its commit record, which staged versions
+hold each partition. A run writes the partitions it changes (or rows it
+appends to one) as a new version, and readers see them only with the commit.
 
 Every operation is a plain DataFrame read or write, so it works on any
 Hadoop-compatible file system the cluster uses.
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +71,19 @@ class Table:
         return [r.asDict() for r in rows]
 
     def current(self) -> dict | None:
-        log = self.commits()
-        return log[-1] if log else None
+        """The newest commit; the log itself stays where it is."""
+        try:
+            row = (self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
+                   .orderBy(F.desc("seq")).first())
+        except AnalysisException as e:
+            if _missing(e):
+                return None
+            raise
+        return row.asDict() if row else None
+
+    def _next(self) -> int:
+        cur = self.current()
+        return cur["seq"] + 1 if cur else 1
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -100,9 +117,7 @@ class Table:
     def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write a complete new version without making it current (the
         'write' of write-audit-publish). Returns the version name."""
-        import uuid
-        log = self.commits()
-        seq = (log[-1]["seq"] + 1) if log else 1
+        seq = self._next()
         # unique per attempt: two writers staging at once never share files;
         # only one of them can then write the commit record for ``seq``
         version = f"v{seq:08d}-{uuid.uuid4().hex[:12]}"
@@ -114,8 +129,7 @@ class Table:
 
     def commit(self, version: str, props: dict | None = None, op: str = "publish") -> None:
         """Make a staged version current (the 'publish')."""
-        log = self.commits()
-        seq = (log[-1]["seq"] + 1) if log else 1
+        seq = self._next()
         if not version.startswith(f"v{seq:08d}-"):
             raise RuntimeError(f"{self.root}: {version} was staged against an older log (next is {seq})")
         self._commit(seq, version, op, props)
@@ -135,6 +149,52 @@ class Table:
         self._commit(log[-1]["seq"] + 1, version, "restore", {"restored": version})
 
 
+class PartitionedTable(Table):
+    """A table stored by the values of one column, changed partition by partition."""
+
+    def __init__(self, spark: SparkSession, base: str, name: str, namespace: str, column: str):
+        super().__init__(spark, base, name, namespace)
+        self.column = column
+
+    @classmethod
+    def at(cls, spark: SparkSession, path: str, column: str) -> "PartitionedTable":
+        """The table whose folder is ``path``."""
+        base, namespace, name = path.rstrip("/").rsplit("/", 2)
+        return cls(spark, base, name, namespace, column)
+
+    def parts(self) -> dict[str, list[str]]:
+        """Partition value (as in its folder's name) -> versions that hold its rows."""
+        return self.props().get("parts", {})
+
+    def frame(self, parts: dict[str, list[str]], schema: T.StructType) -> DataFrame:
+        """The rows of the given partitions."""
+        paths = [f"{self.root}/parts/version={v}/{self.column}={value}" for value, vs in parts.items() for v in vs]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/parts")
+        return reader.parquet(*paths).select(*schema.names)
+
+    def read(self, version: str | None = None) -> DataFrame:
+        """All rows (of the newest commit, or of the one that made ``version`` current)."""
+        cur = self.current() if version is None else next((c for c in reversed(self.commits()) if c["version"] == version), None)
+        if cur is None:
+            raise TableNotFound(self.root)
+        props = json.loads(cur["props"])
+        return self.frame(props["parts"], T.StructType.fromJson(props["schema"]))
+
+    def stage_parts(self, df: DataFrame) -> tuple[str, list[str]]:
+        """Writes rows as a new version; returns it and the partition values it has. Spark sizes the
+        files: small partitions share a task, a large one is split."""
+        version = f"v{self._next():08d}-{uuid.uuid4().hex[:12]}"
+        path = f"{self.root}/parts/version={version}"
+        df.hint("rebalance", self.column).write.partitionBy(self.column).parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path).select(F.col(self.column).cast("string")).distinct().collect()
+        return version, ["__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0] for r in found]
+
+    def commit_parts(self, version: str, parts: dict[str, list[str]], schema: T.StructType, props: dict) -> None:
+        self.commit(version, {**props, "parts": parts, "schema": schema.jsonValue()})
+
+
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic mode).
 

@@ -5,7 +5,8 @@ functions run live here:
 
 * ``start_ratings_upsert``: new raw rating files -> staging -> merge into
   fct_ratings (S7, per user bucket, X5) and re-derive the touched window of
-  the daily fact (S9/S10), once per micro-batch in ``foreachBatch``. The merge
+  the daily fact (S9/S10), once per micro-batch in ``foreachBatch``, by the
+  same staged merge as the build (``plans.fact_build``). The merge
   is idempotent (same batch twice = same table), so a micro-batch replayed
   after an executor or driver loss leaves the table as if it ran once; the
   streaming checkpoint records which files each batch consumed.
@@ -23,81 +24,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import month_start
 from ..operators.latest import latest_per_key
-from ..operators.upsert import lit_of, lookback_bounds, max_value
-from ..plans import facts, staging
+from ..plans import fact_build, facts, staging
 from ..session import scratch_path
-from ..sources.tables import prune_to, replace_partitions, touched_values
+from ..sources.tables import PartitionedTable
 
 BUCKETS = 64
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent table
-        return None
-    return df if df.columns else None
-
-
-def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
-
-
 def merge_ratings_batch(spark: SparkSession, batch: DataFrame, ratings_path: str,
-                        buckets: int = BUCKETS, order: tuple[str, ...] = ("rating_timestamp",)) -> DataFrame:
-    """Merge one batch of staged ratings into the bucketed fct_ratings table.
+                        buckets: int = BUCKETS, order: tuple[str, ...] = ("rating_timestamp",)) -> None:
+    """Merge one batch of staged ratings into the fct_ratings table at ``ratings_path``.
 
     Within the batch the latest row per (user, film) wins (``order`` must be
-    total within a key); against the table, the row with the later
-    ``order`` tuple wins, so replaying a batch or receiving rows out of order
-    cannot move a key backwards. Only touched buckets are read and rewritten.
-    Returns the batch rows that were applied.
+    total within a key); against the table the later event wins and on equal
+    times the batch does, so replaying a batch or receiving rows out of order
+    cannot move a key backwards.
     """
-    cols = list(facts.RATING_COLS)
-    latest = latest_per_key(batch, facts.RATING_KEYS, order, ["rating"]).select(*cols)
-    new = _bucketed(latest, buckets)
-    target = _read(spark, ratings_path)
-    if target is None:
-        new.write.mode("overwrite").partitionBy("user_bucket").parquet(ratings_path)
-        return latest
-    touched = touched_values(new, "user_bucket")
-    old = (prune_to(target, "user_bucket", touched).select(*cols, "user_bucket")
-           .withColumn("_newer", F.lit(0)))
-    both = old.unionByName(new.withColumn("_newer", F.lit(1)))
-    # later event time wins; on an equal time the batch row wins (as in MERGE)
-    merged = latest_per_key(both, facts.RATING_KEYS, ["rating_timestamp", "_newer"],
-                            ["rating", "user_bucket"])
-    replace_partitions(merged.select(*cols, "user_bucket"), ratings_path, "user_bucket")
-    return latest
+    keys = list(facts.RATING_KEYS)
+    table = PartitionedTable.at(spark, ratings_path, fact_build.BUCKET)
+    latest = latest_per_key(batch, keys, order, ["rating"]).select(*facts.RATING_COLS)
+    if table.exists():
+        held = table.read().select(*keys, F.col("rating_timestamp").alias("_held"))
+        late = latest.join(held, keys).where(F.col("_held") > F.col("rating_timestamp")).select(*keys)
+        latest = latest.join(late, keys, "left_anti").select(*facts.RATING_COLS)
+    fact_build.merge_ratings(table, latest, buckets).publish()
 
 
 def refresh_daily(spark: SparkSession, ratings_path: str, daily_path: str) -> None:
     """Recompute the daily fact's lookback window from fct_ratings and replace
-    the touched month partitions (whole months, so emptied days disappear)."""
-    ratings = spark.read.parquet(ratings_path).drop("user_bucket")
-    target = _read(spark, daily_path)
-    m = max_value(target, "rating_date") if target is not None else None
-    if m is None:
-        out = facts.movie_rating_daily(ratings).withColumn("rating_month", month_start("rating_date"))
-        out.write.mode("overwrite").partitionBy("rating_month").parquet(daily_path)
-        return
-    import datetime as dt
-    _, emit_from = lookback_bounds(m, facts.READ_DAYS, facts.REPROCESS_DAYS)
-    first_month = emit_from.replace(day=1)
-    read_from = first_month - dt.timedelta(days=facts.LONG_WINDOW_DAYS - 1)
-    src = ratings.where(F.col("rating_timestamp") >= lit_of(read_from).cast("timestamp"))
-    new = (facts.movie_rating_daily(src).where(F.col("rating_date") >= lit_of(first_month))
-           .withColumn("rating_month", month_start("rating_date")))
-    replace_partitions(new, daily_path, "rating_month")
+    the touched months (whole months, so emptied days disappear)."""
+    ratings = PartitionedTable.at(spark, ratings_path, fact_build.BUCKET).read().drop(fact_build.BUCKET)
+    daily = PartitionedTable.at(spark, daily_path, fact_build.MONTH)
+    fact_build.merge_daily(daily, ratings, whole_months=True).publish()
 
 
 def start_ratings_upsert(spark: SparkSession, source_dir: str, schema: T.StructType,
                          ratings_path: str, daily_path: str | None = None,
                          checkpoint: str | None = None, fmt: str = "parquet",
-                         available_now: bool = True, max_files_per_trigger: int | None = None
-                         ) -> StreamingQuery:
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         buckets: int = BUCKETS) -> StreamingQuery:
     """Stream raw rating files into fct_ratings (and the daily fact)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
@@ -106,7 +72,7 @@ def start_ratings_upsert(spark: SparkSession, source_dir: str, schema: T.StructT
     staged = staging.stg_ratings(raw)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        merge_ratings_batch(spark, batch, ratings_path)
+        merge_ratings_batch(spark, batch, ratings_path, buckets)
         if daily_path:
             refresh_daily(spark, ratings_path, daily_path)
 
@@ -118,7 +84,7 @@ def start_ratings_upsert(spark: SparkSession, source_dir: str, schema: T.StructT
 
 def start_user_activity(spark: SparkSession, source_dir: str, schema: T.StructType,
                         activity_path: str, checkpoint: str | None = None, fmt: str = "parquet",
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, buckets: int = BUCKETS) -> StreamingQuery:
     """X3 as a streaming aggregation: per-user (n, sum, min, max) kept in the
     state store; each micro-batch emits the users it changed (update mode),
     which replace their rows in the activity table (bucketed by user)."""
@@ -129,15 +95,10 @@ def start_user_activity(spark: SparkSession, source_dir: str, schema: T.StructTy
         F.max("rating_timestamp").alias("last_rating_at")))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        new = _bucketed(batch, BUCKETS)
-        target = _read(spark, activity_path)
-        if target is None:
-            new.write.mode("overwrite").partitionBy("user_bucket").parquet(activity_path)
-            return
-        touched = touched_values(new, "user_bucket")
-        old = prune_to(target, "user_bucket", touched)
-        kept = old.join(new.select("user_id"), "user_id", "left_anti")
-        replace_partitions(kept.unionByName(new.select(*kept.columns)), activity_path, "user_bucket")
+        new = batch.withColumn(fact_build.BUCKET, F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+        table = PartitionedTable.at(spark, activity_path, fact_build.BUCKET)
+        made = fact_build.upsert(table, new, ["user_id"]) if table.exists() else fact_build.first(table, new)
+        made.publish()
 
     w = (agg.writeStream.outputMode("update").foreachBatch(each)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "streams/user_activity")))

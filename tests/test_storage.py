@@ -11,7 +11,8 @@ from reelspark.operators.dml import conditional_update, delete_where, insert_if_
 from reelspark.sources import testdata
 from reelspark.sources.freshness import (Freshness, StaleSourceError, freshness_gate,
                                          source_freshness)
-from reelspark.sources.tables import Table, replace_partitions
+from reelspark.plans import fact_build
+from reelspark.sources.tables import PartitionedTable, Table, replace_partitions
 
 from .conftest import SF0001
 
@@ -105,16 +106,15 @@ def test_pipeline_gates_dependents(spark, tmp_base):
     p2 = Pipeline(spark, tmp_base, "dev", raw2, seeds.load_seed(spark, seeds.GENRE_GROUPS_TESTDATA),
                   accepted_genre_groups=TESTDATA_GENRE_GROUPS)
     assert p2.run().ok
-    n1 = spark.read.parquet(p2.fact_path("fct_movie_rating_daily")).count()
+    daily, ratings = p2.fact("fct_movie_rating_daily"), p2.fact("fct_ratings")
+    n1 = daily.read().count()
     assert p2.run().ok
-    assert spark.read.parquet(p2.fact_path("fct_movie_rating_daily")).count() == n1
+    assert daily.read().count() == n1
     # stored high-water marks equal the tables' maxima (no target scan needed)
-    fr = spark.read.parquet(p2.fact_path("fct_ratings"))
-    assert p2._read_mark("fct_ratings") == fr.agg(F.max("rating_timestamp")).first()[0]
-    fd = spark.read.parquet(p2.fact_path("fct_movie_rating_daily"))
-    assert p2._read_mark("fct_movie_rating_daily") == fd.agg(F.max("rating_date")).first()[0]
+    assert fact_build.stored_mark(ratings) == ratings.read().agg(F.max(F.unix_micros("rating_timestamp"))).first()[0]
+    assert daily.props()["last_day"] == str(daily.read().agg(F.max("rating_date")).first()[0])
     assert p2.table("dim_users").read().count() > 0
-    v = p2.snapshot_movies(dt.datetime(2024, 1, 1))
+    v = p2.snapshot_movies(dt.datetime(2100, 1, 1))
     assert p2.table("snap_movies").read(v).where("valid_to IS NULL").count() == raw["raw_movies"].count()
 
 
@@ -137,13 +137,13 @@ def test_streaming_upsert_matches_batch(spark, tmp_base):
     q = start_ratings_upsert(spark, src + "/*", RAW_RATINGS, os.path.join(tmp_base, "fct"),
                              os.path.join(tmp_base, "daily"), checkpoint=os.path.join(tmp_base, "ck1"))
     q.awaitTermination(300)
-    got = spark.read.parquet(os.path.join(tmp_base, "fct")).drop("user_bucket")
+    got = PartitionedTable.at(spark, os.path.join(tmp_base, "fct"), "user_bucket").read().drop("user_bucket")
     from reelspark.plans.staging import stg_ratings
     want = latest_per_key(stg_ratings(r), ["user_id", "movie_id"], ["rating_timestamp", "rating"], [])
     assert got.count() == want.count()
     key = ["user_id", "movie_id", "rating_timestamp"]
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
-    daily = spark.read.parquet(os.path.join(tmp_base, "daily")).drop("rating_month")
+    daily = PartitionedTable.at(spark, os.path.join(tmp_base, "daily"), "rating_month").read().drop("rating_month")
     full = facts.movie_rating_daily(got)
     # months the second run rewrote equal a full refresh; older days may keep
     # stale rows of re-dated ratings (the reference's lookback semantics, I3)
@@ -157,7 +157,7 @@ def test_streaming_upsert_matches_batch(spark, tmp_base):
     qa = start_user_activity(spark, src + "/*", RAW_RATINGS, os.path.join(tmp_base, "ua"),
                              checkpoint=os.path.join(tmp_base, "ck2"))
     qa.awaitTermination(300)
-    ua = spark.read.parquet(os.path.join(tmp_base, "ua"))
+    ua = PartitionedTable.at(spark, os.path.join(tmp_base, "ua"), "user_bucket").read()
     assert ua.agg(F.sum("n_ratings")).first()[0] == r.count()
 
 
@@ -196,7 +196,165 @@ def test_cli_build_snapshot_freshness(spark, tmp_base, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert "mart_tag_genre_affinity" in out["failed"]
     assert {"fct_ratings", "fct_movie_rating_daily", "mart_user_cohort_retention"} <= set(out["published"])
-    assert main(["snapshot", *common, "--base", base, "--run-ts", "2024-01-01T00:00:00"]) == 0
+    assert main(["snapshot", *common, "--base", base, "--run-ts", "2100-01-01T00:00:00"]) == 0
     assert main(["freshness", *common]) == 0
     rows = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[1:]]
     assert {x["status"] for x in rows} == {"pass", "disabled"}
+
+
+def _small_raw(spark, ratings, films=(1, 2, 3)):
+    tags = spark.createDataFrame([(1, 1, "fun", 10)], "userId long, movieId long, tag string, timestamp long")
+    return {
+        "raw_movies": spark.createDataFrame([(f, f"Film {f} (199{f})", "Drama|War") for f in films], "movieId long, title string, genres string"),
+        "raw_ratings": spark.createDataFrame(ratings, "userId long, movieId long, rating double, timestamp long"),
+        "raw_tags": tags,
+        "raw_genome_scores": spark.createDataFrame([(f, 1, 0.5) for f in films], "movieId long, tagId long, relevance double"),
+        "raw_genome_tags": spark.createDataFrame([(1, "fun")], "tagId long, tag string"),
+    }
+
+
+def _small_pipeline(spark, base, raw, **more):
+    from reelspark.plans.pipeline import Pipeline
+    from reelspark.sources import seeds
+    return Pipeline(spark, base, "t", raw, seeds.load_seed(spark), rating_buckets=more.pop("buckets", 4), **more)
+
+
+DAY = 86_400
+RATINGS = [(u, f, 3.5, DAY * (100 + u + f)) for u in range(1, 9) for f in (1, 2, 3)]
+
+
+def test_all_checks_run_in_one_build(spark, tmp_base):
+    from reelspark.plans.pipeline import DAG
+    p = _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS))
+    res = p.run()
+    assert res.ok, (res.failed, res.skipped)
+    assert sum(len(p.checks.get(n, [])) for n in DAG) == sum(len(c) for c in p.checks.values())
+    assert p.table("snap_movies").read().count() == 3
+
+
+def test_null_raw_key_blocks_what_depends_on_it(spark, tmp_base):
+    raw = _small_raw(spark, [*RATINGS, (None, 1, 3.0, DAY * 100)])
+    res = _small_pipeline(spark, tmp_base, raw).run()
+    assert "raw_ratings" in res.failed and {"stg_ratings", "fct_ratings", "dim_users"} <= set(res.skipped)
+    assert "dim_movies" in res.published
+
+
+def test_failed_audit_keeps_the_old_version_and_fails_again(spark, tmp_base):
+    assert _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS)).run().ok
+    bad = _small_raw(spark, [*RATINGS, (9, 77, 4.0, DAY * 200)])     # a film that is not there
+    for _ in range(2):
+        p = _small_pipeline(spark, tmp_base, bad)
+        res = p.run()
+        assert "fct_ratings" in res.failed and "fct_movie_rating_daily" in res.skipped
+        assert p.fact("fct_ratings").read().count() == len(RATINGS)
+    p = _small_pipeline(spark, tmp_base, _small_raw(spark, [*RATINGS, (9, 3, 4.0, DAY * 200)]))
+    assert p.run().ok and p.fact("fct_ratings").read().count() == len(RATINGS) + 1
+
+
+def test_removed_parent_is_seen_in_untouched_partitions(spark, tmp_base):
+    assert _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS)).run().ok
+    res = _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS, films=(1, 2))).run()
+    assert f"={sum(f == 3 for _, f, _, _ in RATINGS)}" in res.failed["fct_ratings"]
+
+
+def test_duplicate_batch_keys_fail_their_relation_only(spark, tmp_base):
+    assert _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS)).run().ok
+    twice = [*RATINGS, (9, 1, 4.0, DAY * 200), (9, 1, 2.0, DAY * 201)]
+    res = _small_pipeline(spark, tmp_base, _small_raw(spark, twice)).run()
+    assert "duplicate" in res.failed["fct_ratings"] and "mart_tag_genre_affinity" in res.published
+
+
+def test_other_bucket_count_raises_until_a_full_refresh(spark, tmp_base):
+    assert _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS)).run().ok
+    p = _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS), buckets=3)
+    assert "buckets" in p.run().failed["fct_ratings"]
+    assert p.run(full_refresh=True).ok and p.fact("fct_ratings").read().count() == len(RATINGS)
+
+
+def test_read_error_leaves_the_table(spark, tmp_base):
+    import glob
+    p = _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS))
+    assert p.run().ok
+    for file in glob.glob(f"{p.fact('fct_ratings').root}/parts/*/*/*.parquet"):
+        with open(file, "wb") as out:
+            out.write(b"not parquet")
+    later = _small_pipeline(spark, tmp_base, _small_raw(spark, [*RATINGS, (9, 1, 4.0, DAY * 200)]))
+    before = later.fact("fct_ratings").current()
+    with pytest.raises(Exception):
+        later.run()
+    assert later.fact("fct_ratings").current() == before
+
+
+def test_merge_appends_new_keys_and_rewrites_met_partitions(spark, tmp_base):
+    import glob
+    table = PartitionedTable(spark, tmp_base, "f", "t", fact_build.BUCKET)
+    rows = lambda some: spark.createDataFrame(some, "user_id long, movie_id long, rating double, s long").select(
+        "user_id", "movie_id", "rating", F.timestamp_seconds("s").alias("rating_timestamp"))
+    fact_build.merge_ratings(table, rows([(u, 1, 1.0, 10) for u in range(40)]), 4).publish()
+    assert len(glob.glob(f"{table.root}/parts/*/*/*.parquet")) <= 8      # not tasks x buckets
+    old = table.parts()
+    fact_build.merge_ratings(table, rows([(u, 2, 2.0, 20) for u in range(40)]), 4).publish()
+    assert all(table.parts()[k][0] == v[0] and len(table.parts()[k]) == 2 for k, v in old.items())
+    fact_build.merge_ratings(table, rows([(0, 1, 5.0, 30)]), 4).publish()
+    assert sorted(len(v) for v in table.parts().values()) == [1, 2, 2, 2]
+    got = {(r.user_id, r.movie_id): r.rating for r in table.read().collect()}
+    assert len(got) == 80 and got[0, 1] == 5.0 and got[1, 1] == 1.0
+
+
+def test_mark_reaches_the_scan(spark, tmp_base):
+    from reelspark.plans import staging
+    path = os.path.join(tmp_base, "r")
+    _small_raw(spark, RATINGS)["raw_ratings"].write.parquet(path)
+    df = staging.stg_ratings(spark.read.parquet(path), since_us=DAY * 105 * 1_000_000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(timestamp,{DAY * 105})" in plan
+    assert df.count() == sum(t >= DAY * 105 for *_, t in RATINGS)
+
+
+def test_csv_extracts_are_bound_by_name_and_keep_quotes(spark, tmp_base):
+    from reelspark.sources.raw import MissingColumnError, read_raw
+
+    def write(name, text):
+        os.makedirs(os.path.join(tmp_base, name), exist_ok=True)
+        with open(os.path.join(tmp_base, name, "x.csv"), "w", encoding="utf-8") as out:
+            out.write(text)
+        return read_raw(spark, tmp_base, name)
+
+    got = write("raw_ratings", "movieId,userId,rating,timestamp\n7,1,3.5,10\n").first()
+    assert (got.userId, got.movieId, got.rating, got.timestamp) == (1, 7, 3.5, 10)
+    got = write("raw_movies", 'movieId,title,genres\n1,"A ""B"", C (1990)",Drama\n').first()
+    assert got.title == 'A "B", C (1990)'
+    with pytest.raises(MissingColumnError):
+        write("raw_tags", "userId,movieId,tag\n1,2,x\n")
+    spark.range(2).withColumnRenamed("id", "tagId").write.parquet(os.path.join(tmp_base, "raw_genome_tags"))
+    with pytest.raises(MissingColumnError):
+        read_raw(spark, tmp_base, "raw_genome_tags", "parquet")
+
+
+def test_an_empty_source_is_not_fresh(spark, tmp_base):
+    os.makedirs(os.path.join(tmp_base, "none"))
+    report = source_freshness(spark, {"s": Freshness(os.path.join(tmp_base, "none"))}, dt.datetime(2100, 1, 1))
+    assert report.first().status == "error"
+    with pytest.raises(StaleSourceError):
+        freshness_gate(report)
+
+
+def test_literals_are_utc_in_any_driver_zone(spark, monkeypatch):
+    from reelspark.operators.upsert import lit_of, max_value
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        df = spark.range(1).select(lit_of(dt.datetime(2024, 1, 1)).alias("t"))
+        assert df.select(F.unix_micros("t")).first()[0] == 1_704_067_200_000_000
+        assert max_value(df, "t") == dt.datetime(2024, 1, 1)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_activity_without_a_user_is_one_row_without_counts(spark):
+    from reelspark.plans import dims
+    r = spark.createDataFrame([(None, 1, 3.0), (1, 1, 4.0)], "user_id long, movie_id long, rating double").withColumn("rating_timestamp", F.timestamp_seconds(F.lit(10)))
+    t = spark.createDataFrame([(None, 1, "x")], "user_id long, movie_id long, tag string").withColumn("tag_timestamp", F.timestamp_seconds(F.lit(10)))
+    rows = {u.user_id: (u.n_ratings, u.n_tags) for u in dims.dim_users(r, t).collect()}
+    assert rows == {None: (0, 0), 1: (1, 0)}
