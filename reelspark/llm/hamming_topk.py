@@ -90,8 +90,8 @@ def search(rows: DataFrame, queries: DataFrame, row_id: str = "vec_id", vector:
     number = codes.count()
     if number == 0 or open_codes.isEmpty():
         return asked.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("neighbour_id"), F.lit(0).alias("distance")).where("false")
-    # A segment of log2(n) bits has about one code in a bucket.
-    parts = _segments(bits, max(1, round(bits / max(1.0, math.log2(number)))))
+    # A segment of log2(n) bits or more has one code in a bucket on average, or fewer.
+    parts = _segments(bits, max(1, int(bits / max(1.0, math.log2(number)))))
     value = lambda code, word, shift, size: F.shiftrightunsigned(F.get(code, F.lit(word)), shift).bitwiseAND(F.lit((1 << size) - 1))
     index = stored(codes.select("code", F.get("ids", F.lit(0)).alias("first"), F.posexplode(F.array(*(value(F.col("code"), *p) for p in parts)))).withColumnRenamed("pos", "segment").withColumnRenamed("col", "value"), "index")
 
@@ -112,7 +112,8 @@ def search(rows: DataFrame, queries: DataFrame, row_id: str = "vec_id", vector:
             break
         near = F.array(*(F.struct(F.lit(s).alias("segment"), _flips(value(F.col("query"), *p), p[2], radius).alias("values")) for s, p in enumerate(parts)))
         probe = open_codes.select("query", F.explode(near).alias("p")).select("query", F.col("p.segment").alias("segment"), F.explode("p.values").alias("value"))
-        met = probe.join(index, ["segment", "value"]).select("query", "code", "first").distinct()
+        # The optimiser doesn't see how much explode() adds, so it would take the probes for small and broadcast them.
+        met = index.join(probe.hint("merge"), ["segment", "value"]).select("query", "code", "first").distinct()
         found = nearest(met.withColumn("distance", distance(F.col("query"), F.col("code"), words)))
         if held is not None:
             # A code met at several radii is one row.
