@@ -76,22 +76,23 @@ class Models:
         agree = first == second
         self.context = [self.eight + (held & 3) * 2 + agree for held in (self.held_two, self.held_one)]
         self.said = [[table.take(c) for table in expert] for expert, c in zip(self.expert, self.context, strict=True)]
-        mixed = [self.said[0][k] * self.weight + self.said[1][k] * (16 - self.weight) >> 4 for k in range(2)]
+        mixed = [self.said[1][k] + ((self.said[0][k] - self.said[1][k]) * self.weight >> 4) for k in range(2)]
         return first, second, *mixed
 
-    def learn(self, ids: np.ndarray, first: np.ndarray, hit: np.ndarray) -> None:
-        """``hit``: 0 where order 2 was right, else 1 where order 1 was, else 2."""
-        right = []
-        aim = [np.where(hit == k, np.int32(3968), np.int32(16)) for k in range(2)]
+    def learn(self, ids: np.ndarray, right_two: np.ndarray, right_one: np.ndarray) -> None:
+        """Where order 2 and order 1 (whether or not order 2 was) predicted the id."""
+        by_one = right_one > right_two  # only order 1
+        aims = [hit * np.int32(3952) + np.int32(16) for hit in (right_two, by_one)]
+        apart = [self.said[0][k] - self.said[1][k] for k in range(2)]
+        self.weight += np.sign(np.where(right_two, apart[0], np.where(by_one, apart[1], -apart[0] - apart[1])))
+        np.minimum(np.maximum(self.weight, 1, out=self.weight), 15, out=self.weight)
         for said, expert, context in zip(self.said, self.expert, self.context, strict=True):
-            right.append(np.where(hit == 0, said[0], np.where(hit == 1, said[1], 4096 - said[0] - said[1])))
             for k in range(2):
-                expert[k][context] = said[k] + (aim[k] - said[k] >> 4)
-        self.weight += np.sign(right[0] - right[1])
-        np.minimum(np.maximum(self.weight, 1, out=self.weight), 15, out=self.weight)
-        for table, slot, held in ((self.by_two, self.slot_two, self.held_two), (self.by_one, self.slot_one, self.held_one)):
+                expert[k][context] = said[k] + (aims[k] - said[k] >> 4)
+        fresh = ids << 2
+        for table, slot, held, right in ((self.by_two, self.slot_two, self.held_two, right_two), (self.by_one, self.slot_one, self.held_one, right_one)):
             trust = held & 3
-            table[slot] = np.where(held >> 2 == ids, held + (trust < 3), np.where(trust > 0, held - 1, ids << 2))
+            table[slot] = np.where(right, held + (trust < 3), np.where(trust > 0, held - 1, fresh))
         self.one, self.two = ids, self.one
         self.step += 1
         if self.step % _REFRESH == 0:
@@ -110,31 +111,33 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     room = steps * 3 + 8
     out, used = np.zeros(lanes * room, np.uint16), np.arange(lanes) * room
 
-    def settle(lane: np.ndarray) -> None:
+    def settle() -> None:
         """Carries over what is beyond 48 bits and writes words where the width is under 32 bits."""
-        over = lane[low[lane] > _MASK48]
+        over = np.flatnonzero(low > _MASK48)
         if len(over):
             low[over] &= _MASK48
             at = used[over] - 1
             while len(at):
                 out[at] += np.uint16(1)
                 at = at[out[at] == 0] - 1
-        while len(short := lane[width[lane] <= _MASK32]):
+        short = np.flatnonzero(width <= _MASK32)
+        while len(short):
             out[used[short]] = (low[short] >> np.uint64(32)).astype(np.uint16)
             used[short] += 1
             low[short] = (low[short] & _MASK32) << np.uint64(16)
-            width[short] <<= np.uint64(16)
-            lane = short
+            wide = width[short] << np.uint64(16)
+            width[short] = wide
+            short = short[wide <= _MASK32]
 
-    every = models.lane
     for step in range(steps):
         now = grid[step]
         first, second, p_two, p_one = models.predict()
-        hit = np.where(now == first, 0, np.where(now == second, 1, 2))
+        right_two, right_one = now == first, now == second
+        both = p_two + p_one
         part = width >> np.uint64(12)
-        low += part * np.where(hit == 0, 0, np.where(hit == 1, p_two, p_two + p_one)).astype(np.uint64)
-        width = part * np.where(hit == 0, p_two, np.where(hit == 1, p_one, 4096 - p_two - p_one)).astype(np.uint64)
-        miss = np.flatnonzero(hit == 2)
+        low += part * np.where(right_two, 0, np.where(right_one, p_two, both)).astype(np.uint64)
+        width = part * np.where(right_two, p_two, np.where(right_one, p_one, 4096 - both)).astype(np.uint64)
+        miss = np.flatnonzero(~(right_two | right_one))
         if len(miss):
             own = now[miss]
             kind = _BITS[own]
@@ -144,12 +147,12 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             low[miss] += part * below.astype(np.uint64)
             width[miss] = part * (above - below).astype(np.uint64)
             models.seen.ravel()[miss * _CLASSES + kind] += 24
-            settle(every)
+            settle()
             tail = np.maximum(kind - 1, 0).astype(np.uint64)
             width[miss] >>= tail
             low[miss] += width[miss] * (own - _BASE[kind]).astype(np.uint64)
-        settle(every)
-        models.learn(now, first, hit)
+        settle()
+        models.learn(now, right_two, right_one)
     for shift in (32, 16, 0):
         out[used] = (low >> np.uint64(shift)).astype(np.uint16)
         used += 1
@@ -169,23 +172,25 @@ def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray
     models = Models(lanes)
     grid = np.zeros((steps, lanes), np.int32)
 
-    def settle(lane: np.ndarray) -> None:
-        while len(short := lane[width[lane] <= _MASK32]):
-            value[short] = (value[short] << np.uint64(16)) | words[np.minimum(used[short], len(words) - 1)]
+    def settle() -> None:
+        short = np.flatnonzero(width <= _MASK32)
+        while len(short):
+            value[short] = (value[short] << np.uint64(16)) | words.take(used[short], mode="clip")
             used[short] += 1
-            width[short] <<= np.uint64(16)
-            lane = short
+            wide = width[short] << np.uint64(16)
+            width[short] = wide
+            short = short[wide <= _MASK32]
 
-    every = models.lane
     for step in range(steps):
         first, second, p_two, p_one = models.predict()
         part = width >> np.uint64(12)
         place = (value // part).astype(np.int32)
-        hit = np.where(place < p_two, 0, np.where(place < p_two + p_one, 1, 2))
-        value -= part * np.where(hit == 0, 0, np.where(hit == 1, p_two, p_two + p_one)).astype(np.uint64)
-        width = part * np.where(hit == 0, p_two, np.where(hit == 1, p_one, 4096 - p_two - p_one)).astype(np.uint64)
-        now = np.where(hit == 0, first, second)
-        miss = np.flatnonzero(hit == 2)
+        both = p_two + p_one
+        right_two, known = place < p_two, place < both
+        value -= part * np.where(right_two, 0, np.where(known, p_two, both)).astype(np.uint64)
+        width = part * np.where(right_two, p_two, np.where(known, p_one, 4096 - both)).astype(np.uint64)
+        now = np.where(right_two, first, second)
+        miss = np.flatnonzero(~known)
         if len(miss):
             sums = models.sums[miss]
             row = np.arange(len(miss))
@@ -196,14 +201,14 @@ def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray
             value[miss] -= part * below.astype(np.uint64)
             width[miss] = part * (sums[row, kind + 1] - below).astype(np.uint64)
             models.seen.ravel()[miss * _CLASSES + kind] += 24
-            settle(every)
+            settle()
             tail = np.maximum(kind - 1, 0).astype(np.uint64)
             width[miss] >>= tail
             rest = value[miss] // width[miss]
             value[miss] -= rest * width[miss]
             now[miss] = _BASE[kind] + rest.astype(np.int32)
-        settle(every)
-        models.learn(now, first, hit)
+        settle()
+        models.learn(now, now == first, now == second)
         grid[step] = now
     return grid.T.ravel()[:count]
 
@@ -288,14 +293,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = decode_blocks(words, size, batch.column("n_ids")[row].as_py()).astype("<u4")
                 doc_ids, length = get("doc_ids", "<i8"), get("lengths", "<i4").astype(np.int64)
                 at = np.concatenate([[0], np.cumsum(length)])
-                one = lambda name: pa.array(np.full(len(length), batch.column(name)[row].as_py()))  # noqa: B023, E731
-                out = [one("file"), one("segment"), pa.array(doc_ids, mask=doc_ids == _NULL), pa.array(at[:-1]), pa.array(length), binary_array(ids, at)]
-                whole = pa.RecordBatch.from_arrays(out, names=["file", "segment", "doc_id", "inside", "n_tokens", "ids"])
+                out = [pa.array(doc_ids, mask=doc_ids == _NULL), pa.array(at[:-1] + batch.column("base")[row].as_py()), pa.array(length), binary_array(ids, at)]
+                whole = pa.RecordBatch.from_arrays(out, names=["doc_id", "start", "n_tokens", "ids"])
                 yield from passes(iter([whole]), "ids", 4 << 20)
 
-    rows = segments.mapInArrow(run, "file long, segment long, doc_id long, inside long, n_tokens long, ids binary")
-    joined = rows.join(placed, ["file", "segment"])
-    return joined.select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
+    return segments.join(placed, ["file", "segment"]).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
