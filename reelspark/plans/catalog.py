@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import facts, marts
 from . import history as H
@@ -186,6 +187,33 @@ def check_summary(spark, d):
     return Q.check_summary(spark, d)
 
 
+def _solvent(spark, d):
+    return spark.read.parquet(f"{d.rstrip('/')}/supplier.parquet").where("s_acctbal >= 0")
+
+
+def checks_fired(spark, d):
+    """Q1-Q7 on line items with rules that real rows break: every check has violations."""
+    from ..operators import checks as C
+    lines = (spark.read.parquet(f"{d.rstrip('/')}/lineitem.parquet")
+             .withColumn("rebate", F.expr("nullif(l_discount, 0)")))
+    rules = [C.not_null("rebate"), C.accepted_values("l_returnflag", ["A", "N"]), C.between("l_quantity", 5, 45),
+             C.expression_is_true("l_extendedprice", ">= 2000 * l_quantity"), C.unique("l_orderkey"),
+             C.unique_combination(["l_partkey", "l_suppkey"]), C.relationships("l_suppkey", "solvent", "s_suppkey")]
+    return C.summarize("lineitem", lines, rules, {"solvent": _solvent(spark, d)}).select("check", "n_violations")
+
+
+def windows_fired(spark, d):
+    """Q8a-d and the extra mode on a customer's order days as versions: open, shipped after 90 days, or ended
+    the day before they began, by the day's last status. Violations by mode."""
+    from ..operators import checks as C
+    orders = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
+    days = orders.groupBy("o_custkey", F.col("o_orderdate").alias("valid_from")).agg(F.max("o_orderstatus").alias("s"))
+    until = (F.when(F.col("s") == "F", F.expr("valid_from + INTERVAL 90 DAYS"))
+             .when(F.col("s") == "P", F.expr("valid_from - INTERVAL 1 DAY")))
+    found = C.version_violations(days.withColumn("valid_to", until), "o_custkey")
+    return found.groupBy("failure_mode").agg(F.count(F.lit(1)).alias("n_violations"))
+
+
 # ----------------------------------------------------------------- freshness
 
 def freshness(spark, d):
@@ -250,5 +278,7 @@ def queries() -> dict[str, Query]:
         "profile_years": profile_years,
         "profile_orphans": profile_orphans,
         "check_summary": check_summary,
+        "checks_fired": checks_fired,
+        "windows_fired": windows_fired,
         "freshness": freshness,
     }

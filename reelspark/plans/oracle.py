@@ -415,6 +415,29 @@ def retention_cte(ratings_rel: str) -> str:
         "\nSELECT cohort_month, size", "\n, mart_user_cohort_retention AS (SELECT cohort_month, size", 1) + ")"
 
 
+def _fired_sql() -> dict[str, str]:
+    from . import history as H
+    counted = {
+        "not_null(rebate)": "count(*) FILTER (l_discount = 0 OR l_discount IS NULL)",
+        "accepted_values(l_returnflag)": "count(*) FILTER (l_returnflag NOT IN ('A', 'N'))",
+        "between(l_quantity,5,45)": "count(*) FILTER (l_quantity < 5 OR l_quantity > 45)",
+        "expression_is_true(l_extendedprice >= 2000 * l_quantity)": "count(*) FILTER (l_extendedprice < 2000 * l_quantity)",
+    }
+    rows = [f"SELECT '{name}' AS \"check\", {value} AS n_violations FROM lineitem" for name, value in counted.items()]
+    for name, keys in (("unique(l_orderkey)", "l_orderkey"), ("unique_combination(l_partkey,l_suppkey)", "l_partkey, l_suppkey")):
+        rows.append(f"SELECT '{name}', count(*) FROM (SELECT {keys} FROM lineitem GROUP BY ALL HAVING count(*) > 1)")
+    rows.append("SELECT 'relationships(l_suppkey->solvent.s_suppkey)', count(*) FROM lineitem "
+                "WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)")
+    days = """days AS (
+    SELECT o_custkey AS movie_id, o_orderdate AS valid_from,
+        CASE max(o_orderstatus) WHEN 'F' THEN o_orderdate + INTERVAL 90 DAY WHEN 'P' THEN o_orderdate - INTERVAL 1 DAY END AS valid_to
+    FROM orders GROUP BY o_custkey, o_orderdate)"""
+    return {
+        "checks_fired": " UNION ALL ".join(rows),
+        "windows_fired": f"WITH {days}, {H.sql_violations('days')} SELECT failure_mode, count(*) AS n_violations FROM violations GROUP BY ALL",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL twin per registered query (all but the rows-only ones)."""
     q = _core_sql()
@@ -422,4 +445,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(_incremental_sql())
     q.update(_profile_sql())
     q["check_summary"] = _check_summary_sql()
+    q.update(_fired_sql())
     return q
