@@ -8,7 +8,8 @@ from .oracle_compare import compare
 
 
 def test_all_queries_match_oracle(spark):
-    res = compare(spark, SF0001, verbose=False)
+    from reelspark.plans import catalog
+    res = compare(spark, SF0001, list(catalog.queries()), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] == "MISMATCH"}
     assert not bad, bad
 

@@ -2,8 +2,9 @@
 
 * no Cartesian product and no nested-loop join,
 * no Python evaluation (the build has no UDFs),
-* every scan of the large tables prunes columns (never reads all of them),
-* every explicit broadcast is of a bounded relation (the seed).
+* every scan of the large tables prunes columns (never reads all of them).
+
+The corpus operators, which use Arrow tasks, have tests of their own.
 """
 
 import contextlib
@@ -27,8 +28,8 @@ def plan_text(df) -> str:
 
 
 def registered():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    from reelspark.plans import catalog
+    return sorted(catalog.queries())
 
 
 @pytest.mark.parametrize("name", registered())
