@@ -212,7 +212,7 @@ def find(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, span: int
     return out.distinct()
 
 
-_HITS = "row_key long, doc_id long, n_words long, spans array<long>, items array<string>"
+_HITS = "block long, row long, doc_id long, n_words long, spans array<long>, items array<string>"
 
 
 def _hits(block: Block, windows: Windows, number: int) -> pa.RecordBatch:
@@ -234,8 +234,8 @@ def _hits(block: Block, windows: Windows, number: int) -> pa.RecordBatch:
     items_at = np.concatenate([[0], np.cumsum(np.bincount(pairs[:, 0], minlength=n))])
     names = pa.array([windows.items[i] for i in pairs[:, 1]], pa.string())
     return pa.RecordBatch.from_arrays(
-        [pa.array((number << 24) + np.arange(n)), block.ids(), pa.array((np.diff(block.doc_at) - 1).astype(np.int64)), pa.ListArray.from_arrays(spans_at.astype(np.int32), pa.array(edges)), pa.ListArray.from_arrays(items_at.astype(np.int32), names)],
-        names=["row_key", "doc_id", "n_words", "spans", "items"],
+        [pa.array(np.full(n, number)), pa.array(np.arange(n)), block.ids(), pa.array((np.diff(block.doc_at) - 1).astype(np.int64)), pa.ListArray.from_arrays(spans_at.astype(np.int32), pa.array(edges)), pa.ListArray.from_arrays(items_at.astype(np.int32), names)],
+        names=["block", "row", "doc_id", "n_words", "spans", "items"],
     )
 
 
@@ -259,7 +259,7 @@ def contamination(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, i
         for one in each[1:]:
             hits = hits.unionByName(one)
         # A document has one row for each part of the benchmark at most.
-        hits = hits.groupBy("row_key").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("spans").alias("each"), F.flatten(F.collect_list("items")).alias("items"))
+        hits = hits.groupBy("block", "row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("spans").alias("each"), F.flatten(F.collect_list("items")).alias("items"))
         pairs = F.array_sort(F.flatten(F.transform("each", _as_pairs)))
         hits = hits.withColumn("spans", _union(pairs))
     spans = F.col("spans")

@@ -158,6 +158,16 @@ def test_contamination_of_edge_rows(spark):
     assert decontaminate.contamination(decontaminate.build_index(docs_of(spark, EDGE).where("false")), bench).count() == 0
 
 
+@pytest.mark.parametrize("parts", [10**6, 2])
+def test_contamination_of_blocks_from_many_partitions(spark, parts):
+    bench = spark.createDataFrame([(1, "three four"), (2, "seven eight nine")], "item_id long, text string")
+    index = decontaminate.build_index(docs_of(spark, EDGE))
+    read = lambda blocks: sorted(map(str, decontaminate.contamination(blocks, bench, max_test_words=parts).collect()))
+    far = index.withColumn("block", F.col("block") + F.lit(200 << 32))
+    assert far.where(f"block >= {200 << 32}").count() > 0
+    assert read(far) == read(index) and len(read(far)) == len(EDGE)
+
+
 # --- 3
 
 
