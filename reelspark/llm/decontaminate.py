@@ -11,7 +11,9 @@ The benchmark goes to the tasks in parts of at most ``MAX_TEST_WORDS`` words; a
 over the stored index, and each document's hits are united.
 
 Defined cases: null, empty and wordless texts have no words and no hits, such items no window; repeated rows are
-documents of their own; an empty benchmark hits nothing; other columns are ignored.
+documents of their own; an empty benchmark hits nothing; other columns are ignored. Items of a null id are searched for
+as others are, and are one item together: a null at the end of a document's items, which counts as one in ``n_items``
+and adds nothing to the digest.
 """
 
 from __future__ import annotations
@@ -70,12 +72,12 @@ class Windows:
     terms: np.ndarray
     length: np.ndarray
     item: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
 
 def windows_of(items: pa.Table, width: int = WINDOW) -> Windows:
     """All windows of ``width`` consecutive words of each text; a text of fewer words, but not none, is one window."""
-    names = [str(x) for x in items.column("item_id").to_pylist()]
+    names = items.column("item_id").cast(pa.string()).to_pylist()
     data, starts, ends, before = lower_words(items.column("text").combine_chunks().cast(pa.string()))
     hashes = np.append(span_hashes(data, starts, ends), np.zeros(width, np.uint64))
     words = np.diff(before)
@@ -177,7 +179,7 @@ def _part(items: DataFrame, parts: int, part: int, width: int) -> Windows:
 
 
 def _parts(benchmark: DataFrame, item_id: str, text: str, max_test_words: int) -> tuple[DataFrame, int]:
-    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text")).where(F.col("item_id").isNotNull())
+    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
     # A word has one byte and one byte between words at least.
     words = items.agg(F.sum(F.octet_length("text") / 2)).first()[0] or 0
     return items, 1 + int(words // max_test_words)

@@ -158,6 +158,30 @@ def test_contamination_of_edge_rows(spark):
     assert decontaminate.contamination(decontaminate.build_index(docs_of(spark, EDGE).where("false")), bench).count() == 0
 
 
+@pytest.mark.parametrize("parts", [10**6, 2])
+def test_items_without_an_id_are_searched_for(spark, parts):
+    bench = spark.createDataFrame([(None, "three four"), (None, "nine ten"), (7, "one two three"), (None, None)], "item_id long, text string")
+    docs = docs_of(spark, [(1, "one two three four"), (2, "eight nine ten"), (3, "four three"), (4, "three four five nine ten")])
+    found = decontaminate.contamination(decontaminate.build_index(docs), bench, max_test_words=parts)
+    got = {r.doc_id: (r.n_hit, r["items"], r.contaminated) for r in found.collect()}
+    assert got == {1: (4, ["7", None], True), 2: (2, [None], True), 3: (0, [], False), 4: (4, [None], True)}
+    assert {r.doc_id for r in decontaminate.mark(docs, bench, max_test_words=parts).collect() if r.contaminated} == {1, 2, 4}
+    assert decontaminate.find(decontaminate.build_index(docs), bench, max_test_words=parts).where("item_id IS NULL").count() == 4
+
+
+def test_op2_equals_its_sql_with_null_item_ids(spark, tmp_path):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    bench.withColumn("item_id", F.when(F.col("item_id") % 3 != 0, F.col("item_id"))).write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.read.parquet(f"{SF}/documents.parquet").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op2_decontaminate"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    want = con.execute(decontaminate.OP2_SQL).df()
+    as_rows = lambda df: sorted(map(tuple, df[sorted(want.columns)].astype(str).values))
+    assert as_rows(got) == as_rows(want) and want.n_hit.gt(0).sum() > 1
+
+
 @pytest.mark.parametrize("parts", [10**6, 2])
 def test_contamination_of_blocks_from_many_partitions(spark, parts):
     bench = spark.createDataFrame([(1, "three four"), (2, "seven eight nine")], "item_id long, text string")
