@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -214,25 +215,46 @@ def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray
 
 
 class LibraryEncoder(PieceCache):
-    """The tokenizers library; each distinct piece of text goes to it once."""
+    """The tokenizers library; each distinct piece of text goes to it once, and whole each text that holds an added token.
 
-    def __init__(self, tokenizer: str):
+    ``ordinary``: names of special tokens in a text are ordinary text; else they are their ids, as by the library's defaults.
+    """
+
+    def __init__(self, tokenizer: str, ordinary: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = ordinary
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (ordinary and t.special)]
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        return self._library([p.decode() for p in pieces])
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((x for ids in found for x in ids), np.int64, int(count.sum())), count
 
+    def encode_texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after the other, and how many come before each."""
+        held = np.zeros(len(column), bool)
+        for token in self.added:
+            held |= np.array(pc.match_substring(column, token).fill_null(False))
+        if not held.any():
+            return self.encode(*text_bytes(column))
+        ids, before = self.encode(*text_bytes(pc.if_else(pa.array(held), "", column)))
+        whole, count = self._library(column.filter(pa.array(held)).to_pylist())
+        ids = np.insert(ids, np.repeat(before[:-1][held], count), whole)
+        more = np.zeros(len(column), np.int64)
+        more[held] = count
+        return ids, before + np.concatenate([[0], np.cumsum(more)])
+
 
 @lru_cache(maxsize=2)
-def library_encoder(tokenizer: str) -> LibraryEncoder:
-    return LibraryEncoder(tokenizer)
+def library_encoder(tokenizer: str, ordinary: bool) -> LibraryEncoder:
+    return LibraryEncoder(tokenizer, ordinary)
 
 
 #: ``file`` and ``segment`` give the order; ``doc_ids`` (long) and ``lengths`` (int) are of its documents, ``sizes`` (int)
@@ -250,17 +272,20 @@ def _segment(number: int, doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndar
     return pa.RecordBatch.from_arrays([pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()) for v in values], names=names)
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Tokenises all whole texts, appends the end id to each, and writes the files to ``path``."""
+def write(docs: DataFrame, tokenizer_path: str, path: str, doc_id: str = "doc_id", text: str = "text", ordinary: bool = True) -> None:
+    """Tokenises all whole texts, appends the end id to each, and writes the files to ``path``.
+
+    Names of the tokenizer's special tokens in a text are ordinary text, or their ids unless ``ordinary``.
+    """
     spark = task_session(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as file:
         sent = spark.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number = library_encoder(sent.value), 0
+        own, number = library_encoder(sent.value, ordinary), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in passes(batches, "text"):
-            ids, before = own.encode(*text_bytes(batch.column("text")))
+            ids, before = own.encode_texts(batch.column("text"))
             length = np.diff(before) + 1
             held.append((np.array(batch.column("doc_id").fill_null(_NULL), np.int64), length, np.insert(ids, before[1:], END_ID)))
             if sum(len(x) for _, _, x in held) >= SEGMENT:
@@ -301,9 +326,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query: every document's place, length and checksum in the store of all whole texts, read back from its files."""
+    """Query: every document's place, length and checksum in the store of all whole texts, read back from its files.
+
+    The ids are those of the tokenizers library at its defaults: a special token's name in a text is its id.
+    """
     import public_tokenizers
 
     path = new_path(spark, "tokens")
-    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"), path, ordinary=False)
     return read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -331,6 +331,23 @@ def test_store_equals_the_library(spark, tmp_path):
         start += len(want)
 
 
+def test_store_equals_the_untouched_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    rows = [(k, t) for k, t in enumerate([f"end {end} next", end, f"{end}{end}", f"  {end}  ", f"a{end}b", "plain text", "<|endof", None, f"{end} x", "", *texts(300, seed=7)])]
+    assert sum(end in (t or "") for _, t in rows) > 50 and sum(end not in (t or "") for _, t in rows) > 50
+    docs_of(spark, rows).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(TOKENIZER)
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op7_token_store"](spark, str(tmp_path)).collect()}
+    start = 0
+    for doc_id, text in rows:
+        want = library.encode(text or "", add_special_tokens=False).ids + [token_store.END_ID]
+        assert got[doc_id] == (start, len(want), zlib.crc32(np.array(want, "<u4").tobytes())), text
+        start += len(want)
+    assert library.encode(rows[0][1], add_special_tokens=False).ids == [437, 220, 50256, 1306]
+
+
 def test_store_notices_damage_and_takes_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "store")
     token_store.write(docs_of(spark, [(1, "hello there")]), TOKENIZER, path)
