@@ -7,10 +7,16 @@ each kind a threshold, calibrated on rows that the trees have not seen, selects
 
 There are no labels, so the trees learn from the base rules: proposals that a rule finds, there or by themselves, are positive,
 also in forms that lose their mark (no "+", another separator, "[at]"); what overlaps none is negative. They are
-fitted on the driver on at most ``MAX_TRAINING`` proposals of the whole table, those of the smallest hashes.
+fitted on the driver on at most ``MAX_TRAINING`` proposals of the whole table, shared out evenly among kinds and labels
+and taken by hashes; weights give each label its share in the whole table back, and each kind its share in the sample.
+
+A quarter of all distinct proposals, by a hash, is never fitted on. All of them are scored in Spark, and a histogram by
+kind and score, with copies counted, gives the thresholds: the least score from which on proposals are right in ``PRECISION``
+of the cases, and in half at least by the score itself. To this share count ``PRIOR`` proposals that are right as often as the score at
+the cut says. So with nothing to calibrate on the threshold is ``PRECISION`` itself, and the more there is, the less the prior weighs.
 
 Defined cases: a null or empty text has no spans; offsets count code points; a long text is read whole in time near
-to its length; repeated rows get equal results; without proposals to learn from only base spans are returned. Other
+to its length; repeated rows get equal results; without proposals of both labels to learn from only base spans are returned. Other
 columns are carried along, and result columns of the same name replaced.
 """
 
@@ -28,14 +34,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelspark.llm.arrow_text import passes
-from reelspark.llm.store import task_session
+from reelspark.llm.store import stored, task_session
 
 KINDS = ("email", "ip", "card", "phone")
 #: Proposals that the trees are fitted on.
 MAX_TRAINING = 20_000
 PRECISION = 0.98
-#: A kind with fewer positive proposals to calibrate on gets no added spans.
-LEAST_POSITIVE = 20
+#: Proposals that the trees' own probability counts for in a threshold.
+PRIOR = 20
+#: One in so many distinct proposals is for calibration.
+HELD_OUT = 4
+#: Intervals of log-odds in the histogram of scores, from -``TOP_ODDS`` to ``TOP_ODDS``.
+INTERVALS, TOP_ODDS = 4096, 16
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -228,15 +238,19 @@ class Trees:
             self.each.append((feature, cut, value))
         return self
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Probabilities."""
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        """Log-odds."""
         odds = np.full(len(x), self.first)
         for feature, cut, value in self.each:
             node = np.zeros(len(x), np.int64)
             for _ in range(self.depth):
                 node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
             odds += value[node - len(feature)]
-        return 1 / (1 + np.exp(-odds))
+        return odds
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Probabilities."""
+        return 1 / (1 + np.exp(-self.odds(x)))
 
 
 @dataclass
@@ -261,8 +275,62 @@ class Model:
         return chosen
 
 
+def shares(counts: list[int], total: int) -> list[int]:
+    """How many of ``total`` places each group gets: as many as others, or all it has; what it leaves goes to larger ones."""
+    out, left = [0] * len(counts), total
+    for done, k in enumerate(sorted(range(len(counts)), key=counts.__getitem__)):
+        out[k] = min(counts[k], left // (len(counts) - done))
+        left -= out[k]
+    return out
+
+
+def threshold_of(right: np.ndarray, wrong: np.ndarray) -> float:
+    """The threshold of a kind from how many proposals of each interval of log-odds are right and wrong."""
+    edges = 1 / (1 + np.exp(-np.linspace(-TOP_ODDS, TOP_ODDS, INTERVALS + 1)[:-1]))
+    good, all_ = np.cumsum(right[::-1])[::-1], np.cumsum((right + wrong)[::-1])[::-1]
+    ok = ((good + PRIOR * edges) / (all_ + PRIOR) >= PRECISION) & (edges >= 0.5)
+    return float(edges[np.flatnonzero(ok)[0]]) if ok.any() else np.inf
+
+
+def _sample(found: DataFrame, max_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and weights of the proposals to fit on: ``max_rows`` at most, shared out among kinds and labels."""
+    groups = found.groupBy("kind", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).orderBy("kind", "label").collect()
+    quota = shares([g.rows for g in groups], max_rows)
+    place = F.pmod(F.xxhash64(F.lit(1), "kind", "label", "x"), F.lit(1 << 30))
+    # A little more than the share of each group, of which the driver takes the first.
+    within = F.lit(False)
+    for g, most in zip(groups, quota, strict=True):
+        limit = min(1.0, (most + 4 * most**0.5 + 10) / g.rows)
+        within = within | ((F.col("kind") == g.kind) & (F.col("label") == g.label) & (F.col("place") < int(limit * (1 << 30))))
+    rows = sorted(found.withColumn("place", place).where(within).collect(), key=lambda r: (r.kind, r.label, r.place, r.x))
+    x, label, weight = [], [], []
+    for g, most in zip(groups, quota, strict=True):
+        own = [r for r in rows if (r.kind, r.label) == (g.kind, g.label)][:most]
+        x += [r.x for r in own]
+        label += [g.label] * len(own)
+        seen, kind_rows, kind_n = sum(r.n for r in own), *(sum(v) for v in zip(*((q, h.n) for h, q in zip(groups, quota, strict=True) if h.kind == g.kind), strict=True))
+        weight += [r.n / seen * g.n / kind_n * kind_rows for r in own]
+    return np.array(x).reshape(-1, FEATURES), np.array(label, np.float64), np.array(weight)
+
+
+def _histogram(held: DataFrame, trees: Trees) -> np.ndarray:
+    """How many proposals there are of each kind, label and interval of log-odds."""
+    sent = held.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odds = sent.value.odds(np.array(batch.column("x").flatten(), np.float64).reshape(-1, FEATURES))
+            at = np.clip((odds + TOP_ODDS) * (INTERVALS / (2 * TOP_ODDS)), 0, INTERVALS - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("label"), pa.array(at), batch.column("n")], names=["kind", "label", "at", "n"])
+
+    out = np.zeros((len(KINDS), 2, INTERVALS))
+    for r in held.mapInArrow(run, "kind int, label int, at int, n long").groupBy("kind", "label", "at").agg(F.sum("n").alias("n")).collect():
+        out[r.kind, r.label, r["at"]] = r.n
+    return out
+
+
 def train(docs: DataFrame, text: str = "text", max_rows: int = MAX_TRAINING) -> Model:
-    """Trees and thresholds from the proposals of all rows, ``max_rows`` of them at most."""
+    """Trees from ``max_rows`` proposals of all rows at most, and thresholds from all proposals that are held out."""
     task_session(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,24 +340,13 @@ def train(docs: DataFrame, text: str = "text", max_rows: int = MAX_TRAINING) ->
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind int, label int, x array<double>")
     # Equal proposals are one with its count, so that many copies don't fill the sample.
-    found = found.groupBy("kind", "label", "x").agg(F.count("*").alias("n"))
-    rows = found.orderBy(F.xxhash64("kind", "label", "x"), "kind", "label", "x").limit(max_rows).collect()
-    kind, label = np.array([r.kind for r in rows], np.int64), np.array([r.label for r in rows], np.float64)
-    threshold = [np.inf] * len(KINDS)
+    found = stored(found.groupBy("kind", "label", "x").agg(F.count("*").alias("n")), "proposals")
+    held = F.pmod(F.xxhash64("x"), F.lit(HELD_OUT)) == HELD_OUT - 1
+    x, label, weight = _sample(found.where(~held), max_rows)
     if not 0 < label.sum() < len(label):
-        return Model(None, threshold)
-    x, n = np.array([r.x for r in rows]), np.array([r.n for r in rows], np.float64)
-    kept = np.arange(len(rows)) % 4 == 3
-    trees = Trees().fit(x[~kept], label[~kept], n[~kept])
-    score = trees.score(x)
-    for k in range(len(KINDS)):
-        own = np.flatnonzero(kept & (kind == k))
-        order = own[np.argsort(-score[own], kind="stable")]
-        good = np.cumsum((label * n)[order])
-        ok = np.flatnonzero((good / np.cumsum(n[order]) >= PRECISION) & (score[order] >= 0.5))
-        if len(ok) and good[ok[-1]] >= LEAST_POSITIVE:
-            threshold[k] = float(score[order[ok[-1]]])
-    return Model(trees, threshold)
+        return Model(None, [np.inf] * len(KINDS))
+    trees = Trees().fit(x, label, weight)
+    return Model(trees, [threshold_of(right, wrong) for wrong, right in _histogram(found.where(held), trees)])
 
 
 def _joined(spans: list[Span]) -> str:

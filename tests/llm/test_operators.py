@@ -510,6 +510,33 @@ def test_spans_are_added_and_base_spans_stay(spark):
     assert sum(bool(found[1000 + k].spans) for k in range(600)) <= 12
 
 
+def mailing_rows(pick, mails, numbers):
+    """Texts with e-mail addresses of the rules, and numbers of 8 to 11 digits that stand for nothing."""
+    rows = [f"write to user{k}.{pick.randint(10, 99)}@mail{k % 9}.example.com today" for k in range(mails)]
+    return rows + ["row " + " x ".join(str(pick.randint(10**7, 10**11)) for _ in range(10)) + " end" for _ in range(numbers // 10)]
+
+
+@pytest.mark.parametrize("mails, numbers, most", [(40, 200, 20_000), (300, 20_000, 1000)])
+def test_each_kind_is_calibrated_on_small_tables_and_beside_a_hot_source(spark, mails, numbers, most):
+    rows = mailing_rows(random.Random(12), mails, numbers)
+    hidden = "please contact anna.lind [at] mail3.example.com soon"
+    model = pii.train(docs_of(spark, [*enumerate(rows)]), max_rows=most)
+    assert np.isfinite(model.threshold).all()
+    (found,) = pii.find(docs_of(spark, [(1, hidden)]), model).collect()
+    assert found.n_email == 0 and found.spans.startswith("email:") and "[EMAIL]" in found.redacted_text
+
+
+def test_thresholds_follow_the_histogram_of_the_whole_table():
+    edge = lambda odds: int((odds + pii.TOP_ODDS) * pii.INTERVALS / (2 * pii.TOP_ODDS))
+    right, wrong = np.zeros(pii.INTERVALS), np.zeros(pii.INTERVALS)
+    assert pii.threshold_of(right, wrong) == pytest.approx(pii.PRECISION, abs=1e-3)
+    right[edge(3)] = 10**6
+    assert pii.threshold_of(right, wrong) == pytest.approx(0.5, abs=1e-3)
+    wrong[edge(1)] = 10**6
+    assert 1 / (1 + np.exp(-1)) < pii.threshold_of(right, wrong) <= 1 / (1 + np.exp(-3))
+    assert pii.shares([5, 1000, 0, 100], 300) == [5, 195, 0, 100]
+
+
 def test_pii_of_edge_rows(spark):
     docs = docs_of(spark, EDGE).withColumn("SPANS", F.lit(1))
     rows = pii.find(docs, pii.train(docs)).collect()
