@@ -10,7 +10,8 @@ Equal codes are one entry that stands for its rows. Of a code only the k smalles
 more are kept; Spark cuts each group to k before the shuffle, and a code that a third of all rows share is no one
 task's work. Buckets are joined by (segment, value), a plain join that Spark can split.
 
-Defined cases: null, empty or differently long vectors and null ids are not searched and do not search; a null or NaN number in a
+Defined cases: the longest vector of the table decides the length of a code, as in ``OP1_SQL``; null, empty or shorter
+vectors and null ids are not searched and do not search; a null or NaN number in a
 vector counts as not above 0; ties are resolved by the smaller id; a query finds itself, like any row of distance 0;
 repeated rows (of one id and code) are one; with fewer than k rows all of them are returned.
 """
