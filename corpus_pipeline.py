@@ -30,16 +30,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each class of near copies stays, the one of the smallest id."""
-    found = stored(order_minhash.classes(docs), "classes")
-    dropped = found.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    # Rows of one id are repeated rows: one of those of the same text stays.
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """MinHash near-dedup: one document of each class of near copies stays, the one of the smallest id.
+
+    Rows of one id and text are repeated rows, of which one stays; other texts of that id are documents of their own.
+    """
+    repeated = stored(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+        found = stored(order_minhash.classes(docs), "classes")
+        dropped = found.where("doc_id <> class_id").select("doc_id").distinct()
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    once = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
+    # Ids don't tell these rows apart, numbers do; they are written before they are read twice.
+    rows = stored(once.withColumn("row_number", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
+    found = order_minhash.classes(rows, "row_number").withColumnRenamed("doc_id", "row_number").where("row_number IS NOT NULL")
+    own = rows.where("row_number IS NOT NULL").select("row_number", F.struct("doc_id", F.sha2("text", 256).alias("digest"), "row_number").alias("place"))
+    kept = found.join(own, "row_number").groupBy("class_id").agg(F.min("place").alias("least")).select(F.col("least.row_number").alias("row_number"))
+    return rows.join(kept, "row_number", "left_semi").unionByName(rows.where("row_number IS NULL")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

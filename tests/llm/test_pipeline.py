@@ -67,6 +67,15 @@ def test_stages_decide_on_planted_rows(spark, planted):
             assert all(np.frombuffer(r.ids, "<u4").tolist() == encoding.encode_ordinary(texts[r.doc_id]) for r in rows)
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    near = text("b") + " more"
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (2, text("b")), (3, near), (4, text("c")), (4, text("d")), (5, text("d")), (6, None), (6, None), (7, text("e")), (None, text("a")), (None, text("a"))]
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, rows), SF)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, text("a")), (2, text("b")), (4, text("c")), (4, text("d")), (6, None), (7, text("e")), (None, text("a")), (None, text("a"))], key=str)
+
+
 def test_stages_take_an_empty_table(spark):
     kept = docs_of(spark, [(1, "x")]).where("false")
     for _, stage in corpus_pipeline.STAGES:
