@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspark.llm import bpe, decontaminate, hamming_topk, language_id, order_minhash, pii, quality_fm, ranked_search, sharding, token_store, toxicity
+from reelspark.llm import bpe, decontaminate, hamming_topk, html_text, language_id, order_minhash, phrase_mining, pii, quality_fm, ranked_search, sharding, token_store, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming_topk": hamming_topk.op1_hamming_topk,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": order_minhash.op8_order_minhash,
     "op9_language_id": language_id.op9_language_id,
     "op10_pii": pii.op10_pii,
+    "op11_html_extraction": html_text.op11_html_extraction,
+    "op12_phrase_collocations": phrase_mining.op12_phrase_collocations,
     "op13_ranked_search": ranked_search.op13_ranked_search,
 }
 
@@ -26,5 +28,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_hamming_topk": hamming_topk.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op5_shard_lookup": sharding.OP5_SQL,
+    "op12_phrase_collocations": phrase_mining.OP12_SQL,
     "op13_ranked_search": ranked_search.OP13_SQL,
 }
