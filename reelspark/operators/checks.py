@@ -19,7 +19,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -209,8 +209,8 @@ def _stack(row_df: DataFrame, items: list[tuple[Check, str]]) -> DataFrame:
 
 
 def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
-              tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """(relation, check, kind, n_violations) for every check of a relation.
+              tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
+    """(relation, check, kind, n_violations) for every check of a relation; None if there is none.
 
     All row checks share one pass. When the relation also has a grain check
     (unique / unique_combination), the row predicates are counted inside
@@ -218,7 +218,6 @@ def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
     relation is scanned and shuffled once for both. Every other set check
     adds one aggregate. The result is one small DataFrame (one row per check).
     """
-    spark = df.sparkSession
     tables = tables or {}
     parts: list[DataFrame] = []
     rows = [c for c in checks if c.is_row_check]
@@ -247,11 +246,41 @@ def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
                      .select(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
                              "n_violations"))
     if not parts:
-        return spark.createDataFrame([], "relation string, check string, kind string, n_violations long")
+        return None
     out = reduce(DataFrame.unionByName, parts)
     return out.select(F.lit(relation).alias("relation"), "check", "kind", "n_violations")
 
 
+class Watch:
+    """Row checks (and other aggregates) counted while a relation is written, so that no file is read again for them.
+
+    The counts are observed where the rows are written, after the last shuffle. A task that is run again there counts
+    once; a count is 0 exactly when no row breaks the check.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = [c for c in checks if c.is_row_check]
+        self._observed = Observation()
+        self._columns = [F.coalesce(F.count_if(F.coalesce(c.predicate(), F.lit(False))), F.lit(0)).cast("long").alias(f"_r{i}")
+                         for i, c in enumerate(self.checks)]
+
+    def also(self, name: str, aggregate: Column) -> None:
+        """One more aggregate, for ``value``."""
+        self._columns.append(aggregate.alias(name))
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observed, *self._columns) if self._columns else df
+
+    def value(self, name: str):
+        """An aggregate of the rows that were written (waits for the write)."""
+        return self._observed.get[name]
+
+    def summary(self, relation: str) -> list[dict]:
+        """What ``summarize`` gives for the row checks, as rows on the driver (one per check)."""
+        return [{"relation": relation, "check": c.name, "kind": c.kind, "n_violations": self.value(f"_r{i}")}
+                for i, c in enumerate(self.checks)]
+
+
 class CheckFailed(RuntimeError):
     """Q9: a gate found violations of error-severity checks."""
 
@@ -261,12 +290,16 @@ class CheckFailed(RuntimeError):
         super().__init__(f"data-quality checks failed: {names}")
 
 
-def gate(summary: DataFrame, checks_by_name: Mapping[str, Check] | None = None) -> list[dict]:
+def gate(summary: DataFrame | None, checks_by_name: Mapping[str, Check] | None = None,
+         observed: Sequence[dict] = ()) -> list[dict]:
     """Q9: raise if any error-severity check has violations; return warnings.
 
-    Only the per-check summary (one row per declared check) reaches the driver.
+    Only the per-check summary (one row per declared check) reaches the
+    driver; ``observed`` are rows that a ``Watch`` has counted already.
     """
-    rows = [r.asDict() for r in summary.where(F.col("n_violations") > 0).collect()]
+    rows = [r for r in observed if r["n_violations"] > 0]
+    if summary is not None:
+        rows += [r.asDict() for r in summary.where(F.col("n_violations") > 0).collect()]
     sev = {k: c.severity for k, c in (checks_by_name or {}).items()}
     errors = [r for r in rows if sev.get(r["check"], "error") == "error"]
     if errors:

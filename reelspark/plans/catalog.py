@@ -18,6 +18,7 @@ from . import incremental as INC
 from . import inputs as I
 from . import profile as P
 from . import quality as Q
+from . import retention
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,8 +129,28 @@ def scd2_violations_declared(spark, d):
 
 
 def retention_approx(spark, d):
-    """X1 (rows-only check; error bound tested in pytest)."""
-    return marts.mart_user_cohort_retention_approx(I.dim_users(spark, d), I.fct_ratings(spark, d))
+    """Retention from sketches that two loads have stored (rows-only: approximate; ``retention_sketch_bounds``
+    holds it against the exact numbers)."""
+    return INC.sketched_retention(spark, d)
+
+
+def retention_sketch_bounds(spark, d):
+    """Whether each approximate number of active users is within three deviations of the exact one."""
+    exact = cohort_retention(spark, d).withColumnRenamed("active_users", "exact")
+    near = F.abs(F.col("active_users") - F.col("exact")) <= 3 * retention.RSD * F.col("exact")
+    return (INC.sketched_retention(spark, d).drop("cohort_size", "retention_rate")
+            .join(exact, ["cohort_month", "months_since_first_rating"], "full")
+            .select("cohort_month", "months_since_first_rating", F.coalesce(near, F.lit(False)).alias("within_bound")))
+
+
+def bridge_active_users(spark, d):
+    """Users of each month, from the bitmaps that two loads have stored."""
+    return retention.active_users(INC.stored_bridge(spark, d))
+
+
+def retention_bridge(spark, d):
+    """M14, exact, from the stored bitmaps."""
+    return retention.retention_from_bridge(I.dim_users(spark, d), INC.stored_bridge(spark, d))
 
 
 def user_month_bridge(spark, d):
@@ -269,6 +290,9 @@ def queries() -> dict[str, Query]:
         "users_dim_incremental": INC.users_dim_incremental,
         "user_month_bridge": user_month_bridge,
         "retention_approx": retention_approx,
+        "retention_sketch_bounds": retention_sketch_bounds,
+        "bridge_active_users": bridge_active_users,
+        "retention_bridge": retention_bridge,
         "profile_keys": profile_keys,
         "profile_ranges": profile_ranges,
         "profile_ties": profile_ties,

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import lit_of
 from ..session import scratch_path
-from ..sources.tables import PartitionedTable
-from . import dims, fact_build, facts
+from ..sources.tables import FactTable
+from . import dims, fact_build, facts, retention
 from . import inputs as I
 
 # --- fixed values of the two-run scenarios -----------------------------------
@@ -94,24 +94,24 @@ def daily_partition_replace(spark, d, path: str | None = None) -> DataFrame:
     re-rating emptied (no stale rows inside the rewritten months).
     """
     f1, f2 = ratings_two_runs(spark, d)
-    table = PartitionedTable.at(spark, path or _new_folder(spark, "daily"), fact_build.MONTH)
+    table = fact_build.daily_table(FactTable.at, spark, path or _new_folder(spark, "daily"))
     fact_build.merge_daily(table, f1).publish()
     fact_build.merge_daily(table, stored(f2), whole_months=True).publish()
     return table.read().drop(fact_build.MONTH)
 
 
 def ratings_bucket_merge(spark, d, path: str | None = None, buckets: int = 16) -> DataFrame:
-    """fct_ratings stored by user bucket; run 2 reads and rewrites only the
-    buckets its batch touches (the merge target is pruned, not rescanned).
-    A re-rating keeps its user, hence its bucket, so a key never moves."""
+    """fct_ratings stored by month and, within it, by user bucket; run 2
+    finds the rows its batch replaces without a shuffle of the target and
+    rewrites only the months that hold one."""
     r = I.ratings(spark, d)
-    table = PartitionedTable.at(spark, path or _new_folder(spark, "ratings"), fact_build.BUCKET)
+    table = fact_build.ratings_table(FactTable.at, spark, path or _new_folder(spark, "ratings"))
     run1 = facts.fct_ratings_full(_split(r, "rating_timestamp", CUTOFF), dedupe=True, tiebreak=T)
     fact_build.merge_ratings(table, run1, buckets).publish()
     since = F.timestamp_micros(F.lit(fact_build.stored_mark(table)))
     batch = facts.latest_ratings(r.where(F.col("rating_timestamp") >= since), T)
     fact_build.merge_ratings(table, batch, buckets).publish()
-    return table.read().drop(fact_build.BUCKET)
+    return table.read().drop(fact_build.MONTH)
 
 
 def users_dim_incremental(spark, d) -> DataFrame:
@@ -153,3 +153,26 @@ def users_dim_incremental(spark, d) -> DataFrame:
                          (F.col("sum_rating") / F.col("n_ratings")).alias("avg_rating_given"),
                          "first_rating_at", "last_rating_at")
     return dims.dim_users_from_activity(activity, ts)
+
+
+def stored_bridge(spark, d) -> DataFrame:
+    """The (month, user) bitmaps after two loads, split by arrival: the second one ORs late rows into old months."""
+    r, path = I.ratings(spark, d), _new_folder(spark, "bridge")
+    late = F.col("arrived_at") >= lit_of(CUTOFF)
+    retention.add_to_bridge(r.where(~late), path)
+    retention.add_to_bridge(r.where(late), path)
+    return retention.held(spark, path, retention.BRIDGE)
+
+
+def sketched_retention(spark, d) -> DataFrame:
+    """Retention from the (cohort, month) sketches of two loads, split by arrival. The second load moves users to
+    earlier cohorts; these are sketched anew before it is added."""
+    r, path = I.ratings(spark, d), _new_folder(spark, "sketches")
+    late = F.col("arrived_at") >= lit_of(CUTOFF)
+    first, both = r.where(~late), stored(I.dim_users(spark, d))
+    before = stored(dims.dim_users(first, I.tags(spark, d)))
+    retention.add_to_sketches(before, first, path)
+    if moved := retention.moved_cohorts(before, both):
+        retention.sketch_again(both, first, path, moved)
+    retention.add_to_sketches(both, r.where(late), path)
+    return retention.retention_from_sketches(both, retention.held(spark, path, retention.SKETCHES))

@@ -129,25 +129,3 @@ def mart_user_cohort_retention(dim_users: DataFrame, fct_ratings: DataFrame) ->
             .select("cohort_month", "cohort_size", "months_since_first_rating", "active_users",
                     round_half_up(safe_ratio("active_users", "cohort_size"), 4)
                     .alias("retention_rate")))
-
-
-def mart_user_cohort_retention_approx(dim_users: DataFrame, fct_ratings: DataFrame,
-                                      rsd: float = 0.02) -> DataFrame:
-    """Active users per (cohort, offset) by HyperLogLog sketch.
-
-    Sketches are fixed-size, mergeable aggregation buffers, so no exact
-    distinct set is shuffled; the relative standard deviation is ``rsd``.
-    Ratings are still reduced to (user, month) first, which bounds the join.
-    """
-    users = dim_users.where(F.col("first_rating_at").isNotNull()).select("user_id", "cohort_month")
-    activity = (user_months(fct_ratings).join(users, "user_id", "inner")
-                .select("cohort_month", "user_id",
-                        months_crossed("cohort_month", "activity_month")
-                        .alias("months_since_first_rating")))
-    active = (activity.groupBy("cohort_month", "months_since_first_rating")
-              .agg(F.approx_count_distinct("user_id", rsd).alias("active_users")))
-    sizes = users.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return (active.join(sizes, "cohort_month", "inner")
-            .select("cohort_month", "cohort_size", "months_since_first_rating", "active_users",
-                    round_half_up(safe_ratio("active_users", "cohort_size"), 4)
-                    .alias("retention_rate")))

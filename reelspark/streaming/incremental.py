@@ -4,7 +4,7 @@ The reference runs its incremental models as scheduled batches; the same
 functions run live here:
 
 * ``start_ratings_upsert``: new raw rating files -> staging -> merge into
-  fct_ratings (S7, per user bucket, X5) and re-derive the touched window of
+  fct_ratings (S7, X5) and re-derive the touched window of
   the daily fact (S9/S10), once per micro-batch in ``foreachBatch``, by the
   same staged merge as the build (``plans.fact_build``). The merge
   is idempotent (same batch twice = same table), so a micro-batch replayed
@@ -27,9 +27,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.latest import latest_per_key
 from ..plans import fact_build, facts, staging
 from ..session import scratch_path
-from ..sources.tables import PartitionedTable
+from ..sources.tables import FactTable
 
-BUCKETS = 64
+BUCKETS = 16
 
 
 def merge_ratings_batch(spark: SparkSession, batch: DataFrame, ratings_path: str,
@@ -41,21 +41,16 @@ def merge_ratings_batch(spark: SparkSession, batch: DataFrame, ratings_path: str
     times the batch does, so replaying a batch or receiving rows out of order
     cannot move a key backwards.
     """
-    keys = list(facts.RATING_KEYS)
-    table = PartitionedTable.at(spark, ratings_path, fact_build.BUCKET)
-    latest = latest_per_key(batch, keys, order, ["rating"]).select(*facts.RATING_COLS)
-    if table.exists():
-        held = table.read().select(*keys, F.col("rating_timestamp").alias("_held"))
-        late = latest.join(held, keys).where(F.col("_held") > F.col("rating_timestamp")).select(*keys)
-        latest = latest.join(late, keys, "left_anti").select(*facts.RATING_COLS)
-    fact_build.merge_ratings(table, latest, buckets).publish()
+    table = fact_build.ratings_table(FactTable.at, spark, ratings_path)
+    latest = latest_per_key(batch, list(facts.RATING_KEYS), order, ["rating"]).select(*facts.RATING_COLS)
+    fact_build.merge_ratings(table, latest, buckets, newer="rating_timestamp").publish()
 
 
 def refresh_daily(spark: SparkSession, ratings_path: str, daily_path: str) -> None:
     """Recompute the daily fact's lookback window from fct_ratings and replace
     the touched months (whole months, so emptied days disappear)."""
-    ratings = PartitionedTable.at(spark, ratings_path, fact_build.BUCKET).read().drop(fact_build.BUCKET)
-    daily = PartitionedTable.at(spark, daily_path, fact_build.MONTH)
+    ratings = fact_build.ratings_table(FactTable.at, spark, ratings_path).read()
+    daily = fact_build.daily_table(FactTable.at, spark, daily_path)
     fact_build.merge_daily(daily, ratings, whole_months=True).publish()
 
 
@@ -96,8 +91,8 @@ def start_user_activity(spark: SparkSession, source_dir: str, schema: T.StructTy
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         new = batch.withColumn(fact_build.BUCKET, F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
-        table = PartitionedTable.at(spark, activity_path, fact_build.BUCKET)
-        made = fact_build.upsert(table, new, ["user_id"]) if table.exists() else fact_build.first(table, new)
+        table = FactTable.at(spark, activity_path, fact_build.BUCKET)
+        made = fact_build.upsert(table, new, ["user_id"]) if table.exists() else fact_build.first(table, new, ["user_id"])
         made.publish()
 
     w = (agg.writeStream.outputMode("update").foreachBatch(each)

@@ -12,7 +12,7 @@ from reelspark.sources import testdata
 from reelspark.sources.freshness import (Freshness, StaleSourceError, freshness_gate,
                                          source_freshness)
 from reelspark.plans import fact_build
-from reelspark.sources.tables import PartitionedTable, Table, replace_partitions
+from reelspark.sources.tables import FactTable, Table, replace_partitions
 
 from .conftest import SF0001
 
@@ -137,13 +137,13 @@ def test_streaming_upsert_matches_batch(spark, tmp_base):
     q = start_ratings_upsert(spark, src + "/*", RAW_RATINGS, os.path.join(tmp_base, "fct"),
                              os.path.join(tmp_base, "daily"), checkpoint=os.path.join(tmp_base, "ck1"))
     q.awaitTermination(300)
-    got = PartitionedTable.at(spark, os.path.join(tmp_base, "fct"), "user_bucket").read().drop("user_bucket")
+    got = fact_build.ratings_table(FactTable.at, spark, os.path.join(tmp_base, "fct")).read().drop("rating_month")
     from reelspark.plans.staging import stg_ratings
     want = latest_per_key(stg_ratings(r), ["user_id", "movie_id"], ["rating_timestamp", "rating"], [])
     assert got.count() == want.count()
     key = ["user_id", "movie_id", "rating_timestamp"]
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
-    daily = PartitionedTable.at(spark, os.path.join(tmp_base, "daily"), "rating_month").read().drop("rating_month")
+    daily = fact_build.daily_table(FactTable.at, spark, os.path.join(tmp_base, "daily")).read().drop("rating_month")
     full = facts.movie_rating_daily(got)
     # months the second run rewrote equal a full refresh; older days may keep
     # stale rows of re-dated ratings (the reference's lookback semantics, I3)
@@ -157,7 +157,7 @@ def test_streaming_upsert_matches_batch(spark, tmp_base):
     qa = start_user_activity(spark, src + "/*", RAW_RATINGS, os.path.join(tmp_base, "ua"),
                              checkpoint=os.path.join(tmp_base, "ck2"))
     qa.awaitTermination(300)
-    ua = PartitionedTable.at(spark, os.path.join(tmp_base, "ua"), "user_bucket").read()
+    ua = FactTable.at(spark, os.path.join(tmp_base, "ua"), "user_bucket").read()
     assert ua.agg(F.sum("n_ratings")).first()[0] == r.count()
 
 
@@ -279,7 +279,7 @@ def test_read_error_leaves_the_table(spark, tmp_base):
     import glob
     p = _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS))
     assert p.run().ok
-    for file in glob.glob(f"{p.fact('fct_ratings').root}/parts/*/*/*.parquet"):
+    for file in glob.glob(f"{p.fact('fct_ratings').root}/versions/*/*/*.parquet"):
         with open(file, "wb") as out:
             out.write(b"not parquet")
     later = _small_pipeline(spark, tmp_base, _small_raw(spark, [*RATINGS, (9, 1, 4.0, DAY * 200)]))
@@ -289,20 +289,119 @@ def test_read_error_leaves_the_table(spark, tmp_base):
     assert later.fact("fct_ratings").current() == before
 
 
-def test_merge_appends_new_keys_and_rewrites_met_partitions(spark, tmp_base):
-    import glob
-    table = PartitionedTable(spark, tmp_base, "f", "t", fact_build.BUCKET)
-    rows = lambda some: spark.createDataFrame(some, "user_id long, movie_id long, rating double, s long").select(
+def _rated(spark, some):
+    return spark.createDataFrame(some, "user_id long, movie_id long, rating double, s long").select(
         "user_id", "movie_id", "rating", F.timestamp_seconds("s").alias("rating_timestamp"))
-    fact_build.merge_ratings(table, rows([(u, 1, 1.0, 10) for u in range(40)]), 4).publish()
-    assert len(glob.glob(f"{table.root}/parts/*/*/*.parquet")) <= 8      # not tasks x buckets
-    old = table.parts()
-    fact_build.merge_ratings(table, rows([(u, 2, 2.0, 20) for u in range(40)]), 4).publish()
-    assert all(table.parts()[k][0] == v[0] and len(table.parts()[k]) == 2 for k, v in old.items())
-    fact_build.merge_ratings(table, rows([(0, 1, 5.0, 30)]), 4).publish()
-    assert sorted(len(v) for v in table.parts().values()) == [1, 2, 2, 2]
+
+
+def _files(table):
+    import glob
+    return {f for f in glob.glob(f"{table.root}/versions/*/*/*.parquet")}
+
+
+def test_merge_rewrites_the_months_it_meets_only(spark, tmp_base):
+    table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    month = 31 * DAY
+    rows = [(u, f, 1.0, f * month + u) for u in range(40) for f in range(6)]
+    fact_build.merge_ratings(table, _rated(spark, rows), 4).publish()
+    assert len(_files(table)) <= 6 * 4                                    # months x buckets, not tasks
+    before = _files(table)
+    made = fact_build.merge_ratings(table, _rated(spark, [(0, 2, 5.0, 6 * month), (99, 1, 2.0, 6 * month)]), 4)
+    assert table.read().count() == len(rows) and _files(table) == before  # nothing shows before it is published
+    assert made.whole().count() == len(rows) + 1
+    made.publish()
+    gone = {os.path.basename(os.path.dirname(f)) for f in before - _files(table)}
+    assert gone == {"rating_month=1970-03-01"}                            # where (0, 2) was
     got = {(r.user_id, r.movie_id): r.rating for r in table.read().collect()}
-    assert len(got) == 80 and got[0, 1] == 5.0 and got[1, 1] == 1.0
+    assert len(got) == len(rows) + 1 and got[0, 2] == 5.0 and got[1, 2] == 1.0
+    assert not os.path.isdir(f"{table.root}/staged") or not os.listdir(f"{table.root}/staged")
+
+
+def test_a_month_whose_rows_all_move_is_emptied(spark, tmp_base):
+    table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    fact_build.merge_ratings(table, _rated(spark, [(1, 1, 1.0, 10), (2, 1, 1.0, 40 * DAY), (3, 1, 1.0, None)]), 2).publish()
+    fact_build.merge_ratings(table, _rated(spark, [(1, 1, 2.0, 50 * DAY), (3, 1, 4.0, 50 * DAY)]), 2).publish()
+    assert sorted((r.user_id, r.rating) for r in table.read().collect()) == [(1, 2.0), (2, 1.0), (3, 4.0)]
+    assert {str(r.rating_month) for r in table.read().collect()} == {"1970-02-01"}
+
+
+def test_the_merge_does_not_shuffle_the_target(spark, tmp_base, monkeypatch):
+    """The join that finds the rows to replace reads the published side where it lies, however large the batch."""
+    table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    fact_build.merge_ratings(table, _rated(spark, [(u, f, 1.0, f * 31 * DAY + u) for u in range(200) for f in range(4)]), 8).publish()
+    plans = []
+    real = fact_build.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(fact_build, "materialize", seen)
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        fact_build.merge_ratings(table, _rated(spark, [(5, 2, 5.0, 4 * 31 * DAY)]), 8).publish()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+    (join,) = [p for p in plans if "LeftSemi" in p]
+    lines = join.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "rating_month" in line)
+    assert "Bucketed: true" in lines[scan]
+    path, at = [], scan
+    while "LeftSemi" not in lines[at]:  # from the scan up to the join
+        at = max(i for i in range(at) if depth(lines[i]) < depth(lines[at]))
+        path.append(lines[at])
+    assert not any("Exchange" in line for line in path)
+    assert table.read().where("user_id = 5 AND movie_id = 2").first().rating == 5.0
+
+
+def test_the_daily_lookback_reads_its_months_only(spark, tmp_base):
+    table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    fact_build.merge_ratings(table, _rated(spark, [(u, 1, 1.0, u * 10 * DAY) for u in range(100)]), 2).publish()
+    source = fact_build.recent(table.read(), dt.date(1972, 7, 20))
+    plan = source._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "rating_month" in filters and "1972-07-01" in filters
+    assert {os.path.basename(os.path.dirname(f)) for f in source.inputFiles()} <= {"rating_month=1972-07-01", "rating_month=1972-08-01", "rating_month=1972-09-01"}
+    assert source.count() == sum(u * 10 * DAY >= dt.datetime(1972, 7, 20, tzinfo=dt.timezone.utc).timestamp() for u in range(100))
+
+
+def test_another_session_finds_the_table(spark, tmp_base):
+    table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    fact_build.merge_ratings(table, _rated(spark, [(u, 1, 1.0, u * 40 * DAY) for u in range(9)]), 2).publish()
+    spark.sql(f"DROP TABLE {table._entry(table.current()['version'])}")   # as in a session of its own
+    again = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
+    assert again.read().count() == 9
+    fact_build.merge_ratings(again, _rated(spark, [(1, 1, 3.0, 400 * DAY)]), 2).publish()
+    assert again.read().count() == 9 and again.read().where("user_id = 1").first().rating == 3.0
+
+
+def test_row_checks_are_counted_while_the_table_is_written(spark, tmp_base, monkeypatch):
+    from reelspark.operators import checks as C
+    from reelspark.plans import pipeline as P
+    asked = []
+    real = P.summarize
+    monkeypatch.setattr(P, "summarize", lambda name, df, cs, t=None: asked.append((name, [c.kind for c in cs])) or real(name, df, cs, t))
+    assert _small_pipeline(spark, tmp_base, _small_raw(spark, RATINGS), checks=None).run().ok
+    stored = {n for n, (kind, _) in P.DAG.items() if kind in ("table", "incremental")}
+    kinds = {k for n, ks in asked if n in stored for k in ks}
+    assert kinds == {"unique", "unique_combination", "relationships"}      # no row check reads a staged file
+    bad = _small_raw(spark, [*RATINGS, (9, 1, 7.5, DAY * 200), (10, 1, None, DAY * 200)])
+    p = _small_pipeline(spark, tmp_base, bad)
+    p.checks = {"fct_ratings": [C.between("rating", 0.5, 5.0), C.not_null("rating")]}
+    res = p.run()
+    assert "between(rating,0.5,5.0)=1" in res.failed["fct_ratings"] and "not_null(rating)=1" in res.failed["fct_ratings"]
+
+
+def test_the_result_does_not_depend_on_the_threads(spark, tmp_base):
+    raw = _small_raw(spark, [*RATINGS, (9, 77, 4.0, DAY * 200)])            # a film that is not there
+    found = []
+    for k, threads in enumerate((1, 8)):
+        res = _small_pipeline(spark, os.path.join(tmp_base, str(k)), raw, checks=None).run(threads=threads, now=dt.datetime(2100, 1, 1))
+        found.append((sorted(res.published), res.failed, res.skipped, res.warnings, res.executed))
+    assert found[0] == found[1] and "fct_ratings" in found[0][1]
 
 
 def test_mark_reaches_the_scan(spark, tmp_base):
