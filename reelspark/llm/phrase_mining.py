@@ -4,13 +4,15 @@ A phrase is frequent when it occurs ``support`` times in its language, and then
 the documents proposes words and phrases, at a lowered support. One pass over all documents then counts exactly what is
 proposed and its negative border: the phrases that are not proposed themselves but all of whose parts are, which are all
 words, and each longer phrase whose first and last n - 1 words are proposed. A border phrase that turns out frequent is a
-failure of the sample: phrases that hold it were not counted. The failures join the proposals, and another pass counts
-the phrases that have come into reach, until a pass has no failures; then every frequent phrase has been counted, whatever
-the sample held. The sample only decides how many passes that takes.
+failure of the sample: phrases that hold it were not counted. The failures join the proposals, and an expansion pass
+counts the phrases that have come into reach, until there are no failures left; then every frequent phrase has been
+counted, whatever the sample held. What an expansion pass meets for the first time it takes as proposed, so one is enough.
 
-Proposals go to the tasks as Bloom filters of a fixed size, ``2 ** FILTER_BITS`` bits a length, so their number is not
-bounded by memory: a phrase let in by mistake is only counted in vain. Counts are summed in each task over
-``PASS_BYTES`` of text, by phrase (not by a hash of it), before Spark adds them up.
+Proposals go to the tasks as Bloom filters, of eight bits for each proposal and at most ``2 ** MOST_BITS`` bits for a
+length, so memory does not bound their number: a phrase let in by mistake is only counted in vain. Most of the border
+is rare, so the first pass counts in two steps: by 64-bit hashes, which Spark adds up as plain numbers, then, of the
+phrases whose hash reaches the support (a hash never counts less than its phrase), by the phrases as they are spelt. Every
+count in the result is of the latter kind. Counts are summed in each task over ``PASS_BYTES`` of text before Spark adds them up.
 
 Words: ASCII letters are lower-cased, pieces end at . , ; : ! ? and line breaks, words at spaces and tabs; phrases don't
 cross pieces. Each language is counted on its own.
@@ -36,10 +38,12 @@ from reelspark.llm.store import stored, task_session
 SUPPORT, LONGEST = 10, 3
 #: Share of the documents in the sample, and the least support in it as a share of what is expected at ``support``.
 SAMPLE, LOWERED, SEED = 0.25, 0.8, 12
-#: Bits of a filter, as a power of two (16 MB).
-FILTER_BITS = 27
+#: Bits of a filter as a power of two, at least and at most (32 MB).
+LEAST_BITS, MOST_BITS = 16, 28
 #: Bytes of text that are counted together.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 2 << 20
+#: Rows of counts that go to Spark at once.
+ROWS = 1 << 16
 TOP = 2000
 
 _PIECE_ENDS = np.zeros(256, bool)
@@ -47,41 +51,42 @@ _PIECE_ENDS[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _IN_WORD = ~_PIECE_ENDS
 _IN_WORD[[*b" \t"]] = False
 
-_COUNTS = "lang string, n int, phrase string, hash long, proposed boolean, f long"
+_FREQUENT = "lang string, n int, phrase string, hash long, proposed boolean, f long"
 #: Bits of one value of bitmap_construct_agg.
 _BITMAP = 32768
 
 
 @dataclass
 class Filters:
-    """A Bloom filter (two bits a phrase) of the proposals of each length, from 1."""
+    """A Bloom filter (two bits a phrase) of the proposals of each length, from 1, of ``2 ** size`` bits each."""
 
     bits: list[np.ndarray]
+    size: int
 
     def hold(self, length: int, hashes: np.ndarray) -> np.ndarray:
         bits = self.bits[length - 1]
         found = np.ones(len(hashes), bool)
-        for place in ((hashes >> np.uint64(64 - FILTER_BITS)), (hashes << np.uint64(FILTER_BITS)) >> np.uint64(64 - FILTER_BITS)):
+        for place in (hashes >> np.uint64(64 - self.size), (hashes << np.uint64(self.size)) >> np.uint64(64 - self.size)):
             found &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         return found
 
     def joined(self, other: Filters) -> Filters:
-        return Filters([a | b for a, b in zip(self.bits, other.bits, strict=True)])
+        return Filters([a | b for a, b in zip(self.bits, other.bits, strict=True)], self.size)
 
 
-def filters_of(phrases: DataFrame, lengths: int) -> Filters:
-    """The filters of the rows of ``phrases`` (n, hash); bits are set in Spark, so what arrives has a fixed size."""
-    first = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    second = F.shiftrightunsigned(F.shiftleft("hash", FILTER_BITS), 64 - FILTER_BITS)
+def filters_of(phrases: DataFrame, lengths: int, size: int) -> Filters:
+    """The filters of the rows of ``phrases`` (n, hash); bits are set in Spark, so what arrives is bounded."""
+    first = F.shiftrightunsigned("hash", 64 - size)
+    second = F.shiftrightunsigned(F.shiftleft("hash", size), 64 - size)
     places = phrases.select("n", F.explode(F.array(first, second)).alias("place"))
     # Buckets of a bitmap count from 1 for places from 1.
     bitmaps = places.groupBy("n", F.bitmap_bucket_number(F.col("place") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bitmap"))
-    out = [np.zeros(1 << (FILTER_BITS - 3), np.uint8) for _ in range(lengths)]
+    out = [np.zeros(1 << (size - 3), np.uint8) for _ in range(lengths)]
     for batch in bitmaps.toArrow().to_batches():
         for n, bucket, bitmap in zip(batch.column("n").to_pylist(), batch.column("bucket").to_pylist(), batch.column("bitmap").to_pylist(), strict=True):
             at = (bucket - 1) * (_BITMAP // 8)
             out[n - 1][at : at + len(bitmap)] = np.frombuffer(bitmap, np.uint8)[: len(out[n - 1]) - at]
-    return Filters(out)
+    return Filters(out, size)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
@@ -98,23 +103,49 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-@dataclass
-class Level:
-    """The distinct phrases of one length in a batch: where each begins first, how often it occurs, its hash."""
+def _sent(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (rows.slice(k, ROWS) for k in range(0, rows.num_rows, ROWS))
+
+
+def _unit(word: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """The hash of a word of a language, from those of both."""
+    return mix(word ^ mix(lang, 3), 5)
+
+
+def _grown(phrase: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """The hash of a phrase with one more word."""
+    return mix(phrase * np.uint64(0x9E3779B97F4A7C15) ^ unit, 7)
+
 
-    length: int
-    begin: np.ndarray
-    count: np.ndarray
-    hashes: np.ndarray
+def _hashes(column: pa.Array) -> np.ndarray:
+    data, at = text_bytes(column)
+    return span_hashes(data, at[:-1], at[1:])
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number of each key among the distinct ones, where each distinct one is first, and how often it is there."""
+def phrase_hashes(lang: pa.Array, phrase: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths (0 for the empty phrase) and hashes of phrases that are spelt out."""
+    words = pc.split_pattern(phrase, " ")
+    size = np.array(pc.list_value_length(words), np.int64)
+    first = np.cumsum(size) - size
+    unit = _unit(_hashes(words.flatten()), np.repeat(_hashes(lang), size))
+    out = unit[first]
+    for k in range(1, int(size.max(initial=0))):
+        more = np.flatnonzero(size > k)
+        out[more] = _grown(out[more], unit[first[more] + k])
+    return np.where(np.array(pc.equal(phrase, "")), 0, size), out
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each key among the distinct ones, and how often each of those is there."""
     coded = pa.array(keys).dictionary_encode()
     number = np.array(coded.indices, np.int64)
-    first = np.empty(len(coded.dictionary), np.int64)
-    first[number[::-1]] = np.arange(len(keys))[::-1]
-    return number, first, np.bincount(number, minlength=len(first))
+    return number, np.bincount(number, minlength=len(coded.dictionary))
+
+
+def _tally(hashes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct hashes, and how often each is there."""
+    coded = pa.array(hashes.view(np.int64)).dictionary_encode()
+    return coded.dictionary, np.bincount(np.array(coded.indices), minlength=len(coded.dictionary))
 
 
 class Words:
@@ -125,8 +156,9 @@ class Words:
         data = LOWER[raw]
         inside = _IN_WORD[data]
         starts, ends = word_spans(inside, at)
-        row = np.searchsorted(at, starts, "right") - 1
-        piece = np.cumsum(_PIECE_ENDS[data])[starts] + row if len(starts) else starts
+        row = np.repeat(np.arange(batch.num_rows), np.diff(np.searchsorted(starts, at)))
+        breaks = np.concatenate([[0], np.cumsum(_PIECE_ENDS[data], dtype=np.int32)])
+        piece = breaks[starts] + row
         #: Whether the next word is in the same piece.
         self.joined = np.append(piece[1:] == piece[:-1], False) if len(starts) else np.zeros(0, bool)
         ends_at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
@@ -135,42 +167,69 @@ class Words:
         self.word, self.words = np.array(words.indices, np.int64), words.dictionary
         langs = pc.fill_null(batch.column("lang"), "und").dictionary_encode()
         self.lang, self.langs = np.array(langs.indices, np.int64)[row], langs.dictionary
-        spelt, spelt_at = text_bytes(self.words)
-        word_hash = span_hashes(spelt, spelt_at[:-1], spelt_at[1:])
-        spelt, spelt_at = text_bytes(self.langs)
-        lang_hash = mix(span_hashes(spelt, spelt_at[:-1], spelt_at[1:]), 3)
-        self.number, self.first, self.count = _distinct(self.lang * max(len(self.words), 1) + self.word)
-        self.hashes = mix(word_hash[self.word[self.first]] ^ lang_hash[self.lang[self.first]], 5)
-
-    def levels(self, longest: int, counted: Filters | None, proposed: Filters | None) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
-        """Each length's phrases whose parts are proposed (None: all are), whether earlier passes, with the filters in
-        ``counted``, counted them, and whether they are proposed themselves."""
-        number, begin = self.number, np.arange(len(self.word))
-        level = Level(1, self.first, self.count, self.hashes)
-        before = np.full(len(self.first), counted is not None)
-        known = before
+        size = max(len(self.words), 1)
+        #: Words of a language, as one number each.
+        self.number, pairs = self._numbered(self.lang * size + self.word, len(self.langs) * size)
+        self.hashes = _unit(_hashes(self.words)[pairs % size], _hashes(self.langs)[pairs // size])
+
+    @staticmethod
+    def _numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if size > 4 * len(keys) + 1024:  # many languages
+            coded = pa.array(keys).dictionary_encode()
+            return np.array(coded.indices, np.int64), np.array(coded.dictionary, np.int64)
+        held = np.flatnonzero(np.bincount(keys, minlength=size))
+        number = np.zeros(size, np.int64)
+        number[held] = np.arange(len(held))
+        return number[keys], held
+
+    def levels(self, longest: int, counted: Filters | None, proposed: Filters | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length: where the phrases begin whose parts are proposed (None: all are), their hashes, and whether
+        earlier passes, with the filters in ``counted``, counted them. After the first pass, what was not counted
+        before is as good as proposed."""
+        begin, hashes = np.arange(len(self.word)), self.hashes[self.number]
+        before = np.full(len(begin), counted is not None)
         for length in range(1, longest + 1):
-            last = length == longest
-            alive = np.ones(len(level.begin), bool) if proposed is None or last else proposed.hold(length, level.hashes)
-            yield level, before, alive
-            if last:
+            yield length, begin, hashes, before
+            if length == longest:
                 return
-            known = before & counted.hold(length, level.hashes) if counted is not None else before
-            at = np.full(len(self.word) + 1, -1, np.int64)
-            at[begin] = np.where(alive[number], number, -1)
-            begin = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0) & self.joined)
-            number, first, count = _distinct(at[begin] * max(len(self.first), 1) + self.number[begin + length])
-            one = begin[first]
-            front, back = at[one], at[one + 1]
-            # A phrase's hash follows from those of its first n - 1 words and its last one.
-            hashes = mix(level.hashes[front] * np.uint64(0x9E3779B97F4A7C15) ^ self.hashes[self.number[one + length]], 7)
-            before = known[front] & known[back]
-            level = Level(length + 1, one, count, hashes)
-
-    def spell(self, level: Level, some: np.ndarray) -> pa.Array:
-        words = [self.words.take(pa.array(self.word[level.begin[some] + k])) for k in range(level.length)]
-        whole = words[0] if level.length == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-        return whole.cast(pa.binary()).cast(pa.string())
+            alive_at, known_at, hash_at = np.zeros(len(self.word) + 1, bool), np.zeros(len(self.word) + 1, bool), np.zeros(len(self.word), np.uint64)
+            alive_at[begin], hash_at[begin] = True, hashes
+            if proposed is not None:
+                alive_at[begin] = self._held(proposed, length, hashes)
+            if counted is not None:
+                alive_at[begin] |= ~before
+                known_at[begin] = before & self._held(counted, length, hashes)
+            begin = np.flatnonzero(alive_at[:-1] & alive_at[1:] & self.joined)
+            hashes = _grown(hash_at[begin], self.hashes[self.number[begin + length]])
+            before = known_at[begin] & known_at[begin + 1]
+
+    def _held(self, filters: Filters, length: int, hashes: np.ndarray) -> np.ndarray:
+        return filters.hold(1, self.hashes)[self.number] if length == 1 else filters.hold(length, hashes)
+
+    def counts(self, length: int, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each distinct phrase of those that begin there is first, and how often it is there."""
+        same = self.number[begin]
+        for k in range(1, length):
+            same = _distinct(same * len(self.hashes) + self.number[begin + k])[0]
+        number, count = _distinct(same)
+        first = np.empty(len(count), np.int64)
+        first[number[::-1]] = begin[::-1]
+        return first, count
+
+    def spell(self, length: int, begin: np.ndarray) -> pa.Array:
+        """The words of phrases, a tab (which no word holds) and the language."""
+        words = [self.words.take(pa.array(self.word[begin + k])) for k in range(length)]
+        whole = words[0] if length == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
+        return self._tabbed(whole, self.lang[begin])
+
+    def totals(self) -> tuple[pa.Array, np.ndarray]:
+        """The empty phrase of each language, with the number of its words."""
+        langs = np.arange(len(self.langs))
+        return self._tabbed(pa.array([b""] * len(langs), pa.large_binary()), langs), np.bincount(self.lang, minlength=len(langs))
+
+    def _tabbed(self, phrase: pa.Array, lang: np.ndarray) -> pa.Array:
+        langs = self.langs.cast(pa.large_binary()).take(pa.array(lang))
+        return pc.binary_join_element_wise(phrase, langs, pa.scalar(b"\t", pa.large_binary())).cast(pa.binary()).cast(pa.string())
 
 
 def propose(docs: DataFrame, support: int, longest: int, fraction: float) -> Filters:
@@ -179,36 +238,65 @@ def propose(docs: DataFrame, support: int, longest: int, fraction: float) -> Fil
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", PASS_BYTES):
-            for level, _, _ in Words(batch).levels(longest - 1, None, None):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(level.begin), level.length, np.int32)), pa.array(level.hashes.view(np.int64)), pa.array(level.count)], names=["n", "hash", "f"])
+            for length, _, hashes, _ in Words(batch).levels(longest - 1, None, None):
+                found, times = _tally(hashes)
+                yield from _sent(pa.RecordBatch.from_arrays([pa.array(np.full(len(found), length, np.int32)), found, pa.array(times)], names=["n", "hash", "f"]))
 
     some = docs if fraction >= 1 else docs.sample(fraction, SEED)
     found = some.mapInArrow(run, "n int, hash long, f long").groupBy("n", "hash").agg(F.sum("f").alias("f"))
-    return filters_of(found.where(F.col("f") >= least), longest - 1)
+    return sized_filters(found.where(F.col("f") >= least), longest - 1)
+
+
+def sized_filters(phrases: DataFrame, lengths: int) -> Filters:
+    """The filters of the rows of ``phrases`` (n, hash), as large as their number asks for."""
+    found = stored(phrases.select("n", "hash"), "hashes")
+    most = found.groupBy("n").count().agg(F.max("count")).first()[0] or 0
+    return filters_of(found, lengths, min(max((8 * most).bit_length(), LEAST_BITS), MOST_BITS))
+
+
+def likely(docs: DataFrame, support: int, longest: int, proposed: Filters) -> Filters:
+    """What the proposals and their border hold often enough by their hashes, all lengths together."""
+    sent = docs.sparkSession.sparkContext.broadcast(proposed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", PASS_BYTES):
+            for _, _, hashes, _ in Words(batch).levels(longest, None, sent.value):
+                yield from _sent(pa.RecordBatch.from_arrays([*map(pa.array, _tally(hashes))], names=["hash", "f"]))
+
+    found = docs.mapInArrow(run, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
+    return sized_filters(found.where(F.col("f") >= support).withColumn("n", F.lit(1)), 1)
 
 
 def count(docs: DataFrame, support: int, longest: int, counted: Filters | None, proposed: Filters) -> DataFrame:
     """lang, n, phrase, hash, proposed, f of the frequent phrases among the proposals and their border that earlier
     passes (``counted``) did not count; in the first pass also each language's words altogether, as length 0."""
-    sent = docs.sparkSession.sparkContext.broadcast((counted, proposed))
+    proposes = longest if counted is None else 1
+    some_hashes = likely(docs, support, longest, proposed) if counted is None else None
+    sent = docs.sparkSession.sparkContext.broadcast((counted, proposed, some_hashes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted, proposed = sent.value
+        counted, proposed, some_hashes = sent.value
         for batch in gathered(batches, "text", PASS_BYTES):
             words = Words(batch)
             if counted is None:
-                yield _rows(words.langs, 0, pa.array([""] * len(words.langs)), np.zeros(len(words.langs), np.int64), np.ones(len(words.langs), bool), np.bincount(words.lang, minlength=len(words.langs)))
-            for level, before, alive in words.levels(longest, counted, proposed):
-                some = np.flatnonzero(~before)
-                if len(some):
-                    yield _rows(words.langs.take(pa.array(words.lang[level.begin[some]])), level.length, words.spell(level, some), level.hashes[some].view(np.int64), alive[some], level.count[some])
-
-    each = docs.mapInArrow(run, _COUNTS)
-    return each.groupBy("lang", "n", "phrase").agg(F.max("hash").alias("hash"), F.max("proposed").alias("proposed"), F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("n") == 0))
-
-
-def _rows(lang: pa.Array, n: int, phrase: pa.Array, hashes: np.ndarray, proposed: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(lang), n, np.int32)), phrase, pa.array(hashes), pa.array(proposed), pa.array(f.astype(np.int64))], names=["lang", "n", "phrase", "hash", "proposed", "f"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, words.totals())], names=["key", "f"])
+            for length, begin, hashes, before in words.levels(longest, counted, proposed):
+                first, times = words.counts(length, begin[~before if some_hashes is None else some_hashes.hold(1, hashes)])
+                yield from _sent(pa.RecordBatch.from_arrays([words.spell(length, first), pa.array(times)], names=["key", "f"]))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = pc.split_pattern(batch.column("key"), "\t", max_splits=1)
+            phrase, lang = pc.list_element(parts, 0), pc.list_element(parts, 1)
+            size, hashes = phrase_hashes(lang, phrase)
+            held = np.ones(len(size), bool)
+            for n in range(1, proposes):
+                own = np.flatnonzero(size == n)
+                held[own] = sent.value[1].hold(n, hashes[own])
+            yield pa.RecordBatch.from_arrays([lang, pa.array(size.astype(np.int32)), phrase, pa.array(hashes.view(np.int64)), pa.array(held), batch.column("f")], names=["lang", "n", "phrase", "hash", "proposed", "f"])
+
+    each = docs.mapInArrow(run, "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    return each.where((F.col("f") >= support) | F.col("key").startswith("\t")).mapInArrow(describe, _FREQUENT)
 
 
 def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, fraction: float = SAMPLE, text: str = "text", lang: str = "lang") -> tuple[DataFrame, int]:
@@ -226,7 +314,7 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, fracti
         failures = found.where((F.col("n") > 0) & (F.col("n") < longest) & ~F.col("proposed"))
         if failures.isEmpty():
             return frequent.select("lang", "n", "phrase", "f"), steps
-        counted, proposed = proposed, proposed.joined(filters_of(failures, longest - 1))
+        counted, proposed = proposed, proposed.joined(filters_of(failures, longest - 1, proposed.size))
 
 
 def _part(first: F.Column | int, number: F.Column | int) -> F.Column:
