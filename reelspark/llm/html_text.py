@@ -73,6 +73,7 @@ MAIN_ROLES = frozenset(["main", "article"])
 _TAG = re.compile(r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*+>|(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>|/[^a-zA-Z>][^>]*+>|/>)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_COMMENT_END = re.compile(r"(?:--!?>|^<!--?->|^<!-->)\Z")
 _UNCLOSED = re.compile(r"<[a-zA-Z/!?]")
 _COMMAS = re.compile("[,،、，﹐﹑︐︑]")
 
@@ -131,6 +132,8 @@ class Page:
             self._text(source[at : tag.start()])
             at = tag.end()
             if tag[2] is None:
+                if tag[0].startswith("<!--") and not _COMMENT_END.search(tag[0]):
+                    at = len(source)
                 continue
             name = tag[2].lower()
             if tag[1]:

@@ -551,7 +551,7 @@ def test_pii_of_edge_rows(spark):
 def test_query_equals_its_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLE_SQL[name]).df()
     columns = sorted(want.columns)
