@@ -2,10 +2,10 @@
 zero rows = pass.
 
 Row checks (not_null, accepted_values, between, expression_is_true) are a
-violation predicate per row; all of a relation's row checks are counted in a
-single aggregate pass (``count_if`` per check). Set checks (unique,
-unique_combination, relationships, no_overlapping_versions) each need one
-aggregate, anti-join or window.
+violation predicate per row; set checks look at keys (unique,
+unique_combination, relationships) or at windows (no_overlapping_versions).
+``summarize_all`` counts the row and key checks of any number of relations in
+one aggregate; ``Watch`` counts row checks while a relation is written.
 
 NULL handling follows the public documentation of the originating packages:
 a NULL makes a between / accepted_values / expression predicate unknown, and
@@ -190,65 +190,111 @@ def violations(check: Check, df: DataFrame, tables: Mapping[str, DataFrame] | No
     return check.query(df, tables or {})
 
 
-def _grain(c: Check) -> tuple[str, ...] | None:
-    """Key columns of a grain check (unique / unique_combination)."""
-    if c.kind == "unique":
-        return (c.params["col"],)
-    if c.kind == "unique_combination":
-        return tuple(c.params["cols"])
-    return None
+def _keys(c: Check) -> list[str] | None:
+    """Key columns of a grain check (unique / unique_combination) or of a child in a relationship."""
+    if c.kind in ("unique", "relationships"):
+        return [c.params["col"]]
+    return list(c.params["cols"]) if c.kind == "unique_combination" else None
 
 
-def _stack(row_df: DataFrame, items: list[tuple[Check, str]]) -> DataFrame:
-    """One-row aggregate with a column per check -> one row per check."""
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
-                 F.coalesce(F.col(col), F.lit(0)).cast("long").alias("n_violations"))
-        for c, col in items])).alias("s")
-    return row_df.select(stack).select("s.*")
+def _key(cols: Sequence[str]) -> Column:
+    """Key values in one form for all relations: equal keys, and only those, are equal in it."""
+    return F.array(*(F.col(c).cast("string") for c in cols))
 
 
 def summarize(relation: str, df: DataFrame, checks: Sequence[Check],
               tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
-    """(relation, check, kind, n_violations) for every check of a relation; None if there is none.
+    """(relation, check, kind, n_violations) for every check of a relation; None if there is none."""
+    return summarize_all({relation: (df, checks)}, tables)
 
-    All row checks share one pass. When the relation also has a grain check
-    (unique / unique_combination), the row predicates are counted inside
-    that check's group-by and both results come out of one aggregate: the
-    relation is scanned and shuffled once for both. Every other set check
-    adds one aggregate. The result is one small DataFrame (one row per check).
+
+def summarize_all(relations: Mapping[str, tuple[DataFrame, Sequence[Check]]],
+                  tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
+    """(relation, check, kind, n_violations) for every check of every relation, in one aggregate; None if there is none.
+
+    Every relation is read once for all its keys: a row becomes one entry for each key check (its key under the
+    check's number), as GROUPING SETS would make, and counts its row checks in the first of them. A relationship's
+    parent adds its own keys to the child's. The entries of all relations are added up by (check, key), combined before
+    the one shuffle, so a key that a third of the rows share is one entry per task; a grain check counts the keys of
+    several rows, a relationship the rows of keys without a parent. Version checks (a window each) come beside.
     """
     tables = tables or {}
-    parts: list[DataFrame] = []
-    rows = [c for c in checks if c.is_row_check]
-    grain = next((c for c in checks if _grain(c) is not None), None)
-    rest = [c for c in checks if not c.is_row_check and c is not grain]
-    if grain is not None:
-        keys = list(_grain(grain))
-        per_key = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count_if(F.coalesce(c.predicate(), F.lit(False))).alias(f"_r{i}")
-              for i, c in enumerate(rows)])
-        dup = F.col("_n") > 1
-        if grain.kind == "unique":                        # NULL keys are ignored
-            dup = dup & F.col(keys[0]).isNotNull()
-        agg = per_key.agg(F.count_if(dup).alias("_g"),
-                          *[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rows))])
-        parts.append(_stack(agg, [(grain, "_g")] + [(c, f"_r{i}") for i, c in enumerate(rows)]))
-    elif rows:
-        agg = df.agg(*[F.count_if(F.coalesce(c.predicate(), F.lit(False))).alias(f"_r{i}")
-                       for i, c in enumerate(rows)])
-        parts.append(_stack(agg, [(c, f"_r{i}") for i, c in enumerate(rows)]))
-    for c in rest:
-        n = F.sum(c.weight) if c.weight else F.count(F.lit(1))
-        parts.append(c.query(df, tables)
-                     .agg(F.coalesce(n, F.lit(0)).cast("long").alias("n_violations"))
-                     .select(F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
-                             "n_violations"))
-    if not parts:
-        return None
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(F.lit(relation).alias("relation"), "check", "kind", "n_violations")
+    meta: list[tuple[int, int, str, str, str]] = []      # number, slot, relation, check, kind; slot -1: by keys
+    branches: list[DataFrame] = []
+    apart: list[DataFrame] = []
+    parents: dict[tuple[str, str], list[int]] = {}
+    unique_numbers: list[int] = []
+    width = max([sum(c.is_row_check for c in cs) for _, cs in relations.values()], default=0)
+    entry = lambda number, key, n, parent, flags: F.struct(
+        F.lit(number).alias("number"), key.alias("key"), n.cast("long").alias("n"), F.lit(parent).alias("parent"),
+        *(flags[i].cast("long").alias(f"v{i}") if i < len(flags) else F.lit(0).cast("long").alias(f"v{i}") for i in range(width)))
+    for name, (df, cs) in relations.items():
+        rows = [c for c in cs if c.is_row_check]
+        keyed = [c for c in cs if _keys(c) is not None]
+        flags = [F.when(c.predicate(), 1).otherwise(0) for c in rows]
+        entries = []
+        for c in keyed:
+            number = len(meta)
+            meta.append((number, -1, name, c.name, c.kind))
+            if c.kind == "unique":
+                unique_numbers.append(number)
+            if c.kind == "relationships":
+                parents.setdefault((c.params["to"], c.params["field"]), []).append(number)
+            present = F.when(F.col(c.params["col"]).isNotNull(), 1).otherwise(0) if c.kind == "relationships" else F.lit(1)
+            entries.append(entry(number, _key(_keys(c)), present, False, [] if entries else flags))
+        first = meta[-len(keyed)][0] if keyed else len(meta)
+        if rows and not keyed:
+            entries.append(entry(first, F.array().cast("array<string>"), F.lit(0), False, flags))
+        meta += [(first, i, name, c.name, c.kind) for i, c in enumerate(rows)]
+        if entries:
+            branches.append(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*") if len(entries) > 1 else df.select(entries[0].alias("e")).select("e.*"))
+        apart += _version_counts(name, df, [c for c in cs if not c.is_row_check and _keys(c) is None], tables)
+    for (to, col), numbers in parents.items():
+        own = tables[to].where(F.col(col).isNotNull())
+        branches.append(own.select(F.explode(F.array(*(entry(n, _key([col]), F.lit(0), True, []) for n in numbers))).alias("e")).select("e.*"))
+    parts = list(apart)
+    if branches:
+        slots = [f"v{i}" for i in range(width)]
+        added = reduce(DataFrame.unionByName, branches).groupBy("number", "key").agg(
+            F.sum("n").alias("n"), F.bool_or("parent").alias("parent"), *(F.sum(v).alias(v) for v in slots))
+        ignored = F.col("number").isin(unique_numbers) & F.get("key", F.lit(0)).isNull() if unique_numbers else F.lit(False)
+        children = [n for numbers in parents.values() for n in numbers]
+        is_child = F.col("number").isin(children) if children else F.lit(False)
+        broken = F.when(is_child, F.when(~F.col("parent"), F.col("n")).otherwise(0)).otherwise(F.when((F.col("n") > 1) & ~ignored, 1).otherwise(0))
+        each = added.groupBy("number").agg(F.sum(broken).alias("s"), *(F.sum(v).alias(v) for v in slots))
+        found = each.select("number", F.explode(F.array(
+            F.struct(F.lit(-1).alias("slot"), F.col("s").alias("x")), *(F.struct(F.lit(i).alias("slot"), F.col(v).alias("x")) for i, v in enumerate(slots)))).alias("e")).select("number", "e.slot", "e.x")
+        spark = branches[0].sparkSession
+        known = spark.createDataFrame(meta, "number int, slot int, relation string, check string, kind string")
+        parts.append(known.join(found, ["number", "slot"], "left").select("relation", "check", "kind", F.coalesce("x", F.lit(0)).cast("long").alias("n_violations")))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _version_counts(relation: str, df: DataFrame, checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The counts of checks that need a window; checks of the same versions share it."""
+    groups: dict[tuple, list[Check]] = {}
+    for c in checks:
+        groups.setdefault(tuple(c.params[k] for k in ("entity_key", "valid_from", "valid_to")), []).append(c)
+    out = []
+    for (key, valid_from, valid_to), own in groups.items():
+        # The modes a check is not asked for are left out of its count.
+        loose = lambda name: all(c.params[name] or c.params["extra_only"] for c in own)  # noqa: B023, E731
+        found = version_violations(df, key, valid_from, valid_to, loose("allow_closed_entities"), loose("allow_gaps"))
+        counts = found.groupBy().agg(*(F.count_if(_counted(c)).alias(f"c{i}") for i, c in enumerate(own)))
+        if any(c.params["allow_closed_entities"] and not loose("allow_closed_entities") and not c.params["extra_only"] for c in own):
+            raise ValueError(f"{relation}: version checks of one key ask for closed entities in two ways")
+        out.append(counts.select(F.explode(F.array(*(F.struct(F.lit(relation).alias("relation"), F.lit(c.name).alias("check"), F.lit(c.kind).alias("kind"),
+                                                                  F.col(f"c{i}").alias("n_violations")) for i, c in enumerate(own)))).alias("s")).select("s.*"))
+    return out
+
+
+def _counted(c: Check) -> Column:
+    """Which violations of the shared pass are this check's."""
+    mode = F.col("failure_mode")
+    if c.params["extra_only"]:
+        return mode == OPEN_SUPERSEDED
+    wanted = mode != OPEN_SUPERSEDED if not c.params["extra_mode"] else F.lit(True)
+    return wanted & (mode != GAP) if c.params["allow_gaps"] else wanted
 
 
 class Watch:

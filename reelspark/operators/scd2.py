@@ -111,9 +111,14 @@ def run_sequence(extracts: Sequence[tuple[dt.datetime, DataFrame]], key: str,
     extract.
     """
     from ..session import materialize
+    # the keys of all extracts are validated at once, the run times here
+    runs = [ext.select(F.lit(i).alias("_run"), key) for i, (_, ext) in enumerate(extracts, 1)]
+    assert_unique_keys(reduce(DataFrame.unionByName, runs), ["_run", key])
     history, last = None, None
     for i, (ts, ext) in enumerate(extracts, 1):
-        history = snapshot(history, ext, key, check_cols, ts, last_valid_from=last)
+        if last is not None and not ts > last:
+            raise SnapshotOrderError(f"run_ts {ts} is not after last valid_from {last}")
+        history = snapshot(history, ext, key, check_cols, ts, validate=False)
         last = ts
         if store_every and i % store_every == 0:
             history = materialize(history)

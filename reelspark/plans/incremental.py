@@ -100,7 +100,7 @@ def daily_partition_replace(spark, d, path: str | None = None) -> DataFrame:
     return table.read().drop(fact_build.MONTH)
 
 
-def ratings_bucket_merge(spark, d, path: str | None = None, buckets: int = 16) -> DataFrame:
+def ratings_bucket_merge(spark, d, path: str | None = None, buckets: int = 4) -> DataFrame:
     """fct_ratings stored by month and, within it, by user bucket; run 2
     finds the rows its batch replaces without a shuffle of the target and
     rewrites only the months that hold one."""

@@ -57,10 +57,11 @@ def genre_tag_stats(relevance: DataFrame) -> DataFrame:
     """
     keys = ["genre", "tag_id"]
     score = F.col("relevance_score")
-    films = relevance.groupBy(*keys, "movie_id", "relevance_score").agg(
+    # Dealt once by film: the counts and the film's lowest score both stay where the rows are.
+    films = relevance.repartition(*keys, "movie_id").groupBy(*keys, "movie_id", "relevance_score").agg(
         F.count(F.lit(1)).alias("_rows"), F.max("tag_name").alias("_name"))
-    first = Window.partitionBy(*keys, "movie_id").orderBy(score.asc_nulls_last())
-    marked = films.withColumn("_first", F.row_number().over(first) == 1)
+    lowest = F.min("relevance_score").over(Window.partitionBy(*keys, "movie_id"))
+    marked = films.withColumn("_first", score.eqNullSafe(lowest))
     counts = marked.groupBy(*keys, "relevance_score").agg(
         F.sum(F.when(score.isNotNull(), F.col("_rows")).otherwise(0)).alias("_cnt"),
         F.count_if("_first").alias("_films"), F.max("_name").alias("_name"))

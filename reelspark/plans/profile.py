@@ -73,7 +73,7 @@ def profile_vocab(movies: DataFrame, genre_groups: DataFrame) -> DataFrame:
     """
     listed = (movies.select("movie_id", F.explode(F.split("genres", r"\|")).alias("genre"))
               .groupBy("genre").agg(F.count_distinct("movie_id").alias("n_films")))
-    seed = F.broadcast(genre_groups.select("genre"))
+    seed = genre_groups.select("genre")
     missing = (listed.join(seed, "genre", "left_anti")
                .select("genre", F.lit("missing_from_seed").alias("side"), "n_films"))
     unused = (seed.join(listed, "genre", "left_anti")

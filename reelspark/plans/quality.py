@@ -9,13 +9,11 @@ are fixed values. ``check_summary`` runs all of them and returns one row per
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.checks import (Check, accepted_values, between, expression_is_true,
                                 no_overlapping_versions, not_null, relationships,
-                                summarize, unique, unique_combination)
+                                summarize_all, unique, unique_combination)
 from ..session import configure
 from ..sources import testdata
 from . import dims, facts, history, marts, staging
@@ -150,8 +148,7 @@ def testdata_relations(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 def run_checks(tables: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
     """(relation, check, kind, n_violations) for every declared check."""
-    parts = [summarize(rel, tables[rel], cs, tables) for rel, cs in checks.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return summarize_all({rel: (tables[rel], cs) for rel, cs in checks.items()}, tables)
 
 
 def check_summary(spark: SparkSession, d: str) -> DataFrame:
