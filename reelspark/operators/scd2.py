@@ -69,10 +69,18 @@ def snapshot(history: DataFrame | None, source: DataFrame, key: str,
         if last is not None and not run_ts > last:
             raise SnapshotOrderError(f"run_ts {run_ts} is not after last valid_from {last}")
 
-    out_cols = [key, *cols, SCD_ID, VALID_FROM, VALID_TO]
-    closed = history.where(F.col(VALID_TO).isNotNull()).select(*out_cols)
-    open_ = history.where(F.col(VALID_TO).isNull()).select(*out_cols)
+    closed = history.where(F.col(VALID_TO).isNotNull()).select(key, *cols, SCD_ID, VALID_FROM, VALID_TO)
+    rows = changes(history.where(F.col(VALID_TO).isNull()), src, key, cols, run_ts, invalidate_hard_deletes)
+    return closed.unionByName(rows)
 
+
+def changes(open_: DataFrame, source: DataFrame, key: str, check_cols: Sequence[str], run_ts: dt.datetime,
+            invalidate_hard_deletes: bool = True) -> DataFrame:
+    """What a run makes of the open versions: those that stay open, the new ones, and those it closes. Versions that
+    were closed before are not looked at."""
+    cols = list(check_cols)
+    out_cols = [key, *cols, SCD_ID, VALID_FROM, VALID_TO]
+    src = source.select(key, *cols)
     o = open_.select(F.col(key), *[F.col(c).alias(f"_o_{c}") for c in cols],
                      F.col(SCD_ID).alias("_o_id"), F.col(VALID_FROM).alias("_o_from"))
     s = src.select(F.col(key), *[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s"))
@@ -97,8 +105,7 @@ def snapshot(history: DataFrame | None, source: DataFrame, key: str,
     rows = (j.select(key, F.explode(F.array(old_version, new_version)).alias("_v"))
             .where(F.col("_v").isNotNull())
             .select(key, "_v.*"))
-    rows = rows.withColumn(SCD_ID, F.coalesce(F.col(SCD_ID), version_id(key))).select(*out_cols)
-    return closed.unionByName(rows)
+    return rows.withColumn(SCD_ID, F.coalesce(F.col(SCD_ID), version_id(key))).select(*out_cols)
 
 
 def run_sequence(extracts: Sequence[tuple[dt.datetime, DataFrame]], key: str,

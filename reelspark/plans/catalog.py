@@ -274,6 +274,7 @@ def queries() -> dict[str, Query]:
         "insert_if_absent": insert_if_absent,
         "delete_where": delete_where,
         "snapshot_history": snapshot_history,
+        "snapshot_history_stored": H.stored_history,
         "snapshot_state": snapshot_state,
         "snapshot_withdrawn": snapshot_withdrawn,
         "snapshot_accounting": snapshot_accounting,
@@ -288,6 +289,8 @@ def queries() -> dict[str, Query]:
         "daily_partition_replace": INC.daily_partition_replace,
         "ratings_bucket_merge": INC.ratings_bucket_merge,
         "users_dim_incremental": INC.users_dim_incremental,
+        "ratings_from_text": INC.ratings_from_text,
+        "ratings_text_rejects": INC.ratings_text_rejects,
         "user_month_bridge": user_month_bridge,
         "retention_approx": retention_approx,
         "retention_sketch_bounds": retention_sketch_bounds,

@@ -9,6 +9,9 @@ A merge reads its batch once, stages the months it changes, and returns them as
 run meets the same batch again. ``publish`` replaces the months, then commits the mark: after a crash between the two,
 the next run replaces the same rows again. Only a table without a commit is a first run; a read error is an error.
 
+The film history is stored by the run that closed a version, the open versions together: a run writes the open versions
+anew and the ones it closes, and never reads or rewrites those that earlier runs have closed.
+
 Row checks and the new mark are counted while the staged rows are written (``Watch``).
 """
 
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_start
+from ..operators import scd2
 from ..operators.checks import Watch
 from ..operators.upsert import assert_same_schema, assert_unique_keys, lit_of, lookback_bounds
 from ..session import materialize, remove
@@ -30,6 +34,7 @@ from . import facts
 
 MONTH = "rating_month"
 BUCKET = "user_bucket"
+CLOSED_BY = "closed_by"
 
 
 class BucketCountError(ValueError):
@@ -48,7 +53,7 @@ def daily_table(table: Callable[..., FactTable], *where) -> FactTable:
 def _in(column: str, values: list) -> Column:
     """Whether a partition is one of ``values`` (None is the partition of nulls)."""
     known = [v for v in values if v is not None]
-    return F.coalesce(F.col(column).isin(known) if known else F.lit(False), F.lit(None in values))
+    return F.when(F.col(column).isNull(), F.lit(None in values)).otherwise(F.col(column).isin(known) if known else F.lit(False))
 
 
 @dataclass
@@ -197,3 +202,26 @@ def merge_daily(table: FactTable, ratings: DataFrame, full_refresh: bool = False
     newest = watch.value("newest")
     out.props = {"last_day": max((d for d in (newest and newest.isoformat(), props.get("last_day")) if d), default=None)}
     return out
+
+
+def history_table(table: Callable[..., FactTable], *where) -> FactTable:
+    return table(*where, CLOSED_BY)
+
+
+def merge_history(table: FactTable, source: DataFrame, key: str, check_cols: Sequence[str], run_ts: dt.datetime,
+                  watch: Watch | None = None) -> Candidate:
+    """One snapshot run (S13-S15) of ``source`` into the stored history."""
+    assert_unique_keys(source, [key])
+    run = run_ts.isoformat()
+    by_run = lambda df: df.withColumn(CLOSED_BY, F.when(F.col(scd2.VALID_TO).isNotNull(), F.lit(run)))
+    if not table.exists():
+        out = first(table, by_run(scd2.snapshot(None, source, key, check_cols, run_ts, validate=False)), [key], watch=watch)
+    else:
+        last = table.props()["run_ts"]
+        if not run_ts > dt.datetime.fromisoformat(last):
+            raise scd2.SnapshotOrderError(f"run_ts {run_ts} is not after the last run, {last}")
+        open_versions = table.read().where(F.col(CLOSED_BY).isNull())
+        rows = by_run(scd2.changes(open_versions, source, key, check_cols, run_ts)).select(*open_versions.columns)
+        out = _staged(table, rows, [None], [key], watch, moving=True)
+    out.props = {"run_ts": run}
+    return out

@@ -81,6 +81,19 @@ def snap_movies(spark: SparkSession, d: str, n_runs: int = len(RUNS)) -> DataFra
     return scd2.run_sequence(pairs, KEY, CHECK_COLS, store_every=1)
 
 
+def stored_history(spark: SparkSession, d: str) -> DataFrame:
+    """M15 after all runs, each published into the stored history before the next one."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.tables import FactTable
+    from . import fact_build
+    table = fact_build.history_table(FactTable.at, spark, scratch_path(spark, f"tables/history-{uuid.uuid4().hex}"))
+    for run_ts, extract in zip(RUNS, extracts(spark, d, stored=True)):
+        fact_build.merge_history(table, extract, KEY, CHECK_COLS, run_ts).publish()
+    return table.read().drop(fact_build.CLOSED_BY)
+
+
 def snapshot_state(history: DataFrame) -> DataFrame:
     """R11 + O1: every version with its state label, ordered by key then
     version start (an inspection report: the order is part of the output)."""

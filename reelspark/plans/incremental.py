@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import lit_of
 from ..session import scratch_path
+from ..sources import raw
 from ..sources.tables import FactTable
-from . import dims, fact_build, facts, retention
+from . import dims, fact_build, facts, retention, staging
 from . import inputs as I
 
 # --- fixed values of the two-run scenarios -----------------------------------
@@ -176,3 +177,25 @@ def sketched_retention(spark, d) -> DataFrame:
         retention.sketch_again(both, first, path, moved)
     retention.add_to_sketches(both, r.where(late), path)
     return retention.retention_from_sketches(both, retention.held(spark, path, retention.SKETCHES))
+
+
+def text_extract(spark, d) -> raw.Landed:
+    """The ratings as a text extract (epoch seconds, columns in another order), landed. Of an order whose key
+    ends in 7 the third line's rating is no number, of one whose key ends in 3 the first line's time is a date."""
+    r, path = I.ratings(spark, d), _new_folder(spark, "extract")
+    rating = F.when((F.col("l_orderkey") % 10 == 7) & (F.col("l_linenumber") == 3), F.lit("n/a")).otherwise(F.col("rating").cast("string"))
+    seconds = F.unix_seconds("rating_timestamp").cast("string")
+    time = F.when((F.col("l_orderkey") % 10 == 3) & (F.col("l_linenumber") == 1), F.to_date("rating_timestamp").cast("string")).otherwise(seconds)
+    (r.select(F.col("movie_id").alias("movieId"), F.col("user_id").alias("userId"), time.alias("timestamp"), rating.alias("rating"))
+     .write.option("header", True).csv(path))
+    return raw.land(spark, path, raw.RAW_RATINGS, _new_folder(spark, "landed"), max_rejects=0.1)
+
+
+def ratings_from_text(spark, d) -> DataFrame:
+    """The staged ratings of the lines that fit."""
+    return staging.stg_ratings(text_extract(spark, d).rows)
+
+
+def ratings_text_rejects(spark, d) -> DataFrame:
+    """The lines that do not, and how often each is there."""
+    return text_extract(spark, d).rejects.groupBy("record").agg(F.count(F.lit(1)).alias("n"))

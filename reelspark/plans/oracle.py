@@ -183,7 +183,7 @@ def _history_sql() -> dict[str, str]:
     q["conditional_update"] = f"WITH {cte} SELECT * FROM v2a"
     q["insert_if_absent"] = f"WITH {cte} SELECT * FROM v2"
     q["delete_where"] = f"WITH {cte} SELECT * FROM v3"
-    q["snapshot_history"] = f"WITH {cte} SELECT * FROM snap_movies"
+    q["snapshot_history"] = q["snapshot_history_stored"] = f"WITH {cte} SELECT * FROM snap_movies"
     versions = f"WITH {cte} SELECT movie_id, title, genres, valid_from, valid_to"
     q["snapshot_state"] = f"{versions}, if(valid_to IS NULL, 'current', 'superseded') AS version_state FROM snap_movies"
     q["snapshot_withdrawn"] = (f"WITH {H.sql_history_cte(SQL_RAW_MOVIES, 3)} SELECT movie_id, title, genres, valid_from, valid_to "
@@ -265,6 +265,15 @@ def _incremental_sql() -> dict[str, str]:
     q["daily_partition_replace"] = _daily_two_runs("partition")
     q["users_dim_incremental"] = (f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_USERS} "
                                   f"SELECT * FROM dim_users")
+    broken = "((l_orderkey % 10 = 7 AND l_linenumber = 3) OR (l_orderkey % 10 = 3 AND l_linenumber = 1))"
+    q["ratings_from_text"] = (f"WITH {stg_ratings_cte()} SELECT user_id, movie_id, rating, date_trunc('second', rating_timestamp) AS rating_timestamp "
+                              f"FROM stg_ratings WHERE NOT {broken}")
+    q["ratings_text_rejects"] = f"""WITH {stg_ratings_cte()}, lines AS (
+        SELECT concat_ws(',', movie_id, user_id,
+            if(l_orderkey % 10 = 3 AND l_linenumber = 1, strftime(rating_timestamp, '%Y-%m-%d'), CAST(CAST(epoch(rating_timestamp) AS BIGINT) AS VARCHAR)),
+            if(l_orderkey % 10 = 7 AND l_linenumber = 3, 'n/a', CAST(rating AS VARCHAR))) AS record
+        FROM stg_ratings WHERE {broken})
+        SELECT record, count(*) AS n FROM lines GROUP BY record"""
     q["retention_bridge"] = f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_USERS}, {retention_sql('stg_ratings')}"
     q["retention_sketch_bounds"] = (f"WITH exact AS ({q['retention_bridge']}) "
                                     "SELECT cohort_month, months_since_first_rating, TRUE AS within_bound FROM exact")

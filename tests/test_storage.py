@@ -115,7 +115,8 @@ def test_pipeline_gates_dependents(spark, tmp_base):
     assert daily.props()["last_day"] == str(daily.read().agg(F.max("rating_date")).first()[0])
     assert p2.table("dim_users").read().count() > 0
     v = p2.snapshot_movies(dt.datetime(2100, 1, 1))
-    assert p2.table("snap_movies").read(v).where("valid_to IS NULL").count() == raw["raw_movies"].count()
+    assert v == p2.history().current()["version"]
+    assert p2.history().read().where("valid_to IS NULL").count() == raw["raw_movies"].count()
 
 
 def test_streaming_upsert_matches_batch(spark, tmp_base):
@@ -233,7 +234,7 @@ def test_all_checks_run_in_one_build(spark, tmp_base):
     res = p.run()
     assert res.ok, (res.failed, res.skipped)
     assert sum(len(p.checks.get(n, [])) for n in DAG) == sum(len(c) for c in p.checks.values())
-    assert p.table("snap_movies").read().count() == 3
+    assert p.history().read().count() == 3
 
 
 def test_null_raw_key_blocks_what_depends_on_it(spark, tmp_base):
@@ -368,6 +369,26 @@ def test_the_daily_lookback_reads_its_months_only(spark, tmp_base):
     assert source.count() == sum(u * 10 * DAY >= dt.datetime(1972, 7, 20, tzinfo=dt.timezone.utc).timestamp() for u in range(100))
 
 
+def test_a_snapshot_run_writes_open_and_newly_closed_versions_only(spark, tmp_base):
+    from reelspark.operators import scd2
+    table = fact_build.history_table(FactTable, spark, tmp_base, "h", "t")
+    films = lambda some: spark.createDataFrame(some, "movie_id long, title string, genres string")
+    runs = [[(1, "a", "x"), (2, "b", "x"), (3, None, "x")], [(1, "A", "x"), (2, "b", "x"), (3, "c", "x")], [(1, "A", "x"), (4, "d", None)], [(2, "b", "y")], []]
+    want, written = None, []
+    for k, rows in enumerate(runs):
+        ts = dt.datetime(2024, 1, 1 + k)
+        before = _files(table)
+        fact_build.merge_history(table, films(rows), "movie_id", ("title", "genres"), ts).publish()
+        written.append({os.path.basename(os.path.dirname(f)) for f in _files(table) - before})
+        assert {os.path.basename(os.path.dirname(f)) for f in before - _files(table)} <= {"closed_by=__HIVE_DEFAULT_PARTITION__"}
+        want = scd2.snapshot(want, films(rows), "movie_id", ("title", "genres"), ts)
+        got = table.read().drop("closed_by").select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert written[2] == {"closed_by=__HIVE_DEFAULT_PARTITION__", "closed_by=2024-01-03T00%3A00%3A00"} and written[4] == {"closed_by=2024-01-05T00%3A00%3A00"}
+    with pytest.raises(scd2.SnapshotOrderError):
+        fact_build.merge_history(table, films([]), "movie_id", ("title", "genres"), dt.datetime(2024, 1, 5))
+
+
 def test_another_session_finds_the_table(spark, tmp_base):
     table = fact_build.ratings_table(FactTable, spark, tmp_base, "f", "t")
     fact_build.merge_ratings(table, _rated(spark, [(u, 1, 1.0, u * 40 * DAY) for u in range(9)]), 2).publish()
@@ -434,6 +455,28 @@ def test_csv_extracts_are_bound_by_name_and_keep_quotes(spark, tmp_base):
         read_raw(spark, tmp_base, "raw_genome_tags", "parquet")
 
 
+def test_rows_that_do_not_fit_are_kept_beside_the_others(spark, tmp_base):
+    from reelspark.sources.raw import RAW_RATINGS, MissingColumnError, TooManyRejects, land
+    path = os.path.join(tmp_base, "in")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w", encoding="utf-8") as out:
+        out.write('timestamp,record,movieId,rating,userId\n10,x,7,3.5,1\n20,y,8,n/a,2\n30,z\n40,w,9,"2,5",3\n,v,5,1.0,4\n50,u,6,1.0,5,9\n')
+    got = land(spark, path, RAW_RATINGS, os.path.join(tmp_base, "ok"), max_rejects=0.7)
+    assert sorted(map(tuple, got.rows.collect()), key=str) == [(1, 7, 3.5, 10), (4, 5, 1.0, None)]
+    assert sorted(r.record for r in got.rejects.collect()) == ["20,y,8,n/a,2", "30,z", '40,w,9,"2,5",3', "50,u,6,1.0,5,9"]
+    assert all(r.file.endswith("a.csv") for r in got.rejects.collect()) and (got.n_rows, got.n_rejected) == (6, 4)
+    with pytest.raises(TooManyRejects, match="4 of 6"):
+        land(spark, path, RAW_RATINGS, os.path.join(tmp_base, "no"), max_rejects=0.5)
+    with open(os.path.join(path, "a.csv"), "w", encoding="utf-8") as out:
+        out.write("timestamp,movieId,rating,userId\n")
+    empty = land(spark, path, RAW_RATINGS, os.path.join(tmp_base, "none"))
+    assert empty.rows.isEmpty() and empty.rejects.isEmpty() and empty.n_rows == 0
+    with open(os.path.join(path, "a.csv"), "w", encoding="utf-8") as out:
+        out.write("timestamp,movieId,rating\n")
+    with pytest.raises(MissingColumnError):
+        land(spark, path, RAW_RATINGS, os.path.join(tmp_base, "lacks"))
+
+
 def test_an_empty_source_is_not_fresh(spark, tmp_base):
     os.makedirs(os.path.join(tmp_base, "none"))
     report = source_freshness(spark, {"s": Freshness(os.path.join(tmp_base, "none"))}, dt.datetime(2100, 1, 1))
