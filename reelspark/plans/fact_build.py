@@ -118,9 +118,12 @@ def first(table: FactTable, rows: DataFrame, keys: Sequence[str], buckets: int =
 
 def _staged(table: FactTable, rows: DataFrame, touched: list, keys: Sequence[str], watch: Watch | None, **more) -> Candidate:
     watch = watch or Watch([])
+    # the partitions written, at most as many as the table has
+    watch.also("_values", F.collect_set(table.column))
+    watch.also("_nulls", F.count_if(F.col(table.column).isNull()))
     path = table.stage_parts(rows, watch.on)
     staged = table.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
-    found = set(touched_values(staged, table.column))
+    found = set(watch.value("_values") or []) | ({None} if watch.value("_nulls") else set())
     return Candidate(table, keys, staged, path=path, touched=sorted({*touched, *found}, key=str), emptied=[v for v in touched if v not in found], watch=watch, **more)
 
 

@@ -123,6 +123,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(at)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; of one that is not there, none."""
+    store, at = _place(spark, path)
+    return sorted(x.getPath().getName() for x in store.listStatus(at)) if store.exists(at) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small file (a record of this library's own) as text, without a Spark job."""
+    store, at = _place(spark, path)
+    source = store.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that must not be there yet: of two writers, one fails."""
+    store, at = _place(spark, path)
+    target = store.create(at, False)
+    try:
+        target.write(bytearray(text.encode()))
+    finally:
+        target.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes an intermediate folder that this library has written and nothing reads any more."""
     store, at = _place(spark, path)

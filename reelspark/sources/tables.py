@@ -3,15 +3,15 @@
 A table is a directory::
 
     {base}/{namespace}/{name}/versions/v00000001-<id>/  Parquet, one dir per staged write
-    {base}/{namespace}/{name}/commits/00000001/      one-row JSON commit record
+    {base}/{namespace}/{name}/commits/00000001.json  commit record
 
 Publishing writes a complete new version and only then appends a commit
 record, so readers never see a half-written table, a failed write leaves the
 current version untouched, and no plan ever overwrites a path it reads (a
 static overwrite of an input path destroys the input). Restoring is
-appending a commit that points at an older version (S20). A table has one
-writer at a time: the commit record is refused when its sequence number
-exists, but two writers that check at the same instant are not told apart.
+appending a commit that points at an older version (S20). A commit record is
+one file that is never overwritten: of two writers of a sequence number, one
+fails.
 ``namespace`` scopes dev / prod / ci outputs (S21).
 
 A ``FactTable`` is a catalog table over such a version, partitioned (and
@@ -30,18 +30,8 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import exists, remove
-
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("version", T.StringType()),
-    T.StructField("op", T.StringType()),
-    T.StructField("committed_at", T.StringType()),
-    T.StructField("props", T.StringType()),
-])
+from ..session import names_in, read_small, remove, write_new
 
 
 class TableNotFound(LookupError):
@@ -56,21 +46,17 @@ class Table:
         self.root = f"{base.rstrip('/')}/{namespace}/{name}"
 
     # -------------------------------------------------------------- metadata
-    def _log(self) -> DataFrame | None:
-        if not exists(self.spark, f"{self.root}/commits"):
-            return None
-        return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
-
     def commits(self) -> list[dict]:
-        """The commit log (one small row per publish/restore)."""
-        log = self._log()
-        return [] if log is None else [r.asDict() for r in log.orderBy("seq").collect()]
+        """The commit log (one small record per publish/restore)."""
+        return [self._record(name) for name in names_in(self.spark, f"{self.root}/commits") if name.endswith(".json")]
 
     def current(self) -> dict | None:
-        """The newest commit; the log itself stays where it is."""
-        log = self._log()
-        row = None if log is None else log.orderBy(F.desc("seq")).first()
-        return row.asDict() if row else None
+        """The newest commit."""
+        names = [name for name in names_in(self.spark, f"{self.root}/commits") if name.endswith(".json")]
+        return self._record(names[-1]) if names else None
+
+    def _record(self, name: str) -> dict:
+        return json.loads(read_small(self.spark, f"{self.root}/commits/{name}"))
 
     def _next(self) -> int:
         cur = self.current()
@@ -96,14 +82,12 @@ class Table:
 
     def props(self) -> dict:
         cur = self.current()
-        return json.loads(cur["props"]) if cur and cur["props"] else {}
+        return cur["props"] if cur else {}
 
     # ---------------------------------------------------------------- writes
     def _commit(self, seq: int, version: str, op: str, props: dict | None) -> None:
-        rec = [(seq, version, op, dt.datetime.now(dt.timezone.utc).isoformat(),
-                json.dumps(props or {}, default=str))]
-        (self.spark.createDataFrame(rec, COMMIT_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").json(f"{self.root}/commits/{seq:08d}"))
+        record = {"seq": seq, "version": version, "op": op, "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(), "props": props or {}}
+        write_new(self.spark, f"{self.root}/commits/{seq:08d}.json", json.dumps(record, default=str))
 
     def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write a complete new version without making it current (the
