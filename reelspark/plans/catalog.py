@@ -7,11 +7,13 @@ DuckDB twin under the same name.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import lit_of
 from . import facts, marts
 from . import history as H
 from . import incremental as INC
@@ -20,6 +22,12 @@ from . import profile as P
 from . import quality as Q
 from . import retention
 
+# --- fixed values of the queries whose checks fire ----------------------------
+EARLY = dt.datetime(1993, 1, 1)
+FRESHNESS_LOADED = dt.datetime(1997, 6, 1)
+FRESHNESS_NOW = dt.datetime(1997, 6, 25, 18)
+# -----------------------------------------------------------------------------
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -235,8 +243,37 @@ def windows_fired(spark, d):
     return found.groupBy("failure_mode").agg(F.count(F.lit(1)).alias("n_violations"))
 
 
+def profile_tag_only_users_fired(spark, d):
+    """R8 where it has rows: taggers who had not rated before a day."""
+    early = I.ratings(spark, d).where(F.col("rating_timestamp") < lit_of(EARLY))
+    return P.profile_tag_only_users(early, I.tags(spark, d))
+
+
+def profile_orphans_fired(spark, d):
+    """R10 where it has rows: scores against the first film extract, which lacks the late films."""
+    return P.profile_orphans(I.genome_scores(spark, d), H.first_extract(I.movies(spark, d)))
+
+
+def snapshot_multi_open_fired(spark, d):
+    """R14 where it has rows: a customer's order days as versions, open while the day's last status is."""
+    orders = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
+    days = orders.groupBy(F.col("o_custkey").alias("movie_id"), F.col("o_orderdate").alias("valid_from")).agg(F.max("o_orderstatus").alias("s"))
+    return H.multi_open(days.withColumn("valid_to", F.when(F.col("s") != "O", F.col("valid_from"))))
+
+
 # ----------------------------------------------------------------- freshness
 
+def freshness_by_source(spark, d):
+    """S16 at a given time: each customer as a source, the last order before a day as the last load (some have none)."""
+    from ..sources.freshness import load_status
+    read = lambda name: spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    orders = read("orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("at")).where(F.col("at") < lit_of(FRESHNESS_LOADED))
+    last = orders.groupBy("o_custkey").agg(F.max("at").alias("last_loaded_at"))
+    loads = (read("customer").select(F.col("c_name").alias("source"), "c_custkey")
+             .join(last, F.col("o_custkey") == F.col("c_custkey"), "left"))
+    return load_status(loads, FRESHNESS_NOW).select("source", "last_loaded_at", "status")
+
+
 def freshness(spark, d):
     """S16 / Q10 over the files behind each derived source (rows-only: the
     status depends on the wall clock). The genome sources are disabled, as in
@@ -308,4 +345,8 @@ def queries() -> dict[str, Query]:
         "checks_fired": checks_fired,
         "windows_fired": windows_fired,
         "freshness": freshness,
+        "freshness_by_source": freshness_by_source,
+        "profile_tag_only_users_fired": profile_tag_only_users_fired,
+        "profile_orphans_fired": profile_orphans_fired,
+        "snapshot_multi_open_fired": snapshot_multi_open_fired,
     }

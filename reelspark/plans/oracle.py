@@ -50,16 +50,17 @@ STG_MOVIES = f"""
 raw_movies AS ({SQL_RAW_MOVIES}),
 stg_movies AS (SELECT movieId AS movie_id, title, genres FROM raw_movies)"""
 
+# The year by position: the last six characters are a parenthesised number. Genres are taken apart and joined again.
 DIM_MOVIES = STG_MOVIES + f""",
+ends AS (SELECT *, rtrim(title) AS t, string_split(genres, '|') AS parts FROM stg_movies),
+dated AS (
+    SELECT *, coalesce(t[-6] = '(' AND t[-1] = ')' AND length(t) >= 6 AND ltrim(t[-5:-2], '0123456789') = '', FALSE) AS known FROM ends),
 dim_movies AS (
-    SELECT movie_id,
-           {TITLE("trim(regexp_replace(title, '\\s*\\(\\d{4}\\)\\s*$', ''))")} AS movie_title,
-           TRY_CAST(NULLIF(regexp_extract(title, '\\((\\d{{4}})\\)\\s*$', 1), '') AS INTEGER) AS release_year,
-           title AS source_title,
-           string_split(genres, '|') AS genre_array,
-           genres AS genre_list,
-           genres = '(no genres listed)' AS is_unclassified
-    FROM stg_movies)"""
+    SELECT movie_id, {TITLE("trim(if(known, t[:-7], title))")} AS movie_title,
+           if(known, CAST(if(known, t[-5:-2], NULL) AS INTEGER), NULL) AS release_year,
+           title AS source_title, parts AS genre_array, array_to_string(parts, '|') AS genre_list,
+           parts = ['(no genres listed)'] AS is_unclassified
+    FROM dated)"""
 
 DIM_GENOME_TAGS = f"""
 raw_genome_tags AS ({SQL_RAW_GENOME_TAGS}),
@@ -87,15 +88,9 @@ dim_users AS (
     FROM activity GROUP BY user_id)"""
 
 TAG_RELEVANCE = DIM_MOVIES + "," + DIM_GENOME_TAGS + "," + FCT_GENOME_SCORES + """,
-movie_genres AS (
-    SELECT m.movie_id, g.genre
-    FROM dim_movies m, unnest(m.genre_array) AS g(genre)
-    WHERE NOT m.is_unclassified),
+listed AS (SELECT movie_id, unnest(genre_array) AS genre FROM dim_movies WHERE is_unclassified IS FALSE),
 int_movie_tag_relevance AS (
-    SELECT mg.movie_id, mg.genre, t.tag_id, t.tag_name, s.relevance_score
-    FROM movie_genres mg
-    JOIN fct_genome_scores s ON s.movie_id = mg.movie_id
-    JOIN dim_genome_tags t ON t.tag_id = s.tag_id)"""
+    SELECT * FROM fct_genome_scores JOIN dim_genome_tags USING (tag_id) JOIN listed USING (movie_id))"""
 
 
 def genre_affinity_cte() -> str:
@@ -295,6 +290,26 @@ stg_genome_scores AS (SELECT movieId AS movie_id, tagId AS tag_id, CAST(relevanc
                       FROM raw_genome_scores)"""
 
 
+def _evidence_sql() -> dict[str, str]:
+    from . import catalog as C
+    from . import history as H
+    day = lambda x: f"TIMESTAMP '{x:%Y-%m-%d %H:%M:%S}'"
+    days = f"(epoch_us({day(C.FRESHNESS_NOW)}) - epoch_us(CAST(max(o_orderdate) AS TIMESTAMP))) / 86400e6"
+    return {
+        "profile_tag_only_users_fired": f"""WITH {stg_ratings_cte()}, {STG_TAGS}
+SELECT user_id FROM stg_tags GROUP BY user_id HAVING user_id NOT IN (SELECT user_id FROM stg_ratings WHERE rating_timestamp < {day(C.EARLY)})""",
+        "profile_orphans_fired": f"""WITH raw_movies AS ({SQL_RAW_MOVIES}), raw_genome_scores AS ({SQL_RAW_GENOME_SCORES})
+SELECT movieId AS movie_id, count(*) AS orphan_rows FROM raw_genome_scores
+WHERE movieId IN (SELECT movieId FROM raw_movies WHERE ends_with(title, '{H.LATE_END}')) GROUP BY ALL""",
+        "snapshot_multi_open_fired": """WITH d AS (SELECT o_custkey, o_orderdate, max(o_orderstatus) AS s FROM orders GROUP BY ALL)
+SELECT o_custkey AS movie_id, count(*) AS open_versions FROM d WHERE s = 'O' GROUP BY ALL HAVING count(*) > 1""",
+        "freshness_by_source": f"""WITH a AS (
+    SELECT c_name AS source, CAST(max(o_orderdate) AS TIMESTAMP) AS last_loaded_at, {days} AS age
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderdate < {day(C.FRESHNESS_LOADED)} GROUP BY c_custkey, c_name)
+SELECT source, last_loaded_at, CASE WHEN age IS NULL OR age > 60 THEN 'error' WHEN age > 35 THEN 'warn' ELSE 'pass' END AS status FROM a""",
+    }
+
+
 def _profile_sql() -> dict[str, str]:
     base = f"WITH {stg_ratings_cte()}, {STG_TAGS}, {DIM_MOVIES}, {STG_GENOME}"
 
@@ -460,4 +475,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(_profile_sql())
     q["check_summary"] = _check_summary_sql()
     q.update(_fired_sql())
+    q.update(_evidence_sql())
     return q

@@ -57,10 +57,16 @@ def last_loaded(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return files.select(F.max("modificationTime").alias("last_loaded_at"))
 
 
+def load_status(loads: DataFrame, now: dt.datetime, warn_after_days: int | None = WARN_AFTER_DAYS,
+                error_after_days: int | None = ERROR_AFTER_DAYS) -> DataFrame:
+    """(source, last_loaded_at, age_days, status) of sources whose last load is known; a NULL one never was loaded."""
+    age = (F.unix_micros(lit_of(now)) - F.unix_micros("last_loaded_at")) / 86_400e6
+    return loads.select("source", "last_loaded_at", age.alias("age_days")).withColumn("status", _status("age_days", warn_after_days, error_after_days))
+
+
 def source_freshness(spark: SparkSession, sources: Mapping[str, Freshness],
                      now: dt.datetime) -> DataFrame:
     """(source, last_loaded_at, age_days, warn_after_days, error_after_days, status)."""
-    now_lit = lit_of(now)
     parts = []
     for name, s in sources.items():
         if s.disabled:
@@ -71,12 +77,10 @@ def source_freshness(spark: SparkSession, sources: Mapping[str, Freshness],
                 F.lit(None).cast("int").alias("error_after_days"),
                 F.lit("disabled").alias("status")))
             continue
-        age = ((F.unix_micros(now_lit) - F.unix_micros("last_loaded_at")) / 86_400e6)
-        parts.append(last_loaded(spark, s.path, s.fmt).select(
-            F.lit(name).alias("source"), "last_loaded_at", age.alias("age_days"),
-            F.lit(s.warn_after_days).cast("int").alias("warn_after_days"),
-            F.lit(s.error_after_days).cast("int").alias("error_after_days"))
-            .withColumn("status", _status("age_days", s.warn_after_days, s.error_after_days)))
+        loads = last_loaded(spark, s.path, s.fmt).select(F.lit(name).alias("source"), "last_loaded_at")
+        parts.append(load_status(loads, now, s.warn_after_days, s.error_after_days).select(
+            "source", "last_loaded_at", "age_days", F.lit(s.warn_after_days).cast("int").alias("warn_after_days"),
+            F.lit(s.error_after_days).cast("int").alias("error_after_days"), "status"))
     return reduce(DataFrame.unionByName, parts)
 
 
