@@ -1,11 +1,14 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
 A vector's code has a bit for each of its numbers: whether it is above 0. The code is cut into segments, and the
-distinct codes are indexed by the value of each segment. When all buckets within ``r`` bits of a query's segments have been seen, every code
-within ``segments * (r + 1) - 1`` bits of the query has been met, since one of its segments differs by ``r`` at most.
-So each query grows its radius, from 0 on, until the distance of its k-th verified neighbour is provably covered.
-Queries whose next step alone would probe more buckets than there are codes are compared with all codes, in blocks.
-
+distinct codes are indexed by the value of each segment. A query looks up the values within a radius of its own, segment
+by segment. A code that none of the segments has met differs in segment s by more than its radius, so by more than the
+sum of (radius + 1) less one altogether: all codes up to that distance have been met. Radii grow, first of all segments
+alike, then of a few at a time, until the distance of the query's k-th verified neighbour is covered so. At every table
+size all rows of the result come from the index: where a segment has fewer stored values than a radius has flips, its
+list of values is walked instead, and the largest radius meets every code.
+
+What a look-up meets is verified in the join: only codes no farther than the query's k-th neighbour so far leave it.
 Equal codes are one entry that stands for its rows. Of a code only the k smallest ids can be among the results, so no
 more are kept; Spark cuts each group to k before the shuffle, and a code that a third of all rows share is no one
 task's work. Buckets are joined by (segment, value), a plain join that Spark can split.
@@ -19,15 +22,12 @@ repeated rows (of one id and code) are one; with fewer than k rows all of them a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelspark.llm.store import stored, task_session
+from reelspark.llm.store import stored
 
 K = 10
 #: Bits of a code that are kept in one number at most.
@@ -87,50 +87,53 @@ def search(rows: DataFrame, queries: DataFrame, row_id: str = "vec_id", vector:
     kept = coded(rows, "id").withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= k)
     codes = stored(kept.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "codes")
     asked = stored(coded(queries, "query_id"), "asked")
-    open_codes = stored(asked.select(F.col("code").alias("query")).distinct(), "queries")
     number = codes.count()
-    if number == 0 or open_codes.isEmpty():
+    if number == 0 or asked.isEmpty():
         return asked.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("neighbour_id"), F.lit(0).alias("distance")).where("false")
     # A segment of log2(n) bits or more has one code in a bucket on average, or fewer.
     parts = _segments(bits, max(1, int(bits / max(1.0, math.log2(number)))))
     value = lambda code, word, shift, size: F.shiftrightunsigned(F.get(code, F.lit(word)), shift).bitwiseAND(F.lit((1 << size) - 1))
-    index = stored(codes.select("code", F.get("ids", F.lit(0)).alias("first"), F.posexplode(F.array(*(value(F.col("code"), *p) for p in parts)))).withColumnRenamed("pos", "segment").withColumnRenamed("col", "value"), "index")
-
-    best = Window.partitionBy("query").orderBy("distance", "id")
-
-    def nearest(found: DataFrame) -> DataFrame:
-        """The k nearest rows of each query among its verified codes (query, code, first, distance). Of codes that are
-        not among the k first by distance and smallest id, no row is."""
-        by_code = Window.partitionBy("query").orderBy("distance", "first")
-        close = found.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= k)
-        each = close.select("query", "code", "distance").join(codes, "code").select("query", "distance", F.explode("ids").alias("id"))
-        return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-    held, done, radius = None, [], 0
+    index = stored(codes.select("code", "ids", F.posexplode(F.array(*(value(F.col("code"), *p) for p in parts)))).withColumnRenamed("pos", "segment").withColumnRenamed("col", "value"), "index")
+    values = dict(map(tuple, index.groupBy("segment").agg(F.countDistinct("value")).collect()))
+
+    def probes(segment: int, radius: int) -> Column:
+        """The stored values that a query looks up, at just this radius."""
+        own, size = value(F.col("query"), *parts[segment]), parts[segment][2]
+        if radius > size:
+            return F.array().cast("array<bigint>")
+        if math.comb(size, radius) <= values[segment]:
+            return F.transform(_numbers(_masks(size, radius)), lambda m: own.bitwiseXOR(m))
+        held = [r[0] for r in index.where(F.col("segment") == segment).select("value").distinct().collect()]
+        return F.filter(_numbers(held), lambda v: F.bit_count(own.bitwiseXOR(v)) == radius)
+
+    pair = "struct<distance:int,id:bigint>"
+    state = stored(asked.select(F.col("code").alias("query")).distinct().select("query", F.array().cast(f"array<{pair}>").alias("best"), F.lit(None).cast("int").alias("far")), "state")
+    radii, done = [-1] * len(parts), []
+    largest = max(size for _, _, size in parts)
+    nearest = Window.partitionBy("query").orderBy("distance", "id")
     while True:
-        probes = sum(math.comb(size, radius) for _, _, size in parts)
-        if radius > max(size for _, _, size in parts) or probes > number:
-            break
-        near = F.array(*(F.struct(F.lit(s).alias("segment"), _flips(value(F.col("query"), *p), p[2], radius).alias("values")) for s, p in enumerate(parts)))
-        probe = open_codes.select("query", F.explode(near).alias("p")).select("query", F.col("p.segment").alias("segment"), F.explode("p.values").alias("value"))
+        # Two radii of all segments, then a quarter of the segments at a time.
+        grown = sorted(range(len(parts)), key=lambda s: radii[s])[: len(parts) if min(radii) < 1 else max(1, len(parts) // 4)]
+        near = F.array(*(F.struct(F.lit(s).alias("segment"), probes(s, radii[s] + 1).alias("values")) for s in grown))
+        probe = state.select("query", "far", F.explode(near).alias("p")).select("query", "far", F.col("p.segment").alias("segment"), F.explode("p.values").alias("value"))
         # The optimiser doesn't see how much explode() adds, so it would take the probes for small and broadcast them.
-        met = index.join(probe.hint("merge"), ["segment", "value"]).select("query", "code", "first").distinct()
-        found = nearest(met.withColumn("distance", distance(F.col("query"), F.col("code"), words)))
-        if held is not None:
-            # A code met at several radii is one row.
-            found = found.drop("rank").unionByName(held.drop("rank")).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        held = stored(found, "held")
-        covered = len(parts) * (radius + 1) - 1
-        settled = held.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") >= k) & (F.col("far") <= covered)).select("query")
-        settled = stored(settled, "settled")
-        done.append(held.join(settled, "query", "left_semi"))
-        open_codes = stored(open_codes.join(settled, "query", "left_anti"), "queries")
-        held = stored(held.join(settled, "query", "left_anti"), "held")
-        if open_codes.isEmpty():
+        probe = probe.hint("merge").alias("probe")
+        apart = distance(F.col("query"), F.col("code"), words)
+        close = (F.col("probe.segment") == F.col("index.segment")) & (F.col("probe.value") == F.col("index.value")) & (apart <= F.coalesce("far", F.lit(bits)))
+        met = index.alias("index").join(probe, close).select("query", apart.cast("int").alias("distance"), F.explode("ids").alias("id"))
+        # A row that several segments meet has one rank.
+        few = met.withColumn("place", F.dense_rank().over(nearest)).where(F.col("place") <= k)
+        found = few.groupBy("query").agg(F.collect_set(F.struct("distance", "id")).alias("found"))
+        for s in grown:
+            radii[s] += 1
+        covered = sum(r + 1 for r in radii) - 1
+        best = F.slice(F.array_sort(F.array_distinct(F.concat("best", F.coalesce("found", F.array().cast(f"array<{pair}>"))))), 1, k)
+        after = state.join(found, "query", "left").select("query", best.alias("best")).withColumn("far", F.get("best", F.lit(k - 1))["distance"])
+        after = stored(after.withColumn("settled", F.lit(min(radii) >= largest) | F.coalesce(F.col("far") <= covered, F.lit(False))), "state")
+        done.append(after.where("settled").select("query", F.posexplode("best").alias("place", "near")).select("query", (F.col("place") + 1).alias("rank"), "near.distance", "near.id"))
+        state = after.where("NOT settled").drop("settled")
+        if state.isEmpty():
             break
-        radius += 1
-    if not open_codes.isEmpty():
-        done.append(stored(nearest(_scan(open_codes, codes, k)), "scanned"))
     found = done[0]
     for one in done[1:]:
         found = found.unionByName(one)
@@ -138,46 +141,9 @@ def search(rows: DataFrame, queries: DataFrame, row_id: str = "vec_id", vector:
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("neighbour_id"), F.col("distance").cast("int").alias("distance"))
 
 
-def _flips(value: Column, size: int, radius: int) -> Column:
-    """The segment's values at just ``radius`` bits from it."""
-    if radius > size:
-        return F.array().cast("array<bigint>")
-    masks = F.split(F.lit(",".join(map(str, _masks(size, radius)))), ",").cast("array<bigint>")
-    return F.transform(masks, lambda m: value.bitwiseXOR(m))
-
-
-#: Queries that are compared with all codes at once, and codes in a step of that.
-SCAN_BLOCK, SCAN_STEP = 1000, 2048
-
-
-def _scan(open_codes: DataFrame, codes: DataFrame, k: int) -> DataFrame:
-    """query, code, first, distance: all codes against the queries that are left, about ``SCAN_BLOCK`` of them at a time.
-
-    A task hands on what is no farther than the k-th nearest that it has met for the query so far.
-    """
-    spark = task_session(codes.sparkSession)
-    blocks = math.ceil(open_codes.count() / SCAN_BLOCK)
-    placed = open_codes.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
-    out = None
-    for block in range(blocks):
-        sent = spark.sparkContext.broadcast(np.array([r["query"] for r in placed.where(F.col("block") == block).collect()], np.int64))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            asked = sent.value
-            held = np.full((len(asked), k), 1 << 30)
-            for batch in batches:
-                for first in range(0, batch.num_rows, SCAN_STEP):
-                    some = batch.slice(first, SCAN_STEP)
-                    own = np.array(some.column("code").flatten(), np.int64).reshape(some.num_rows, -1)
-                    apart = sum(np.bitwise_count((asked[:, w, None] ^ own[None, :, w]).view(np.uint64)).astype(np.int32) for w in range(own.shape[1]))
-                    held = np.partition(np.concatenate([held, apart], axis=1), k - 1, axis=1)[:, :k]
-                    query, code = np.nonzero(apart <= held.max(axis=1)[:, None])
-                    near = pa.FixedSizeListArray.from_arrays(pa.array(asked[query].ravel()), own.shape[1]).cast(pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([near, *(some.column(c).take(pa.array(code)) for c in ("code", "first")), pa.array(apart[query, code])], names=["query", "code", "first", "distance"])
-
-        one = codes.select("code", F.get("ids", F.lit(0)).alias("first")).mapInArrow(run, "query array<long>, code array<long>, first long, distance int")
-        out = one if out is None else out.unionByName(one)
-    return out
+def _numbers(values: list[int]) -> Column:
+    """A constant array."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
 
 def op1_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
