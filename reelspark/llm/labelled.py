@@ -12,7 +12,9 @@ def fold(parts: int) -> F.Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, teaches: F.Column, max_rows: int) -> DataFrame:
-    """text and label (int) of at most ``max_rows`` labelled rows that ``teaches`` lets in, those of the smallest hashes."""
-    own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & teaches).select("doc_id", F.col(label).cast("int").alias("label"))
+    """text and label (int) of at most ``max_rows`` different labelled rows that ``teaches`` lets in, those of the
+    smallest hashes of their ids; an id that many rows share is cut like any other."""
+    own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & teaches).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
     some = own.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").distinct()
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("text"), "text").limit(max_rows).select("text", "label")
