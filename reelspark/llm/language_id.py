@@ -9,7 +9,8 @@ those vectors, one matrix product for a slice. Training sums over all training t
 vector for each language, summed by Spark by (language, place).
 
 Defined cases: a null text, an empty one, or one without a letter gets ``und`` and 0; so does every text when nothing
-was learned, and a text whose letters make no n-gram with a positive cosine gets the nearest language and 0. Rows
+was learned, and a text whose letters make no n-gram with a positive cosine gets the nearest language and 0. A null
+doc_id is in no fold: it is not held out, and teaches. Rows
 with a null language are predicted but teach nothing. Repeated rows count as often as they occur; ties go to the
 first language in order of name. Other columns are carried along; ``lang_pred`` and ``score`` are replaced.
 """
@@ -36,6 +37,8 @@ UNDETERMINED = "und"
 CLASSES = 64
 #: Prototypes are sent to the tasks; more languages than this are refused.
 MAX_LANGUAGES = 4096
+#: Entries of a table of counts (rows x n-grams) at most, in one pass over a slice of rows.
+CELLS = 1 << 22
 _SEED = 20
 
 
@@ -60,8 +63,8 @@ def rotated_letters(dimensions: int) -> np.ndarray:
     return np.stack([np.roll(letters, NGRAM - 1 - place, axis=1) for place in range(NGRAM)])
 
 
-def ngram_counts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams of all rows, how often each row has each, and whether each row has a letter."""
+def ngrams(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row and the code of every n-gram, in order, and whether each row has a letter."""
     points, where = code_points(raw)
     kind = letter_classes()[points]
     rows = len(at) - 1
@@ -69,17 +72,41 @@ def ngram_counts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     lettered = np.bincount(row[kind > 0], minlength=rows) > 0
     n = len(kind) - NGRAM + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros((rows, 0), np.float32), lettered
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), lettered
     code = np.zeros(n, np.int64)
     for place in range(NGRAM):
         code = code * CLASSES + kind[place : place + n]
     valid = (row[:n] == row[NGRAM - 1 :]) & (code > 0)
-    code, row = code[valid], row[:n][valid]
-    grams = np.flatnonzero(np.bincount(code, minlength=1))
-    dense = np.zeros(CLASSES**NGRAM, np.int64)
-    dense[grams] = np.arange(len(grams))
-    counts = np.bincount(row * len(grams) + dense[code], minlength=rows * len(grams)).reshape(rows, len(grams))
-    return grams, counts.astype(np.float32), lettered
+    return row[:n][valid], code[valid], lettered
+
+
+def count_slices(row: np.ndarray, code: np.ndarray, rows: int, cells: int = CELLS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of the rows (first, last) with the n-grams they hold and how often each row has each, such that no table
+    of counts has more than ``cells`` entries (one row at least)."""
+    open_slices = [(0, rows)] if rows else []
+    while open_slices:
+        first, last = open_slices.pop()
+        a, b = np.searchsorted(row, [first, last])
+        seen = np.zeros(CLASSES**NGRAM, bool)
+        seen[code[a:b]] = True
+        grams = np.flatnonzero(seen)
+        if (last - first) * len(grams) > cells and last - first > 1:
+            middle = (first + last) // 2
+            open_slices += [(middle, last), (first, middle)]
+            continue
+        dense = np.zeros(CLASSES**NGRAM, np.int64)
+        dense[grams] = np.arange(len(grams))
+        size = (last - first) * len(grams)
+        counts = np.bincount((row[a:b] - first) * len(grams) + dense[code[a:b]], minlength=size) if size else np.zeros(0)
+        yield first, last, grams, counts.reshape(last - first, len(grams)).astype(np.float32)
+
+
+def ngram_counts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of all rows, how often each row has each, and whether each row has a letter."""
+    row, code, lettered = ngrams(raw, at)
+    for _, _, grams, counts in count_slices(row, code, len(at) - 1, len(row) * len(at) + 1):
+        return grams, counts, lettered
+    return np.zeros(0, np.int64), np.zeros((0, 0), np.float32), lettered
 
 
 def gram_vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
@@ -106,11 +133,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
         total: dict[str, np.ndarray] = {}
         for batch in passes(batches, "text"):
             names, of = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-            grams, counts, _ = ngram_counts(*text_bytes(batch.column("text")))
-            by = np.zeros((len(names), counts.shape[1]), np.float32)
-            np.add.at(by, of, counts)
-            for name, vector in zip(names.tolist(), bundles(by, grams, dimensions), strict=True):
-                total[name] = total.get(name, 0) + vector.astype(np.float64)
+            row, code, _ = ngrams(*text_bytes(batch.column("text")))
+            # A language's texts are one row here.
+            order = np.argsort(of[row], kind="stable")
+            for first, last, grams, counts in count_slices(of[row][order], code[order], len(names)):
+                for name, vector in zip(names[first:last].tolist(), bundles(counts, grams, dimensions), strict=True):
+                    total[name] = total.get(name, 0) + vector.astype(np.float64)
         yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "vector": pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))})
 
     own = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull())
@@ -135,13 +163,13 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in passes(batches, text):
-            grams, counts, lettered = ngram_counts(*text_bytes(batch.column(text)))
+            row, code, lettered = ngrams(*text_bytes(batch.column(text)))
             best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            if len(own):
+            for first, last, grams, counts in count_slices(row, code, batch.num_rows) if len(own) else ():
                 vectors = bundles(counts, grams, own.shape[1])
                 cosine = (vectors @ own.T) / np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
-                best = cosine.argmax(axis=1)
-                score = np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1)
+                best[first:last] = cosine.argmax(axis=1)
+                score[first:last] = np.clip(cosine.max(axis=1).astype(float), 0, 1)
             known = lettered & (len(own) > 0)
             pred = np.where(known, np.array([*names, UNDETERMINED], object)[best], UNDETERMINED)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(np.where(known, score, 0.0))], names=schema.names)
