@@ -295,7 +295,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, doc_id: str = "doc_id
             yield _segment(number, *(np.concatenate(x) for x in zip(*held, strict=True)))
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, SEGMENT_SCHEMA).write.parquet(path)
+    # A text's beginning parts the rows of one id without taking whole texts for bounds; within a part whole texts decide.
+    own.repartitionByRange("doc_id", F.left("text", F.lit(256))).sortWithinPartitions("doc_id", "text").mapInArrow(run, SEGMENT_SCHEMA).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
