@@ -477,6 +477,23 @@ def test_rows_that_do_not_fit_are_kept_beside_the_others(spark, tmp_base):
         land(spark, path, RAW_RATINGS, os.path.join(tmp_base, "lacks"))
 
 
+def test_cli_builds_on_what_fits(spark, tmp_base, capsys):
+    import json
+
+    from reelspark.__main__ import main
+    raw = os.path.join(tmp_base, "raw")
+    for name, df in _small_raw(spark, RATINGS).items():
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{raw}/{name}")
+    with open(f"{raw}/raw_ratings/more.csv", "w", encoding="utf-8") as out:
+        out.write("userId,movieId,rating,timestamp\n7,7,seven,7\n")
+    base = os.path.join(tmp_base, "wh")
+    assert main(["build", "--raw", raw, "--base", base, "--max-rejects", "0"]) == 1
+    assert "1 of" in capsys.readouterr().err and not os.path.isdir(f"{base}/dev")
+    main(["build", "--raw", raw, "--base", base, "--max-rejects", "0.1"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rejected"] == {"raw_ratings": 1} and "fct_ratings" in out["published"]
+
+
 def test_an_empty_source_is_not_fresh(spark, tmp_base):
     os.makedirs(os.path.join(tmp_base, "none"))
     report = source_freshness(spark, {"s": Freshness(os.path.join(tmp_base, "none"))}, dt.datetime(2100, 1, 1))
