@@ -113,15 +113,18 @@ def testdata_relations(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     Relations the reference materialises as tables are audited as stored:
     each is computed once into the shared checkpoint folder as it is built,
     and its checks and dependents read that copy instead of recomputing it
-    per consumer. Views and the ephemeral relation stay lazy.
+    per consumer. So are the two sources that are a join and an aggregate of
+    the test tables (an extract is a stored table), and the ephemeral
+    relation, which has checks of its own besides its consumer. Views stay
+    lazy.
     """
     from .incremental import stored
     configure(spark)
     t: dict[str, DataFrame] = {
         "raw_movies": testdata.raw_movies(spark, d),
-        "raw_ratings": testdata.raw_ratings(spark, d),
+        "raw_ratings": stored(testdata.raw_ratings(spark, d).select("userId", "movieId", "rating", "timestamp")),
         "raw_tags": testdata.raw_tags(spark, d),
-        "raw_genome_scores": testdata.raw_genome_scores(spark, d),
+        "raw_genome_scores": stored(testdata.raw_genome_scores(spark, d)),
         "raw_genome_tags": testdata.raw_genome_tags(spark, d),
     }
     t["stg_movies"] = staging.stg_movies(t["raw_movies"])
@@ -135,8 +138,8 @@ def testdata_relations(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     t["fct_ratings"] = stored(facts.fct_ratings_full(t["stg_ratings"]))
     t["fct_genome_scores"] = facts.fct_genome_scores(t["stg_genome_scores"])
     t["fct_movie_rating_daily"] = stored(facts.movie_rating_daily(t["fct_ratings"]))
-    t["int_movie_tag_relevance"] = marts.int_movie_tag_relevance(
-        t["dim_movies"], t["fct_genome_scores"], t["dim_genome_tags"])
+    t["int_movie_tag_relevance"] = stored(marts.int_movie_tag_relevance(
+        t["dim_movies"], t["fct_genome_scores"], t["dim_genome_tags"]))
     t["seed_genre_groups"] = I.genre_groups(spark)
     t["mart_tag_genre_affinity"] = stored(marts.mart_tag_genre_affinity(
         t["int_movie_tag_relevance"], t["seed_genre_groups"]))

@@ -109,7 +109,7 @@ def materialize(df):
     spark = df.sparkSession
     path = scratch_path(spark, f"stored/{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no job to find the schema
 
 
 def _place(spark: SparkSession, path: str):
