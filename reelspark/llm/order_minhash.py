@@ -219,7 +219,24 @@ def _further_pairs(aligned: DataFrame, similarity: float) -> DataFrame | None:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id of its class) for every row; ids are expected to be distinct."""
+    """doc_id, class_id (the smallest doc_id of its class) for every row.
+
+    Where ids repeat, the rows are written with a number each, and the classes are those of the numbered rows: texts of
+    one id are documents of their own.
+    """
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    if named.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _classes(docs, doc_id, text, similarity)
+    rows = stored(named.withColumn("row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
+    found = _classes(rows.where("row IS NOT NULL"), "row", "text", similarity).withColumnsRenamed({"doc_id": "row", "class_id": "class"})
+    placed = stored(found.join(rows.where("row IS NOT NULL").select("row", "doc_id"), "row"), "placed")
+    least = placed.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    alone = rows.where("row IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
+    return placed.join(least, "class").select("doc_id", "class_id").unionByName(alone)
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """The same for distinct ids."""
     task_session(docs.sparkSession)
     sketched = stored(sketch(docs, doc_id, text), "sketches")
     known = sketched.where("doc_id IS NOT NULL AND key_a IS NOT NULL")
