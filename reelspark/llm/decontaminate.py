@@ -32,7 +32,7 @@ from reelspark.llm.store import task_session, new_path
 
 WINDOW = 10
 #: Words of the benchmark that go to the tasks at once.
-MAX_TEST_WORDS = 2_000_000
+MAX_TEST_WORDS = 400_000
 #: Bytes of text in a block of the index.
 BLOCK_BYTES = 4 << 20
 #: Candidate places that are intersected at once in a block.
