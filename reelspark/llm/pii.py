@@ -5,8 +5,10 @@ generators propose more spans of each kind, which may overlap: addresses with "[
 or without a country's prefix. Gradient-boosted trees score each proposal from its format and its surroundings. For
 each kind a threshold, calibrated on rows that the trees have not seen, selects what is added.
 
-There are no labels, so the trees learn from the base rules: proposals that a rule finds, there or by themselves, are positive,
-also in forms that lose their mark (no "+", another separator, "[at]"); what overlaps none is negative. They are
+There are no labels, so the trees learn from the base rules: proposals that a rule finds, there, by themselves, or with their mark put
+back ("[at]" for "@", another separator of a card's digits, eight groups of an IPv6 address), are positive, also base spans in forms that
+lose their mark. What overlaps none is negative, but for numbers grouped as telephone numbers are (no dates, no
+parts of words), of which no rule can tell: they teach nothing. They are
 fitted on the driver on at most ``MAX_TRAINING`` proposals of the whole table, shared out evenly among kinds and labels
 and taken by hashes; weights give each label its share in the whole table back, and each kind its share in the sample.
 
@@ -180,6 +182,31 @@ def _unmarked(own: str, kind: int) -> str | None:
     return own.lstrip("+0") if kind == 3 else None
 
 
+_GROUPED = re.compile(r"\(?[0-9]{1,4}\)?(?:[ .-]{1,2}\(?[0-9]{2,4}\)?){2,}|\([0-9]{2,4}\) ?[0-9][0-9 .-]+")
+
+
+_DATE = re.compile(r"(?:19|20)[0-9]{2}[ .-][0-9]{1,2}[ .-][0-9]{1,2}(?![0-9])|[0-9]{1,2}[ .-][0-9]{1,2}[ .-](?:19|20)[0-9]{2}(?![0-9])")
+
+
+def _may_be_a_phone(text: str, start: int, own: str) -> bool:
+    return bool(_GROUPED.fullmatch(own)) and not _DATE.match(own) and not text[max(0, start - 1) : start].isalnum()
+
+
+def _remarked(own: str, kind: int) -> bool:
+    """Whether a rule finds the span once its mark is put back."""
+    if kind == 1:
+        groups = own.split(":")
+        return len(groups) == 8 and all(0 < len(g) <= 4 for g in groups)
+    if kind == 0:
+        own = re.sub(r" ?(?:@|[\[({] ?at ?[\])}]) ?", "@", own, flags=re.IGNORECASE)
+        own = re.sub(r" ?(?:\.|[\[({] ?dot ?[\])}]) ?", ".", own, flags=re.IGNORECASE)
+    elif kind == 2:
+        own = re.sub(r"[ ._/-]", " ", own)
+    else:
+        return False
+    return (0, kind, len(own)) in base_spans(own)
+
+
 def training_rows(text: str) -> list[tuple[int, int, list[float]]]:
     """kind, label (1 for what the rules find) and features of every proposal and of unmarked forms of base spans."""
     base = set(base_spans(text))
@@ -187,11 +214,12 @@ def training_rows(text: str) -> list[tuple[int, int, list[float]]]:
     for span in proposals(text):
         start, kind, end = span
         # Two numbers in a row can be more than a rule takes, while each by itself is what it looks for.
-        if span in base or not cover.meets(span) and (0, kind, end - start) in base_spans(text[start:end]):
+        own = text[start:end]
+        if span in base or not cover.meets(span) and ((0, kind, end - start) in base_spans(own) or _remarked(own, kind)):
             out.append((kind, 1, features(text, span)))
             if other := _unmarked(text[start:end], kind):
                 out.append((kind, 1, features(text, span, other)))
-        elif not cover.meets(span):
+        elif not cover.meets(span) and not (kind == 3 and _may_be_a_phone(text, start, own)):
             out.append((kind, 0, features(text, span)))
     return out
 
