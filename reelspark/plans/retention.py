@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_start, months_crossed, round_half_up, safe_ratio
-from ..session import exists
+from ..session import exists, materialize
 from ..sources.tables import replace_partitions, touched_values
 
 BRIDGE = "bucket long, bitmap binary, activity_month date"
@@ -37,7 +37,9 @@ def held(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def add(load: DataFrame, path: str, schema: str, merge: Callable[[DataFrame], DataFrame]) -> None:
-    """Merges a load into the months it touches and replaces those months; the others are not read."""
+    """Merges a load into the months it touches and replaces those months; the others are not read. The load's own
+    bitmaps or sketches are stored first, so that its ratings are read once."""
+    load = materialize(load)
     months = touched_values(load, MONTH)
     state = held(load.sparkSession, path, schema)
     touched = state.where(F.col(MONTH).isin(months)) if months else state.where("false")

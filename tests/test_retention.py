@@ -97,3 +97,39 @@ def test_empty_loads_and_sketch_sizes(spark, tmp_base):
     assert retention.sketch_size(0.02) == 12 and retention.sketch_size(0.01) == 14
     with pytest.raises(ValueError):
         retention.sketch_size(1e-9)
+
+
+def _counted(spark, df):
+    """The rows, and how many have been read of them in all."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_a_load_is_read_once(spark, tmp_base):
+    for add, extra in ((retention.add_to_bridge, ()), (retention.add_to_sketches, (_users(_ratings(spark, FIRST)),))):
+        ratings, seen = _counted(spark, _ratings(spark, FIRST))
+        add(*extra, ratings, os.path.join(tmp_base, add.__name__))
+        assert seen.value == len(FIRST)
+
+
+@pytest.mark.parametrize("name", ["retention_approx"])
+def test_two_loads_of_sketches_stage_the_ratings_once(spark, monkeypatch, name):
+    from reelspark.plans import catalog, inputs
+    rows = [(*r, "1998-05-01") for r in FIRST if None not in r] + [(*r, "1998-07-01") for r in SECOND]
+    staged = (spark.createDataFrame(rows, "user_id long, movie_id long, rating double, ts string, at string")
+              .select("user_id", "movie_id", "rating", F.col("ts").cast("timestamp").alias("rating_timestamp"), F.col("at").cast("timestamp").alias("arrived_at")))
+    ratings, seen = _counted(spark, staged)
+    tags = spark.createDataFrame([(1, 1, "a", dt.datetime(2020, 1, 1))], "user_id long, movie_id long, tag string, tag_timestamp timestamp")
+    monkeypatch.setattr(inputs, "ratings", lambda *_, **__: ratings)
+    monkeypatch.setattr(inputs, "tags", lambda *_: tags)
+    found = catalog.queries()[name](spark, "").collect()
+    assert seen.value == len(rows)
+    want = marts.mart_user_cohort_retention(_users(staged), staged).collect()
+    assert {(r.cohort_month, r.months_since_first_rating) for r in found} == {(r.cohort_month, r.months_since_first_rating) for r in want}
+    if name == "retention_sketch_bounds":
+        assert all(r.within_bound for r in found)
