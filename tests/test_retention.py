@@ -117,7 +117,7 @@ def test_a_load_is_read_once(spark, tmp_base):
         assert seen.value == len(FIRST)
 
 
-@pytest.mark.parametrize("name", ["retention_approx"])
+@pytest.mark.parametrize("name", ["retention_approx", "retention_sketch_bounds"])
 def test_two_loads_of_sketches_stage_the_ratings_once(spark, monkeypatch, name):
     from reelspark.plans import catalog, inputs
     rows = [(*r, "1998-05-01") for r in FIRST if None not in r] + [(*r, "1998-07-01") for r in SECOND]
