@@ -88,3 +88,13 @@ def test_declared_check_count():
     from reelspark.plans.quality import declared_checks
     n = sum(len(v) for v in declared_checks(include_extra=False).values())
     assert n == 106
+
+
+def test_row_checks_do_not_widen_the_key_entries(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (1, "a", 9.0), (2, "b", None), (None, "c", 7.0)], "k long, s string, x double")
+    cs = [C.not_null("k"), C.unique("k"), C.not_null("s"), C.between("x", 0, 5), C.not_null("x")]
+    found = C.summarize_all({"keyed": (df, cs), "rows": (df, [c for c in cs if c.is_row_check])})
+    assert {(r.relation, r.check): r.n_violations for r in found.collect()} == {
+        ("keyed", "not_null(k)"): 1, ("keyed", "unique(k)"): 1, ("keyed", "not_null(s)"): 1, ("keyed", "between(x,0,5)"): 2, ("keyed", "not_null(x)"): 1,
+        ("rows", "not_null(k)"): 1, ("rows", "not_null(s)"): 1, ("rows", "between(x,0,5)"): 2, ("rows", "not_null(x)"): 1}
+    assert "sum(v" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -109,3 +109,13 @@ def test_affinity_null_scores_and_duplicates(spark):
     assert d.median_relevance == 0.2                          # values 0.2, 0.2, 0.9
     c = stats["Comedy"]
     assert c.n_movies == 1 and c.avg_relevance is None and c.median_relevance is None
+
+
+def test_genre_stats_sort_no_rows_for_a_name(spark):
+    """A maximum of strings sorts its rows: only the last aggregate, of the histogram, has one."""
+    rows = spark.createDataFrame([(1, "a", 1, "x", 0.5), (1, "a", 1, "x", 0.5), (2, "a", 1, "x", 0.1), (3, "a", 1, None, None), (3, "b", 1, "x", 0.2)],
+                                 "movie_id long, genre string, tag_id long, tag_name string, relevance_score double")
+    stats = marts.genre_tag_stats(rows)
+    assert stats._jdf.queryExecution().executedPlan().toString().count("SortAggregate") <= 2
+    found = {r.genre: (r.n_movies, r.tag_name, r.median_relevance) for r in stats.collect()}
+    assert found == {"a": (3, "x", 0.5), "b": (1, "x", 0.2)}
