@@ -63,7 +63,7 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: the ids and their byte offsets, and whether decoding gives the text back."""
-    done = bpe.decode(bpe.encode(docs, RANKS), RANKS)
+    done = bpe.round_trip(docs, RANKS)
     same = F.col("decoded").eqNullSafe(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     return done.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "offsets", same.alias("round_trip"))
 

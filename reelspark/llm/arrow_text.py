@@ -43,6 +43,7 @@ def passes(batches: Iterator[pa.RecordBatch], column: str, limit: int = PASS_BYT
 
 def _release() -> None:
     """Gives freed memory back to the system at a task's end, as workers go on to other stages (where libc can)."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

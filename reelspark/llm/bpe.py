@@ -244,6 +244,40 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], own: Encoder, text: str) -> Iterator[pa.RecordBatch]:
+    """The batches in passes, with ``n_tokens``, ``ids`` and ``offsets``."""
+    for batch in passes(batches, text):
+        raw, at = text_bytes(batch.column(text))
+        ids, before = own.encode(raw, at)
+        added = [pa.array(np.diff(before)), binary_array(ids.astype("<u4"), before), binary_array(own.offsets(ids, before).astype("<u4"), before)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "n_tokens", "ids", "offsets"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], own: Encoder, ids: str, offsets: str) -> Iterator[pa.RecordBatch]:
+    """The batches in passes, with ``decoded``."""
+    for batch in passes(batches, ids):
+        raw, at = text_bytes(batch.column(ids))
+        packed = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
+        place, _ = text_bytes(batch.column(offsets))
+        place, before = np.frombuffer(place.tobytes(), "<u4").astype(np.int64), at // 4
+        size = own.word_len[packed]
+        last = np.maximum(before[1:] - 1, 0)
+        length = np.where(np.diff(before) > 0, place[last] + size[last], 0) if len(packed) else np.zeros(batch.num_rows, np.int64)
+        out_at = np.concatenate([[0], np.cumsum(length)])
+        out = np.zeros(out_at[-1], np.uint8)
+        out[ranges(place + np.repeat(out_at[:-1], np.diff(before)), size)] = own.decode(packed)
+        yield pa.RecordBatch.from_arrays([*batch.columns, binary_array(out, out_at)], names=[*batch.schema.names, "decoded"])
+
+
+_ENCODED = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.BinaryType())]
+_DECODED = [T.StructField("decoded", T.BinaryType())]
+
+
+def _without(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    names = {f.name for f in fields}
+    return df.drop(*(c for c in df.columns if c.lower() in names))
+
+
 def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     """Adds ``n_tokens`` (long), ``ids`` and ``offsets`` (packed little-endian unsigned 32-bit integers).
 
@@ -252,48 +286,35 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     """
     spark = task_session(df.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    df = df.drop(*(c for c in df.columns if c.lower() in {"n_tokens", "ids", "offsets"}))
-    schema = T.StructType([*df.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(ranks.value)
-        for batch in passes(batches, text):
-            raw, at = text_bytes(batch.column(text))
-            ids, before = own.encode(raw, at)
-            added = [pa.array(np.diff(before)), binary_array(ids.astype("<u4"), before), binary_array(own.offsets(ids, before).astype("<u4"), before)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.names)
-
-    return df.mapInArrow(run, schema)
+    df = _without(df, _ENCODED)
+    return df.mapInArrow(lambda batches: _encoded(batches, encoder(ranks.value), text), T.StructType([*df.schema.fields, *_ENCODED]))
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", offsets: str = "offsets") -> DataFrame:
     """Adds ``decoded`` (binary): the bytes of the packed ids, each placed at its offset. Null ids are empty."""
     spark = task_session(df.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    df = df.drop(*(c for c in df.columns if c.lower() == "decoded"))
-    schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.BinaryType())])
+    df = _without(df, _DECODED)
+    return df.mapInArrow(lambda batches: _decoded(batches, encoder(ranks.value), ids, offsets), T.StructType([*df.schema.fields, *_DECODED]))
+
+
+def round_trip(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """``encode`` and then ``decode`` in the same tasks: with both as steps of their own, a core has two Python workers at
+    a time, each with the vocabulary and a cache."""
+    spark = task_session(df.sparkSession)
+    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    df = _without(df, [*_ENCODED, *_DECODED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks.value)
-        for batch in passes(batches, ids):
-            raw, at = text_bytes(batch.column(ids))
-            packed = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
-            place, _ = text_bytes(batch.column(offsets))
-            place, before = np.frombuffer(place.tobytes(), "<u4").astype(np.int64), at // 4
-            size = own.word_len[packed]
-            last = np.maximum(before[1:] - 1, 0)
-            length = np.where(np.diff(before) > 0, place[last] + size[last], 0) if len(packed) else np.zeros(batch.num_rows, np.int64)
-            out_at = np.concatenate([[0], np.cumsum(length)])
-            out = np.zeros(out_at[-1], np.uint8)
-            out[ranges(place + np.repeat(out_at[:-1], np.diff(before)), size)] = own.decode(packed)
-            yield pa.RecordBatch.from_arrays([*batch.columns, binary_array(out, out_at)], names=schema.names)
-
-    return df.mapInArrow(run, schema)
+        return _decoded(_encoded(batches, own, text), own, "ids", "offsets")
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *_ENCODED, *_DECODED]))
 
 
 def digests(df: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of ``documents``: encoded, then decoded."""
-    done = decode(encode(df.select("doc_id", "text"), ranks_path).drop("text"), ranks_path)
+    done = round_trip(df.select("doc_id", "text"), ranks_path)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

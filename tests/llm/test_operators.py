@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reelspark.llm import bpe, decontaminate, graph, hamming_topk, language_id, order_minhash, pii, quality_fm, queries, sharding, token_store, toxicity
 from reelspark.llm.arrow_text import HashIndex, span_hashes, text_bytes
 
@@ -210,6 +211,16 @@ def test_bpe_equals_tiktoken(spark):
         assert np.frombuffer(r.offsets, "<u4").tolist() == np.cumsum([0, *size])[:-1].tolist()[: len(want)]
 
 
+def test_round_trip_is_both_steps_in_one_worker(spark):
+    docs = docs_of(spark, [*enumerate([*texts(60), None, "", "y" * 2000]), (None, "a b"), (3, "again")])
+    whole, steps = bpe.round_trip(docs, RANKS), bpe.decode(bpe.encode(docs, RANKS), RANKS)
+    assert whole.schema == steps.schema
+    assert sorted(map(str, whole.collect())) == sorted(map(str, steps.collect()))
+    # Two in one stage would be two Python workers a core, with a vocabulary and a cache each.
+    for done in (whole, bpe.digests(docs, RANKS), corpus_pipeline.tokens(spark, docs, "")):
+        assert done._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_bpe_classes_of_all_code_points():
     encoder, encoding = bpe.encoder(bpe.read_ranks(RANKS)), tiktoken_encoding()
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000][::37]
