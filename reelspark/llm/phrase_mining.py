@@ -10,9 +10,10 @@ counted, whatever the sample held. What an expansion pass meets for the first ti
 
 Proposals go to the tasks as Bloom filters, of eight bits for each proposal and at most ``2 ** MOST_BITS`` bits for a
 length, so memory does not bound their number: a phrase let in by mistake is only counted in vain. Most of the border
-is rare, so the first pass counts in two steps: by 64-bit hashes, which Spark adds up as plain numbers, then, of the
-phrases whose hash reaches the support (a hash never counts less than its phrase), by the phrases as they are spelt. Every
-count in the result is of the latter kind. Counts are summed in each task over ``PASS_BYTES`` of text before Spark adds them up.
+is rare, so the first pass counts in two steps: by 64-bit hashes, then, of the phrases whose hash reaches the support (a
+hash never counts less than its phrase), by the phrases as they are spelt. Every count in the result is of the latter
+kind. Hashes go to Spark in runs, one row for those of a text slice that begin with the same ``RUN_BITS`` bits, which Spark
+deals and sorts by these bits; the runs that come together are added up in slices. Counts are summed in each task over ``PASS_BYTES`` of text before Spark adds them up.
 
 Words: ASCII letters are lower-cased, pieces end at . , ; : ! ? and line breaks, words at spaces and tabs; phrases don't
 cross pieces. Each language is counted on its own.
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelspark.llm.arrow_text import LOWER, mix, passes, span_hashes, text_bytes, word_spans
+from reelspark.llm.arrow_text import LOWER, binary_array, mix, passes, span_hashes, text_bytes, word_spans
 from reelspark.llm.store import stored, task_session
 
 SUPPORT, LONGEST = 10, 3
@@ -42,6 +43,8 @@ SAMPLE, LOWERED, SEED = 0.25, 0.8, 12
 LEAST_BITS, MOST_BITS = 16, 28
 #: Bytes of text that are counted together.
 PASS_BYTES = 2 << 20
+#: Bits that the hashes of a run begin with, and hashes that are added up at once (and those of one beginning more).
+RUN_BITS, RUN_HASHES = 12, 1 << 20
 #: Rows of counts that go to Spark at once.
 ROWS = 1 << 16
 TOP = 2000
@@ -142,10 +145,64 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return number, np.bincount(number, minlength=len(coded.dictionary))
 
 
-def _tally(hashes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The distinct hashes, and how often each is there."""
-    coded = pa.array(hashes.view(np.int64)).dictionary_encode()
-    return coded.dictionary, np.bincount(np.array(coded.indices), minlength=len(coded.dictionary))
+def _added(hashes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and how often each is there (one time for each place, or ``times``)."""
+    if times is None:
+        hashes = np.sort(hashes)
+    else:
+        order = np.argsort(hashes)
+        hashes, times = hashes[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    return hashes[first], np.diff(np.append(first, len(hashes))) if times is None else np.add.reduceat(times, first) if len(first) else times
+
+
+_RUNS = "n int, bucket int, hashes binary, times binary"
+
+
+def _runs(n: int, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The distinct hashes of a text slice and how often each is there, a row for each beginning that they have."""
+    found, times = _added(hashes)
+    bucket = (found >> np.uint64(64 - RUN_BITS)).astype(np.int32)
+    at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(found) else np.zeros(1, np.int64)
+    columns = [pa.array(np.full(len(at) - 1, n, np.int32)), pa.array(bucket[at[:-1]]), binary_array(found.astype("<u8"), at), binary_array(times.astype("<i8"), at)]
+    yield pa.RecordBatch.from_arrays(columns, names=["n", "bucket", "hashes", "times"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """n, hash of the hashes that are there ``least`` times, from runs in order of n and bucket."""
+
+    def sums(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks().to_batches()
+        for batch in rows:
+            n, size = np.array(batch.column("n")), np.diff(text_bytes(batch.column("hashes"))[1]) // 8
+            hashes, times = (np.frombuffer(text_bytes(batch.column(c))[0].tobytes(), kind) for c, kind in (("hashes", "<u8"), ("times", "<i8")))
+            of = np.repeat(n, size)
+            for k in np.unique(n).tolist():
+                found, total = _added(hashes[of == k], times[of == k])
+                found = found[total >= least].view(np.int64)
+                yield from _sent(pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int32)), pa.array(found)], names=["n", "hash"]))
+
+    held, size = None, 0
+    for batch in batches:
+        held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        size += len(text_bytes(batch.column("hashes"))[0]) // 8
+        if size < RUN_HASHES:
+            continue
+        # The rows of the last beginning may go on in the next batch.
+        place = np.array(held.column("n"), np.int64) << 32 | np.array(held.column("bucket"), np.int64)
+        whole = int(np.searchsorted(place, place[-1]))
+        if whole:
+            yield from sums(held.slice(0, whole))
+            held = held.slice(whole).combine_chunks()
+            size = sum(len(text_bytes(b.column("hashes"))[0]) // 8 for b in held.to_batches())
+    if held is not None:
+        yield from sums(held)
+
+
+def often(runs: DataFrame, least: int) -> DataFrame:
+    """n, hash of what the rows of ``runs`` hold ``least`` times altogether."""
+    dealt = runs.repartition("n", "bucket").sortWithinPartitions("n", "bucket")
+    return dealt.mapInArrow(lambda batches: _sums(batches, least), "n int, hash long")
 
 
 class Words:
@@ -239,12 +296,10 @@ def propose(docs: DataFrame, support: int, longest: int, fraction: float) -> Fil
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", PASS_BYTES):
             for length, _, hashes, _ in Words(batch).levels(longest - 1, None, None):
-                found, times = _tally(hashes)
-                yield from _sent(pa.RecordBatch.from_arrays([pa.array(np.full(len(found), length, np.int32)), found, pa.array(times)], names=["n", "hash", "f"]))
+                yield from _runs(length, hashes)
 
     some = docs if fraction >= 1 else docs.sample(fraction, SEED)
-    found = some.mapInArrow(run, "n int, hash long, f long").groupBy("n", "hash").agg(F.sum("f").alias("f"))
-    return sized_filters(found.where(F.col("f") >= least), longest - 1)
+    return sized_filters(often(some.mapInArrow(run, _RUNS), least), longest - 1)
 
 
 def sized_filters(phrases: DataFrame, lengths: int) -> Filters:
@@ -260,11 +315,9 @@ def likely(docs: DataFrame, support: int, longest: int, proposed: Filters) -> Fi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", PASS_BYTES):
-            for _, _, hashes, _ in Words(batch).levels(longest, None, sent.value):
-                yield from _sent(pa.RecordBatch.from_arrays([*map(pa.array, _tally(hashes))], names=["hash", "f"]))
+            yield from _runs(1, np.concatenate([hashes for _, _, hashes, _ in Words(batch).levels(longest, None, sent.value)]))
 
-    found = docs.mapInArrow(run, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
-    return sized_filters(found.where(F.col("f") >= support).withColumn("n", F.lit(1)), 1)
+    return sized_filters(often(docs.mapInArrow(run, _RUNS), support), 1)
 
 
 def count(docs: DataFrame, support: int, longest: int, counted: Filters | None, proposed: Filters) -> DataFrame:

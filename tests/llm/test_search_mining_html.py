@@ -167,6 +167,32 @@ def test_full_filters_only_cost_time(spark, monkeypatch):
     assert {(r.lang, tuple(r.phrase.split(" "))): r.f for r in frequent.where("n > 0").collect()} == brute_phrases(rows, 4, 3)[0]
 
 
+@pytest.mark.parametrize("at_once", [1, 300, 1 << 20])
+def test_runs_of_hashes_add_up(monkeypatch, at_once):
+    monkeypatch.setattr(phrase_mining, "RUN_HASHES", at_once)
+    rng = np.random.default_rng(at_once)
+    slices = [(n, rng.choice(rng.integers(0, 2**64, 700, np.uint64), size)) for n in (1, 2) for size in (0, 1, 5000, 900)]
+    slices += [(1, slices[2][1][:50]), (2, slices[2][1]), (1, np.array([0, 2**64 - 1] * 3, np.uint64))]
+    runs = pa.Table.from_batches([r for n, hashes in slices for r in phrase_mining._runs(n, hashes)]).sort_by([("n", "ascending"), ("bucket", "ascending")])
+    times = Counter((n, h) for n, hashes in slices for h in hashes.tolist())
+    found = [r for b in phrase_mining._sums(iter(runs.to_batches(max_chunksize=64)), 4) for r in b.to_pylist()]
+    assert len(found) == len({(r["n"], r["hash"]) for r in found})
+    assert {(r["n"], r["hash"] % 2**64) for r in found} == {k for k, f in times.items() if f >= 4}
+
+
+def test_spark_moves_runs_of_hashes(spark):
+    """A row for each beginning of a slice, not for each phrase, and the same hashes whatever the partitions."""
+    words = [" ".join(f"w{(k * 7919 + j * j) % 40000}" for j in range(2000)) for k in range(20)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 20, "text": words})
+    hashes = phrase_mining.Words(batch).hashes[phrase_mining.Words(batch).number]
+    rows = [r for part in (hashes[:9000], hashes[9000:], hashes[:5]) for b in phrase_mining._runs(1, part) for r in b.to_pylist()]
+    assert len(rows) <= 2 * 2**phrase_mining.RUN_BITS + 5 < len(hashes)
+    runs = spark.createDataFrame([tuple(r.values()) for r in rows], phrase_mining._RUNS)
+    times = Counter([*hashes.tolist(), *hashes[:5].tolist()])
+    got = [r.hash % 2**64 for r in phrase_mining.often(runs.repartition(7), 2).collect()]
+    assert len(got) == len(set(got)) and set(got) == {h for h, f in times.items() if f >= 2}
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 3 * 10**12 + 7, 3 * 10**12 + 11, 5 * 10**12 + 1
     rows = [("en", 2, "x y", a), ("en", 1, "x", left), ("en", 1, "y", right), ("en", 0, "", 10**13)]
