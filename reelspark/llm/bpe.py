@@ -29,7 +29,7 @@ from reelspark.llm.arrow_text import HashIndex, binary_array, code_points, passe
 from reelspark.llm.store import task_session
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
-#: Slices kept in a worker's cache before it starts anew.
+#: Slices in a worker's cache beyond which it keeps only those that it met again.
 CACHE_PIECES = 400_000
 #: Longer slices are merged one by one with a heap.
 LONG_PIECE = 128
@@ -85,6 +85,8 @@ def piece_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of texts, piece by piece: pieces met before are looked up, others go to ``merge`` together."""
 
+    room = CACHE_PIECES
+
     def __init__(self) -> None:
         self._clear()
 
@@ -96,6 +98,22 @@ class PieceCache:
         self.pieces = HashIndex()
         self.store, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64)  # the pieces' bytes
         self.ids, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)  # met in a later pass than their first, or than the last one of _forget
+
+    def _forget(self) -> None:
+        """Keeps the pieces met again; none if these alone are more than three quarters of the room."""
+        keep = np.flatnonzero(self.again)
+        if len(keep) > self.room * 3 // 4:
+            return self._clear()
+        place = np.full(len(self.size), -1)
+        place[keep] = np.arange(len(keep))
+        held = self.pieces.key[self.pieces.key != -1]
+        number = place[self.pieces.value[self.pieces.key != -1]]
+        self.store, self.ids = self.store[ranges(self.store_at[keep], self.size[keep])], self.ids[ranges(self.first[keep], self.count[keep])]
+        self.size, self.count, self.again = self.size[keep], self.count[keep], np.zeros(len(keep), bool)
+        self.store_at, self.first = np.cumsum(self.size) - self.size, np.cumsum(self.count) - self.count
+        self.pieces = HashIndex()
+        self.pieces.add(held[number >= 0], number[number >= 0])
 
     def _learn(self, hashes: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Merges slices that are not in the cache, one for each hash, and adds them."""
@@ -107,16 +125,18 @@ class PieceCache:
         self.store = np.concatenate([self.store, raw[ranges(starts, ends - starts)]])
         self.size = np.concatenate([self.size, ends - starts])
         self.ids, self.count = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.count, count])
+        self.again = np.concatenate([self.again, np.zeros(len(hashes), bool)])
         self.store_at, self.first = np.cumsum(self.size) - self.size, np.cumsum(self.count) - self.count
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many come before each text."""
-        if len(self.size) > CACHE_PIECES:
-            self._clear()
+        if len(self.size) > self.room:
+            self._forget()
         starts = piece_starts(raw, at)
         ends = np.append(starts[1:], len(raw))[: len(starts)]
         hashes = span_hashes(raw, starts, ends).view(np.int64) >> 1  # no negative keys
         known = self.pieces.find(hashes)
+        self.again[known[known >= 0]] = True
         if (new := np.flatnonzero(known < 0)).size:
             self._learn(hashes[new], raw, starts[new], ends[new])
             known[new] = self.pieces.find(hashes[new])

@@ -1,12 +1,14 @@
 """Token ids in a compressed file format, by an adaptive context-mixing range coder.
 
-The ids of all documents, in ascending order of ``doc_id``, are one stream that is cut into blocks of ``BLOCK`` ids.
-Every block starts its models anew and has a checksum, so blocks are read independently. In a block the last ids seen
-after the same one and the same two ids predict the next one (orders 1 and 2). For either there is an expert, whose
-probabilities of a hit depend on how often the predictions have been right lately and whether they agree, and a weight
-that follows the better expert mixes the two. What neither order predicts is coded by order 0: an adaptive
-distribution over the number of the id's bits, then these bits. All probabilities drive one range coder of 48 bits
-in whole-number arithmetic, so that any machine decodes the same. Blocks are coded side by side, a numpy lane for each.
+The ids of all documents, in ascending order of ``doc_id``, are one stream that is cut into blocks of ``BLOCK`` ids, and
+a segment has up to ``LANES`` blocks or what its last documents bring. Blocks are coded side by side, a numpy lane for each,
+and have a checksum each; their models are shared by the segment's lanes and start anew with it, so segments are read
+independently. The last ids seen after the same one and the same two ids predict the next one (orders 1 and 2), with a
+confidence that says how often the prediction has been right lately. For either there is an expert, whose
+probabilities of a hit depend on its confidence and whether the two agree, and a weight that follows the better expert mixes
+them. What neither order predicts is coded by order 0: an adaptive distribution over classes of ids, then the id's
+place in its class. All probabilities drive one range coder of 48 bits in whole numbers, held in doubles (all are below 2**53,
+and so are exact, as are the quotients rounded down), so that any machine decodes the same.
 
 A file holds segments: rows of Parquet with the documents' ids and lengths, and the coded blocks. Files are in order,
 and so are the segments in a file, so that a document's place in the stream is what comes before it.
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelspark.llm.arrow_text import binary_array, passes, text_bytes
+from reelspark.llm.arrow_text import binary_array, passes, ranges, text_bytes
 from reelspark.llm.bpe import PieceCache
 from reelspark.llm.store import new_path, task_session
 
@@ -37,67 +39,93 @@ from reelspark.llm.store import new_path, task_session
 BLOCK = 1024
 LANES = 2048
 SEGMENT = BLOCK * LANES
-SLOTS = 256
 END_ID = 0
-_CLASSES = 18
-#: Steps after which order 0 takes in what it has seen.
-_REFRESH = 8
-_MASK32, _MASK48 = np.uint64((1 << 32) - 1), np.uint64((1 << 48) - 1)
-_BITS = np.array([int(k).bit_length() for k in range(1 << 17)], np.int32)
-_BASE = np.array([0] + [1 << (k - 1) for k in range(1, _CLASSES + 1)], np.int64)
-_ABOVE = np.arange(_CLASSES + 1)
+#: Pieces that go to the library as one list of words.
+RUN = 1000
+#: Places for what follows two ids, and ids that can be coded.
+_SLOTS, _IDS = 1 << 18, 1 << 17
+#: Steps after which the probabilities take in what was seen; after fewer at the start.
+_REFRESH = 16
+#: Counts of an expert's context beyond which they are halved.
+_LIMIT = 1 << 16
+#: The width at first, and the one up to which a word is written.
+_FULL, _SMALL = 2.0**48, 2.0**32
+# Classes of order 0: each id below 512, from there on 64 for each number of bits; an id is its class's first and a tail.
+_EACH = np.arange(_IDS)
+_TAIL = np.maximum(np.array([k.bit_length() for k in range(_IDS)]) - 7, 0) * (_EACH >= 512)
+_KIND = np.where(_EACH < 512, _EACH, 448 + (_TAIL - 3) * 64 + (_EACH >> _TAIL))
+_BASE = np.append(np.flatnonzero(np.diff(_KIND, prepend=-1)), 0).astype(np.int32)
+_CLASSES = len(_BASE) - 1
+_SCALE = 2.0 ** -_TAIL[_BASE[:-1]].astype(float)
+#: What a prediction's entry changes by, for each confidence if wrong, then if right.
+_STEP = np.array([0, -1, -1, -1, 1, 1, 1, 0], np.int32)
 _NULL = np.iinfo(np.int64).min
 
 
 class Models:
-    """The models of all lanes, in whole numbers."""
+    """The models that all lanes of a segment share, in whole numbers."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.at = (self.lane * SLOTS).astype(np.int32)
-        self.by_one = np.zeros(lanes * SLOTS, np.int32)  # id * 4 + confidence
-        self.by_two = np.zeros(lanes * SLOTS, np.int32)
-        # Two experts, each with a probability (of 4096) for a hit of order 2 and of order 1 in eight contexts.
-        self.expert = [[np.full(lanes * 8, 400, np.int32) for _ in range(2)] for _ in range(2)]
-        self.eight = (self.lane * 8).astype(np.int32)
-        self.weight = np.full(lanes, 8, np.int32)
-        self.seen = np.full((lanes, _CLASSES), 8, np.int32)  # of order 0, by class
-        self.sums = np.tile((_ABOVE * 8).astype(np.int32), (lanes, 1))
+        self.table = np.zeros(_SLOTS + _IDS, np.int32)  # id * 4 + confidence: by the last two ids, then by the last one
+        self.index = np.zeros((2, lanes), np.int64)
         self.one = np.zeros(lanes, np.int32)
         self.two = np.zeros(lanes, np.int32)
+        # How often order 2 was right, only order 1, or neither: by an expert's own confidence and whether they agree.
+        self.seen = [np.tile(np.array([2, 2, 16]), (4, 2, 1)) for _ in range(2)]
+        self.weight = np.full((4, 4, 2), 8)  # by the confidence of order 2, that of order 1, and whether they agree
+        self.kinds = np.ones(_CLASSES, np.int64)  # of order 0
+        self.new_hits, self.new_kinds = np.zeros(96, np.int64), np.zeros(_CLASSES + 1, np.int64)
+        self.start, self.share = np.zeros(_CLASSES + 1), np.full(_CLASSES + 1, 32768.0)  # the last one: no class is coded
         self.step = 0
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The ids that orders 2 and 1 predict, and the mixed probabilities of a hit of either."""
-        mixed_one = self.one * np.int32(20011)  # 32 bits, wrapping alike everywhere
-        self.slot_one = self.at + ((mixed_one >> 7) & (SLOTS - 1))
-        self.slot_two = self.at + ((mixed_one + self.two * np.int32(30517) >> 5) & (SLOTS - 1))
-        self.held_one, self.held_two = self.by_one.take(self.slot_one), self.by_two.take(self.slot_two)
-        first, second = self.held_two >> 2, self.held_one >> 2
-        agree = first == second
-        self.context = [self.eight + (held & 3) * 2 + agree for held in (self.held_two, self.held_one)]
-        self.said = [[table.take(c) for table in expert] for expert, c in zip(self.expert, self.context, strict=True)]
-        mixed = [self.said[1][k] + ((self.said[0][k] - self.said[1][k]) * self.weight >> 4) for k in range(2)]
-        return first, second, *mixed
-
-    def learn(self, ids: np.ndarray, right_two: np.ndarray, right_one: np.ndarray) -> None:
-        """Where order 2 and order 1 (whether or not order 2 was) predicted the id."""
-        by_one = right_one > right_two  # only order 1
-        aims = [hit * np.int32(3952) + np.int32(16) for hit in (right_two, by_one)]
-        apart = [self.said[0][k] - self.said[1][k] for k in range(2)]
-        self.weight += np.sign(np.where(right_two, apart[0], np.where(by_one, apart[1], -apart[0] - apart[1])))
-        np.minimum(np.maximum(self.weight, 1, out=self.weight), 15, out=self.weight)
-        for said, expert, context in zip(self.said, self.expert, self.context, strict=True):
-            for k in range(2):
-                expert[k][context] = said[k] + (aims[k] - said[k] >> 4)
-        fresh = ids << 2
-        for table, slot, held, right in ((self.by_two, self.slot_two, self.held_two, right_two), (self.by_one, self.slot_one, self.held_one, right_one)):
-            trust = held & 3
-            table[slot] = np.where(right, held + (trust < 3), np.where(trust > 0, held - 1, fresh))
+        self._refresh()
+
+    def _refresh(self) -> None:
+        """Takes in what was seen since the last time."""
+        hits = self.new_hits.reshape(4, 4, 2, 3)
+        if self.step:
+            apart = self.said[0][:, None] - self.said[1][None]
+            self.weight = np.clip(self.weight + np.sign((hits * apart).sum(axis=3)), 1, 15)
+        for k in range(2):
+            seen = self.seen[k] + hits.sum(axis=1 - k)
+            self.seen[k] = np.where(seen.sum(axis=2, keepdims=True) > _LIMIT, (seen >> 1) + 1, seen)
+        self.said = [(seen << 12) // seen.sum(axis=2, keepdims=True) for seen in self.seen]
+        by_two, by_one = self.said[0][:, None], self.said[1][None]
+        mixed = by_one + ((by_two - by_one) * self.weight[..., None] >> 4)
+        two = np.maximum(mixed[..., 0], 16)
+        both = np.minimum(two + np.maximum(mixed[..., 1], 16), 4096 - 64)
+        ends = np.stack([np.zeros_like(two), np.minimum(two, both - 16), both, np.full_like(two, 4096)], axis=-1).astype(float)
+        self.hit_start, self.hit_share = ends[..., :-1].ravel(), np.diff(ends).ravel()
+        self.kinds += self.new_kinds[:-1] * 24
+        if self.kinds.sum() > _LIMIT << 8:
+            self.kinds = (self.kinds >> 1) + 1
+        share = 1 + self.kinds * (32768 - _CLASSES) // self.kinds.sum()
+        share[share.argmax()] += 32768 - share.sum()
+        self.start[1:-1], self.share[:-1] = np.cumsum(share[:-1]), share * _SCALE
+        self.kind_at = np.repeat(np.arange(_CLASSES), share)
+        self.new_hits[:], self.new_kinds[:] = 0, 0
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that orders 2 and 1 predict, and where the mixed probabilities are: a hit of order 2, only of order 1, of none."""
+        mixed = self.one * np.int32(-1640531535) + self.two * np.int32(-2048144789)  # 32 bits, wrapping alike everywhere
+        np.bitwise_and(mixed >> 13, _SLOTS - 1, out=self.index[0])
+        np.add(self.one, _SLOTS, out=self.index[1])
+        self.held = self.table.take(self.index, mode="clip")
+        self.trust, said = self.held & 3, self.held >> 2
+        return said, self.trust[0] * 24 + self.trust[1] * 6 + (said[0] == said[1]) * 3
+
+    def learn(self, ids: np.ndarray, right: np.ndarray, at: np.ndarray, kind: np.ndarray) -> None:
+        """Where order 2 and order 1 predicted the id, the place of what came, and the class of order 0 where none did."""
+        self.new_hits += np.bincount(at, minlength=96)
+        self.new_kinds += np.bincount(kind, minlength=_CLASSES + 1)
+        # Right adds to the confidence, wrong takes from it or, where there is none, puts the id; where lanes meet, the last one stays.
+        change = self.trust + right * np.int32(4)
+        held = self.held + _STEP.take(change, mode="clip")
+        np.copyto(held, ids << 2, where=change == 0)
+        self.table[self.index] = held
         self.one, self.two = ids, self.one
         self.step += 1
-        if self.step % _REFRESH == 0:
-            np.cumsum(self.seen, axis=1, out=self.sums[:, 1:])
+        if self.step % _REFRESH == 0 or self.step < _REFRESH and self.step & (self.step - 1) == 0:
+            self._refresh()
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,108 +136,94 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     grid = np.ascontiguousarray(grid.T)
     steps = min(BLOCK, len(ids)) if lanes == 1 else BLOCK
     models = Models(lanes)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
+    low, width = np.zeros(lanes), np.full(lanes, _FULL)
     room = steps * 3 + 8
-    out, used = np.zeros(lanes * room, np.uint16), np.arange(lanes) * room
-
-    def settle() -> None:
-        """Carries over what is beyond 48 bits and writes words where the width is under 32 bits."""
-        over = np.flatnonzero(low > _MASK48)
-        if len(over):
-            low[over] &= _MASK48
-            at = used[over] - 1
-            while len(at):
-                out[at] += np.uint16(1)
-                at = at[out[at] == 0] - 1
-        short = np.flatnonzero(width <= _MASK32)
-        while len(short):
-            out[used[short]] = (low[short] >> np.uint64(32)).astype(np.uint16)
-            used[short] += 1
-            low[short] = (low[short] & _MASK32) << np.uint64(16)
-            wide = width[short] << np.uint64(16)
-            width[short] = wide
-            short = short[wide <= _MASK32]
-
+    out, used = np.zeros(lanes * room, np.uint32), np.arange(lanes) * room
     for step in range(steps):
         now = grid[step]
-        first, second, p_two, p_one = models.predict()
-        right_two, right_one = now == first, now == second
-        both = p_two + p_one
-        part = width >> np.uint64(12)
-        low += part * np.where(right_two, 0, np.where(right_one, p_two, both)).astype(np.uint64)
-        width = part * np.where(right_two, p_two, np.where(right_one, p_one, 4096 - both)).astype(np.uint64)
-        miss = np.flatnonzero(~(right_two | right_one))
-        if len(miss):
-            own = now[miss]
-            kind = _BITS[own]
-            sums, at = models.sums.ravel(), miss * (_CLASSES + 1)
-            below, above = sums.take(at + kind), sums.take(at + kind + 1)
-            part = width[miss] // sums.take(at + _CLASSES).astype(np.uint64)
-            low[miss] += part * below.astype(np.uint64)
-            width[miss] = part * (above - below).astype(np.uint64)
-            models.seen.ravel()[miss * _CLASSES + kind] += 24
-            settle()
-            tail = np.maximum(kind - 1, 0).astype(np.uint64)
-            width[miss] >>= tail
-            low[miss] += width[miss] * (own - _BASE[kind]).astype(np.uint64)
-        settle()
-        models.learn(now, right_two, right_one)
-    for shift in (32, 16, 0):
-        out[used] = (low >> np.uint64(shift)).astype(np.uint16)
-        used += 1
-    size = used - np.arange(lanes) * room
-    return out[np.arange(lanes * room) % room < np.repeat(size, room)], size
+        said, at = models.predict()
+        right = said == now
+        known = right[0] | right[1]
+        at = at + 2 - known - right[0]
+        part = np.floor(width * 2.0**-12)
+        low += part * models.hit_start.take(at, mode="clip")
+        width = part * models.hit_share.take(at, mode="clip")
+        kind = _KIND.take(now, mode="clip")
+        rest = now - _BASE.take(kind, mode="clip")
+        np.putmask(kind, known, _CLASSES)
+        np.putmask(rest, known, 0)
+        part = np.floor(width * 2.0**-15)
+        low += part * models.start.take(kind, mode="clip")
+        width = np.floor(part * models.share.take(kind, mode="clip"))
+        low += width * rest
+        # Writes the upper word where the width is small; a carry stays in the word's 17th bit until the end.
+        word = np.floor(low * 2.0**-32)
+        out[used] = word.astype(np.uint32)
+        short = width <= _SMALL
+        used += short
+        low = np.where(short, (low - word * _SMALL) * 65536.0, low)
+        width = np.where(short, width * 65536.0, width)
+        more = np.flatnonzero(width <= _SMALL)
+        while len(more):
+            word = np.floor(low[more] * 2.0**-32)
+            out[used[more]] = word
+            used[more] += 1
+            low[more] = (low[more] - word * _SMALL) * 65536.0
+            width[more] *= 65536.0
+            more = more[width[more] <= _SMALL]
+        models.learn(now, right, at, kind)
+    # Two words suffice for a value from which on 2**16 others lie within the width.
+    last = np.ceil(low * 2.0**-16)
+    out[used] = np.floor(last * 2.0**-16)
+    out[used + 1] = last % 65536.0
+    size = used + 2 - np.arange(lanes) * room
+    words = out[ranges(np.arange(lanes) * room, size)]
+    while len(over := np.flatnonzero(words >> 16)):
+        np.add.at(words, over - 1, 1)
+        words[over] -= 1 << 16
+    return words.astype(np.uint16), size
 
 
 def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray:
     """The ``count`` ids of a stream from its blocks' words."""
     lanes = len(size)
     steps = min(BLOCK, count) if lanes == 1 else BLOCK
-    words = np.append(words, np.zeros(8, np.uint16)).astype(np.uint64)
+    words = np.append(words, np.zeros(8, np.uint16))
     used = np.cumsum(size) - size
-    value = (words[used] << np.uint64(32)) | (words[used + 1] << np.uint64(16)) | words[used + 2]
+    value = words[used] * 2.0**32 + words[used + 1] * 2.0**16 + words[used + 2]
     used = used + 3
-    width = np.full(lanes, 1 << 48, np.uint64)
+    width = np.full(lanes, _FULL)
     models = Models(lanes)
     grid = np.zeros((steps, lanes), np.int32)
-
-    def settle() -> None:
-        short = np.flatnonzero(width <= _MASK32)
-        while len(short):
-            value[short] = (value[short] << np.uint64(16)) | words.take(used[short], mode="clip")
-            used[short] += 1
-            wide = width[short] << np.uint64(16)
-            width[short] = wide
-            short = short[wide <= _MASK32]
-
     for step in range(steps):
-        first, second, p_two, p_one = models.predict()
-        part = width >> np.uint64(12)
-        place = (value // part).astype(np.int32)
-        both = p_two + p_one
-        right_two, known = place < p_two, place < both
-        value -= part * np.where(right_two, 0, np.where(known, p_two, both)).astype(np.uint64)
-        width = part * np.where(right_two, p_two, np.where(known, p_one, 4096 - both)).astype(np.uint64)
-        now = np.where(right_two, first, second)
-        miss = np.flatnonzero(~known)
-        if len(miss):
-            sums = models.sums[miss]
-            row = np.arange(len(miss))
-            part = width[miss] // sums[:, _CLASSES].astype(np.uint64)
-            place = (value[miss] // part).astype(np.int64)
-            kind = (sums[:, 1:_CLASSES] <= place[:, None]).sum(axis=1)
-            below = sums[row, kind]
-            value[miss] -= part * below.astype(np.uint64)
-            width[miss] = part * (sums[row, kind + 1] - below).astype(np.uint64)
-            models.seen.ravel()[miss * _CLASSES + kind] += 24
-            settle()
-            tail = np.maximum(kind - 1, 0).astype(np.uint64)
-            width[miss] >>= tail
-            rest = value[miss] // width[miss]
-            value[miss] -= rest * width[miss]
-            now[miss] = _BASE[kind] + rest.astype(np.int32)
-        settle()
-        models.learn(now, now == first, now == second)
+        said, at = models.predict()
+        part = np.floor(width * 2.0**-12)
+        known = value < part * models.hit_start.take(at + 2, mode="clip")
+        is_two = value < part * models.hit_start.take(at + 1, mode="clip")
+        at = at + 2 - known - is_two
+        value -= part * models.hit_start.take(at, mode="clip")
+        width = part * models.hit_share.take(at, mode="clip")
+        part = np.floor(width * 2.0**-15)
+        kind = models.kind_at.take((value / part).astype(np.int64), mode="clip")
+        np.putmask(kind, known, _CLASSES)
+        value -= part * models.start.take(kind, mode="clip")
+        width = np.floor(part * models.share.take(kind, mode="clip"))
+        rest = np.floor(value / width)
+        value -= rest * width
+        now = _BASE.take(kind, mode="clip") + rest.astype(np.int32)
+        np.copyto(now, said[1], where=known)
+        np.copyto(now, said[0], where=is_two)
+        short = width <= _SMALL
+        value = np.where(short, value * 65536.0 + words.take(used, mode="clip"), value)
+        used += short
+        width = np.where(short, width * 65536.0, width)
+        more = np.flatnonzero(width <= _SMALL)
+        while len(more):
+            value[more] = value[more] * 65536.0 + words.take(used[more], mode="clip")
+            used[more] += 1
+            width[more] *= 65536.0
+            more = more[width[more] <= _SMALL]
+        models.learn(now, said == now, at, kind)
         grid[step] = now
     return grid.T.ravel()[:count]
 
@@ -227,10 +241,23 @@ class LibraryEncoder(PieceCache):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = ordinary
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # the vocabulary spells a byte as a character
+        self.bytes_of[np.fromiter(vocabulary.values(), np.int64, len(vocabulary))] = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (ordinary and t.special)]
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return self._library([p.decode() for p in pieces])
+        """Goes to the library in runs of pieces, whose ids are parted again by the bytes that each stands for."""
+        texts = [p.decode() for p in pieces]
+        runs = [texts[k : k + RUN] for k in range(0, len(texts), RUN)]
+        found = self.tokenizer.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.int64), *(np.array(e.ids, np.int64) for e in found)])
+        reach = np.cumsum(self.bytes_of[ids])
+        ends = np.cumsum([len(p) for p in pieces])
+        before = np.searchsorted(reach, ends) + 1
+        if len(reach) != before[-1] or (reach[before - 1] != ends).any():  # ids that do not stand for their own bytes
+            return self._library(texts)
+        return ids, np.diff(before, prepend=0)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
