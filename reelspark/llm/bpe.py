@@ -82,6 +82,14 @@ def piece_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return where[start]
 
 
+def _after(held: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """A buffer whose first ``n`` entries are followed by ``more``, of twice the room if they don't fit."""
+    if n + len(more) > len(held):
+        held = np.concatenate([held[:n], np.zeros(n + 2 * len(more), held.dtype)])
+    held[n : n + len(more)] = more
+    return held
+
+
 class PieceCache:
     """Ids of texts, piece by piece: pieces met before are looked up, others go to ``merge`` together."""
 
@@ -95,25 +103,31 @@ class PieceCache:
         raise NotImplementedError
 
     def _clear(self) -> None:
-        self.pieces = HashIndex()
-        self.store, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64)  # the pieces' bytes
-        self.ids, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.pieces, self.held = HashIndex(), 0
+        # Buffers that are doubled when full: the pieces' bytes and ids, and where each piece's start and end in them.
+        self.store, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+        self.store_at, self.first = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.again = np.zeros(0, bool)  # met in a later pass than their first, or than the last one of _forget
 
+    def _put(self, hashes: np.ndarray, store: np.ndarray, size: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        n = self.held
+        self.pieces.add(hashes, np.arange(len(hashes)) + n)
+        self.store, self.ids = _after(self.store, self.store_at[n], store), _after(self.ids, self.first[n], ids)
+        self.store_at, self.first = (_after(x, n + 1, x[n] + np.cumsum(y)) for x, y in ((self.store_at, size), (self.first, count)))
+        self.again = _after(self.again, n, np.zeros(len(hashes), bool))
+        self.held += len(hashes)
+
     def _forget(self) -> None:
         """Keeps the pieces met again; none if these alone are more than three quarters of the room."""
-        keep = np.flatnonzero(self.again)
-        if len(keep) > self.room * 3 // 4:
+        again = self.again[self.pieces.value] & (self.pieces.key != -1)
+        if (number := int(again.sum())) * 4 > self.room * 3:
             return self._clear()
-        place = np.full(len(self.size), -1)
-        place[keep] = np.arange(len(keep))
-        held = self.pieces.key[self.pieces.key != -1]
-        number = place[self.pieces.value[self.pieces.key != -1]]
-        self.store, self.ids = self.store[ranges(self.store_at[keep], self.size[keep])], self.ids[ranges(self.first[keep], self.count[keep])]
-        self.size, self.count, self.again = self.size[keep], self.count[keep], np.zeros(len(keep), bool)
-        self.store_at, self.first = np.cumsum(self.size) - self.size, np.cumsum(self.count) - self.count
-        self.pieces = HashIndex()
-        self.pieces.add(held[number >= 0], number[number >= 0])
+        hashes, keep = self.pieces.key[again], self.pieces.value[again]
+        store, store_at, ids, first = self.store, self.store_at, self.ids, self.first
+        size, count = store_at[keep + 1] - store_at[keep], first[keep + 1] - first[keep]
+        self._clear()
+        if number:
+            self._put(hashes, store[ranges(store_at[keep], size)], size, ids[ranges(first[keep], count)], count)
 
     def _learn(self, hashes: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Merges slices that are not in the cache, one for each hash, and adds them."""
@@ -121,16 +135,11 @@ class PieceCache:
         starts, ends = starts[pick], ends[pick]
         whole = raw.tobytes()
         ids, count = self.merge([whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-        self.pieces.add(hashes, np.arange(len(hashes)) + len(self.size))
-        self.store = np.concatenate([self.store, raw[ranges(starts, ends - starts)]])
-        self.size = np.concatenate([self.size, ends - starts])
-        self.ids, self.count = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.count, count])
-        self.again = np.concatenate([self.again, np.zeros(len(hashes), bool)])
-        self.store_at, self.first = np.cumsum(self.size) - self.size, np.cumsum(self.count) - self.count
+        self._put(hashes, raw[ranges(starts, ends - starts)], ends - starts, ids, count)
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many come before each text."""
-        if len(self.size) > self.room:
+        if self.held > self.room:
             self._forget()
         starts = piece_starts(raw, at)
         ends = np.append(starts[1:], len(raw))[: len(starts)]
@@ -140,9 +149,9 @@ class PieceCache:
         if (new := np.flatnonzero(known < 0)).size:
             self._learn(hashes[new], raw, starts[new], ends[new])
             known[new] = self.pieces.find(hashes[new])
-        ids, count = self.ids, self.count[known]
+        ids, first = self.ids, self.first[known]
+        count = self.first[known + 1] - first
         wrong = self._differ(known, raw, starts, ends - starts)
-        first = self.first[known]
         if wrong.size:  # two slices of one hash
             whole = raw.tobytes()
             more, count[wrong] = self.merge([whole[a:b] for a, b in zip(starts[wrong].tolist(), ends[wrong].tolist(), strict=True)])
@@ -153,10 +162,11 @@ class PieceCache:
 
     def _differ(self, known: np.ndarray, raw: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Slices whose bytes are not those of the cached piece of the same hash."""
-        wrong = self.size[known] != size
+        begin = self.store_at[known]
+        wrong = self.store_at[known + 1] - begin != size
         same = np.flatnonzero(~wrong)
         length = size[same]
-        unequal = self.store[ranges(self.store_at[known[same]], length)] != (raw if len(same) == len(size) else raw[ranges(starts[same], length)])
+        unequal = self.store[ranges(begin[same], length)] != (raw if len(same) == len(size) else raw[ranges(starts[same], length)])
         if unequal.any():
             wrong[same[np.unique(np.searchsorted(np.cumsum(length), np.flatnonzero(unequal), "right"))]] = True
         return np.flatnonzero(wrong)

@@ -44,6 +44,8 @@ END_ID = 0
 RUN = 1000
 #: Places for what follows two ids, and ids that can be coded.
 _SLOTS, _IDS = 1 << 18, 1 << 17
+#: Pieces in a worker's cache (see PieceCache).
+_ROOM = 600_000
 #: Steps after which the probabilities take in what was seen; after fewer at the start.
 _REFRESH = 16
 #: Counts of an expert's context beyond which they are halved.
@@ -57,8 +59,6 @@ _KIND = np.where(_EACH < 512, _EACH, 448 + (_TAIL - 3) * 64 + (_EACH >> _TAIL))
 _BASE = np.append(np.flatnonzero(np.diff(_KIND, prepend=-1)), 0).astype(np.int32)
 _CLASSES = len(_BASE) - 1
 _SCALE = 2.0 ** -_TAIL[_BASE[:-1]].astype(float)
-#: What a prediction's entry changes by, for each confidence if wrong, then if right.
-_STEP = np.array([0, -1, -1, -1, 1, 1, 1, 0], np.int32)
 _NULL = np.iinfo(np.int64).min
 
 
@@ -69,6 +69,7 @@ class Models:
         self.table = np.zeros(_SLOTS + _IDS, np.int32)  # id * 4 + confidence: by the last two ids, then by the last one
         self.index = np.zeros((2, lanes), np.int64)
         self.one = np.zeros(lanes, np.int32)
+        self.at = np.zeros(lanes, np.int64)
         self.two = np.zeros(lanes, np.int32)
         # How often order 2 was right, only order 1, or neither: by an expert's own confidence and whether they agree.
         self.seen = [np.tile(np.array([2, 2, 16]), (4, 2, 1)) for _ in range(2)]
@@ -94,6 +95,7 @@ class Models:
         two = np.maximum(mixed[..., 0], 16)
         both = np.minimum(two + np.maximum(mixed[..., 1], 16), 4096 - 64)
         ends = np.stack([np.zeros_like(two), np.minimum(two, both - 16), both, np.full_like(two, 4096)], axis=-1).astype(float)
+        self.two_end, self.both_end = np.repeat(ends[..., 1].ravel(), 3), np.repeat(ends[..., 2].ravel(), 3)
         self.hit_start, self.hit_share = ends[..., :-1].ravel(), np.diff(ends).ravel()
         self.kinds += self.new_kinds[:-1] * 24
         if self.kinds.sum() > _LIMIT << 8:
@@ -111,17 +113,21 @@ class Models:
         np.add(self.one, _SLOTS, out=self.index[1])
         self.held = self.table.take(self.index, mode="clip")
         self.trust, said = self.held & 3, self.held >> 2
-        return said, self.trust[0] * 24 + self.trust[1] * 6 + (said[0] == said[1]) * 3
+        at = self.at
+        np.multiply(self.trust[0], 24, out=at)
+        at += self.trust[1] * 6
+        at += (said[0] == said[1]) * 3
+        return said, at
 
     def learn(self, ids: np.ndarray, right: np.ndarray, at: np.ndarray, kind: np.ndarray) -> None:
         """Where order 2 and order 1 predicted the id, the place of what came, and the class of order 0 where none did."""
         self.new_hits += np.bincount(at, minlength=96)
         self.new_kinds += np.bincount(kind, minlength=_CLASSES + 1)
-        # Right adds to the confidence, wrong takes from it or, where there is none, puts the id; where lanes meet, the last one stays.
-        change = self.trust + right * np.int32(4)
-        held = self.held + _STEP.take(change, mode="clip")
-        np.copyto(held, ids << 2, where=change == 0)
-        self.table[self.index] = held
+        # A confidence grows while the prediction is right; where lanes meet in a place, the last one stays.
+        trust = np.minimum(self.trust + np.int32(1), np.int32(3))
+        trust *= right
+        trust += ids << 2
+        self.table[self.index] = trust
         self.one, self.two = ids, self.one
         self.step += 1
         if self.step % _REFRESH == 0 or self.step < _REFRESH and self.step & (self.step - 1) == 0:
@@ -144,7 +150,9 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         said, at = models.predict()
         right = said == now
         known = right[0] | right[1]
-        at = at + 2 - known - right[0]
+        at += 2
+        at -= known
+        at -= right[0]
         part = np.floor(width * 2.0**-12)
         low += part * models.hit_start.take(at, mode="clip")
         width = part * models.hit_share.take(at, mode="clip")
@@ -198,9 +206,11 @@ def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray
     for step in range(steps):
         said, at = models.predict()
         part = np.floor(width * 2.0**-12)
-        known = value < part * models.hit_start.take(at + 2, mode="clip")
-        is_two = value < part * models.hit_start.take(at + 1, mode="clip")
-        at = at + 2 - known - is_two
+        known = value < part * models.both_end.take(at, mode="clip")
+        is_two = value < part * models.two_end.take(at, mode="clip")
+        at += 2
+        at -= known
+        at -= is_two
         value -= part * models.hit_start.take(at, mode="clip")
         width = part * models.hit_share.take(at, mode="clip")
         part = np.floor(width * 2.0**-15)
@@ -234,6 +244,8 @@ class LibraryEncoder(PieceCache):
     ``ordinary``: names of special tokens in a text are ordinary text; else they are their ids, as by the library's defaults.
     """
 
+    room = _ROOM
+
     def __init__(self, tokenizer: str, ordinary: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer

@@ -364,6 +364,67 @@ def test_coder_round_trip(number):
     assert words.nbytes < number * 2 + 4096
 
 
+def test_coder_shares_its_models_among_the_lanes():
+    random_ = np.random.default_rng(3)
+    phrases = random_.integers(256, 50257, (300, 8))
+    ids = phrases[random_.integers(0, 300, 8000)].ravel()  # a block holds fewer than half of them
+    words, size = token_store.encode_blocks(ids)
+    assert len(size) == -(-len(ids) // token_store.BLOCK) and (token_store.decode_blocks(words, size, len(ids)) == ids).all()
+    assert words.nbytes < len(ids)
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 70])
+def test_coder_takes_every_id_and_carries(lanes):
+    random_ = np.random.default_rng(lanes)
+    number = lanes * token_store.BLOCK - 5
+    often = np.where(random_.random(number) < 0.97, 50256, random_.integers(0, 1 << 17, number))
+    for ids in (random_.integers(0, 1 << 17, number), np.full(number, (1 << 17) - 1), np.arange(number) % (1 << 17), often, np.sort(often)):
+        words, size = token_store.encode_blocks(ids)
+        assert words.dtype == np.uint16 and size.sum() == len(words)
+        assert (token_store.decode_blocks(words, size, number) == ids).all()
+
+
+def test_pieces_go_to_the_library_in_runs_and_come_back_apart():
+    from tokenizers import Tokenizer
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        own = token_store.LibraryEncoder(file.read(), False)
+    library = Tokenizer.from_file(TOKENIZER)
+    pieces = list(dict.fromkeys([" \u00e9t\u00e9", "\u4e2d\u6587", "\U0001f600\U0001f600", "'s", "   ", "\n\n", "\x00", "12345678901", *(f" w{k:x}" for k in range(3 * token_store.RUN))]))
+    runs = []
+    own.tokenizer = type("Counted", (), {"encode_batch_fast": lambda _, texts, **how: runs.append(len(texts)) or library.encode_batch_fast(texts, **how)})()
+    ids, count = own.merge([p.encode() for p in pieces])
+    assert runs == [-(-len(pieces) // token_store.RUN)]
+    ends = np.cumsum(count)
+    assert [ids[b - n : b].tolist() for b, n in zip(ends.tolist(), count.tolist(), strict=True)] == [library.encode(p).ids for p in pieces]
+    own.bytes_of = own.bytes_of + 1  # as if ids did not stand for their own bytes
+    again, each = own.merge([p.encode() for p in pieces])
+    assert (again == ids).all() and (each == count).all()
+
+
+def test_full_piece_cache_keeps_what_was_met_again():
+    class Cache(bpe.PieceCache):
+        room = 50
+        asked: list = []
+
+        def merge(self, pieces):
+            self.asked += pieces
+            return np.array([x for p in pieces for x in p], np.int64), np.array([len(p) for p in pieces])
+
+    own = Cache()
+    for k in range(40):
+        texts_ = [f"often again x{k}a y{k}b", "", f"often z{k}c", "often" * 3 + f"é{k}"]
+        raw = [t.encode() for t in texts_]
+        ids, before = own.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:], strict=True)] == [list(r) for r in raw]
+        assert own.held <= 50 + 20
+    assert own.asked.count(b"often") == 1 and own.asked.count(b" again") == 1
+    own.again[: own.held] = True
+    own.room = own.held - 1
+    own._forget()
+    assert own.held == 0
+
+
 def test_store_equals_the_library(spark, tmp_path):
     from tokenizers import Tokenizer
 
