@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelspark.llm.arrow_text import binary_array, passes, ranges, text_bytes
+from reelspark.llm.arrow_text import PASS_BYTES, binary_array, passes, ranges, text_bytes
 from reelspark.llm.bpe import PieceCache
 from reelspark.llm.store import new_path, task_session
 
@@ -134,12 +134,20 @@ class Models:
             self._refresh()
 
 
+def _turned(grid: np.ndarray) -> np.ndarray:
+    """The transposed grid, copied a few lines at a time, as they share cache lines."""
+    out = np.empty(grid.shape[::-1], grid.dtype)
+    for k in range(0, len(grid), 16):
+        out[:, k : k + 16] = grid[k : k + 16].T
+    return out
+
+
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The 16-bit words of the blocks of a stream one after the other, and how many each block has."""
     lanes = -(-len(ids) // BLOCK)
     grid = np.zeros((lanes, BLOCK), np.int32)
     grid.ravel()[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
+    grid = _turned(grid)
     steps = min(BLOCK, len(ids)) if lanes == 1 else BLOCK
     models = Models(lanes)
     low, width = np.zeros(lanes), np.full(lanes, _FULL)
@@ -235,7 +243,7 @@ def decode_blocks(words: np.ndarray, size: np.ndarray, count: int) -> np.ndarray
             more = more[width[more] <= _SMALL]
         models.learn(now, said == now, at, kind)
         grid[step] = now
-    return grid.T.ravel()[:count]
+    return _turned(grid).ravel()[:count]
 
 
 class LibraryEncoder(PieceCache):
@@ -323,7 +331,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, doc_id: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number = library_encoder(sent.value, ordinary), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for batch in passes(batches, "text"):
+        for batch in passes(batches, "text", PASS_BYTES // 2):
             ids, before = own.encode_texts(batch.column("text"))
             length = np.diff(before) + 1
             held.append((np.array(batch.column("doc_id").fill_null(_NULL), np.int64), length, np.insert(ids, before[1:], END_ID)))
